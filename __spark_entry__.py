@@ -16,6 +16,8 @@ from sluice.functions.lineage import bill_cycle, is_uuid7, uuid7
 from sluice.functions.text import norm_text
 from sluice.operators.delimited import expand_fields, record_type
 from sluice.operators.stamp import ROW_COL, stamp_rows
+from sluice.operators import headers as H
+from sluice.plans import headed as HP
 from sluice.plans.text import parse_text
 from sluice.session import scratch_path
 from sluice.sources.text import read_lines
@@ -106,6 +108,96 @@ def q_uuid7(spark, sf_dir):
                   F.count_distinct("sequencialid").alias("n_distinct"))
 
 
+# ---------------------------------------------------------------------------------------
+# report keys (fixture R: one CSV report per nation and key range)
+# ---------------------------------------------------------------------------------------
+def _sheet(col="_file"):
+    return F.regexp_extract(F.col(col), r"([^/]*)\.[^./]*$", 1).alias("sheet")
+
+
+def _cells6(col="cells"):
+    return [F.get(F.col(col), i).alias(f"c{i}") for i in range(fx.GRID_WIDTH)]
+
+
+def _report_grid(spark, sf_dir, blank_sheet=None):
+    folder = scratch_path(spark, "reports-csv")
+    fx.write_report_csv(spark, sf_dir, folder, blank_sheet)
+    return HP.csv_grid(spark, folder, width=fx.GRID_WIDTH)
+
+
+def _targets():
+    return H.parse_headers(fx.TARGET_HEADERS)
+
+
+def q_csv_scan(spark, sf_dir):
+    g = _report_grid(spark, sf_dir)
+    return g.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *_cells6())
+
+
+def _windows(spark, sf_dir):
+    return H.header_windows(H.sample_reports(_report_grid(spark, sf_dir)))
+
+
+def q_header_windows(spark, sf_dir):
+    w = _windows(spark, sf_dir)
+    return (w.select(_sheet(), "start", "height", F.posexplode("cols").alias("c", "text"))
+            .filter(F.col("text") != "")
+            .select("sheet", F.col("start").cast("long").alias("start"),
+                    F.col("height").cast("long").alias("height"),
+                    F.col("c").cast("long").alias("c"), "text"))
+
+
+def q_header_scores(spark, sf_dir):
+    sc = H.header_scores(_windows(spark, sf_dir), _targets())
+    return sc.select(_sheet(), F.col("start").cast("long").alias("start"),
+                     F.col("height").cast("long").alias("height"),
+                     F.inline("cands")).select(
+        "sheet", "start", "height", F.col("c").cast("long").alias("c"),
+        F.col("th").alias("target"), F.col("score").cast("double").alias("score"))
+
+
+def q_header_assign(spark, sf_dir):
+    a = H.assign_headers(H.header_scores(_windows(spark, sf_dir), _targets()))
+    return a.select(_sheet(), F.col("start").cast("long").alias("start"),
+                    F.col("height").cast("long").alias("height"),
+                    F.inline("mapping")).select(
+        "sheet", "start", "height", F.col("c").cast("long").alias("c"),
+        F.col("th").alias("target"))
+
+
+def q_header_detect(spark, sf_dir):
+    d = HP.detect(_report_grid(spark, sf_dir), _targets())
+    return d.filter(F.col("n") > 0).select(
+        _sheet(), F.col("header_end").cast("long").alias("header_end"),
+        F.col("n").cast("long").alias("n"), H.mapping_text(F.col("mapping")).alias("mapping"))
+
+
+def _after_header(spark, sf_dir):
+    g = _report_grid(spark, sf_dir)
+    return H.skip_preamble(g, HP.detect(g, _targets()))
+
+
+def _grid_out(df):
+    return df.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *_cells6())
+
+
+def q_preamble_skip(spark, sf_dir):
+    return _grid_out(_after_header(spark, sf_dir))
+
+
+def q_footer_filter(spark, sf_dir):
+    return _grid_out(H.drop_footers(_after_header(spark, sf_dir)))
+
+
+def q_blank_row_filter(spark, sf_dir):
+    return _grid_out(H.drop_blank_rows(_after_header(spark, sf_dir)))
+
+
+def q_headed_project(spark, sf_dir):
+    res = HP.headed(_report_grid(spark, sf_dir), fx.TARGET_HEADERS)
+    return res.data.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *res.targets)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_scan": q_text_scan,
@@ -117,6 +209,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "norm_text": q_norm_text,
         "bill_cycle": q_bill_cycle,
         "uuid7": q_uuid7,
+        "csv_scan": q_csv_scan,
+        "header_windows": q_header_windows,
+        "header_scores": q_header_scores,
+        "header_assign": q_header_assign,
+        "header_detect": q_header_detect,
+        "preamble_skip": q_preamble_skip,
+        "footer_filter": q_footer_filter,
+        "blank_row_filter": q_blank_row_filter,
+        "headed_project": q_headed_project,
     }
 
 
@@ -151,6 +252,101 @@ _WS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+")
 
 
+def _arr(vals):
+    return "[" + ", ".join(v if v.startswith(("CAST", "'Branch")) else "'" + v.replace("'", "''") + "'" for v in vals) + "]"
+
+HE = ["Account No", "Customer Name", "Account Balance", "Market Segment", "", "Note"]
+HT = ["", "Customer", "", "Market", "", ""]
+HO = ["Account No", "Name", "Account Balance", "Segment", "", "Note"]
+BL = [""] * 6
+
+R_GRID = f"""
+rc AS (SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey AS n,
+              'report_' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '_'
+                || CAST(c_custkey // 1000000 AS VARCHAR) AS sheet FROM customer),
+rs AS (SELECT DISTINCT sheet, n FROM rc),
+rg0 AS (
+  SELECT sheet, 0 AS sec, 0 AS k, sub,
+         CASE sub WHEN 0 THEN ['Monthly Statement', '', '', '', '', '']
+                  WHEN 1 THEN ['Branch ' || CAST(n AS VARCHAR), '', '', '', '', '']
+                  ELSE {_arr(BL)} END AS cells
+  FROM rs, range(0, 3) p(sub) WHERE sub < n % 4
+  UNION ALL
+  SELECT sheet, 1, 0, sub,
+         CASE WHEN n % 2 = 0 THEN {_arr(HE)} WHEN sub = 0 THEN {_arr(HT)} ELSE {_arr(HO)} END
+  FROM rs, range(0, 2) p(sub) WHERE sub < CASE WHEN n % 2 = 0 THEN 1 ELSE 2 END
+  UNION ALL
+  SELECT sheet, 2, c_custkey, sub,
+         CASE WHEN sub = 0 THEN [CAST(c_custkey AS VARCHAR), c_name,
+                                 CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), c_mktsegment, '',
+                                 CASE WHEN c_custkey % 13 = 0 THEN 'Page 3' ELSE '' END]
+              ELSE {_arr(BL)} END
+  FROM rc, range(0, 2) p(sub) WHERE sub = 0 OR c_custkey % 10 = 9
+  UNION ALL
+  SELECT sheet, 3, 0, sub, CASE sub WHEN 0 THEN ['Page 1 of 1', '', '', '', '', '']
+                                   ELSE ['Run time: 3 s', '', '', '', '', ''] END
+  FROM rs, range(0, 2) p(sub)),
+rg AS (SELECT sheet, row_number() OVER (PARTITION BY sheet ORDER BY sec, k, sub) AS rn,
+              list_transform(cells, lambda x: nullif(x, '')) AS cells FROM rg0)
+"""
+
+def _nsql(x):
+    s = f"trim(regexp_replace(coalesce({x}, ''), '{_WS}', ' ', 'g'))"
+    return f"CASE WHEN lower({s}) = 'none' THEN '' ELSE {s} END"
+
+def _canon(x):
+    return f"replace(replace(lower({x}), ' ', ''), '-', '')"
+
+R_WIN = f"""
+samp AS (SELECT * FROM rg WHERE rn <= 50),
+ns AS (SELECT sheet, count(*) AS n FROM samp GROUP BY sheet),
+win AS (SELECT ns.sheet, s.start, h.height FROM ns, range(0, 15) s(start), range(1, 10) h(height)
+        WHERE s.start < ns.n AND s.start + h.height <= ns.n),
+wc AS (SELECT w.sheet, w.start, w.height, c.c,
+              string_agg(v, ' ' ORDER BY samp.rn) FILTER (WHERE v <> '') AS s
+       FROM win w JOIN samp ON samp.sheet = w.sheet AND samp.rn > w.start AND samp.rn <= w.start + w.height
+       CROSS JOIN range(0, 6) c(c)
+       CROSS JOIN LATERAL (SELECT {_nsql('samp.cells[c.c + 1]')} AS v) nv
+       GROUP BY w.sheet, w.start, w.height, c.c),
+tg AS (SELECT t, th, {_canon('th')} AS b FROM (VALUES (0, 'Account No'), (1, 'Customer Name'),
+       (2, 'Account Balance'), (3, 'Market Segment')) v(t, th)),
+sc AS (SELECT sheet, start, height, c, t, th,
+              CASE WHEN a = b THEN 1.0 WHEN contains(a, b) OR contains(b, a) THEN 0.8
+                   WHEN len(list_intersect(list_distinct(list_filter(string_split(a, ''), lambda z: z <> '')),
+                                           list_distinct(list_filter(string_split(b, ''), lambda z: z <> '')))) >= 3
+                   THEN 0.7 ELSE 0.0 END AS score
+       FROM (SELECT *, {_canon('s')} AS a FROM wc WHERE s IS NOT NULL AND s <> '') x CROSS JOIN tg),
+asg AS (SELECT sheet, start, height,
+               list_reduce(cands, lambda acc, y:
+                   CASE WHEN list_contains(list_transform(acc, lambda q: q.c), y.c)
+                          OR list_contains(list_transform(acc, lambda q: q.t), y.t)
+                        THEN acc ELSE list_append(acc, y) END,
+                   list_filter([{{'c': 0, 't': 0, 'th': '', 'score': 0.0}}], lambda q: false)) AS m
+        FROM (SELECT sheet, start, height,
+                     list({{'c': c, 't': t, 'th': th, 'score': score}} ORDER BY score DESC, c, t) AS cands
+              FROM sc WHERE score >= 0.7 GROUP BY sheet, start, height)),
+det AS (SELECT sheet, start + height - 1 AS header_end, len(m) AS n, m FROM (
+          SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY len(m) DESC, start, height) AS r
+          FROM asg WHERE len(m) > 0) WHERE r = 1)
+"""
+
+
+_RCELLS = ", ".join(f"cells[{i + 1}] AS c{i}" for i in range(6))
+_FOOT = ("list_bool_or(list_transform(cells, lambda x: regexp_matches(coalesce(x, ''), "
+         "'(?i)(report creator|page |run time|generated by|end of report|confidential|rows selected)')))")
+_BLANK = "NOT list_bool_or(list_transform(cells, lambda x: coalesce(x, '') <> ''))"
+_AFTER = "SELECT rg.* FROM rg JOIN det USING (sheet) WHERE rg.rn > det.header_end + 1"
+_MAPTXT = ("array_to_string(list_sort(list_transform(m, lambda x: lpad(CAST(x.c AS VARCHAR), 3, '0')"
+           " || '=' || x.th)), ';')")
+
+
+def _target_cols(prefix=""):
+    out = []
+    for i, th in enumerate(["Account No", "Customer Name", "Account Balance", "Market Segment"]):
+        out.append(f"trim(cells[list_filter(m, lambda x: x.t = {i})[1].c + 1]) AS \"{th}\"")
+    return ", ".join(out)
+
+
 def _sql_str(v) -> str:
     if v is None:
         return "CAST(NULL AS VARCHAR)"
@@ -199,4 +395,23 @@ def oracle_sql() -> dict[str, str]:
                     || '_' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fname
                   FROM orders)""",
         "uuid7": "SELECT count(*) AS n_rows, count(*) AS n_valid, count(*) AS n_distinct FROM events",
+        "csv_scan": f"WITH {R_GRID} SELECT sheet, rn AS rownumber, {_RCELLS} FROM rg",
+        "header_windows": f"WITH {R_GRID}, {R_WIN} SELECT sheet, start, height, c, s AS text "
+                          "FROM wc WHERE s IS NOT NULL AND s <> ''",
+        "header_scores": f"WITH {R_GRID}, {R_WIN} SELECT sheet, start, height, c, th AS target, "
+                         "CAST(score AS DOUBLE) AS score FROM sc WHERE score >= 0.7",
+        "header_assign": f"WITH {R_GRID}, {R_WIN} SELECT sheet, start, height, x.c AS c, "
+                         "x.th AS target FROM (SELECT sheet, start, height, unnest(m) AS x FROM asg)",
+        "header_detect": f"WITH {R_GRID}, {R_WIN} SELECT sheet, header_end, n, {_MAPTXT} AS mapping "
+                         "FROM det",
+        "preamble_skip": f"WITH {R_GRID}, {R_WIN}, a AS ({_AFTER}) "
+                         f"SELECT sheet, rn AS rownumber, {_RCELLS} FROM a",
+        "footer_filter": f"WITH {R_GRID}, {R_WIN}, a AS ({_AFTER}) "
+                         f"SELECT sheet, rn AS rownumber, {_RCELLS} FROM a WHERE NOT {_FOOT}",
+        "blank_row_filter": f"WITH {R_GRID}, {R_WIN}, a AS ({_AFTER}) "
+                            f"SELECT sheet, rn AS rownumber, {_RCELLS} FROM a WHERE NOT ({_BLANK})",
+        "headed_project": f"WITH {R_GRID}, {R_WIN}, a AS (SELECT rg.*, det.m FROM rg JOIN det USING (sheet) "
+                          "WHERE rg.rn > det.header_end + 1) "
+                          f"SELECT sheet, rn AS rownumber, {_target_cols()} FROM a "
+                          f"WHERE NOT {_FOOT} AND NOT ({_BLANK})",
     }
