@@ -18,7 +18,12 @@ from sluice.operators.delimited import expand_fields, record_type
 from sluice.operators.stamp import ROW_COL, stamp_rows
 from sluice.operators import headers as H
 from sluice.plans import headed as HP
-from sluice.plans.text import parse_text
+from sluice.operators.align import align
+from sluice.operators.audit import audit_columns, file_columns
+from sluice.operators.clean import max_lengths, stringify, strip_zero_fraction
+from sluice.plans.copy import copy_table
+from sluice.plans.text import ingest_text, parse_text
+from sluice.sinks.tables import backup_csv, replace_partitions, truncate_load
 from sluice.session import scratch_path
 from sluice.sources.text import read_lines
 
@@ -198,6 +203,133 @@ def q_headed_project(spark, sf_dir):
     return res.data.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *res.targets)
 
 
+def q_flat_rename(spark, sf_dir):
+    flat = HP.flat(_report_grid(spark, sf_dir))
+    return flat.select(_sheet(), F.col(ROW_COL).alias("rownumber"),
+                       *[f"column{i}" for i in range(1, fx.GRID_WIDTH + 1)])
+
+
+# ---------------------------------------------------------------------------------------
+# alignment, sanitising, sinks (tables customer / part / supplier / nation)
+# ---------------------------------------------------------------------------------------
+T_CUSTOMER = "C_CUSTKEY bigint, C_MKTSEGMENT string, C_NAME string, EXTRA_COL string, ROW_ID bigint"
+T_EXACT = "c_custkey bigint, C_NAME string, c_mktsegment string, extra string, row_id bigint"
+T_TYPED = "C_CUSTKEY bigint, C_ACCTBAL double, C_NATIONKEY int, C_NAME string, C_MKTSEGMENT int"
+T_PART = ("P_PARTKEY string, P_NAME string, P_RETAILPRICE string, P_SIZE string, "
+          "P_CONTAINER string, P_BRAND string")
+
+
+def _schema(ddl):
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(ddl)
+
+
+def q_align_case_insensitive(spark, sf_dir):
+    return align(fx.table(spark, sf_dir, "customer"), _schema(T_CUSTOMER))
+
+
+def q_align_exact(spark, sf_dir):
+    return align(fx.table(spark, sf_dir, "customer"), _schema(T_EXACT), match="exact",
+                 skip="ROW_ID")
+
+
+def q_align_skip(spark, sf_dir):
+    return align(fx.table(spark, sf_dir, "customer"), _schema(T_CUSTOMER), skip="row_id")
+
+
+def q_align_typed(spark, sf_dir):
+    return align(stringify(fx.table(spark, sf_dir, "customer")), _schema(T_TYPED), cast=True)
+
+
+def _part2(spark, sf_dir):
+    p = fx.table(spark, sf_dir, "part")
+    return p.withColumn("p_retailprice", F.col("p_retailprice").cast("decimal(18,2)"))
+
+
+def q_stringify(spark, sf_dir):
+    return stringify(_part2(spark, sf_dir))
+
+
+def q_strip_zero_fraction(spark, sf_dir):
+    return strip_zero_fraction(stringify(_part2(spark, sf_dir)), ["p_retailprice"])
+
+
+def q_max_lengths(spark, sf_dir):
+    return max_lengths(fx.table(spark, sf_dir, "customer").select("c_name", "c_mktsegment"))
+
+
+def q_csv_backup(spark, sf_dir):
+    s = fx.table(spark, sf_dir, "supplier")
+    s = stringify(s.withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(18,2)")))
+    path = scratch_path(spark, "supplier-backup")
+    backup_csv(s, path)
+    back = spark.read.option("header", True).csv(path)
+    return back.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name",
+                       F.col("s_nationkey").cast("int").alias("s_nationkey"),
+                       F.col("s_acctbal").cast("double").alias("s_acctbal"))
+
+
+def _scratch_table(spark, name, ddl):
+    import uuid
+    tname = f"{name}_{uuid.uuid4().hex[:10]}"
+    loc = scratch_path(spark, "tables") + "/" + tname
+    spark.sql(f"CREATE TABLE {tname} ({ddl}) USING parquet LOCATION '{loc}'")
+    return tname
+
+
+def q_truncate_load(spark, sf_dir):
+    t = _scratch_table(spark, "nation_copy", "N_NATIONKEY int, N_NAME string, N_REGIONKEY int")
+    region = fx.table(spark, sf_dir, "region")
+    truncate_load(region.select(F.col("r_regionkey").alias("n_nationkey"),
+                                F.col("r_name").alias("n_name")), t)
+    truncate_load(fx.table(spark, sf_dir, "nation"), t)
+    return spark.table(t)
+
+
+def q_table_copy(spark, sf_dir):
+    t = _scratch_table(spark, "part_copy", T_PART)
+    copy_table(_part2(spark, sf_dir), t, rate_columns=["p_retailprice"])
+    return spark.table(t)
+
+
+# ---------------------------------------------------------------------------------------
+# audit, cycles, metadata (fixtures L + F)
+# ---------------------------------------------------------------------------------------
+def _audit_rows(spark, sf_dir):
+    _, audit = ingest_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS,
+                           audit_target=COLS7 + ["rownumber", "billcycle", "filename",
+                                                 "sequencialid", "dateprocessed"])
+    return audit
+
+
+def q_audit_enrich(spark, sf_dir):
+    a = _audit_rows(spark, sf_dir)
+    return a.select(*COLS7, "rownumber", "billcycle", "filename",
+                    is_uuid7("sequencialid").alias("id_valid"),
+                    F.col("dateprocessed").isNotNull().alias("has_time"))
+
+
+def q_file_columns(spark, sf_dir):
+    main, _ = ingest_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS, file_cols=True)
+    return main.select(*COLS7, "filename", F.col("dateread").isNotNull().alias("has_dateread"))
+
+
+def q_multi_cycle_load(spark, sf_dir):
+    a = _audit_rows(spark, sf_dir)
+    return a.select("billcycle", "filename", "rownumber", "column1", "column2")
+
+
+def q_cycle_replace(spark, sf_dir):
+    a = _audit_rows(spark, sf_dir).drop("sequencialid", "dateprocessed")
+    path = scratch_path(spark, "audit-by-cycle")
+    replace_partitions(a, path)
+    changed = (spark.read.parquet(path).filter(F.col("billcycle").isin("BC01", "BC02"))
+               .withColumn("column5", F.lower("column5")))
+    changed = changed.checkpoint(eager=True)  # the rewrite reads the folder it replaces
+    replace_partitions(changed, path)
+    return spark.read.parquet(path).select(*COLS7, "rownumber", "billcycle", "filename")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_scan": q_text_scan,
@@ -218,6 +350,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "footer_filter": q_footer_filter,
         "blank_row_filter": q_blank_row_filter,
         "headed_project": q_headed_project,
+        "flat_rename": q_flat_rename,
+        "align_case_insensitive": q_align_case_insensitive,
+        "align_exact": q_align_exact,
+        "align_skip": q_align_skip,
+        "align_typed": q_align_typed,
+        "stringify": q_stringify,
+        "strip_zero_fraction": q_strip_zero_fraction,
+        "max_lengths": q_max_lengths,
+        "csv_backup": q_csv_backup,
+        "truncate_load": q_truncate_load,
+        "table_copy": q_table_copy,
+        "audit_enrich": q_audit_enrich,
+        "file_columns": q_file_columns,
+        "multi_cycle_load": q_multi_cycle_load,
+        "cycle_replace": q_cycle_replace,
     }
 
 
@@ -347,6 +494,12 @@ def _target_cols(prefix=""):
     return ", ".join(out)
 
 
+_P_STR = ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, trim(p_name) AS p_name, "
+          "trim(p_brand) AS p_brand, trim(p_type) AS p_type, CAST(p_size AS VARCHAR) AS p_size, "
+          "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS p_retailprice FROM part")
+_CYCLE = "'BC' || right(regexp_replace(fname, '^(.*[^.].*)\\.[^.]*$', '\\1'), 2)"
+
+
 def _sql_str(v) -> str:
     if v is None:
         return "CAST(NULL AS VARCHAR)"
@@ -414,4 +567,47 @@ def oracle_sql() -> dict[str, str]:
                           "WHERE rg.rn > det.header_end + 1) "
                           f"SELECT sheet, rn AS rownumber, {_target_cols()} FROM a "
                           f"WHERE NOT {_FOOT} AND NOT ({_BLANK})",
+        "flat_rename": f"WITH {R_GRID} SELECT sheet, rn AS rownumber, "
+                       + ", ".join(f"cells[{i}] AS column{i}" for i in range(1, 7)) + " FROM rg",
+        "align_case_insensitive": 'SELECT c_custkey AS "C_CUSTKEY", c_mktsegment AS "C_MKTSEGMENT", '
+                                  'c_name AS "C_NAME", CAST(NULL AS VARCHAR) AS "EXTRA_COL", '
+                                  'CAST(NULL AS VARCHAR) AS "ROW_ID" FROM customer',
+        "align_exact": 'SELECT c_custkey, CAST(NULL AS VARCHAR) AS "C_NAME", c_mktsegment, '
+                       'CAST(NULL AS VARCHAR) AS extra FROM customer',
+        "align_skip": 'SELECT c_custkey AS "C_CUSTKEY", c_mktsegment AS "C_MKTSEGMENT", '
+                      'c_name AS "C_NAME", CAST(NULL AS VARCHAR) AS "EXTRA_COL" FROM customer',
+        "align_typed": 'SELECT c_custkey AS "C_CUSTKEY", c_acctbal AS "C_ACCTBAL", '
+                       'c_nationkey AS "C_NATIONKEY", c_name AS "C_NAME", '
+                       'TRY_CAST(c_mktsegment AS INTEGER) AS "C_MKTSEGMENT" FROM customer',
+        "stringify": _P_STR,
+        "strip_zero_fraction": _P_STR.replace(
+            "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS p_retailprice",
+            "regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '\\.0*$', '') "
+            "AS p_retailprice"),
+        "max_lengths": "SELECT 'c_name' AS \"column\", CAST(max(length(c_name)) AS BIGINT) AS max_len "
+                       "FROM customer UNION ALL SELECT 'c_mktsegment', "
+                       "CAST(max(length(c_mktsegment)) AS BIGINT) FROM customer",
+        "csv_backup": "SELECT s_suppkey, s_name, s_nationkey, "
+                      "CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS s_acctbal FROM supplier",
+        "truncate_load": 'SELECT n_nationkey AS "N_NATIONKEY", n_name AS "N_NAME", '
+                         'n_regionkey AS "N_REGIONKEY" FROM nation',
+        "table_copy": 'SELECT CAST(p_partkey AS VARCHAR) AS "P_PARTKEY", p_name AS "P_NAME", '
+                      "regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), "
+                      "'\\.0*$', '') AS \"P_RETAILPRICE\", CAST(p_size AS VARCHAR) AS \"P_SIZE\", "
+                      'CAST(NULL AS VARCHAR) AS "P_CONTAINER", p_brand AS "P_BRAND" FROM part',
+        "audit_enrich": f"WITH {_L} SELECT {_NULLIF}, "
+                        "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
+                        f"{_CYCLE} AS billcycle, fname AS filename, true AS id_valid, "
+                        "true AS has_time FROM s",
+        "file_columns": f"WITH {_L} SELECT {_NULLIF}, fname AS filename, true AS has_dateread FROM s",
+        "multi_cycle_load": f"WITH {_L}, a AS (SELECT {_NULLIF}, "
+                            "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
+                            f"{_CYCLE} AS billcycle, fname AS filename FROM s) "
+                            "SELECT billcycle, filename, rownumber, column1, column2 FROM a",
+        "cycle_replace": f"WITH {_L}, a AS (SELECT {_NULLIF}, "
+                         "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
+                         f"{_CYCLE} AS billcycle, fname AS filename FROM s) "
+                         "SELECT column1, column2, column3, column4, CASE WHEN billcycle IN "
+                         "('BC01', 'BC02') THEN lower(column5) ELSE column5 END AS column5, "
+                         "column6, column7, rownumber, billcycle, filename FROM a",
     }

@@ -28,3 +28,29 @@ def parse_text(spark: SparkSession, paths, expected_columns, delimiter_regex: st
     kept = record_type(expanded, filter_record_type, col_label)
     return kept.select(*field_names(n, col_label), base_name(FILE_COL).alias("filename"),
                        FILE_COL, ROW_COL)
+
+
+def ingest_text(spark: SparkSession, paths, expected_columns, target=None,
+                delimiter_regex: str = DEFAULT_DELIMITER, filter_record_type: str = ALL_RECORDS,
+                col_label: str = DEFAULT_LABEL, row_number_label: str | None = None,
+                audit_target=None, file_cols: bool = False, match: str = "exact"):
+    """Returns ``(main, audit)`` frames ready for the sinks.
+
+    ``main`` is aligned to ``target`` (names of the target table; exact-case matching like
+    the text loader unless ``match='insensitive'``), the generated ``row_number_label``
+    column skipped; with ``file_cols`` it carries ``filename`` and ``dateread`` (C2).
+    ``audit`` (only with ``audit_target``) adds number, cycle, file, UUIDv7 and time,
+    aligned case-insensitively to the audit table.
+    """
+    from ..operators.align import align
+    from ..operators.audit import audit_columns, file_columns, main_columns
+
+    parsed = parse_text(spark, paths, expected_columns, delimiter_regex, filter_record_type,
+                        col_label)
+    main = file_columns(parsed) if file_cols else main_columns(parsed)
+    if target is not None:
+        main = align(main, target, match=match, skip=row_number_label)
+    audit = None
+    if audit_target is not None:
+        audit = align(audit_columns(parsed), audit_target)
+    return main, audit
