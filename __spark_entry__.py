@@ -21,7 +21,10 @@ from sluice.plans import headed as HP
 from sluice.operators.align import align
 from sluice.operators.audit import audit_columns, file_columns
 from sluice.operators.clean import max_lengths, stringify, strip_zero_fraction
+from sluice.operators.report import file_disposition, run_report
 from sluice.plans.copy import copy_table
+from sluice.sources.files import split_existing
+from sluice.sources.workbook import read_workbooks
 from sluice.plans.text import ingest_text, parse_text
 from sluice.sinks.tables import backup_csv, replace_partitions, truncate_load
 from sluice.session import scratch_path
@@ -330,6 +333,67 @@ def q_cycle_replace(spark, sf_dir):
     return spark.read.parquet(path).select(*COLS7, "rownumber", "billcycle", "filename")
 
 
+# ---------------------------------------------------------------------------------------
+# workbooks and full report pipelines
+# ---------------------------------------------------------------------------------------
+def _report_books(spark, sf_dir, blank_sheet=None):
+    folder = scratch_path(spark, "reports-xlsx")
+    fx.write_report_xlsx(spark, sf_dir, folder, blank_sheet)
+    return folder
+
+
+def q_xlsx_scan(spark, sf_dir):
+    g = read_workbooks(spark, _report_books(spark, sf_dir))
+    return g.select("sheet", F.col(ROW_COL).alias("rownumber"), *_cells6())
+
+
+AUDIT_REPORT = ["Account No", "Customer Name", "Account Balance", "Market Segment",
+                "rownumber", "billcycle", "filename", "sequencialid", "dateprocessed"]
+
+
+def q_headed_pipeline(spark, sf_dir):
+    res = HP.ingest_sheets(spark, _report_books(spark, sf_dir), fx.TARGET_HEADERS)
+    audit = align(audit_columns(res.data), AUDIT_REPORT)
+    return audit.select(*res.targets, "rownumber", "billcycle", "filename",
+                        is_uuid7("sequencialid").alias("id_valid"))
+
+
+T_REPORT = ["market segment", "account no", "customer name", "filename", "dateread",
+            "row_id", "account balance"]
+
+
+def q_csv_pipeline(spark, sf_dir):
+    folder = scratch_path(spark, "reports-csv")
+    fx.write_report_csv(spark, sf_dir, folder)
+    res = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS, width=fx.GRID_WIDTH)
+    main = align(file_columns(res.data), T_REPORT, skip="ROW_ID")
+    return main.withColumn("dateread", F.col("dateread").isNotNull())
+
+
+def _blanked():
+    return F.col("n") % 8 == 3         # three nations' reports are emptied
+MISSING_REPORT = "report_99_9.csv"
+
+
+def _dispositions(spark, sf_dir):
+    folder = scratch_path(spark, "reports-csv")
+    fx.write_report_csv(spark, sf_dir, folder, _blanked())
+    inputs = [folder + "/*.csv", folder + "/" + MISSING_REPORT]
+    found, missing = split_existing(spark, inputs)
+    res = HP.ingest_csv(spark, found, fx.TARGET_HEADERS, width=fx.GRID_WIDTH)
+    files = spark.read.text(found).inputFiles()
+    return file_disposition(spark, files, res.data, res.detected, missing,
+                            fail_on_no_rows=False)
+
+
+def q_file_disposition(spark, sf_dir):
+    return _dispositions(spark, sf_dir).select("filename", "status", "n_rows")
+
+
+def q_run_report(spark, sf_dir):
+    return run_report(_dispositions(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_scan": q_text_scan,
@@ -365,6 +429,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "file_columns": q_file_columns,
         "multi_cycle_load": q_multi_cycle_load,
         "cycle_replace": q_cycle_replace,
+        "xlsx_scan": q_xlsx_scan,
+        "headed_pipeline": q_headed_pipeline,
+        "csv_pipeline": q_csv_pipeline,
+        "file_disposition": q_file_disposition,
+        "run_report": q_run_report,
     }
 
 
@@ -478,6 +547,8 @@ det AS (SELECT sheet, start + height - 1 AS header_end, len(m) AS n, m FROM (
 """
 
 
+_NULLIF_CELLS = "list_transform(cells, lambda x: nullif(x, '')) AS cells"
+_DISP = None  # set below
 _RCELLS = ", ".join(f"cells[{i + 1}] AS c{i}" for i in range(6))
 _FOOT = ("list_bool_or(list_transform(cells, lambda x: regexp_matches(coalesce(x, ''), "
          "'(?i)(report creator|page |run time|generated by|end of report|confidential|rows selected)')))")
@@ -500,6 +571,20 @@ _P_STR = ("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, trim(p_name) AS p_nam
 _CYCLE = "'BC' || right(regexp_replace(fname, '^(.*[^.].*)\\.[^.]*$', '\\1'), 2)"
 
 
+_DISP = (f"WITH {R_GRID.replace('WHERE sub < n % 4', 'WHERE sub < n % 4')}, "
+         "blank AS (SELECT sheet FROM rs WHERE n % 8 = 3), "
+         f"g2 AS (SELECT * FROM rg WHERE sheet NOT IN (SELECT sheet FROM blank)), "
+         + "{WIN2}" +
+         ", cnt AS (SELECT a.sheet, count(*) AS n_rows FROM (SELECT g2.*, det.m FROM g2 JOIN det USING (sheet) "
+         f"WHERE g2.rn > det.header_end + 1) a WHERE NOT {_FOOT} AND NOT ({_BLANK}) GROUP BY a.sheet) "
+         "SELECT rs.sheet || '.csv' AS filename, CASE WHEN rs.sheet IN (SELECT sheet FROM blank) "
+         "THEN 'empty_data' ELSE 'processed' END AS status, CAST(coalesce(cnt.n_rows, 0) AS BIGINT) AS n_rows "
+         "FROM rs LEFT JOIN cnt USING (sheet) "
+         "UNION ALL SELECT 'report_99_9.csv', 'missing_file', CAST(0 AS BIGINT)")
+_DISP = _DISP.replace("{WIN2}", R_WIN.replace("samp AS (SELECT * FROM rg WHERE rn <= 50)",
+                                              "samp AS (SELECT * FROM g2 WHERE rn <= 50)"))
+
+
 def _sql_str(v) -> str:
     if v is None:
         return "CAST(NULL AS VARCHAR)"
@@ -604,6 +689,29 @@ def oracle_sql() -> dict[str, str]:
                             "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
                             f"{_CYCLE} AS billcycle, fname AS filename FROM s) "
                             "SELECT billcycle, filename, rownumber, column1, column2 FROM a",
+        "xlsx_scan": f"WITH {R_GRID} SELECT sheet, row_number() OVER (PARTITION BY sheet "
+                     f"ORDER BY sec, k, sub) AS rownumber, {_RCELLS} FROM rg0",
+        "headed_pipeline": f"WITH {R_GRID.replace(_NULLIF_CELLS, 'cells AS cells')}, {R_WIN}, "
+                           "a AS (SELECT rg.*, det.m FROM rg JOIN det USING (sheet) "
+                           "WHERE rg.rn > det.header_end + 1) "
+                           f"SELECT {_target_cols()}, rn AS rownumber, "
+                           "'BC' || right(sheet, 2) AS billcycle, sheet || '.xlsx' AS filename, "
+                           f"true AS id_valid FROM a WHERE NOT {_FOOT} AND NOT ({_BLANK})",
+        "csv_pipeline": f"WITH {R_GRID}, {R_WIN}, a AS (SELECT rg.*, det.m FROM rg JOIN det USING (sheet) "
+                        "WHERE rg.rn > det.header_end + 1), p AS ("
+                        f"SELECT {_target_cols()}, sheet || '.csv' AS filename FROM a "
+                        f"WHERE NOT {_FOOT} AND NOT ({_BLANK})) "
+                        'SELECT "Market Segment" AS "market segment", "Account No" AS "account no", '
+                        '"Customer Name" AS "customer name", filename, true AS dateread, '
+                        '"Account Balance" AS "account balance" FROM p',
+        "file_disposition": _DISP,
+        "run_report": f"WITH d AS ({_DISP}) SELECT count(*) AS n_units, "
+                      "count(*) FILTER (WHERE status <> 'processed') AS n_failed, "
+                      "coalesce(string_agg(CASE WHEN status <> 'processed' THEN '[' || filename || ']: ' "
+                      "|| status || ' - ' || reason END, '; ' ORDER BY CASE WHEN status <> 'processed' "
+                      "THEN '[' || filename || ']: ' || status || ' - ' || reason END), '') AS summary "
+                      "FROM (SELECT *, CASE WHEN status = 'missing_file' THEN 'input object not found' "
+                      "ELSE 'Fuzzy matcher failed or sheet is blank' END AS reason FROM d)",
         "cycle_replace": f"WITH {_L}, a AS (SELECT {_NULLIF}, "
                          "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
                          f"{_CYCLE} AS billcycle, fname AS filename FROM s) "

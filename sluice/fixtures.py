@@ -177,3 +177,24 @@ def write_report_csv(spark: SparkSession, sf_dir: str, folder: str,
         grid.select(line.alias("value"), F.concat("sheet", F.lit(".csv")).alias("fname"),
                     "sec", "k", "sub"),
         "fname", ["sec", "k", "sub"], folder)
+
+
+def write_report_xlsx(spark: SparkSession, sf_dir: str, folder: str,
+                      blank_sheet: Column | None = None) -> list[str]:
+    """One single-sheet workbook per report, built and written by the task owning the group."""
+    import pandas as pd
+
+    from .sources.workbook import build_workbook, write_bytes
+
+    grid = report_grid(table(spark, sf_dir, "customer"), blank_sheet)
+    root = folder.rstrip("/")
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["sec", "k", "sub"])
+        name = pdf["sheet"].iloc[0]
+        path = f"{root}/{name}.xlsx"
+        write_bytes(path, build_workbook([list(c) for c in pdf["cells"]], name))
+        return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
+
+    out = grid.groupBy("sheet").applyInPandas(build, "path string, rows long")
+    return sorted(r["path"] for r in out.collect())

@@ -65,3 +65,30 @@ def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SE
                width: int | None = None, on_missing: str = "raise") -> HeadedResult:
     """Headerless CSV reports → detected headers → clean rows with file columns."""
     return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers)
+
+
+def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
+    """``(cells, _file, _temp_row_num)`` of one sheet per workbook (numbered while parsed)."""
+    from ..sources.workbook import read_workbooks
+
+    return read_workbooks(spark, paths, sheet, on_missing).select("cells", FILE_COL, ROW_COL)
+
+
+def ingest_sheets(spark: SparkSession, paths, target_headers=None, sheet=0,
+                  on_missing: str = "raise"):
+    """C3 (headed, with ``target_headers``) or C4 (flat): returns a :class:`HeadedResult`
+    or, in flat mode, the positional frame."""
+    grid = sheets_grid(spark, paths, sheet, on_missing)
+    if target_headers:
+        return headed(grid, target_headers)
+    return flat(grid)
+
+
+def ingest(spark: SparkSession, paths, kind: str | None = None, **options):
+    """C7 router: ``TXT`` / ``TXT_NUMBERED`` (any case) → text intake; anything else →
+    spreadsheet intake."""
+    from .text import ingest_text
+
+    if (kind or "").upper() in ("TXT", "TXT_NUMBERED"):
+        return ingest_text(spark, paths, **options)
+    return ingest_sheets(spark, paths, **options)

@@ -53,3 +53,9 @@ def move_to(spark: SparkSession, src: str, folder: str) -> str:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs_and_path(spark, path)
     fs.delete(p, True)
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form, as scans report it in ``_metadata.file_path``."""
+    fs, p = _fs_and_path(spark, path)
+    return fs.makeQualified(p).toString()
