@@ -25,6 +25,7 @@ from sluice.operators.report import file_disposition, run_report
 from sluice.plans.copy import copy_table
 from sluice.sources.files import split_existing
 from sluice.sources.workbook import read_workbooks
+from sluice.streaming.inbound import stream_inbound, text_audit_rows
 from sluice.plans.text import ingest_text, parse_text
 from sluice.sinks.tables import backup_csv, replace_partitions, truncate_load
 from sluice.session import scratch_path
@@ -394,6 +395,18 @@ def q_run_report(spark, sf_dir):
     return run_report(_dispositions(spark, sf_dir))
 
 
+def q_inbound_stream(spark, sf_dir):
+    root = scratch_path(spark, "inbound-stream")
+    fx.write_cycle_files(spark, sf_dir, root + "/inbound")
+    q = stream_inbound(spark, root + "/inbound", root + "/audit", root + "/_checkpoint",
+                       text_audit_rows(TEXT_COLUMNS), processed=root + "/processed",
+                       error=root + "/error",
+                       pattern="*.txt", max_files_per_trigger=4)
+    q.awaitTermination()
+    out = spark.read.parquet(root + "/audit")
+    return out.select(*COLS7, "rownumber", "billcycle", "filename")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_scan": q_text_scan,
@@ -434,6 +447,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_pipeline": q_csv_pipeline,
         "file_disposition": q_file_disposition,
         "run_report": q_run_report,
+        "inbound_stream": q_inbound_stream,
     }
 
 
@@ -712,6 +726,11 @@ def oracle_sql() -> dict[str, str]:
                       "THEN '[' || filename || ']: ' || status || ' - ' || reason END), '') AS summary "
                       "FROM (SELECT *, CASE WHEN status = 'missing_file' THEN 'input object not found' "
                       "ELSE 'Fuzzy matcher failed or sheet is blank' END AS reason FROM d)",
+        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'sap_inbound_' || "
+                          "lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fn FROM s) "
+                          f"SELECT {_NULLIF}, row_number() OVER (PARTITION BY fn ORDER BY o_orderkey) "
+                          f"AS rownumber, 'BC' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') "
+                          "AS billcycle, fn AS filename FROM s2",
         "cycle_replace": f"WITH {_L}, a AS (SELECT {_NULLIF}, "
                          "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
                          f"{_CYCLE} AS billcycle, fname AS filename FROM s) "

@@ -88,6 +88,14 @@ def write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
     return write_named_files(lines, "fname", ["o_orderkey"], folder)
 
 
+def write_cycle_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """L with one file per cycle (``sap_inbound_{cc}.txt``), as the inbound folder receives."""
+    lines = order_lines(table(spark, sf_dir, "orders"))
+    name = F.concat(F.lit("sap_inbound_"),
+                    F.lpad((F.col("o_orderkey") % 11 + 1).cast("string"), 2, "0"), F.lit(".txt"))
+    return write_named_files(lines.withColumn("fname", name), "fname", ["o_orderkey"], folder)
+
+
 # --- event lines --------------------------------------------------------------------------
 def write_event_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
     ev = table(spark, sf_dir, "events")
