@@ -1,0 +1,86 @@
+import os
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluice.functions.lineage import bill_cycle, file_stem, is_uuid7, uuid7
+from sluice.functions.text import (blank_to_null, canon_header, norm_text,
+                                   strip_zero_fraction)
+
+
+def spec_norm(v):
+    """Independent statement of the normaliser: Python whitespace, 'none' → ''."""
+    if v is None:
+        return ""
+    s = " ".join(v.split())
+    return "" if s.lower() == "none" else s
+
+
+WS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        　"
+text = st.text(alphabet=st.sampled_from(list("aBn oNe-x") + list(WS)), max_size=12)
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.lists(st.one_of(st.none(), text), min_size=50, max_size=80))
+def test_norm_text_matches_python_whitespace(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = {r["i"]: r["n"] for r in df.select("i", norm_text("v").alias("n")).collect()}
+    assert got == {i: spec_norm(v) for i, v in enumerate(values)}
+
+
+def test_norm_text_edge_values(spark):
+    rows = [("None",), ("  NONE  ",), (None,), ("   ",), ("a 　b",), ("x\x1cy",)]
+    df = spark.createDataFrame(rows, "v string")
+    assert [r[0] for r in df.select(norm_text("v")).collect()] == ["", "", "", "", "a b", "x y"]
+
+
+def test_canon_header(spark):
+    df = spark.createDataFrame([("Account - No",), ("ACCOUNT-NO",)], "v string")
+    assert {r[0] for r in df.select(canon_header("v")).collect()} == {"accountno"}
+
+
+def test_blank_to_null_keeps_tab_and_nbsp(spark):
+    df = spark.createDataFrame([("  ",), (" a ",), ("\t",), (" ",)], "v string")
+    assert [r[0] for r in df.select(blank_to_null("v")).collect()] == [None, "a", "\t", " "]
+
+
+def test_strip_zero_fraction(spark):
+    vals = ["12.00", "12.", "12.50", "1.0.00", "7", "0.0"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert [r[0] for r in df.select(strip_zero_fraction("v")).collect()] == \
+        ["12", "12", "12.50", "1.0", "7", "0"]
+
+
+NAMES = ["sap_glbilled_B_01.txt", "a.b.c_07.csv", ".env", "x..txt", "..txt", "noext12",
+         "dir.v2/file_09.xlsx".split("/")[-1], "a.", "t.tar.gz"]
+
+
+def test_file_stem_equals_splitext(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "n string")
+    got = [r[0] for r in df.select(file_stem("n")).collect()]
+    assert got == [os.path.splitext(n)[0] for n in NAMES]
+
+
+def test_bill_cycle(spark):
+    df = spark.createDataFrame([(n,) for n in NAMES], "n string")
+    got = [r[0] for r in df.select(bill_cycle("n")).collect()]
+    assert got == ["BC" + os.path.splitext(n)[0][-2:] for n in NAMES]
+
+
+def test_uuid7_valid_distinct_and_time_ordered(spark):
+    df = spark.range(20000).select(uuid7().alias("u"))
+    rows = df.agg(F.count_if(is_uuid7("u")).alias("ok"), F.count_distinct("u").alias("d")).first()
+    assert rows["ok"] == 20000 and rows["d"] == 20000
+    u = df.first()["u"]
+    assert re.match(r"^[0-9a-f]{8}-[0-9a-f]{4}-7", u)
+    # the 48-bit prefix is the query time in milliseconds
+    import time
+    ms = int(u.replace("-", "")[:12], 16)
+    assert abs(ms - time.time() * 1000) < 10 * 60 * 1000
+
+
+def test_uuid7_plan_has_no_python(spark):
+    plan = spark.range(10).select(uuid7())._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
