@@ -57,8 +57,10 @@ def parse_headers(target_headers) -> list[str]:
 
 
 def _targets_literal(targets: list[str]) -> Column:
+    """Targets with their comparison form and its distinct characters (constant-folded)."""
     return F.array(*[
-        F.struct(F.lit(i).alias("t"), F.lit(th).alias("th"), canon_header(F.lit(th)).alias("k"))
+        F.struct(F.lit(i).alias("t"), F.lit(th).alias("th"), canon_header(F.lit(th)).alias("k"),
+                 _chars(canon_header(F.lit(th))).alias("ch"))
         for i, th in enumerate(targets)])
 
 
@@ -66,11 +68,14 @@ def _chars(s: Column) -> Column:
     return F.array_distinct(F.filter(F.split(s, ""), lambda x: x != ""))
 
 
-def pair_score(a: Column, b: Column) -> Column:
+def pair_score(a: Column, b: Column, a_chars: Column | None = None,
+               b_chars: Column | None = None) -> Column:
     """Score of two comparison forms (0.0 when below every rule)."""
+    a_chars = _chars(a) if a_chars is None else a_chars
+    b_chars = _chars(b) if b_chars is None else b_chars
     return (F.when(a == b, F.lit(SCORE_EQUAL))
              .when(F.contains(a, b) | F.contains(b, a), F.lit(SCORE_CONTAINS))
-             .when(F.size(F.array_intersect(_chars(a), _chars(b))) >= MIN_SHARED_CHARS,
+             .when(F.size(F.array_intersect(a_chars, b_chars)) >= MIN_SHARED_CHARS,
                    F.lit(SCORE_SHARED))
              .otherwise(F.lit(0.0)))
 
@@ -105,11 +110,18 @@ def _windows(rows: Column) -> Column:
 
 
 def _candidates(cols: Column, targets: Column) -> Column:
-    """Sorted candidates ``(o = -score, c, t, th, score)`` scoring at least 0.7."""
+    """Sorted candidates ``(c, t, th, score)`` scoring at least 0.7.
+
+    Each column's comparison form and character set is computed once, not once per target.
+    """
     named = F.filter(F.transform(cols, lambda s, i: F.struct(i.alias("c"), s.alias("s"))),
                      lambda x: x["s"] != "")
-    pairs = F.flatten(F.transform(named, lambda x: F.transform(targets, lambda t: F.struct(
-        (-pair_score(canon_header(x["s"]), t["k"])).alias("o"), x["c"].alias("c"),
+    keyed = F.transform(named, lambda x: F.struct(
+        x["c"].alias("c"), canon_header(x["s"]).alias("k")))
+    keyed = F.transform(keyed, lambda x: F.struct(x["c"].alias("c"), x["k"].alias("k"),
+                                                   _chars(x["k"]).alias("ch")))
+    pairs = F.flatten(F.transform(keyed, lambda x: F.transform(targets, lambda t: F.struct(
+        (-pair_score(x["k"], t["k"], x["ch"], t["ch"])).alias("o"), x["c"].alias("c"),
         t["t"].alias("t"), t["th"].alias("th")))))
     kept = F.filter(pairs, lambda p: p["o"] <= -SCORE_SHARED)
     return F.transform(F.array_sort(kept), lambda p: F.struct(
@@ -159,24 +171,25 @@ def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_
     """Best header block per report: ``(file, header_end, n, mapping, tidx)`` (H1–H4).
 
     ``header_end`` is the 0-based index of the last header row (-1 when nothing matched),
-    ``tidx[k]`` the column mapped to target ``k`` (NULL when unmapped).
+    ``tidx[k]`` the column mapped to target ``k`` (NULL when unmapped). The steps are
+    separate projections so each costly array is computed once per report.
     """
     tl = _targets_literal(targets)
-    with_map = F.transform(_windows(F.col("rows")), lambda w: F.struct(
+    wins = samples.select(file_col, _windows(F.col("rows")).alias("w"))
+    mapped = wins.select(file_col, F.transform("w", lambda w: F.struct(
         w["start"].alias("start"), w["height"].alias("height"),
-        _assign(_candidates(w["cols"], tl)).alias("mapping")))
-    wins = F.transform(with_map, lambda w: F.struct(
+        _assign(_candidates(w["cols"], tl)).alias("mapping"))).alias("w"))
+    best = mapped.select(file_col, _best(F.transform("w", lambda w: F.struct(
         F.size(w["mapping"]).alias("n"), w["start"].alias("start"), w["height"].alias("height"),
-        w["mapping"].alias("mapping")))
-    best = _best(wins)
+        w["mapping"].alias("mapping")))).alias("b"))
+    b = F.col("b")
     tidx = F.array(*[
-        F.try_element_at(F.filter(best["mapping"], _is_target(i)), F.lit(1))["c"]
+        F.try_element_at(F.filter(b["mapping"], _is_target(i)), F.lit(1))["c"]
         for i in range(len(targets))])
-    return samples.select(
+    return best.select(
         file_col,
-        F.when(best["n"] > 0, best["start"] + best["height"] - 1).otherwise(F.lit(-1))
-         .alias("header_end"),
-        best["n"].alias("n"), best["mapping"].alias("mapping"), tidx.alias("tidx"))
+        F.when(b["n"] > 0, b["start"] + b["height"] - 1).otherwise(F.lit(-1)).alias("header_end"),
+        b["n"].alias("n"), b["mapping"].alias("mapping"), tidx.alias("tidx"))
 
 
 def mapping_text(mapping: Column) -> Column:
