@@ -726,7 +726,8 @@ def oracle_sql() -> dict[str, str]:
                       "THEN '[' || filename || ']: ' || status || ' - ' || reason END), '') AS summary "
                       "FROM (SELECT *, CASE WHEN status = 'missing_file' THEN 'input object not found' "
                       "ELSE 'Fuzzy matcher failed or sheet is blank' END AS reason FROM d)",
-        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'sap_inbound_' || "
+        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'sap_inbound' || "
+                          "CAST(o_orderkey // 1000000 AS VARCHAR) || '_' || "
                           "lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fn FROM s) "
                           f"SELECT {_NULLIF}, row_number() OVER (PARTITION BY fn ORDER BY o_orderkey) "
                           f"AS rownumber, 'BC' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') "

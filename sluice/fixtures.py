@@ -89,9 +89,11 @@ def write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
 
 
 def write_cycle_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
-    """L with one file per cycle (``sap_inbound_{cc}.txt``), as the inbound folder receives."""
+    """L as the inbound folder receives it: ``sap_inbound{chunk}_{cc}.txt`` per cycle and key
+    range."""
     lines = order_lines(table(spark, sf_dir, "orders"))
-    name = F.concat(F.lit("sap_inbound_"),
+    name = F.concat(F.lit("sap_inbound"),
+                    (F.col("o_orderkey") / CHUNK).cast("long").cast("string"), F.lit("_"),
                     F.lpad((F.col("o_orderkey") % 11 + 1).cast("string"), 2, "0"), F.lit(".txt"))
     return write_named_files(lines.withColumn("fname", name), "fname", ["o_orderkey"], folder)
 

@@ -39,15 +39,16 @@ def append(df: DataFrame, table: str) -> None:
     align(df, schema, cast=True).write.insertInto(table, overwrite=False)
 
 
-def replace_partitions(df: DataFrame, path: str, key: str = "billcycle",
-                       fmt: str = "parquet") -> None:
+def replace_partitions(df: DataFrame, path: str, key="billcycle", fmt: str = "parquet") -> None:
     """Replace only the ``key`` values present in ``df`` in a partitioned folder (K3).
 
     Dynamic partition overwrite: other cycles are kept, each cycle is replaced whole, and
     the write commits atomically per job; no SQL text is built from data (trap T8).
+    ``key`` may be a list (e.g. cycle and file: replace one file's rows of a cycle).
     """
+    keys = [key] if isinstance(key, str) else list(key)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(key).format(fmt).save(path))
+       .partitionBy(*keys).format(fmt).save(path))
 
 
 def replace_keys(existing: DataFrame, incoming: DataFrame, key: str = "billcycle",

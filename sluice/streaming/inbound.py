@@ -2,8 +2,11 @@
 
 A ``binaryFile`` stream discovers new files (only ``path`` is selected, so file contents are
 not read by the stream itself). Each micro-batch hands its file list – at most
-``max_files_per_trigger`` paths – to the same batch functions, whose rows replace the
-cycles they carry in a partitioned sink, so a retried micro-batch is idempotent. After the
+``max_files_per_trigger`` paths – to the same batch functions, whose rows replace their
+(cycle, file) partitions of the sink, so a retried micro-batch is idempotent and files of
+one cycle arriving in different micro-batches never remove each other's rows. With one
+file per cycle this equals the reference's delete-cycle-then-append; ``key="billcycle"``
+gives that rule literally. After the
 write the batch's files move to the processed folder; if the batch fails they move to the
 error folder and the error stops the stream (the reference's success / quarantine moves).
 
@@ -28,7 +31,7 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str,
                    to_rows: Callable[[SparkSession, list[str]], DataFrame],
                    processed: str | None = None, error: str | None = None,
-                   key: str = "billcycle",
+                   key=("billcycle", "filename"),
                    pattern: str = "*", max_files_per_trigger: int = 100,
                    available_now: bool = True) -> StreamingQuery:
     """Start the stream; ``to_rows(spark, paths)`` turns one batch of files into sink rows."""
