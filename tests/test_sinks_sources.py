@@ -111,3 +111,30 @@ def test_read_workbooks_spark(spark, scratch):
 def test_missing_workbook_path(spark, scratch):
     with pytest.raises(IntakeError):
         read_workbooks(spark, scratch("none") + "/a.xlsx")
+
+
+def test_cycle_names_and_inputs():
+    from sluice.plans.load import cycle_file_name, cycle_inputs, cycle_table_name
+    assert cycle_file_name("sap_glbilled_B_01.xlsx", "27") == "sap_glbilled_B_27.xlsx"
+    assert cycle_table_name("stg.glbilled_01", "08") == "stg.glbilled_08"
+    assert cycle_inputs("s3://b/in/", "f_01.csv", "t_01", ["02", "03"]) == [
+        ("s3://b/in/f_02.csv", "t_02"), ("s3://b/in/f_03.csv", "t_03")]
+
+
+def test_require_rows(spark):
+    from sluice.plans.load import require_rows
+    with pytest.raises(IntakeError) as e:
+        require_rows(spark.range(0), "x")
+    assert e.value.status == "empty_data"
+    require_rows(spark.range(1))
+
+
+def test_load_main_and_audit(spark, scratch):
+    from sluice.plans.load import load_main_and_audit
+    loc, audit_path = scratch("main"), scratch("audit")
+    spark.sql(f"CREATE TABLE t_main (A string, B string) USING parquet LOCATION '{loc}'")
+    audit = spark.createDataFrame([("x", "y", 1, "BC01"), ("z", "w", 2, "BC01")],
+                                  "a string, b string, rownumber long, billcycle string")
+    load_main_and_audit(audit.select("a", "b"), "t_main", audit, audit_path)
+    assert spark.table("t_main").count() == 2
+    assert spark.read.parquet(audit_path).count() == 2
