@@ -109,21 +109,25 @@ def _windows(rows: Column) -> Column:
                                _window_cols(rows, s, h, width).alias("cols")))))
 
 
-def _candidates(cols: Column, targets: Column) -> Column:
-    """Sorted candidates ``(c, t, th, score)`` scoring at least 0.7.
+def _candidates(cols: Column, targets: Column, min_score: float = SCORE_SHARED,
+                strict: bool = False) -> Column:
+    """Sorted candidates ``(c, t, th, score)`` scoring at least ``min_score`` (default 0.7).
 
     Each column's comparison form and character set is computed once, not once per target.
+    ``strict`` drops columns whose comparison form is empty (a cell of dashes, trap T5).
     """
     named = F.filter(F.transform(cols, lambda s, i: F.struct(i.alias("c"), s.alias("s"))),
                      lambda x: x["s"] != "")
     keyed = F.transform(named, lambda x: F.struct(
         x["c"].alias("c"), canon_header(x["s"]).alias("k")))
+    if strict:
+        keyed = F.filter(keyed, lambda x: x["k"] != "")
     keyed = F.transform(keyed, lambda x: F.struct(x["c"].alias("c"), x["k"].alias("k"),
                                                    _chars(x["k"]).alias("ch")))
     pairs = F.flatten(F.transform(keyed, lambda x: F.transform(targets, lambda t: F.struct(
         (-pair_score(x["k"], t["k"], x["ch"], t["ch"])).alias("o"), x["c"].alias("c"),
         t["t"].alias("t"), t["th"].alias("th")))))
-    kept = F.filter(pairs, lambda p: p["o"] <= -SCORE_SHARED)
+    kept = F.filter(pairs, lambda p: (p["o"] <= -min_score) & (p["o"] < 0))
     return F.transform(F.array_sort(kept), lambda p: F.struct(
         p["c"].alias("c"), p["t"].alias("t"), p["th"].alias("th"), (-p["o"]).alias("score")))
 
@@ -146,9 +150,11 @@ def header_windows(samples: DataFrame, file_col: str = FILE_COL) -> DataFrame:
     return samples.select(file_col, F.inline(_windows(F.col("rows"))))
 
 
-def header_scores(windows: DataFrame, targets: list[str]) -> DataFrame:
+def header_scores(windows: DataFrame, targets: list[str], min_score: float = SCORE_SHARED,
+                  strict: bool = False) -> DataFrame:
     """Adds ``cands``: sorted (c, t, th, score) pairs scoring at least 0.7 (H2)."""
-    return windows.withColumn("cands", _candidates(F.col("cols"), _targets_literal(targets)))
+    return windows.withColumn("cands", _candidates(F.col("cols"), _targets_literal(targets),
+                                                   min_score, strict))
 
 
 def assign_headers(scored: DataFrame) -> DataFrame:
@@ -161,13 +167,21 @@ def _is_target(i: int):
     return lambda x: x["t"] == F.lit(i)
 
 
-def _best(windows: Column) -> Column:
-    init = F.struct(F.lit(0).alias("n"), F.lit(-1).alias("start"), F.lit(0).alias("height"),
-                    F.array().cast(_MAPPING_TYPE).alias("mapping"))
-    return F.aggregate(windows, init, lambda acc, w: F.when(w["n"] > acc["n"], w).otherwise(acc))
+def _best(windows: Column, strict: bool = False) -> Column:
+    """First block with the most assignments; ``strict`` breaks count ties by total score
+    (trap T18: a first header row that alone covers every target)."""
+    init = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("total"), F.lit(-1).alias("start"),
+                    F.lit(0).alias("height"), F.array().cast(_MAPPING_TYPE).alias("mapping"))
+    if strict:
+        better = lambda w, acc: (w["n"] > acc["n"]) | (
+            (w["n"] == acc["n"]) & (w["n"] > 0) & (w["total"] > acc["total"] + 1e-9))
+    else:
+        better = lambda w, acc: w["n"] > acc["n"]
+    return F.aggregate(windows, init, lambda acc, w: F.when(better(w, acc), w).otherwise(acc))
 
 
-def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_COL) -> DataFrame:
+def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_COL,
+                   min_score: float = SCORE_SHARED, strict: bool = False) -> DataFrame:
     """Best header block per report: ``(file, header_end, n, mapping, tidx)`` (H1–H4).
 
     ``header_end`` is the 0-based index of the last header row (-1 when nothing matched),
@@ -178,10 +192,12 @@ def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_
     wins = samples.select(file_col, _windows(F.col("rows")).alias("w"))
     mapped = wins.select(file_col, F.transform("w", lambda w: F.struct(
         w["start"].alias("start"), w["height"].alias("height"),
-        _assign(_candidates(w["cols"], tl)).alias("mapping"))).alias("w"))
+        _assign(_candidates(w["cols"], tl, min_score, strict)).alias("mapping"))).alias("w"))
     best = mapped.select(file_col, _best(F.transform("w", lambda w: F.struct(
-        F.size(w["mapping"]).alias("n"), w["start"].alias("start"), w["height"].alias("height"),
-        w["mapping"].alias("mapping")))).alias("b"))
+        F.size(w["mapping"]).alias("n"),
+        F.aggregate(w["mapping"], F.lit(0.0), lambda a, m: a + m["score"]).alias("total"),
+        w["start"].alias("start"), w["height"].alias("height"),
+        w["mapping"].alias("mapping"))), strict).alias("b"))
     b = F.col("b")
     tidx = F.array(*[
         F.try_element_at(F.filter(b["mapping"], _is_target(i)), F.lit(1))["c"]

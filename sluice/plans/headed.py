@@ -30,25 +30,32 @@ def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | No
     return stamp_rows(read_csv_grid(spark, paths, sep=sep, width=width, on_missing=on_missing))
 
 
-def detect(grid: DataFrame, targets: list[str]) -> DataFrame:
+def detect(grid: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
+           strict: bool = False) -> DataFrame:
     """Header detection per report, materialised in the shared checkpoint folder."""
     ensure_checkpoint_dir(grid.sparkSession)
-    return H.detect_headers(H.sample_reports(grid), targets).checkpoint(eager=True)
+    return H.detect_headers(H.sample_reports(grid), targets, min_score=min_score,
+                            strict=strict).checkpoint(eager=True)
 
 
-def clean_rows(grid: DataFrame, detected: DataFrame) -> DataFrame:
+def clean_rows(grid: DataFrame, detected: DataFrame, footer_phrases=H.FOOTER_PHRASES) -> DataFrame:
     """Rows after the header block that are neither footers nor blank."""
     rows = H.skip_preamble(grid, detected)
-    return rows.filter(~H.is_blank(F.col("cells")) & ~H.is_footer(F.col("cells")))
+    return rows.filter(~H.is_blank(F.col("cells")) & ~H.is_footer(F.col("cells"), footer_phrases))
 
 
-def headed(grid: DataFrame, target_headers) -> HeadedResult:
-    """Detect, clean and project every report of ``grid`` onto the target headers."""
+def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
+           min_score: float = H.SCORE_SHARED, strict: bool = False) -> HeadedResult:
+    """Detect, clean and project every report of ``grid`` onto the target headers.
+
+    Defaults keep the reference's rules; ``footer_phrases`` (trap T9), ``min_score`` (T10)
+    and ``strict`` (T5, T18) tighten them.
+    """
     targets = H.parse_headers(target_headers or "")
     if not targets:
         raise IntakeError(MISSING_PARAMETERS, "target_headers is required")
-    detected = detect(grid, targets)
-    data = H.project_mapped(clean_rows(grid, detected), targets)
+    detected = detect(grid, targets, min_score, strict)
+    data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets)
     data = data.select(*targets, base_name(FILE_COL).alias("filename"), FILE_COL, ROW_COL)
     return HeadedResult(data, detected, targets)
 
@@ -62,25 +69,34 @@ def flat(grid: DataFrame, label: str = FLAT_LABEL, width: int | None = None) ->
 
 
 def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SEP,
-               width: int | None = None, on_missing: str = "raise") -> HeadedResult:
+               width: int | None = None, on_missing: str = "raise", **rules) -> HeadedResult:
     """Headerless CSV reports → detected headers → clean rows with file columns."""
-    return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers)
+    return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers, **rules)
+
 
+def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise",
+                materialise: bool = True) -> DataFrame:
+    """``(cells, _file, _temp_row_num)`` of one sheet per workbook (numbered while parsed).
 
-def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
-    """``(cells, _file, _temp_row_num)`` of one sheet per workbook (numbered while parsed)."""
+    Parsing is Python work, so by default the parsed grid is checkpointed to the shared
+    folder once and both the header pass and the data pass read it.
+    """
     from ..sources.workbook import read_workbooks
 
-    return read_workbooks(spark, paths, sheet, on_missing).select("cells", FILE_COL, ROW_COL)
+    grid = read_workbooks(spark, paths, sheet, on_missing).select("cells", FILE_COL, ROW_COL)
+    if materialise:
+        ensure_checkpoint_dir(spark)
+        grid = grid.checkpoint(eager=True)
+    return grid
 
 
 def ingest_sheets(spark: SparkSession, paths, target_headers=None, sheet=0,
-                  on_missing: str = "raise"):
+                  on_missing: str = "raise", **rules):
     """C3 (headed, with ``target_headers``) or C4 (flat): returns a :class:`HeadedResult`
     or, in flat mode, the positional frame."""
     grid = sheets_grid(spark, paths, sheet, on_missing)
     if target_headers:
-        return headed(grid, target_headers)
+        return headed(grid, target_headers, **rules)
     return flat(grid)
 
 

@@ -136,3 +136,22 @@ def test_detection_plan_stays_on_executors(spark):
     plan = det._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_strict_mode_fixes_dash_row_and_two_row_header(spark):
+    grid = [["-", "-", "-"], ["Account No", "Customer Name", "Note"], ["1", "a", "b"]]
+    det = H.detect_headers(H.sample_reports(_grid_df(spark, [grid])), TARGETS, strict=True).first()
+    assert det["header_end"] == 1
+    targets = H.parse_headers("Account No, Account Balance, Account Type")
+    grid2 = [["Account", "Account", "Account"], ["No", "Balance", "Type"], ["1", "2", "3"]]
+    det2 = H.detect_headers(H.sample_reports(_grid_df(spark, [grid2])), targets, strict=True).first()
+    assert det2["n"] == 3 and det2["header_end"] == 1
+
+
+def test_min_score_excludes_shared_letter_matches(spark):
+    grid = [["Monthly Statement", ""], ["Account No", "Note"], ["1", "x"]]
+    loose = H.detect_headers(H.sample_reports(_grid_df(spark, [grid])), TARGETS).first()
+    tight = H.detect_headers(H.sample_reports(_grid_df(spark, [grid])), TARGETS,
+                             min_score=0.8).first()
+    assert all(m["score"] >= 0.8 for m in tight["mapping"])
+    assert any(m["score"] == 0.7 for m in loose["mapping"]) or loose["n"] >= tight["n"]
