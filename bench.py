@@ -23,7 +23,7 @@ from sluice.functions.text import norm_text  # noqa: E402
 from sluice.functions.lineage import uuid7  # noqa: E402
 from sluice.operators.align import align  # noqa: E402
 from sluice.operators.audit import audit_columns, file_columns  # noqa: E402
-from sluice.operators.clean import max_lengths, stringify  # noqa: E402
+from sluice.operators.clean import balanced, stringify  # noqa: E402
 from sluice.operators.stamp import stamp_rows  # noqa: E402
 from sluice.plans import headed as HP  # noqa: E402
 from sluice.plans.copy import prepare_copy  # noqa: E402
@@ -83,7 +83,8 @@ def main() -> None:
         run(audit_columns(res.data))
 
     def q_norm_text():
-        run(fx.table(spark, sf_dir, "documents").select("doc_id", norm_text("text").alias("t")))
+        docs = balanced(fx.table(spark, sf_dir, "documents"))
+        run(docs.select("doc_id", norm_text("text").alias("t")))
 
     def q_table_copy():
         res = prepare_copy(lineitem, [c.upper() for c in lineitem.columns] + ["EXTRA"],

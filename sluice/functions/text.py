@@ -32,9 +32,14 @@ def collapse_ws(c) -> Column:
 
 
 def norm_text(c) -> Column:
-    """NULL, blank and the word ``none`` (any case) → ``''``; whitespace runs → one space."""
+    """NULL, blank and the word ``none`` (any case) → ``''``; whitespace runs → one space.
+
+    The collapsed text is referenced once (an anchored replace instead of a comparison plus
+    a branch), so inside higher-order functions the regex runs once per value. Only ASCII
+    letters lower-case to ``none``, so ``(?i)`` without Unicode case folding is exact.
+    """
     s = collapse_ws(F.coalesce(_col(c).cast("string"), F.lit("")))
-    return F.when(F.lower(s) == NONE_WORD, F.lit("")).otherwise(s)
+    return F.regexp_replace(s, "^(?i)" + NONE_WORD + "$", "")
 
 
 def canon_header(c) -> Column:

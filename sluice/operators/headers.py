@@ -81,12 +81,23 @@ def pair_score(a: Column, b: Column, a_chars: Column | None = None,
 
 
 def sample_reports(grid: DataFrame, file_col: str = FILE_COL, row_col: str = ROW_COL,
-                   cells_col: str = "cells") -> DataFrame:
-    """``(file, rows ARRAY<STRUCT<r, cells>>)`` with each report's first 50 rows in order."""
+                   cells_col: str = "cells", partitions: int | None = None) -> DataFrame:
+    """``(file, rows ARRAY<STRUCT<r, cells>>)``: each report's first 50 rows in order, cells
+    already normalised.
+
+    The sample is tiny in bytes but detection is CPU work, so it is hash-partitioned by
+    report into an explicit number of partitions (default: the cluster's cores), which
+    adaptive execution does not coalesce into one task; the grouping reuses that
+    partitioning, so there is a single shuffle of at most 50 rows per report.
+    """
+    n = partitions or grid.sparkSession.sparkContext.defaultParallelism
+    # Cells are normalised once per row here, before grouping, not once per candidate block.
     return (grid.filter(F.col(row_col) <= SAMPLE_ROWS)
+            .select(file_col, row_col, F.transform(cells_col, norm_text).alias("cells"))
+            .repartition(n, file_col)
             .groupBy(file_col)
             .agg(F.array_sort(F.collect_list(
-                F.struct(F.col(row_col).alias("r"), F.col(cells_col).alias("cells")))).alias("rows")))
+                F.struct(F.col(row_col).alias("r"), F.col("cells").alias("cells")))).alias("rows")))
 
 
 def _window_cols(rows: Column, start: Column, height: Column, width: Column) -> Column:
@@ -94,7 +105,7 @@ def _window_cols(rows: Column, start: Column, height: Column, width: Column) ->
     return F.transform(
         F.sequence(F.lit(0), width - 1),
         lambda c: F.array_join(
-            F.filter(F.transform(block, lambda r: norm_text(F.get(r["cells"], c))),
+            F.filter(F.transform(block, lambda r: F.coalesce(F.get(r["cells"], c), F.lit(""))),
                      lambda p: p != ""), " "))
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.align import align, missing_columns
-from ..operators.clean import max_lengths, stringify, strip_zero_fraction
+from ..operators.clean import balanced, max_lengths, stringify, strip_zero_fraction
 from ..sinks.tables import backup_csv, persisted, truncate_load
 
 # --- fixed value: the reference cleans this column name only; here it is the default ------
@@ -22,10 +22,16 @@ class CopyResult:
     missing: list[str]       # target columns absent from the source (NULL-filled)
 
 
-def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS) -> CopyResult:
-    """Case-insensitive alignment, string cast + trim, zero-tail removal on rate columns."""
+def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS,
+                 spread: bool = False) -> CopyResult:
+    """Case-insensitive alignment, string cast + trim, zero-tail removal on rate columns.
+
+    With ``spread`` an under-partitioned source (e.g. a JDBC table read over one
+    connection) is first spread over the cores (:func:`sluice.operators.clean.balanced`);
+    worth it when later per-row work is heavy, not for casts alone.
+    """
     missing = missing_columns(source, target)
-    data = stringify(align(source, target))
+    data = stringify(align(balanced(source) if spread else source, target))
     present = [c for c in data.columns if c.lower() in {r.lower() for r in rate_columns}]
     if present:
         data = strip_zero_fraction(data, present)
