@@ -15,8 +15,6 @@ through the driver:
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,24 +34,13 @@ MIN_SHARED_CHARS = 3
 _MAPPING_TYPE = "array<struct<c:int,t:int,th:string,score:double>>"
 
 
-def _py_norm(s) -> str:
-    if s is None:
-        return ""
-    v = str(s).strip()
-    if v.lower() == "none" or not v:
-        return ""
-    return re.sub(r"\s+", " ", v).strip()
-
-
 def parse_headers(target_headers) -> list[str]:
-    """Comma-separated (or list) target headers, normalised, blanks dropped, first of repeats."""
+    """Comma-separated (or list) target headers, normalised like :func:`norm_text`, blanks
+    and the none word dropped, later repeats dropped (a header can be matched once)."""
     items = target_headers.split(",") if isinstance(target_headers, str) else list(target_headers)
-    out: list[str] = []
-    for h in items:
-        v = _py_norm(h)
-        if v and v not in out:
-            out.append(v)
-    return out
+    words = [" ".join(str(h).split()) for h in items if h is not None]
+    kept = [w for w in words if w and w.lower() != "none"]
+    return list(dict.fromkeys(kept))
 
 
 def _targets_literal(targets: list[str]) -> Column:

@@ -28,29 +28,33 @@ def _score(a, b):
 
 
 def spec_detect(rows, targets):
+    """(assigned count, last header row index, {column: target}) of the winning block."""
+    import itertools
+
     sample = rows[:50]
-    width = max((len(r) for r in sample), default=0)
-    blocks = [(s, h) for s in range(min(15, len(sample))) for h in range(1, 10)
-              if s + h <= len(sample)]
-    best = (0, -1, {})
-    for s, h in blocks:
-        texts = {}
-        for c in range(width):
-            parts = [_n(r[c]) if c < len(r) else "" for r in sample[s:s + h]]
-            joined = " ".join(p for p in parts if p)
-            if joined:
-                texts[c] = joined
-        cands = sorted(((-_score(_k(t), _k(th)), c, ti, th) for c, t in texts.items()
-                        for ti, th in enumerate(targets) if _score(_k(t), _k(th)) >= 0.7))
-        used_c, used_t, mapping = set(), set(), {}
-        for _, c, ti, th in cands:
-            if c not in used_c and ti not in used_t:
-                used_c.add(c)
-                used_t.add(ti)
-                mapping[c] = th
-        if len(mapping) > best[0]:
-            best = (len(mapping), s + h - 1, mapping)
-    return best
+    width = max(map(len, sample), default=0)
+    fits = [(s, h) for s, h in itertools.product(range(15), range(1, 10)) if s + h <= len(sample)]
+
+    def assign(block):
+        s, h = block
+        cols = {c: " ".join(filter(None, (_n(r[c]) if c < len(r) else "" for r in sample[s:s + h])))
+                for c in range(width)}
+        pairs = [(_score(_k(text), _k(th)), c, ti, th) for c, text in cols.items() if text
+                 for ti, th in enumerate(targets)]
+        pairs = [p for p in pairs if p[0] >= 0.7]
+        pairs.sort(key=lambda p: (-p[0], p[1], p[2]))
+        chosen = {}
+        for _, c, ti, th in pairs:
+            if c not in chosen and ti not in {t for t, _ in chosen.values()}:
+                chosen[c] = (ti, th)
+        return {c: th for c, (_, th) in chosen.items()}
+
+    results = [(assign(b), b) for b in fits]
+    top = max((len(m) for m, _ in results), default=0)
+    if top == 0:
+        return 0, -1, {}
+    mapping, (s, h) = next((m, b) for m, b in results if len(m) == top)
+    return top, s + h - 1, mapping
 
 
 WORDS = ["Account No", "Name", "Customer", "Customer Name", "Account Balance", "Balance",
