@@ -34,18 +34,23 @@ def require_rows(df: DataFrame, path: str = "Unknown") -> None:
         raise IntakeError(EMPTY_DATA, "Fuzzy matcher failed or sheet is blank", path)
 
 
-def load_main_and_audit(main: DataFrame, target_table: str, audit: DataFrame | None = None,
-                        audit_path: str | None = None, audit_key="billcycle",
-                        skip: str | None = None) -> None:
-    """K6: main table truncate-and-load, then replace the audit's cycles.
-
-    Both writes come from one computation of the rows: the frame the two outputs share is
-    persisted for the duration (memory and disk) and always released.
+def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | None = None,
+                        skip: str | None = None, audit_key="billcycle",
+                        audit_target=None) -> None:
+    """K6: from one computation of the cleaned ``rows`` (data columns, ``filename``,
+    ``_file``, ``_temp_row_num``), truncate-and-load the main table and replace the audit's
+    cycles in a partitioned folder.
+
+    ``rows`` is persisted (memory and disk) for the two writes and always released; the
+    audit ids and time are generated once, in the audit write.
     """
-    if audit is None or audit_path is None:
-        truncate_load(main, target_table, skip=skip)
-        return
-    with persisted(audit) as shared:
-        data_cols = [c for c in main.columns if c in shared.columns]
-        truncate_load(shared.select(*data_cols) if data_cols else main, target_table, skip=skip)
-        replace_partitions(shared, audit_path, key=audit_key)
+    from ..operators.align import align
+    from ..operators.audit import audit_columns, main_columns
+
+    with persisted(rows) as shared:
+        truncate_load(main_columns(shared), target_table, skip=skip)
+        if audit_path:
+            audit = audit_columns(shared)
+            if audit_target is not None:
+                audit = align(audit, audit_target)
+            replace_partitions(audit, audit_path, key=audit_key)

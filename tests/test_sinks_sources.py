@@ -133,8 +133,9 @@ def test_load_main_and_audit(spark, scratch):
     from sluice.plans.load import load_main_and_audit
     loc, audit_path = scratch("main"), scratch("audit")
     spark.sql(f"CREATE TABLE t_main (A string, B string) USING parquet LOCATION '{loc}'")
-    audit = spark.createDataFrame([("x", "y", 1, "BC01"), ("z", "w", 2, "BC01")],
-                                  "a string, b string, rownumber long, billcycle string")
-    load_main_and_audit(audit.select("a", "b"), "t_main", audit, audit_path)
-    assert spark.table("t_main").count() == 2
-    assert spark.read.parquet(audit_path).count() == 2
+    rows = spark.createDataFrame([("x", "y", "f_01.txt", 1), ("z", "w", "f_01.txt", 2)],
+                                 "a string, b string, filename string, _temp_row_num long")
+    load_main_and_audit(rows, "t_main", audit_path)
+    assert sorted(tuple(r) for r in spark.table("t_main").collect()) == [("x", "y"), ("z", "w")]
+    audit = spark.read.parquet(audit_path)
+    assert sorted((r.rownumber, r.billcycle) for r in audit.collect()) == [(1, "BC01"), (2, "BC01")]
