@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canon_header, footer_pattern, norm_text, null_safe, FOOTER_PHRASES
+from .joins import join_side
 from .stamp import FILE_COL, ROW_COL
 
 # --- fixed values (must equal the reference's behaviour) -------------------------------
@@ -215,16 +216,15 @@ def mapping_text(mapping: Column) -> Column:
 
 # --- cleaning after detection ------------------------------------------------------------
 def skip_preamble(grid: DataFrame, detected: DataFrame, file_col: str = FILE_COL,
-                  row_col: str = ROW_COL, broadcast_limit: int = 1_000_000) -> DataFrame:
+                  row_col: str = ROW_COL) -> DataFrame:
     """Keep rows after each report's header block (F2); reports without a match drop out.
 
-    ``detected`` has one row per report; it is broadcast when its checked size allows.
+    ``detected`` has one row per report: broadcast within a checked size, otherwise a
+    salted join so a report holding a third of all rows is not one task.
     """
-    n_reports = detected.count()
-    det = detected.select(file_col, "header_end", "tidx")
-    det = F.broadcast(det) if n_reports <= broadcast_limit else det
-    return (grid.join(det, file_col, "inner")
-            .filter((F.col("header_end") >= 0) & (F.col(row_col) > F.col("header_end") + 1)))
+    det = detected.filter(F.col("header_end") >= 0).select(file_col, "header_end", "tidx")
+    joined = join_side(grid, det, file_col, "inner", salt_cols=[file_col, row_col])
+    return joined.filter(F.col(row_col) > F.col("header_end") + 1)
 
 
 def is_footer(cells: Column, phrases=FOOTER_PHRASES) -> Column:

@@ -53,11 +53,15 @@ def replace_partitions(df: DataFrame, path: str, key="billcycle", fmt: str = "pa
 
 def replace_keys(existing: DataFrame, incoming: DataFrame, key: str = "billcycle",
                  broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
-    """Frame form of K3: existing rows of untouched keys, plus all incoming rows."""
+    """Frame form of K3: existing rows of untouched keys, plus all incoming rows.
+
+    The replaced key set is broadcast within a checked size, else joined salted
+    (:func:`sluice.operators.joins.join_side`), so a hot cycle is not one task.
+    """
+    from ..operators.joins import join_side
+
     keys = incoming.select(key).distinct()
-    n = keys.count()
-    keys = F.broadcast(keys) if n <= broadcast_limit else keys
-    kept = existing.join(keys, key, "left_anti")
+    kept = join_side(existing, keys, key, "left_anti", broadcast_limit=broadcast_limit)
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

@@ -139,3 +139,23 @@ def test_load_main_and_audit(spark, scratch):
     assert sorted(tuple(r) for r in spark.table("t_main").collect()) == [("x", "y"), ("z", "w")]
     audit = spark.read.parquet(audit_path)
     assert sorted((r.rownumber, r.billcycle) for r in audit.collect()) == [(1, "BC01"), (2, "BC01")]
+
+
+def test_join_side_salted_path_equals_broadcast(spark):
+    from sluice.operators.joins import join_side
+    big = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    side = spark.createDataFrame([(0, "a"), (1, "b")], "k long, s string")
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        b = sorted(tuple(r) for r in join_side(big, side, "k", how).collect())
+        s = sorted(tuple(r) for r in join_side(big, side, "k", how, broadcast_limit=0).collect())
+        assert b == s, how
+    plan = join_side(big, side, "k", "inner", broadcast_limit=0)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "_salt" in plan
+
+
+def test_replace_keys_salted(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
+    new = spark.createDataFrame([("b", 5)], "k string, v int")
+    got = sorted(tuple(r) for r in replace_keys(old, new, "k", broadcast_limit=0).collect())
+    assert got == [("a", 1), ("b", 5)]
