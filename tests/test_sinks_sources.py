@@ -159,3 +159,32 @@ def test_replace_keys_salted(spark):
     new = spark.createDataFrame([("b", 5)], "k string, v int")
     got = sorted(tuple(r) for r in replace_keys(old, new, "k", broadcast_limit=0).collect())
     assert got == [("a", 1), ("b", 5)]
+
+
+def test_append_coerces_to_table_types(spark, scratch):
+    from sluice.sinks.tables import append
+    loc = scratch("tbl-app")
+    spark.sql(f"CREATE TABLE t_app (ID int, AMT double) USING parquet LOCATION '{loc}'")
+    append(spark.createDataFrame([("1", "2.5")], "id string, amt string"), "t_app")
+    append(spark.createDataFrame([("x", "3")], "amt string, id string").select("id", "amt"), "t_app")
+    got = sorted((tuple(r) for r in spark.table("t_app").collect()), key=repr)
+    assert got == sorted([(1, 2.5), (3, None)], key=repr)
+
+
+def test_in_file_order(spark):
+    from sluice.operators.stamp import in_file_order
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("b", 1), ("a", 1)], "_file string, _temp_row_num long")
+    assert [tuple(r) for r in in_file_order(df).collect()] == [("a", 1), ("a", 2), ("b", 1), ("b", 2)]
+
+
+def test_flat_mode_over_ragged_workbooks(spark, scratch):
+    folder = local_path(scratch("xlsx-flat"))
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.xlsx"), "wb") as f:
+        f.write(build_workbook([["x", " y "], ["1"]]))
+    with open(os.path.join(folder, "b.xlsx"), "wb") as f:
+        f.write(build_workbook([["p", "q", "r"]]))
+    flat = HP.ingest_sheets(spark, folder)
+    rows = sorted((r.filename, r[ROW_COL], r.column1, r.column2, r.column3) for r in flat.collect())
+    assert rows == [("a.xlsx", 1, "x", " y ", None), ("a.xlsx", 2, "1", "", None),
+                    ("b.xlsx", 1, "p", "q", "r")]
