@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..errors import MISSING_PARAMETERS, IntakeError
 from ..functions.lineage import base_name

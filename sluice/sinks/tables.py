@@ -6,7 +6,6 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..errors import DATABASE_ERROR, IntakeError
 from ..operators.align import align, unknown_columns
