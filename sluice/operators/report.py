@@ -67,3 +67,27 @@ def run_report(dispositions: DataFrame, unit_col: str = "filename") -> DataFrame
         F.count(F.lit(1)).alias("n_units"),
         F.count_if(failed).alias("n_failed"),
         F.array_join(F.array_sort(F.collect_list(F.when(failed, line))), "; ").alias("summary"))
+
+
+def move_by_outcome(spark: SparkSession, dispositions: DataFrame, processed: str,
+                    error: str) -> DataFrame:
+    """Move every present input to ``processed`` or ``error`` by its status.
+
+    One metadata rename per file on the driver (the file list is already held there).
+    Returns ``(path, status, moved_to, move_error)``; a failed move of a failed file has
+    the status ``cascading_failure``, as when quarantine fails after a pipeline error.
+    """
+    from ..errors import CASCADING_FAILURE
+    from ..sources.files import move_to
+
+    out = []
+    rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
+    for r in rows.toLocalIterator():
+        target = processed if r["status"] == PROCESSED else error
+        try:
+            out.append((r["path"], r["status"], move_to(spark, r["path"], target), None))
+        except Exception as exc:  # noqa: BLE001 - reported as data
+            status = r["status"] if r["status"] == PROCESSED else CASCADING_FAILURE
+            out.append((r["path"], status, None, f"{type(exc).__name__}: {exc}"[:200]))
+    return spark.createDataFrame(out, "path string, status string, moved_to string, "
+                                      "move_error string")

@@ -72,3 +72,17 @@ def test_stream_replay_after_moves_is_harmless(spark, scratch):
     q2.awaitTermination()
     got = sorted((r.billcycle, r.column2) for r in spark.read.parquet(root + "/sink").collect())
     assert got == [("BC01", "1"), ("BC02", "2")]
+
+
+def test_move_by_outcome(spark, scratch):
+    import os
+    from sluice.operators.report import move_by_outcome
+    folder = scratch("moves")
+    write_text_files(folder + "/in", {"ok.csv": "Account No\n1\n", "bad.csv": "zz\n1\n"})
+    res = HP.ingest_csv(spark, folder + "/in/*.csv", "Account No", width=1)
+    files = spark.read.text(folder + "/in/*.csv").inputFiles()
+    d = file_disposition(spark, files, res.data, res.detected, fail_on_no_rows=False)
+    moved = {os.path.basename(r.path): r.moved_to for r in
+             move_by_outcome(spark, d, folder + "/processed", folder + "/error").collect()}
+    assert moved["ok.csv"].endswith("/processed/ok.csv") and moved["bad.csv"].endswith("/error/bad.csv")
+    assert os.listdir(local_path(folder + "/in")) == []
