@@ -74,3 +74,19 @@ def text_audit_rows(expected_columns: int, **options) -> Callable[[SparkSession,
         return audit_columns(parse_text(spark, paths, expected_columns, **options))
 
     return to_rows
+
+
+def report_audit_rows(target_headers, kind: str = "csv", **options) -> Callable[[SparkSession, list[str]], DataFrame]:
+    """Batch function for :func:`stream_inbound`: headed reports (``csv`` or ``xlsx``) →
+    detected headers → clean rows → audit rows (C3 / C5)."""
+    from ..operators.audit import audit_columns
+    from ..plans.headed import ingest_csv, ingest_sheets
+
+    def to_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+        if kind == "xlsx":
+            res = ingest_sheets(spark, paths, target_headers, **options)
+        else:
+            res = ingest_csv(spark, paths, target_headers, **options)
+        return audit_columns(res.data)
+
+    return to_rows

@@ -86,3 +86,17 @@ def test_move_by_outcome(spark, scratch):
              move_by_outcome(spark, d, folder + "/processed", folder + "/error").collect()}
     assert moved["ok.csv"].endswith("/processed/ok.csv") and moved["bad.csv"].endswith("/error/bad.csv")
     assert os.listdir(local_path(folder + "/in")) == []
+
+
+def test_stream_of_csv_reports(spark, scratch):
+    from sluice.streaming.inbound import report_audit_rows
+    root = scratch("stream-csv")
+    write_text_files(root + "/inbound", {
+        "rep_01.csv": "Title,\nAccount No,Name\n1,a\nPage 1 of 1,\n",
+        "rep_02.csv": "Account No,Name\n2,b\n3,c\n"})
+    q = stream_inbound(spark, root + "/inbound", root + "/sink", root + "/_ck",
+                       report_audit_rows("Account No, Name", width=2), pattern="*.csv")
+    q.awaitTermination()
+    got = sorted((r.billcycle, r.rownumber, r["Account No"], r.Name)
+                 for r in spark.read.parquet(root + "/sink").collect())
+    assert got == [("BC01", 3, "1", "a"), ("BC02", 2, "2", "b"), ("BC02", 3, "3", "c")]
