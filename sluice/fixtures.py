@@ -98,6 +98,20 @@ def write_cycle_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
     return write_named_files(lines.withColumn("fname", name), "fname", ["o_orderkey"], folder)
 
 
+# --- lineitem lines (largest table) -----------------------------------------------------
+def write_lineitem_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """Tab-separated lineitem records, one file per (return flag, line status, key range)."""
+    li = table(spark, sf_dir, "lineitem")
+    value = F.concat_ws("\t", F.lit("D"), *[F.col(c).cast("string") for c in (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")])
+    fname = F.concat(F.lit("lineitem_"), F.col("l_returnflag"), F.col("l_linestatus"), F.lit("_"),
+                     (F.col("l_orderkey") / CHUNK).cast("long").cast("string"), F.lit(".txt"))
+    return write_named_files(li.select(value.alias("value"), fname.alias("fname"), "l_orderkey",
+                                       "l_linenumber"), "fname", ["l_orderkey", "l_linenumber"],
+                             folder)
+
+
 # --- event lines --------------------------------------------------------------------------
 def write_event_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
     ev = table(spark, sf_dir, "events")
