@@ -61,3 +61,34 @@ def test_missing_path(spark, scratch):
     with pytest.raises(IntakeError) as e:
         read_lines(spark, scratch("nothing-here") + "/x.txt")
     assert e.value.status == "missing_file"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(sizes=st.lists(st.integers(min_value=0, max_value=3000), min_size=1, max_size=6),
+       split=st.sampled_from([1024, 2048, 8192, 1 << 20]), seed=st.integers(0, 1000))
+def test_stamp_exact_for_any_split_layout(spark, scratch, sizes, split, seed):
+    import random
+    rnd = random.Random(seed)
+    folder = scratch("stamp-prop")
+    files = {}
+    for k, n in enumerate(sizes):
+        lines = ["x" * rnd.randint(0, 40) for _ in range(n)]
+        files[f"p{k}.txt"] = "".join(line + "\n" for line in lines)
+    write_text_files(folder, files)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        rows = stamp_rows(read_lines(spark, folder)).select(
+            F.regexp_extract(FILE_COL, r"([^/]*)$", 1).alias("f"), "value", ROW_COL).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = {}
+    for r in rows:
+        got.setdefault(r["f"], []).append((r[ROW_COL], r["value"]))
+    for name, text in files.items():
+        want = list(enumerate(text.split("\n")[:-1], start=1))
+        assert sorted(got.get(name, [])) == want, name
