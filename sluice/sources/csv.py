@@ -32,8 +32,8 @@ def read_csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int
                   options: dict | None = None) -> DataFrame:
     """All-string cells of every line, in an explicit schema ``_c0.._c{width-1}``.
 
-    ``sep`` is a literal (one or more characters). Empty fields read as NULL. Lines with no
-    characters at all are skipped by the CSV reader and therefore not numbered.
+    ``sep`` is a literal (one or more characters). Empty fields read as NULL. Empty and
+    whitespace-only lines are skipped by the CSV reader and therefore not numbered.
     Returns ``cells`` plus ``_file``/``_block``/``_mid`` when ``positioned``.
     """
     found, missing = split_existing(spark, paths)

@@ -188,3 +188,11 @@ def test_flat_mode_over_ragged_workbooks(spark, scratch):
     rows = sorted((r.filename, r[ROW_COL], r.column1, r.column2, r.column3) for r in flat.collect())
     assert rows == [("a.xlsx", 1, "x", " y ", None), ("a.xlsx", 2, "1", "", None),
                     ("b.xlsx", 1, "p", "q", "r")]
+
+
+def test_csv_whitespace_lines_not_numbered(spark, scratch):
+    folder = scratch("csv-ws")
+    write_text_files(folder, {"a.csv": "a,b\n   \n\t\n\nc,d\n ,\n"})
+    g = HP.csv_grid(spark, folder, width=2)
+    assert sorted((r[ROW_COL], tuple(r.cells)) for r in g.collect()) == [
+        (1, ("a", "b")), (2, ("c", "d")), (3, (" ", None))]
