@@ -196,3 +196,24 @@ def test_csv_whitespace_lines_not_numbered(spark, scratch):
     g = HP.csv_grid(spark, folder, width=2)
     assert sorted((r[ROW_COL], tuple(r.cells)) for r in g.collect()) == [
         (1, ("a", "b")), (2, ("c", "d")), (3, (" ", None))]
+
+
+def test_csv_numbering_exact_across_splits_with_skipped_lines(spark, scratch):
+    folder = scratch("csv-splits")
+    lines, want, n = [], [], 0
+    for i in range(3000):
+        if i % 7 == 3:
+            lines.append("   " if i % 2 else "")
+        else:
+            lines.append(f"{i},v{i}")
+            n += 1
+            want.append((n, (str(i), f"v{i}")))
+    write_text_files(folder, {"big.csv": "\n".join(lines) + "\n"})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        g = HP.csv_grid(spark, folder, width=2)
+        got = sorted((r[ROW_COL], tuple(r.cells)) for r in g.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want
