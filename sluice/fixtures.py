@@ -217,7 +217,7 @@ def write_report_xlsx(spark: SparkSession, sf_dir: str, folder: str,
         pdf = pdf.sort_values(["sec", "k", "sub"])
         name = pdf["sheet"].iloc[0]
         path = f"{root}/{name}.xlsx"
-        write_bytes(path, build_workbook([list(c) for c in pdf["cells"]], name))
+        write_bytes(path, build_workbook([list(c) for c in pdf["cells"]], name, dimension=True))
         return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
 
     out = grid.groupBy("sheet").applyInPandas(build, "path string, rows long")

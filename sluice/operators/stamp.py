@@ -8,8 +8,9 @@ of a row is therefore
 
 Only the per-split counts are aggregated (map-side partial aggregation, one row per split),
 turned into running offsets per file, checkpointed to the shared folder and joined back.
-The join is a broadcast only when the checkpointed offsets table is within a checked size
-(a row per split); beyond it a shuffle join on (file, split) is used, whose groups are at
+The join is a broadcast only when the checkpointed offsets table's measured size (rows ×
+path length + three longs) is within a limit – about 2M splits of 128 MB, i.e. ~250 TB of
+input, fit in 512 MB; beyond it a shuffle join on (file, split) is used, whose groups are at
 most one split each. Data rows are never moved to one partition, and a file holding a third
 of all rows is still numbered by as many tasks as it has splits.
 """
@@ -26,8 +27,9 @@ BLOCK_COL = "_block"
 ID_COL = "_mid"
 ROW_COL = "_temp_row_num"
 
-#: Largest offsets table (one row per file split) that is broadcast.
-BROADCAST_SPLITS_LIMIT = 500_000
+#: Largest offsets table (one row per file split, measured in bytes) that is broadcast.
+BROADCAST_BYTES_LIMIT = 512 * 1024 * 1024
+_ROW_OVERHEAD = 48          # three longs plus row header, per split
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -62,14 +64,15 @@ def split_offsets(positioned: DataFrame) -> DataFrame:
 
 
 def stamp_rows(positioned: DataFrame, row_col: str = ROW_COL,
-               broadcast_limit: int = BROADCAST_SPLITS_LIMIT,
+               broadcast_bytes: int = BROADCAST_BYTES_LIMIT,
                keep_position: bool = False) -> DataFrame:
     """Add ``row_col``: 1..N per file in file order. ``positioned`` comes from :func:`with_position`."""
     _pin_split_planning(positioned)
     ensure_checkpoint_dir(positioned.sparkSession)
     offsets = split_offsets(positioned).checkpoint(eager=True)
-    n_splits = offsets.count()
-    right = F.broadcast(offsets) if n_splits <= broadcast_limit else offsets
+    size = offsets.agg(F.coalesce(F.sum(F.length(FILE_COL) + _ROW_OVERHEAD), F.lit(0))
+                       .alias("b")).first()["b"]
+    right = F.broadcast(offsets) if size <= broadcast_bytes else offsets
     joined = positioned.join(right, [FILE_COL, BLOCK_COL], "left")
     number = F.when(
         F.col("_base").isNull(),

@@ -90,15 +90,34 @@ def _cell_text(c, shared: list[str]) -> str:
     return raw
 
 
+def _dimension_width(ref: str | None) -> int | None:
+    """Width from a used-range reference such as ``A1:F120`` (read from column A)."""
+    if not ref:
+        return None
+    m = _REF.match(ref.split(":")[-1])
+    return _col_index(m.group(1)) + 1 if m else None
+
+
 def iter_sheet_rows(content: bytes, sheet=0):
-    """Yield ``(sheet_name, row_number, cells)`` for every row 1..last, width-padded."""
+    """Yield ``(sheet_name, row_number, cells)`` for every row 1..last, width-padded.
+
+    When the sheet declares its used range (``<dimension>``, written by spreadsheet
+    programs) rows stream straight through; otherwise the sheet's rows are held until its
+    width is known (a sheet is bounded by the format's row limit).
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
         name, part = _sheet_part(zf, sheet)
         shared = _shared_strings(zf)
-        rows: list[tuple[int, dict[int, str]]] = []
-        width = 0
+        width = None
+        held: list[tuple[int, dict[int, str]]] = []
+        seen_width = 0
+        expected = 1
         prev_r = 0
-        for _, el in iterparse(zf.open(part)):
+        for event, el in iterparse(zf.open(part), events=("start", "end")):
+            if event == "start":
+                if el.tag == _NS + "dimension":
+                    width = _dimension_width(el.get("ref"))
+                continue
             if el.tag != _NS + "row":
                 continue
             r = int(el.get("r")) if el.get("r") else prev_r + 1
@@ -109,16 +128,23 @@ def iter_sheet_rows(content: bytes, sheet=0):
                 ref = c.get("r")
                 pos = _col_index(_REF.match(ref).group(1)) if ref else pos + 1
                 cells[pos] = _cell_text(c, shared)
-            if cells:
-                width = max(width, max(cells) + 1)
-            rows.append((r, cells))
             el.clear()
-    expected = 1
-    for r, cells in rows:
+            if width is None:
+                if cells:
+                    seen_width = max(seen_width, max(cells) + 1)
+                held.append((r, cells))
+                continue
+            w = max(width, max(cells) + 1) if cells else width
+            while expected < r:
+                yield name, expected, [""] * width
+                expected += 1
+            yield name, r, [cells.get(i, "") for i in range(w)]
+            expected = r + 1
+    for r, cells in held:
         while expected < r:
-            yield name, expected, [""] * width
+            yield name, expected, [""] * seen_width
             expected += 1
-        yield name, r, [cells.get(i, "") for i in range(width)]
+        yield name, r, [cells.get(i, "") for i in range(seen_width)]
         expected = r + 1
 
 
@@ -161,8 +187,10 @@ def _col_letters(i: int) -> str:
     return s
 
 
-def build_workbook(rows, sheet_name: str = "Sheet1") -> bytes:
-    """A one-sheet xlsx with inline strings; empty strings are left out as cells."""
+def build_workbook(rows, sheet_name: str = "Sheet1", dimension: bool = False) -> bytes:
+    """A one-sheet xlsx with inline strings; empty strings are left out as cells. With
+    ``dimension`` the used range is declared, as spreadsheet programs write it."""
+    rows = [list(r) for r in rows]
     body = []
     for r, cells in enumerate(rows, start=1):
         cs = "".join(
@@ -170,9 +198,11 @@ def build_workbook(rows, sheet_name: str = "Sheet1") -> bytes:
             f"{_xml_escape(v)}</t></is></c>"
             for i, v in enumerate(cells) if v not in (None, ""))
         body.append(f'<row r="{r}">{cs}</row>')
+    width = max((len(r) for r in rows), default=1) or 1
+    dim = f'<dimension ref="A1:{_col_letters(width - 1)}{max(len(rows), 1)}"/>' if dimension else ""
     sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
              '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-             f"<sheetData>{''.join(body)}</sheetData></worksheet>")
+             f"{dim}<sheetData>{''.join(body)}</sheetData></worksheet>")
     parts = {
         "[Content_Types].xml":
             '<?xml version="1.0" encoding="UTF-8"?>'

@@ -217,3 +217,11 @@ def test_csv_numbering_exact_across_splits_with_skipped_lines(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == want
+
+
+def test_workbook_streaming_with_dimension_equals_buffered():
+    rows = [["a", "", "c"], [], ["", "x"], ["1", "2", "3"]]
+    streamed = list(iter_sheet_rows(build_workbook(rows, dimension=True)))
+    held = list(iter_sheet_rows(build_workbook(rows)))
+    assert streamed == held == [("Sheet1", 1, ["a", "", "c"]), ("Sheet1", 2, ["", "", ""]),
+                                ("Sheet1", 3, ["", "x", ""]), ("Sheet1", 4, ["1", "2", "3"])]

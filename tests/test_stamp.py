@@ -92,3 +92,20 @@ def test_stamp_exact_for_any_split_layout(spark, scratch, sizes, split, seed):
     for name, text in files.items():
         want = list(enumerate(text.split("\n")[:-1], start=1))
         assert sorted(got.get(name, [])) == want, name
+
+
+def test_shuffle_fallback_numbers_equal_broadcast(spark, scratch):
+    folder = scratch("stamp-fallback")
+    write_text_files(folder, {f"q{k}.txt": "".join(f"{k}-{i}\n" for i in range(700 * (k + 1)))
+                              for k in range(4)})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        a = stamp_rows(read_lines(spark, folder)).select("value", ROW_COL).collect()
+        fallback = stamp_rows(read_lines(spark, folder), broadcast_bytes=0)
+        plan = fallback._jdf.queryExecution().executedPlan().toString()
+        b = fallback.select("value", ROW_COL).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert "SinglePartition" not in plan
