@@ -36,18 +36,20 @@ def require_rows(df: DataFrame, path: str = "Unknown") -> None:
 
 def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | None = None,
                         skip: str | None = None, audit_key="billcycle",
-                        audit_target=None) -> None:
+                        audit_target=None, persist: bool = True) -> None:
     """K6: from one computation of the cleaned ``rows`` (data columns, ``filename``,
     ``_file``, ``_temp_row_num``), truncate-and-load the main table and replace the audit's
     cycles in a partitioned folder.
 
-    ``rows`` is persisted (memory and disk) for the two writes and always released; the
-    audit ids and time are generated once, in the audit write.
+    ``rows`` is persisted (memory and disk) for the two writes and always released (pass
+    ``persist=False`` when the caller already holds it); the audit ids and time are
+    generated once, in the audit write.
     """
+    from contextlib import nullcontext
     from ..operators.align import align
     from ..operators.audit import audit_columns, main_columns
 
-    with persisted(rows) as shared:
+    with (persisted(rows) if persist else nullcontext(rows)) as shared:
         truncate_load(main_columns(shared), target_table, skip=skip)
         if audit_path:
             audit = audit_columns(shared)

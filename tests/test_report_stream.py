@@ -100,3 +100,26 @@ def test_stream_of_csv_reports(spark, scratch):
     got = sorted((r.billcycle, r.rownumber, r["Account No"], r.Name)
                  for r in spark.read.parquet(root + "/sink").collect())
     assert got == [("BC01", 3, "1", "a"), ("BC02", 2, "2", "b"), ("BC02", 3, "3", "c")]
+
+
+def test_run_report_job_end_to_end(spark, scratch):
+    import os
+    from sluice.plans.jobs import run_report_job
+    root = scratch("job")
+    write_text_files(root + "/in", {
+        "r_01.csv": "Statement,\nAccount No,Name\n1,a\n2,b\nPage 1 of 1,\n",
+        "r_02.csv": "zz,qq\n1,2\n"})
+    loc = scratch("job-tbl")
+    spark.sql(f"CREATE TABLE t_job (`Account No` string, NAME string, ROW_ID bigint) "
+              f"USING parquet LOCATION '{loc}'")
+    res = run_report_job(spark, [root + "/in/*.csv", root + "/in/gone.csv"], "Account No, Name",
+                         "t_job", audit_path=root + "/audit", processed=root + "/ok",
+                         error=root + "/err", row_number_label="row_id", width=2)
+    assert sorted(tuple(r) for r in spark.table("t_job").collect()) == [("1", "a", None),
+                                                                       ("2", "b", None)]
+    rep = res.report.first()
+    assert (rep.n_units, rep.n_failed) == (3, 2)
+    assert os.listdir(local_path(root + "/ok")) == ["r_01.csv"]
+    assert os.listdir(local_path(root + "/err")) == ["r_02.csv"]
+    audit = spark.read.parquet(root + "/audit").collect()
+    assert sorted((r.billcycle, r.rownumber) for r in audit) == [("BC01", 3), ("BC01", 4)]
