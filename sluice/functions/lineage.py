@@ -24,11 +24,25 @@ def file_stem(name) -> Column:
     return F.regexp_replace(_col(name), r"^(.*[^.].*)\.[^.]*$", "$1")
 
 
-def base_name(path) -> Column:
-    """Last path segment of a path or URI."""
+def decoded_path(path) -> Column:
+    """A scan's ``_metadata.file_path`` (URI-encoded: ``a b`` → ``a%20b``) as a plain path.
+
+    Percent escapes are decoded; ``+`` is literal in URI paths, so it is protected from the
+    form-style decoder first.
+    """
+    return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
+
+
+def last_segment(path) -> Column:
+    """Last segment of an already plain path."""
     return F.regexp_extract(_col(path), r"([^/]*)$", 1)
 
 
+def base_name(path) -> Column:
+    """Last segment of a scan file path, decoded (``file:/in/a%20b_01.txt`` → ``a b_01.txt``)."""
+    return F.regexp_extract(decoded_path(path), r"([^/]*)$", 1)
+
+
 def bill_cycle(name) -> Column:
     """``'BC'`` + the last two characters of the file stem (``sap_x_01.txt`` → ``BC01``)."""
     return F.concat(F.lit(CYCLE_PREFIX), F.right(file_stem(name), F.lit(2)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import EMPTY_DATA, MISSING_FILE, PROCESSED
-from ..functions.lineage import base_name
+from ..functions.lineage import decoded_path, last_segment
 from .stamp import FILE_COL
 
 # --- fixed values: reasons of the reference's outcomes -------------------------------------
@@ -34,10 +34,10 @@ def file_disposition(spark: SparkSession, inputs: list[str], data: DataFrame,
     from ..sources.files import qualify
 
     files = spark.createDataFrame([(qualify(spark, p),) for p in inputs], "path string")
-    counts = row_counts(data).withColumnRenamed(FILE_COL, "path")
+    counts = row_counts(data).select(decoded_path(FILE_COL).alias("path"), "n_rows")
     out = files.join(counts, "path", "left")
     if detected is not None:
-        out = out.join(detected.select(F.col(FILE_COL).alias("path"), "n"), "path", "left")
+        out = out.join(detected.select(decoded_path(FILE_COL).alias("path"), "n"), "path", "left")
     else:
         out = out.withColumn("n", F.lit(1))
     n_rows = F.coalesce(F.col("n_rows"), F.lit(0)).cast("long")
@@ -54,7 +54,7 @@ def file_disposition(spark: SparkSession, inputs: list[str], data: DataFrame,
         out = out.unionByName(gone)
     payload = F.when(F.col("status") != PROCESSED, F.to_json(F.struct(
         F.col("status"), F.col("path").alias("failed_file_path"), F.col("reason"))))
-    return out.select("path", base_name("path").alias("filename"), "status", "reason",
+    return out.select("path", last_segment("path").alias("filename"), "status", "reason",
                       "n_rows", payload.alias("payload"))
 
 

@@ -56,6 +56,13 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified form, as scans report it in ``_metadata.file_path``."""
-    fs, p = _fs_and_path(spark, path)
-    return fs.makeQualified(p).toString()
+    """Fully qualified, decoded form of a path or an encoded URI (``inputFiles()`` or a
+    stream's ``path``): the same text :func:`sluice.functions.lineage.decoded_path` gives
+    for a scan's ``_metadata.file_path``."""
+    jvm = spark.sparkContext._jvm
+    try:
+        hp = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    except Exception:  # noqa: BLE001 - not a valid URI (e.g. a plain path with spaces)
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hp).toString()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import replace_partitions
-from ..sources.files import move_to, split_existing
+from ..sources.files import move_to, qualify, split_existing
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -41,7 +41,8 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
     files = reader.load(inbound).select("path")
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        listed = sorted(r["path"] for r in batch.collect())   # ≤ max_files_per_trigger rows
+        # ≤ max_files_per_trigger rows; the stream reports encoded URIs, the reads take paths
+        listed = sorted(qualify(spark, r["path"]) for r in batch.collect())
         # A replayed micro-batch (driver lost after the moves, before the commit) finds
         # some files already moved: their rows were written before the move, so skip them.
         paths, _gone = split_existing(spark, listed) if listed else ([], [])

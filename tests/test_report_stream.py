@@ -123,3 +123,24 @@ def test_run_report_job_end_to_end(spark, scratch):
     assert os.listdir(local_path(root + "/err")) == ["r_02.csv"]
     audit = spark.read.parquet(root + "/audit").collect()
     assert sorted((r.billcycle, r.rownumber) for r in audit) == [("BC01", 3), ("BC01", 4)]
+
+
+def test_file_names_with_special_characters(spark, scratch):
+    import os
+    from sluice.operators.audit import audit_columns
+    from sluice.plans.text import parse_text
+    root = scratch("names")
+    names = ["a b_01.txt", "x+y%z_02.txt", "é_03.txt"]
+    write_text_files(root + "/in", {n: "D\t1\n" for n in names})
+    a = audit_columns(parse_text(spark, root + "/in", 2))
+    assert sorted((r.filename, r.billcycle) for r in a.collect()) == sorted(
+        [("a b_01.txt", "BC01"), ("x+y%z_02.txt", "BC02"), ("é_03.txt", "BC03")])
+    rows = parse_text(spark, root + "/in", 2)
+    d = file_disposition(spark, spark.read.text(root + "/in").inputFiles(), rows)
+    assert sorted((r.filename, r.status, r.n_rows) for r in d.collect()) == sorted(
+        [(n, "processed", 1) for n in names])
+    q = stream_inbound(spark, root + "/in", root + "/sink", root + "/_ck", text_audit_rows(2),
+                       processed=root + "/done")
+    q.awaitTermination()
+    assert sorted(os.listdir(local_path(root + "/done"))) == sorted(names)
+    assert spark.read.parquet(root + "/sink").count() == 3
