@@ -20,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import base_name
 from ..session import ensure_checkpoint_dir
 
 FILE_COL = "_file"
+NAME_COL = "filename"
 BLOCK_COL = "_block"
 ID_COL = "_mid"
 ROW_COL = "_temp_row_num"
@@ -52,7 +54,8 @@ def _pin_split_planning(df: DataFrame) -> None:
 
 
 def split_offsets(positioned: DataFrame) -> DataFrame:
-    """Per (file, split): first id and number of rows in earlier splits of the file."""
+    """Per (file, split): first id, rows in earlier splits of the file and the decoded file
+    name (computed here once per split instead of once per row)."""
     blocks = positioned.groupBy(FILE_COL, BLOCK_COL).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ID_COL).alias("_first"))
     earlier = (Window.partitionBy(FILE_COL).orderBy(BLOCK_COL)
@@ -60,13 +63,17 @@ def split_offsets(positioned: DataFrame) -> DataFrame:
     return blocks.select(
         FILE_COL, BLOCK_COL, "_first",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
+        base_name(FILE_COL).alias("_name"),
     )
 
 
 def stamp_rows(positioned: DataFrame, row_col: str = ROW_COL,
                broadcast_bytes: int = BROADCAST_BYTES_LIMIT,
                keep_position: bool = False) -> DataFrame:
-    """Add ``row_col``: 1..N per file in file order. ``positioned`` comes from :func:`with_position`."""
+    """Add ``filename`` (decoded) and ``row_col`` (1..N per file in file order).
+
+    ``positioned`` comes from :func:`with_position`.
+    """
     _pin_split_planning(positioned)
     ensure_checkpoint_dir(positioned.sparkSession)
     offsets = split_offsets(positioned).checkpoint(eager=True)
@@ -79,7 +86,7 @@ def stamp_rows(positioned: DataFrame, row_col: str = ROW_COL,
         F.raise_error(F.lit("file splits changed between numbering passes")),
     ).otherwise(F.col("_base") + (F.col(ID_COL) - F.col("_first")) + F.lit(1))
     out_cols = [c for c in positioned.columns if keep_position or c not in (BLOCK_COL, ID_COL)]
-    return joined.select(*out_cols, number.cast("long").alias(row_col))
+    return joined.select(*out_cols, F.col("_name").alias(NAME_COL), number.cast("long").alias(row_col))
 
 
 def in_file_order(df: DataFrame, row_col: str = ROW_COL, file_col: str = FILE_COL) -> DataFrame:

@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from ..errors import MISSING_PARAMETERS, IntakeError
 from ..functions.lineage import base_name
 from ..operators import headers as H
-from ..operators.stamp import FILE_COL, ROW_COL, stamp_rows
+from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
 from ..session import ensure_checkpoint_dir
 from ..sources.csv import DEFAULT_SEP, read_csv_grid
 
 FLAT_LABEL = "column"
 
 
+def _name(df: DataFrame):
+    """The decoded file name: carried from the scan when present (computed once per file)."""
+    return F.col(NAME_COL) if NAME_COL in df.columns else base_name(FILE_COL).alias(NAME_COL)
+
+
 @dataclass
 class HeadedResult:
     data: DataFrame       # target columns, filename, _file, _temp_row_num
@@ -26,7 +31,8 @@ class HeadedResult:
 
 def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | None = None,
              on_missing: str = "raise") -> DataFrame:
-    """``(cells, _file, _temp_row_num)`` for every non-empty CSV line, numbered per file."""
+    """``(cells, _file, filename, _temp_row_num)`` for every non-empty CSV line, numbered
+    per file."""
     return stamp_rows(read_csv_grid(spark, paths, sep=sep, width=width, on_missing=on_missing))
 
 
@@ -55,8 +61,9 @@ def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
     if not targets:
         raise IntakeError(MISSING_PARAMETERS, "target_headers is required")
     detected = detect(grid, targets, min_score, strict)
-    data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets)
-    data = data.select(*targets, base_name(FILE_COL).alias("filename"), FILE_COL, ROW_COL)
+    data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets,
+                            keep=(NAME_COL, FILE_COL, ROW_COL))
+    data = data.select(*targets, _name(data), FILE_COL, ROW_COL)
     return HeadedResult(data, detected, targets)
 
 
@@ -65,7 +72,7 @@ def flat(grid: DataFrame, label: str = FLAT_LABEL, width: int | None = None) ->
     if width is None:
         width = grid.agg(F.max(F.size("cells")).alias("w")).first()["w"] or 0
     cols = [F.get(F.col("cells"), i).alias(f"{label}{i + 1}") for i in range(int(width))]
-    return grid.select(*cols, base_name(FILE_COL).alias("filename"), FILE_COL, ROW_COL)
+    return grid.select(*cols, _name(grid), FILE_COL, ROW_COL)
 
 
 def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SEP,
@@ -76,14 +83,16 @@ def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SE
 
 def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise",
                 materialise: bool = True) -> DataFrame:
-    """``(cells, _file, _temp_row_num)`` of one sheet per workbook (numbered while parsed).
+    """``(cells, filename, _file, _temp_row_num)`` of one sheet per workbook (numbered while
+    parsed).
 
     Parsing is Python work, so by default the parsed grid is checkpointed to the shared
     folder once and both the header pass and the data pass read it.
     """
     from ..sources.workbook import read_workbooks
 
-    grid = read_workbooks(spark, paths, sheet, on_missing).select("cells", FILE_COL, ROW_COL)
+    grid = read_workbooks(spark, paths, sheet, on_missing).select(
+        "cells", NAME_COL, FILE_COL, ROW_COL)
     if materialise:
         ensure_checkpoint_dir(spark)
         grid = grid.checkpoint(eager=True)

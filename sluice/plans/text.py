@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import MISSING_PARAMETERS, IntakeError
-from ..functions.lineage import base_name
 from ..operators.delimited import (DEFAULT_DELIMITER, DEFAULT_LABEL, ALL_RECORDS,
                                    expand_fields, field_names, record_type)
-from ..operators.stamp import FILE_COL, ROW_COL, stamp_rows
+from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
 from ..sources.text import read_lines
 
 
@@ -23,10 +22,10 @@ def parse_text(spark: SparkSession, paths, expected_columns, delimiter_regex: st
         raise IntakeError(MISSING_PARAMETERS, "expected_columns is required", str(paths))
     n = int(expected_columns)
     stamped = stamp_rows(read_lines(spark, paths, on_missing=on_missing))
-    expanded = expand_fields(stamped, n, delimiter_regex, col_label, keep=[FILE_COL, ROW_COL])
+    expanded = expand_fields(stamped, n, delimiter_regex, col_label,
+                             keep=[NAME_COL, FILE_COL, ROW_COL])
     kept = record_type(expanded, filter_record_type, col_label)
-    return kept.select(*field_names(n, col_label), base_name(FILE_COL).alias("filename"),
-                       FILE_COL, ROW_COL)
+    return kept.select(*field_names(n, col_label), NAME_COL, FILE_COL, ROW_COL)
 
 
 def ingest_text(spark: SparkSession, paths, expected_columns, target=None,

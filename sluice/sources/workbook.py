@@ -29,7 +29,8 @@ from .files import split_existing
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL_NS = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
-GRID_SCHEMA = f"{FILE_COL} string, sheet string, {ROW_COL} long, cells array<string>"
+GRID_SCHEMA = (f"{FILE_COL} string, filename string, sheet string, {ROW_COL} long, "
+               "cells array<string>")
 BATCH_ROWS = 4096
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
@@ -149,22 +150,28 @@ def iter_sheet_rows(content: bytes, sheet=0):
 
 
 def _parse_batches(sheet):
+    from urllib.parse import unquote
+
+    cols = [FILE_COL, "filename", "sheet", ROW_COL, "cells"]
+
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
+                fname = unquote(path.rsplit("/", 1)[-1])   # paths are URI-encoded
                 buf = []
                 for name, r, cells in iter_sheet_rows(bytes(content), sheet):
-                    buf.append((path, name, r, cells))
+                    buf.append((path, fname, name, r, cells))
                     if len(buf) >= BATCH_ROWS:
-                        yield pd.DataFrame(buf, columns=[FILE_COL, "sheet", ROW_COL, "cells"])
+                        yield pd.DataFrame(buf, columns=cols)
                         buf = []
                 if buf:
-                    yield pd.DataFrame(buf, columns=[FILE_COL, "sheet", ROW_COL, "cells"])
+                    yield pd.DataFrame(buf, columns=cols)
     return run
 
 
 def read_workbooks(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
-    """``(_file, sheet, _temp_row_num, cells)`` for one sheet (index or name) of each workbook."""
+    """``(_file, filename, sheet, _temp_row_num, cells)`` for one sheet (index or name) of
+    each workbook."""
     found, missing = split_existing(spark, paths)
     if missing and (on_missing == "raise" or not found):
         raise IntakeError(MISSING_FILE, "input object not found", ",".join(missing))
