@@ -24,13 +24,13 @@ from sluice.functions.text import norm_text  # noqa: E402
 from sluice.functions.lineage import uuid7  # noqa: E402
 from sluice.operators.align import align  # noqa: E402
 from sluice.operators.audit import audit_columns, file_columns  # noqa: E402
-from sluice.operators.clean import balanced, max_lengths, stringify  # noqa: E402
+from sluice.operators.clean import balanced, stringify  # noqa: E402
 from sluice.operators.stamp import stamp_rows  # noqa: E402
 from sluice.plans import headed as HP  # noqa: E402
 from sluice.plans.copy import prepare_copy  # noqa: E402
 from sluice.plans.text import parse_text  # noqa: E402
 from sluice.session import build_session, scratch_path  # noqa: E402
-from sluice.sinks.tables import persisted, replace_partitions  # noqa: E402
+from sluice.sinks.tables import replace_partitions  # noqa: E402
 from sluice.sources.text import read_lines  # noqa: E402
 
 
@@ -94,12 +94,13 @@ def main() -> None:
         run(docs.select("doc_id", norm_text("text").alias("t")))
 
     def q_table_copy():
-        # as copy_table does it: prepared rows persisted once for the audit and the load
+        # as copy_table(lengths="observe") does it: the length audit rides on the load pass
+        from pyspark.sql import Observation
         res = prepare_copy(lineitem, [c.upper() for c in lineitem.columns] + ["EXTRA"],
                            rate_columns=["l_tax"])
-        with persisted(res.data) as data:
-            max_lengths(data).collect()
-            run(data)
+        obs = Observation("max_lengths")
+        run(res.data.observe(obs, *[F.max(F.length(F.col(c))).alias(c) for c in res.data.columns]))
+        assert len(obs.get) == len(res.data.columns)
 
     def q_align_stringify():
         run(align(stringify(lineitem), lineitem.schema, cast=True))

@@ -39,20 +39,40 @@ def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS,
 
 
 def copy_table(source: DataFrame, target_table: str, rate_columns=DEFAULT_RATE_COLUMNS,
-               backup_path: str | None = None) -> CopyResult:
+               backup_path: str | None = None, lengths: str = "preflight",
+               persist: bool = False) -> CopyResult:
     """Copy ``source`` into a catalog table; an empty source ends without writing.
 
-    The prepared rows are persisted once and reused by the length audit, the optional CSV
-    backup and the load, so the source is read once. A missing backup folder skips only the
-    backup (trap T11).
+    ``lengths='preflight'`` (the reference's order) measures the longest value of every
+    column in one aggregation before anything is written; ``lengths='observe'`` measures
+    them during the load itself with an :class:`~pyspark.sql.Observation`, so the copy reads
+    the source once. ``persist`` keeps the prepared rows (memory and disk) for the audit,
+    backup and load – worth it for a modest database source, not for a very large one, which
+    is simply read again. A missing backup folder skips only the backup (trap T11).
     """
+    from contextlib import nullcontext
+
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     spark = source.sparkSession
     res = prepare_copy(source, spark.table(target_table).schema, rate_columns)
-    with persisted(res.data) as data:
+    with (persisted(res.data) if persist else nullcontext(res.data)) as data:
         if data.isEmpty():
             return res
-        res.lengths = spark.createDataFrame(max_lengths(data).collect(), "column string, max_len long")
-        if backup_path:
-            backup_csv(data, backup_path)
-        truncate_load(data, target_table)
+        if lengths == "observe":
+            obs = Observation("max_lengths")
+            load = data.observe(obs, *[
+                F.max(F.length(F.col(f"`{c}`"))).cast("long").alias(c) for c in data.columns])
+            if backup_path:
+                backup_csv(data, backup_path)
+            truncate_load(load, target_table)
+            got = obs.get
+            rows = [(c, got.get(c)) for c in data.columns]
+        else:
+            rows = [(r["column"], r["max_len"]) for r in max_lengths(data).collect()]
+            if backup_path:
+                backup_csv(data, backup_path)
+            truncate_load(data, target_table)
+    res.lengths = spark.createDataFrame(rows, "column string, max_len long")
     return res

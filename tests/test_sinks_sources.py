@@ -225,3 +225,19 @@ def test_workbook_streaming_with_dimension_equals_buffered():
     held = list(iter_sheet_rows(build_workbook(rows)))
     assert streamed == held == [("Sheet1", 1, ["a", "", "c"]), ("Sheet1", 2, ["", "", ""]),
                                 ("Sheet1", 3, ["", "x", ""]), ("Sheet1", 4, ["1", "2", "3"])]
+
+
+@pytest.mark.parametrize("mode", ["preflight", "observe"])
+def test_copy_table_length_audit_modes(spark, scratch, mode):
+    from sluice.plans.copy import copy_table
+    loc = scratch("copy-" + mode)
+    tname = f"t_copy_{mode}"
+    spark.sql(f"CREATE TABLE {tname} (ID string, VATRATE string, MISSING string) "
+              f"USING parquet LOCATION '{loc}'")
+    src = spark.createDataFrame([(1, "12.00"), (22, "7.50")], "id int, VatRate string")
+    res = copy_table(src, tname, rate_columns=["vatrate"], lengths=mode)
+    assert sorted(tuple(r) for r in spark.table(tname).collect()) == [("1", "12", None),
+                                                                      ("22", "7.50", None)]
+    assert {r["column"]: r["max_len"] for r in res.lengths.collect()} == {
+        "ID": 2, "VATRATE": 4, "MISSING": None}
+    assert res.missing == ["MISSING"]
