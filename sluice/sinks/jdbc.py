@@ -35,10 +35,12 @@ def target_schema(spark: SparkSession, url: str, table: str, properties: dict) -
 
 def truncate_load(df: DataFrame, url: str, table: str, properties: dict,
                   skip: str | None = None, num_partitions: int | None = None) -> None:
-    """Keep the table definition, replace all rows (K1). Names are checked first."""
+    """Keep the table definition, replace all rows (K1). Names are checked first (T6) and
+    values converted to the table's types with ``try_cast`` (A6), so typed targets do not
+    depend on database-side string coercion."""
     spark = df.sparkSession
     schema = target_schema(spark, url, table, properties)
-    aligned = align(df, schema, skip=skip)
+    aligned = align(df, schema, skip=skip, cast=True)
     extra = unknown_columns(aligned, schema)
     if extra:
         raise IntakeError(DATABASE_ERROR, f"columns not in {table}: {extra}", table)
