@@ -159,3 +159,13 @@ def test_min_score_excludes_shared_letter_matches(spark):
                              min_score=0.8).first()
     assert all(m["score"] >= 0.8 for m in tight["mapping"])
     assert any(m["score"] == 0.7 for m in loose["mapping"]) or loose["n"] >= tight["n"]
+
+
+def test_footer_phrases_parameter(spark):
+    # The default phrase "page " also drops a legitimate row such as "Homepage x".
+    grid = [["Account No", "Note"], ["1", "Homepage x"], ["2", "ok"]]
+    default = HP.headed(_grid_df(spark, [grid]), "Account No")
+    assert sorted(r["Account No"] for r in default.data.collect()) == ["2"]
+    narrowed = HP.headed(_grid_df(spark, [grid]), "Account No",
+                         footer_phrases=("page 1 of", "run time"))
+    assert sorted(r["Account No"] for r in narrowed.data.collect()) == ["1", "2"]
