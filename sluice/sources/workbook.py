@@ -48,9 +48,14 @@ def _sheet_part(zf: zipfile.ZipFile, sheet) -> tuple[str, str]:
     if not sheets:
         raise ValueError("workbook has no sheets")
     if isinstance(sheet, int):
+        if not -len(sheets) <= sheet < len(sheets):
+            raise ValueError(f"workbook has {len(sheets)} sheets, no index {sheet}")
         name, rid = sheets[sheet]
     else:
-        name, rid = next(s for s in sheets if s[0] == sheet)
+        found = [s for s in sheets if s[0] == sheet]
+        if not found:
+            raise ValueError(f"sheet {sheet!r} not found; sheets: {[s[0] for s in sheets]}")
+        name, rid = found[0]
     rels = parse(zf.open("xl/_rels/workbook.xml.rels")).getroot()
     target = next(r.get("Target") for r in rels.iter(_PKG_REL + "Relationship")
                   if r.get("Id") == rid)
@@ -58,13 +63,25 @@ def _sheet_part(zf: zipfile.ZipFile, sheet) -> tuple[str, str]:
     return name, part
 
 
+def _rich_text(el) -> str:
+    """Text of a string item (``si`` / ``is``): its own ``t`` or its runs' ``t``; phonetic
+    guides (``rPh``) are not part of the value."""
+    parts = []
+    for child in el:
+        if child.tag == _NS + "t":
+            parts.append(child.text or "")
+        elif child.tag == _NS + "r":
+            parts.extend(t.text or "" for t in child.findall(_NS + "t"))
+    return "".join(parts)
+
+
 def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in zf.namelist():
         return []
     out = []
     for _, el in iterparse(zf.open("xl/sharedStrings.xml")):
         if el.tag == _NS + "si":
-            out.append("".join(t.text or "" for t in el.iter(_NS + "t")))
+            out.append(_rich_text(el))
             el.clear()
     return out
 
@@ -72,7 +89,8 @@ def _shared_strings(zf: zipfile.ZipFile) -> list[str]:
 def _cell_text(c, shared: list[str]) -> str:
     t = c.get("t")
     if t == "inlineStr":
-        return "".join(x.text or "" for x in c.iter(_NS + "t"))
+        inline = c.find(_NS + "is")
+        return _rich_text(inline) if inline is not None else ""
     v = c.find(_NS + "v")
     raw = v.text if v is not None and v.text is not None else ""
     if t == "s":

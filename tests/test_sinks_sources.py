@@ -73,7 +73,8 @@ def test_csv_two_character_separator(spark, scratch):
 
 def _sheet_xml_workbook():
     shared = ('<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
-              '<si><t>Hello</t></si><si><r><t>Rich </t></r><r><t>text</t></r></si></sst>')
+              '<si><t>Hello</t></si><si><r><t>Rich </t></r><r><t>text</t></r>'
+              '<rPh sb="0" eb="1"><t>PHONETIC</t></rPh></si></sst>')
     sheet = ('<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
              '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row>'
              '<row r="3"><c r="A3"><v>12</v></c><c r="B3"><v>2.5</v></c><c r="D3" t="b"><v>1</v></c></row>'
@@ -241,3 +242,8 @@ def test_copy_table_length_audit_modes(spark, scratch, mode):
     assert {r["column"]: r["max_len"] for r in res.lengths.collect()} == {
         "ID": 2, "VATRATE": 4, "MISSING": None}
     assert res.missing == ["MISSING"]
+
+
+def test_workbook_missing_sheet_name_is_a_clear_error():
+    with pytest.raises(ValueError, match="not found"):
+        list(iter_sheet_rows(build_workbook([["a"]]), sheet="Nope"))
