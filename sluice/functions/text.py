@@ -26,6 +26,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ident(name: str) -> Column:
+    """A column by its exact name, even with dots, spaces or backticks in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def collapse_ws(c) -> Column:
     """Every whitespace run (Python's definition) becomes one space; ends trimmed."""
     return F.trim(F.regexp_replace(_col(c), WHITESPACE_CLASS + "+", " "))

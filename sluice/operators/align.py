@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import ident
+
 log = logging.getLogger(__name__)
 
 
@@ -52,7 +54,7 @@ def align(df: DataFrame, target, match: str = "insensitive", skip: str | None =
             if src is None:
                 e = F.lit(None).cast(types.get(t, T.StringType()) if cast else T.StringType())
             else:
-                e = F.col(f"`{src}`")
+                e = ident(src)
                 if cast and t in types:
                     e = e.try_cast(types[t])
             exprs.append(e.alias(t))
@@ -86,6 +88,6 @@ def cast_failures(df: DataFrame, target) -> DataFrame:
         src = by_lower.get(t.lower())
         if src is None:
             continue
-        c = F.col(f"`{src}`")
+        c = ident(src)
         aggs.append(F.count_if(c.isNotNull() & c.try_cast(dt).isNull()).alias(t))
     return df.agg(*aggs) if aggs else df.sparkSession.range(1).select()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lineage import base_name, bill_cycle, uuid7
+from ..functions.text import ident
 from .stamp import FILE_COL, ROW_COL
 
 # --- fixed values: audit / metadata column names of the reference --------------------------
@@ -36,7 +37,7 @@ def audit_columns(df: DataFrame, file_name=None, cycle=None) -> DataFrame:
     name = _file_name(df, file_name)
     cyc = bill_cycle(name) if cycle is None else (F.lit(cycle) if isinstance(cycle, str) else cycle)
     data = [c for c in df.columns if c not in (FILE_COL, ROW_COL, "filename")]
-    return df.select(*[F.col(f"`{c}`") for c in data],
+    return df.select(*[ident(c) for c in data],
                      F.col(ROW_COL).alias(AUDIT_ROW), cyc.alias(AUDIT_CYCLE),
                      name.alias(AUDIT_FILE), uuid7().alias(AUDIT_ID),
                      F.current_timestamp().alias(AUDIT_TIME))
@@ -46,11 +47,11 @@ def file_columns(df: DataFrame, file_name=None) -> DataFrame:
     """Main-table metadata ``filename`` and ``dateread``; helper columns dropped."""
     name = _file_name(df, file_name)
     data = [c for c in df.columns if c not in (FILE_COL, ROW_COL, "filename")]
-    return df.select(*[F.col(f"`{c}`") for c in data], name.alias(META_FILE),
+    return df.select(*[ident(c) for c in data], name.alias(META_FILE),
                      F.current_timestamp().alias(META_TIME))
 
 
 def main_columns(df: DataFrame) -> DataFrame:
     """Rows for the main table: data columns only (no number, no helper columns)."""
-    return df.select(*[F.col(f"`{c}`") for c in df.columns
+    return df.select(*[ident(c) for c in df.columns
                        if c not in (FILE_COL, ROW_COL, "filename")])

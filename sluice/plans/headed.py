@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..errors import MISSING_PARAMETERS, IntakeError
 from ..functions.lineage import base_name
+from ..functions.text import ident
 from ..operators import headers as H
 from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
 from ..session import ensure_checkpoint_dir
@@ -63,7 +64,7 @@ def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
     detected = detect(grid, targets, min_score, strict)
     data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets,
                             keep=(NAME_COL, FILE_COL, ROW_COL))
-    data = data.select(*targets, _name(data), FILE_COL, ROW_COL)
+    data = data.select(*[ident(t) for t in targets], _name(data), FILE_COL, ROW_COL)
     return HeadedResult(data, detected, targets)
 
 

@@ -169,3 +169,14 @@ def test_footer_phrases_parameter(spark):
     narrowed = HP.headed(_grid_df(spark, [grid]), "Account No",
                          footer_phrases=("page 1 of", "run time"))
     assert sorted(r["Account No"] for r in narrowed.data.collect()) == ["1", "2"]
+
+
+def test_target_names_with_dots_and_spaces(spark):
+    from sluice.operators.align import align
+    from sluice.operators.audit import audit_columns
+    grid = [["Acct. No", "Full Name"], ["7", "Ann"]]
+    res = HP.headed(_grid_df(spark, [grid]), "Acct. No, Full Name")
+    row = res.data.first()
+    assert (row["Acct. No"], row["Full Name"]) == ("7", "Ann")
+    out = align(audit_columns(res.data), ["ACCT. NO", "rownumber"]).first()
+    assert tuple(out) == ("7", 2)
