@@ -33,6 +33,12 @@ def decoded_path(path) -> Column:
     return F.url_decode(F.replace(_col(path), F.lit("+"), F.lit("%2B")))
 
 
+def canonical_path(path) -> Column:
+    """One spelling for a scan's ``_metadata.file_path`` and a listing's URI
+    (``inputFiles()``): ``file:///x`` becomes ``file:/x``, percent escapes are decoded."""
+    return decoded_path(F.regexp_replace(_col(path), r"^file:///", "file:/"))
+
+
 def last_segment(path) -> Column:
     """Last segment of an already plain path."""
     return F.regexp_extract(_col(path), r"([^/]*)$", 1)

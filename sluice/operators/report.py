@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import EMPTY_DATA, MISSING_FILE, PROCESSED
-from ..functions.lineage import decoded_path, last_segment
+from ..functions.lineage import canonical_path, last_segment
 from .stamp import FILE_COL
 
 # --- fixed values: reasons of the reference's outcomes -------------------------------------
@@ -31,13 +31,14 @@ def file_disposition(spark: SparkSession, inputs: list[str], data: DataFrame,
     ``fail_on_no_rows`` (spreadsheet rule), when no data row survived; missing inputs are
     ``missing_file``; all others ``processed``. ``payload`` is the JSON error text.
     """
-    from ..sources.files import qualify
-
-    files = spark.createDataFrame([(qualify(spark, p),) for p in inputs], "path string")
-    counts = row_counts(data).select(decoded_path(FILE_COL).alias("path"), "n_rows")
+    # Paths are normalised by Spark on both sides (no per-file driver call).
+    files = spark.createDataFrame([(p,) for p in inputs], "path string") \
+        .select(canonical_path("path").alias("path"))
+    counts = row_counts(data).select(canonical_path(FILE_COL).alias("path"), "n_rows")
     out = files.join(counts, "path", "left")
     if detected is not None:
-        out = out.join(detected.select(decoded_path(FILE_COL).alias("path"), "n"), "path", "left")
+        out = out.join(detected.select(canonical_path(FILE_COL).alias("path"), "n"), "path",
+                       "left")
     else:
         out = out.withColumn("n", F.lit(1))
     n_rows = F.coalesce(F.col("n_rows"), F.lit(0)).cast("long")
