@@ -71,24 +71,31 @@ def run_report(dispositions: DataFrame, unit_col: str = "filename") -> DataFrame
 
 
 def move_by_outcome(spark: SparkSession, dispositions: DataFrame, processed: str,
-                    error: str) -> DataFrame:
+                    error: str, threads: int = 16) -> DataFrame:
     """Move every present input to ``processed`` or ``error`` by its status.
 
-    One metadata rename per file on the driver (the file list is already held there).
-    Returns ``(path, status, moved_to, move_error)``; a failed move of a failed file has
-    the status ``cascading_failure``, as when quarantine fails after a pipeline error.
+    Renames are metadata operations issued from the driver (which already holds the file
+    list) through a bounded thread pool. Returns ``(path, status, moved_to, move_error)``;
+    a failed move of a failed file has the status ``cascading_failure``, as when quarantine
+    fails after a pipeline error.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from ..errors import CASCADING_FAILURE
     from ..sources.files import move_to
 
-    out = []
-    rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
-    for r in rows.toLocalIterator():
-        target = processed if r["status"] == PROCESSED else error
+    def move(row):
+        path, status = row
+        target = processed if status == PROCESSED else error
         try:
-            out.append((r["path"], r["status"], move_to(spark, r["path"], target), None))
+            return path, status, move_to(spark, path, target), None
         except Exception as exc:  # noqa: BLE001 - reported as data
-            status = r["status"] if r["status"] == PROCESSED else CASCADING_FAILURE
-            out.append((r["path"], status, None, f"{type(exc).__name__}: {exc}"[:200]))
+            failed = status if status == PROCESSED else CASCADING_FAILURE
+            return path, failed, None, f"{type(exc).__name__}: {exc}"[:200]
+
+    rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
+    pairs = [(r["path"], r["status"]) for r in rows.toLocalIterator()]
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        out = list(pool.map(move, pairs))
     return spark.createDataFrame(out, "path string, status string, moved_to string, "
                                       "move_error string")
