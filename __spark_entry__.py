@@ -53,15 +53,18 @@ def _lines(spark, sf_dir):
 
 
 def q_text_expand(spark, sf_dir):
+    """Regex split, fixed-width expansion (NULL past the end), trim."""
     return expand_fields(_lines(spark, sf_dir), TEXT_COLUMNS, null_blank=False,
                          keep=["o_orderkey"])
 
 
 def q_text_blank_null(spark, sf_dir):
+    """Blank fields become NULL after trimming."""
     return expand_fields(_lines(spark, sf_dir), TEXT_COLUMNS, keep=["o_orderkey"])
 
 
 def q_record_filter(spark, sf_dir):
+    """record-type filter on the first field."""
     return record_type(q_text_blank_null(spark, sf_dir), "H")
 
 
@@ -72,12 +75,14 @@ def _order_files(spark, sf_dir):
 
 
 def q_text_pipeline(spark, sf_dir):
+    """Text files → numbered per file → expanded → record filter."""
     parsed = parse_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS,
                         filter_record_type="D")
     return parsed.select(*COLS7, "filename", F.col(ROW_COL).alias("rownumber"))
 
 
 def q_row_stamp(spark, sf_dir):
+    """Dense 1-based numbers in file order over many files."""
     folder = scratch_path(spark, "event-lines")
     fx.write_event_files(spark, sf_dir, folder)
     stamped = stamp_rows(read_lines(spark, folder))
@@ -86,6 +91,7 @@ def q_row_stamp(spark, sf_dir):
 
 
 def q_text_scan(spark, sf_dir):
+    """One row per line, blank lines kept (line counts per language)."""
     folder = scratch_path(spark, "doc-lines")
     fx.write_document_files(spark, sf_dir, folder)
     lines = read_lines(spark, folder, positioned=False)
@@ -98,12 +104,14 @@ def q_text_scan(spark, sf_dir):
 
 
 def q_norm_text(spark, sf_dir):
+    """Whitespace / none normaliser over whole document texts."""
     docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     edge = spark.createDataFrame(NORM_EDGES, "doc_id long, text string")
     return docs.unionByName(edge).select("doc_id", norm_text("text").alias("norm"))
 
 
 def q_bill_cycle(spark, sf_dir):
+    """Bill cycle from the file stem."""
     orders = fx.table(spark, sf_dir, "orders")
     name = fx.cycle_file_name(F.col("o_orderstatus"), F.col("o_orderkey"))
     return orders.select("o_orderkey", name.alias("filename"),
@@ -111,6 +119,7 @@ def q_bill_cycle(spark, sf_dir):
 
 
 def q_uuid7(spark, sf_dir):
+    """UUIDv7 ids are valid and distinct."""
     ev = fx.table(spark, sf_dir, "events").select("event_id", uuid7().alias("sequencialid"))
     return ev.agg(F.count(F.lit(1)).alias("n_rows"),
                   F.count_if(is_uuid7("sequencialid")).alias("n_valid"),
@@ -139,6 +148,7 @@ def _targets():
 
 
 def q_csv_scan(spark, sf_dir):
+    """Headerless CSV reports as positional cells, numbered per file."""
     g = _report_grid(spark, sf_dir)
     return g.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *_cells6())
 
@@ -148,6 +158,7 @@ def _windows(spark, sf_dir):
 
 
 def q_header_windows(spark, sf_dir):
+    """H1 / O2: candidate header blocks of each report's first 50 rows."""
     w = _windows(spark, sf_dir)
     return (w.select(_sheet(), "start", "height", F.posexplode("cols").alias("c", "text"))
             .filter(F.col("text") != "")
@@ -157,6 +168,7 @@ def q_header_windows(spark, sf_dir):
 
 
 def q_header_scores(spark, sf_dir):
+    """Pair scores of block columns against the targets."""
     sc = H.header_scores(_windows(spark, sf_dir), _targets())
     return sc.select(_sheet(), F.col("start").cast("long").alias("start"),
                      F.col("height").cast("long").alias("height"),
@@ -166,6 +178,7 @@ def q_header_scores(spark, sf_dir):
 
 
 def q_header_assign(spark, sf_dir):
+    """H3: greedy one-to-one assignment per block."""
     a = H.assign_headers(H.header_scores(_windows(spark, sf_dir), _targets()))
     return a.select(_sheet(), F.col("start").cast("long").alias("start"),
                     F.col("height").cast("long").alias("height"),
@@ -175,6 +188,7 @@ def q_header_assign(spark, sf_dir):
 
 
 def q_header_detect(spark, sf_dir):
+    """H4: best header block per report."""
     d = HP.detect(_report_grid(spark, sf_dir), _targets())
     return d.filter(F.col("n") > 0).select(
         _sheet(), F.col("header_end").cast("long").alias("header_end"),
@@ -191,23 +205,28 @@ def _grid_out(df):
 
 
 def q_preamble_skip(spark, sf_dir):
+    """Rows after each report's header block."""
     return _grid_out(_after_header(spark, sf_dir))
 
 
 def q_footer_filter(spark, sf_dir):
+    """Footer rows removed."""
     return _grid_out(H.drop_footers(_after_header(spark, sf_dir)))
 
 
 def q_blank_row_filter(spark, sf_dir):
+    """blank rows removed."""
     return _grid_out(H.drop_blank_rows(_after_header(spark, sf_dir)))
 
 
 def q_headed_project(spark, sf_dir):
+    """Mapped cells projected onto the target headers."""
     res = HP.headed(_report_grid(spark, sf_dir), fx.TARGET_HEADERS)
     return res.data.select(_sheet(), F.col(ROW_COL).alias("rownumber"), *res.targets)
 
 
 def q_flat_rename(spark, sf_dir):
+    """P5 / C4: flat positional column1..N."""
     flat = HP.flat(_report_grid(spark, sf_dir))
     return flat.select(_sheet(), F.col(ROW_COL).alias("rownumber"),
                        *[f"column{i}" for i in range(1, fx.GRID_WIDTH + 1)])
@@ -229,19 +248,23 @@ def _schema(ddl):
 
 
 def q_align_case_insensitive(spark, sf_dir):
+    """Case-insensitive alignment, missing NULL, extras dropped."""
     return align(fx.table(spark, sf_dir, "customer"), _schema(T_CUSTOMER))
 
 
 def q_align_exact(spark, sf_dir):
+    """A2 / A5: exact-case alignment (case trap kept) with a skipped column."""
     return align(fx.table(spark, sf_dir, "customer"), _schema(T_EXACT), match="exact",
                  skip="ROW_ID")
 
 
 def q_align_skip(spark, sf_dir):
+    """A5: generated row-number column skipped."""
     return align(fx.table(spark, sf_dir, "customer"), _schema(T_CUSTOMER), skip="row_id")
 
 
 def q_align_typed(spark, sf_dir):
+    """Conversion to the target types with try_cast."""
     return align(stringify(fx.table(spark, sf_dir, "customer")), _schema(T_TYPED), cast=True)
 
 
@@ -251,18 +274,22 @@ def _part2(spark, sf_dir):
 
 
 def q_stringify(spark, sf_dir):
+    """Every column to trimmed string."""
     return stringify(_part2(spark, sf_dir))
 
 
 def q_strip_zero_fraction(spark, sf_dir):
+    """Zero-only decimal tail removed."""
     return strip_zero_fraction(stringify(_part2(spark, sf_dir)), ["p_retailprice"])
 
 
 def q_max_lengths(spark, sf_dir):
+    """Longest value per column in one aggregation."""
     return max_lengths(fx.table(spark, sf_dir, "customer").select("c_name", "c_mktsegment"))
 
 
 def q_csv_backup(spark, sf_dir):
+    """K4: CSV backup with header, read back."""
     s = fx.table(spark, sf_dir, "supplier")
     s = stringify(s.withColumn("s_acctbal", F.col("s_acctbal").cast("decimal(18,2)")))
     path = scratch_path(spark, "supplier-backup")
@@ -282,6 +309,7 @@ def _scratch_table(spark, name, ddl):
 
 
 def q_truncate_load(spark, sf_dir):
+    """K1 / K5: truncate-and-load keeps the table, replaces all rows."""
     t = _scratch_table(spark, "nation_copy", "N_NATIONKEY int, N_NAME string, N_REGIONKEY int")
     region = fx.table(spark, sf_dir, "region")
     truncate_load(region.select(F.col("r_regionkey").alias("n_nationkey"),
@@ -291,6 +319,7 @@ def q_truncate_load(spark, sf_dir):
 
 
 def q_table_copy(spark, sf_dir):
+    """Align, sanitise, length audit and load a table copy."""
     t = _scratch_table(spark, "part_copy", T_PART)
     copy_table(_part2(spark, sf_dir), t, rate_columns=["p_retailprice"])
     return spark.table(t)
@@ -307,6 +336,7 @@ def _audit_rows(spark, sf_dir):
 
 
 def q_audit_enrich(spark, sf_dir):
+    """Audit columns aligned to the audit table."""
     a = _audit_rows(spark, sf_dir)
     return a.select(*COLS7, "rownumber", "billcycle", "filename",
                     is_uuid7("sequencialid").alias("id_valid"),
@@ -314,16 +344,19 @@ def q_audit_enrich(spark, sf_dir):
 
 
 def q_file_columns(spark, sf_dir):
+    """Filename and dateread on the main rows."""
     main, _ = ingest_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS, file_cols=True)
     return main.select(*COLS7, "filename", F.col("dateread").isNotNull().alias("has_dateread"))
 
 
 def q_multi_cycle_load(spark, sf_dir):
+    """Every cycle file in one job, cycle per file."""
     a = _audit_rows(spark, sf_dir)
     return a.select("billcycle", "filename", "rownumber", "column1", "column2")
 
 
 def q_cycle_replace(spark, sf_dir):
+    """K3: replace two cycles, keep the others."""
     a = _audit_rows(spark, sf_dir).drop("sequencialid", "dateprocessed")
     path = scratch_path(spark, "audit-by-cycle")
     replace_partitions(a, path)
@@ -344,6 +377,7 @@ def _report_books(spark, sf_dir, blank_sheet=None):
 
 
 def q_xlsx_scan(spark, sf_dir):
+    """S3: workbook cells from A1, numbered while parsed."""
     g = read_workbooks(spark, _report_books(spark, sf_dir))
     return g.select("sheet", F.col(ROW_COL).alias("rownumber"), *_cells6())
 
@@ -353,6 +387,7 @@ AUDIT_REPORT = ["Account No", "Customer Name", "Account Balance", "Market Segmen
 
 
 def q_headed_pipeline(spark, sf_dir):
+    """Spreadsheet reports → headers → clean rows → audit."""
     res = HP.ingest_sheets(spark, _report_books(spark, sf_dir), fx.TARGET_HEADERS)
     audit = align(audit_columns(res.data), AUDIT_REPORT)
     return audit.select(*res.targets, "rownumber", "billcycle", "filename",
@@ -364,6 +399,7 @@ T_REPORT = ["market segment", "account no", "customer name", "filename", "datere
 
 
 def q_csv_pipeline(spark, sf_dir):
+    """CSV reports → headers → clean rows → file columns → alignment."""
     folder = scratch_path(spark, "reports-csv")
     fx.write_report_csv(spark, sf_dir, folder)
     res = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS, width=fx.GRID_WIDTH)
@@ -388,14 +424,17 @@ def _dispositions(spark, sf_dir):
 
 
 def q_file_disposition(spark, sf_dir):
+    """Per-file outcome incl. empty and missing inputs."""
     return _dispositions(spark, sf_dir).select("filename", "status", "n_rows")
 
 
 def q_run_report(spark, sf_dir):
+    """Consolidated run report."""
     return run_report(_dispositions(spark, sf_dir))
 
 
 def q_inbound_stream(spark, sf_dir):
+    """Inbound-folder stream, per micro-batch replace by cycle and file."""
     root = scratch_path(spark, "inbound-stream")
     fx.write_cycle_files(spark, sf_dir, root + "/inbound")
     q = stream_inbound(spark, root + "/inbound", root + "/audit", root + "/_checkpoint",
