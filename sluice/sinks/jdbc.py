@@ -20,12 +20,27 @@ from .tables import quote_table
 def read_table(spark: SparkSession, url: str, table: str, properties: dict,
                partition_column: str | None = None, lower: int | None = None,
                upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """Whole-table scan; parallel when a numeric partition column and bounds are given."""
-    if partition_column:
-        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
-                               upperBound=upper, numPartitions=num_partitions,
-                               properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)
+    """Whole-table scan.
+
+    With a numeric ``partition_column`` the read is split into ``num_partitions`` range
+    queries (default: the cluster's cores); missing bounds are found first with one small
+    ``MIN``/``MAX`` query, so a large table is not read over a single connection.
+    """
+    if not partition_column:
+        return spark.read.jdbc(url, table, properties=properties)
+    if lower is None or upper is None:
+        col = quote_table(partition_column)
+        bounds = spark.read.jdbc(
+            url, f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) bounds",
+            properties=properties).first()
+        lower = bounds["lo"] if lower is None else lower
+        upper = bounds["hi"] if upper is None else upper
+        if lower is None:                       # empty table
+            return spark.read.jdbc(url, table, properties=properties)
+    parts = num_partitions or spark.sparkContext.defaultParallelism
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=int(lower),
+                           upperBound=int(upper) + 1, numPartitions=parts,
+                           properties=properties)
 
 
 def target_schema(spark: SparkSession, url: str, table: str, properties: dict) -> T.StructType:
