@@ -41,8 +41,17 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_local_root: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` (created locally only in tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    When the setting is missing, a checkpoint folder set on the context is used; failing
+    that, a private folder is created only if the master is local (tests, notebooks). A
+    cluster without the setting is an error: machine-local folders are not shared.
+    """
+    global _local_root
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     sc = spark.sparkContext
     if not root:
@@ -50,8 +59,8 @@ def shared_root(spark: SparkSession) -> str:
         if current:
             root = current.rsplit("/", 1)[0]
         elif _is_local(spark):
-            root = tempfile.mkdtemp(prefix="sluice-ckpt-")
-            spark.conf.set(_CHECKPOINT_KEY, root)
+            _local_root = _local_root or tempfile.mkdtemp(prefix="sluice-ckpt-")
+            root = _local_root
         else:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; on a cluster it must name a shared folder")
