@@ -1,0 +1,11 @@
+"""User entry points: composite intake plans built from sources, operators and sinks."""
+
+from .copy import copy_table, prepare_copy
+from .headed import flat, headed, ingest, ingest_csv, ingest_sheets
+from .jobs import run_report_job, run_text_job
+from .load import load_main_and_audit, require_rows
+from .text import ingest_text, parse_text
+
+__all__ = ["copy_table", "prepare_copy", "flat", "headed", "ingest", "ingest_csv",
+           "ingest_sheets", "run_report_job", "run_text_job", "load_main_and_audit",
+           "require_rows", "ingest_text", "parse_text"]
