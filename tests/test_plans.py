@@ -56,3 +56,21 @@ def test_detection_sample_is_partitioned_by_report(spark, files):
     plan = _plan(H.sample_reports(g))
     assert "hashpartitioning(_file" in plan
     assert plan.count("Exchange hashpartitioning") == 1    # one shuffle of ≤50 rows per report
+
+
+def test_alignment_prunes_parquet_columns(spark):
+    from sluice.operators.align import align
+    from sluice.operators.clean import stringify
+    li = fx.table(spark, SF_SMOKE, "lineitem")
+    out = stringify(align(li, ["L_ORDERKEY", "L_TAX", "MISSING"]))
+    plan = _plan(out)
+    assert "ReadSchema: struct<l_orderkey:bigint,l_tax:double>" in plan
+
+
+def test_filter_after_alignment_is_pushed_to_parquet(spark):
+    from pyspark.sql import functions as F
+    from sluice.operators.align import align
+    li = fx.table(spark, SF_SMOKE, "lineitem")
+    out = align(li, ["L_ORDERKEY", "L_RETURNFLAG"]).filter(F.col("L_RETURNFLAG") == "R")
+    plan = _plan(out)
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
