@@ -45,20 +45,24 @@ def write_named_files(df: DataFrame, name_col: str, order_cols, folder: str,
        .sortWithinPartitions(name_col, *order_cols)
        .select(text_col, name_col)
        .write.partitionBy(name_col).text(staging))
+    from concurrent.futures import ThreadPoolExecutor
+
     fs, root = _fs_and_path(spark, staging)
     jvm = spark.sparkContext._jvm
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    out = []
-    for st in fs.listStatus(root):
-        if not st.isDirectory():
-            continue
-        name = unescape(st.getPath().getName().split("=", 1)[1])
-        parts = list_files(spark, st.getPath().toString())
+    dirs = [st.getPath().toString() for st in fs.listStatus(root) if st.isDirectory()]
+
+    def publish(d: str) -> str:
+        name = unescape(d.rsplit("/", 1)[-1].split("=", 1)[1])
+        parts = list_files(spark, d)
         if len(parts) != 1:
             raise RuntimeError(f"expected one file for {name}, found {len(parts)}")
         dst = f"{folder.rstrip('/')}/{name}"
         rename(spark, parts[0], dst)
-        out.append(dst)
+        return dst
+
+    with ThreadPoolExecutor(max_workers=16) as pool:     # metadata renames only
+        out = list(pool.map(publish, dirs))
     delete(spark, staging)
     return sorted(out)
 
