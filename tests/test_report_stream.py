@@ -144,3 +144,23 @@ def test_file_names_with_special_characters(spark, scratch):
     q.awaitTermination()
     assert sorted(os.listdir(local_path(root + "/done"))) == sorted(names)
     assert spark.read.parquet(root + "/sink").count() == 3
+
+
+def test_run_text_job_end_to_end(spark, scratch):
+    import os
+    from sluice.plans.jobs import run_text_job
+    root = scratch("textjob")
+    write_text_files(root + "/in", {"g_01.txt": "D\t1\nH\t2\n", "g_02.txt": "D\t3\n"})
+    loc = scratch("textjob-tbl")
+    spark.sql(f"CREATE TABLE t_textjob (column1 string, column2 string, RN bigint) "
+              f"USING parquet LOCATION '{loc}'")
+    res = run_text_job(spark, root + "/in/*.txt", 2, "t_textjob", audit_path=root + "/audit",
+                       processed=root + "/ok", error=root + "/err", row_number_label="rn",
+                       filter_record_type="D")
+    assert sorted(tuple(r) for r in spark.table("t_textjob").collect()) == [
+        ("D", "1", None), ("D", "3", None)]
+    assert (res.report.first().n_units, res.report.first().n_failed) == (2, 0)
+    assert sorted(os.listdir(local_path(root + "/ok"))) == ["g_01.txt", "g_02.txt"]
+    audit = sorted((r.billcycle, r.rownumber, r.column2)
+                   for r in spark.read.parquet(root + "/audit").collect())
+    assert audit == [("BC01", 1, "1"), ("BC02", 1, "3")]
