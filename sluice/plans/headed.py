@@ -38,10 +38,15 @@ def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | No
 
 
 def detect(grid: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
-           strict: bool = False) -> DataFrame:
-    """Header detection per report, materialised in the shared checkpoint folder."""
+           strict: bool = False, sample_from: DataFrame | None = None) -> DataFrame:
+    """Header detection per report, materialised in the shared checkpoint folder.
+
+    The first 50 rows come from ``grid`` unless ``sample_from`` supplies them (e.g. the
+    file heads of :func:`sluice.sources.heads.csv_heads`).
+    """
     ensure_checkpoint_dir(grid.sparkSession)
-    return H.detect_headers(H.sample_reports(grid), targets, min_score=min_score,
+    source = grid if sample_from is None else sample_from
+    return H.detect_headers(H.sample_reports(source), targets, min_score=min_score,
                             strict=strict).checkpoint(eager=True)
 
 
@@ -52,7 +57,8 @@ def clean_rows(grid: DataFrame, detected: DataFrame, footer_phrases=H.FOOTER_PHR
 
 
 def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
-           min_score: float = H.SCORE_SHARED, strict: bool = False) -> HeadedResult:
+           min_score: float = H.SCORE_SHARED, strict: bool = False,
+           sample_from: DataFrame | None = None) -> HeadedResult:
     """Detect, clean and project every report of ``grid`` onto the target headers.
 
     Defaults keep the reference's rules; ``footer_phrases`` (trap T9), ``min_score`` (T10)
@@ -61,7 +67,7 @@ def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
     targets = H.parse_headers(target_headers or "")
     if not targets:
         raise IntakeError(MISSING_PARAMETERS, "target_headers is required")
-    detected = detect(grid, targets, min_score, strict)
+    detected = detect(grid, targets, min_score, strict, sample_from)
     data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets,
                             keep=(NAME_COL, FILE_COL, ROW_COL))
     data = data.select(*[ident(t) for t in targets], _name(data), FILE_COL, ROW_COL)
@@ -77,8 +83,26 @@ def flat(grid: DataFrame, label: str = FLAT_LABEL, width: int | None = None) ->
 
 
 def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SEP,
-               width: int | None = None, on_missing: str = "raise", **rules) -> HeadedResult:
-    """Headerless CSV reports → detected headers → clean rows with file columns."""
+               width: int | None = None, on_missing: str = "raise", sample: str = "scan",
+               **rules) -> HeadedResult:
+    """Headerless CSV reports → detected headers → clean rows with file columns.
+
+    ``sample='heads'`` takes the header sample from the head of each file only (a byte-range
+    read parsed by Spark's CSV parser) instead of a pass over every split — the same rows,
+    far less I/O for reports larger than a split. Default ``'scan'``.
+    """
+    from ..sources.csv import infer_width
+    from ..sources.files import split_existing
+
+    if sample == "heads":
+        found, _ = split_existing(spark, paths)
+        if width is None:
+            width = infer_width(spark, found, sep)
+        grid = csv_grid(spark, paths, sep, width, on_missing)
+        from ..sources.heads import csv_heads
+
+        heads = csv_heads(spark, spark.read.text(found).inputFiles(), width, sep)
+        return headed(grid, target_headers, sample_from=heads, **rules)
     return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers, **rules)
 
 

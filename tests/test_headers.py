@@ -180,3 +180,23 @@ def test_target_names_with_dots_and_spaces(spark):
     assert (row["Acct. No"], row["Full Name"]) == ("7", "Ann")
     out = align(audit_columns(res.data), ["ACCT. NO", "rownumber"]).first()
     assert tuple(out) == ("7", 2)
+
+
+def test_head_sample_equals_scan_sample(spark, scratch):
+    from conftest import SF_SMOKE, write_text_files
+    from sluice import fixtures as fx
+    folder = scratch("heads")
+    fx.write_report_csv(spark, SF_SMOKE, folder)
+    lines = ["Title,", "", "   ", "Account No,Name"] + [f"{i},n{i}" for i in range(3000)]
+    write_text_files(folder, {"big.csv": "\r\n".join(lines) + "\r\n"})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        a = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS + ", Name", width=6)
+        b = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS + ", Name", width=6, sample="heads")
+        da = sorted((r["_file"], r["header_end"], r["n"]) for r in a.detected.collect())
+        db = sorted((r["_file"], r["header_end"], r["n"]) for r in b.detected.collect())
+        assert da == db and len(da) == 26
+        assert a.data.count() == b.data.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
