@@ -200,3 +200,18 @@ def test_head_sample_equals_scan_sample(spark, scratch):
         assert a.data.count() == b.data.count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_head_sample_with_byte_order_mark(spark, scratch):
+    import os
+    from conftest import local_path
+    from sluice.sources.heads import csv_heads
+    folder = scratch("heads-bom")
+    os.makedirs(local_path(folder))
+    with open(os.path.join(local_path(folder), "b.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("Account No,Name\n1,a\n")
+    scan = HP.csv_grid(spark, folder, width=2).select("cells", "_temp_row_num")
+    heads = csv_heads(spark, spark.read.text(folder).inputFiles(), 2)
+    a = sorted((r._temp_row_num, tuple(r.cells)) for r in scan.collect())
+    b = sorted((r._temp_row_num, tuple(r.cells)) for r in heads.collect())
+    assert a == b
