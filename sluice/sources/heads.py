@@ -28,6 +28,7 @@ def _open_uri(uri: str):
 
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    uri = re.sub(r"^s3[an]://", "s3://", uri)           # Hadoop's S3 schemes
     filesystem, path = pafs.FileSystem.from_uri(uri)
     return filesystem, unquote(path)
 
