@@ -22,15 +22,13 @@ _SKIPPED = "".join(chr(i) for i in range(33))      # what Java's String.trim rem
 
 
 def _open_uri(uri: str):
-    from urllib.parse import unquote
-
+    """File system and path for a scan URI (``from_uri`` decodes the percent escapes)."""
     from pyarrow import fs as pafs
 
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
     uri = re.sub(r"^s3[an]://", "s3://", uri)           # Hadoop's S3 schemes
-    filesystem, path = pafs.FileSystem.from_uri(uri)
-    return filesystem, unquote(path)
+    return pafs.FileSystem.from_uri(uri)
 
 
 def head_lines(uri: str, rows: int, chunk: int = 1 << 20):

@@ -215,3 +215,16 @@ def test_head_sample_with_byte_order_mark(spark, scratch):
     a = sorted((r._temp_row_num, tuple(r.cells)) for r in scan.collect())
     b = sorted((r._temp_row_num, tuple(r.cells)) for r in heads.collect())
     assert a == b
+
+
+def test_head_sample_file_names_match_scan(spark, scratch):
+    from conftest import write_text_files
+    from sluice.sources.heads import csv_heads
+    folder = scratch("heads-names")
+    write_text_files(folder, {n: "Account No,Name\n1,a\n"
+                              for n in ["a b_01.csv", "x+y%z_02.csv", "p%2520q.csv"]})
+    scan = HP.csv_grid(spark, folder, width=2)
+    heads = csv_heads(spark, spark.read.text(folder).inputFiles(), 2)
+    a = sorted((r._file, r._temp_row_num, tuple(r.cells)) for r in scan.collect())
+    b = sorted((r._file, r._temp_row_num, tuple(r.cells)) for r in heads.collect())
+    assert a == b and len(a) == 6
