@@ -446,7 +446,37 @@ def q_inbound_stream(spark, sf_dir):
     return out.select(*COLS7, "rownumber", "billcycle", "filename")
 
 
+def _llm():
+    """Registry of the training-data operators and the pipeline module; ``None`` where that
+    subpackage is not installed. Any other import error is raised."""
+    try:
+        import corpus_pipeline
+        from sluice.llm import registry
+    except ModuleNotFoundError as exc:
+        if exc.name not in {"corpus_pipeline", "sluice.llm", "sluice.llm.registry"}:
+            raise
+        return None
+    return registry, corpus_pipeline
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out = _own_queries()
+    if llm := _llm():
+        out |= llm[0].queries()
+        out["pipeline"] = llm[1].run
+    return out
+
+
+def oracle_sql() -> dict[str, str]:
+    out = _own_oracle_sql()
+    if llm := _llm():
+        out |= llm[0].oracle_sql()
+        if llm[1].ORACLE_SQL is not None:
+            out["pipeline"] = llm[1].ORACLE_SQL
+    return out
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "text_scan": q_text_scan,
         "text_expand": q_text_expand,
@@ -651,7 +681,7 @@ def _sql_values(rows) -> str:
     return ", ".join(f"({k}, {_sql_str(v)})" for k, v in rows)
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     return {
         "text_expand": f"WITH {_L} SELECT o_orderkey, {_TRIM} FROM s",
         "text_blank_null": f"WITH {_L} SELECT o_orderkey, {_NULLIF} FROM s",

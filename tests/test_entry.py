@@ -17,7 +17,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._own_queries()) == set(E._own_oracle_sql())
 
 
 @pytest.fixture(scope="module")
