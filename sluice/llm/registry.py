@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.common import table
+from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
+from sluice.llm.warc import archive
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -21,8 +23,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op5_mixing": op5_mixing,
+    "op10_warc": op10_warc,
 }
 
 
@@ -30,5 +42,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
+SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                          sha256(coalesce(html, '')) AS payload_digest FROM pages),
+             f AS (SELECT payload_digest, min(page_id) AS first FROM p
+                   WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, CASE WHEN first IS NULL OR page_id = first THEN 'response'
+                             ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to,
+               CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest
+        FROM p LEFT JOIN f USING (payload_digest)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
