@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ def slices(batches, column: int, limit: int = 8 << 20):
         if total <= limit or batch.num_rows == 1:
             yield batch
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
         start = used = 0
         for i, n in enumerate(sizes):
             n = 0 if n != n else int(n)

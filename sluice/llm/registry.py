@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import language_id, quality
+from sluice.llm import language_id, lm_score, quality
 from sluice.llm.common import table
 from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
@@ -32,6 +32,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.evaluate(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.evaluate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op5_mixing": op5_mixing,
+    "op7_lm_score": op7_lm_score,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }

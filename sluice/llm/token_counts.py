@@ -18,6 +18,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,7 +144,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         counter = _counter(path)
         for b in slices(batches, 1, 4 << 20):
             texts = b.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             n = counter.counts(texts.to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), sizes, pa.array(n, pa.int64())],
                                              ["key", "n_bytes", "n_tokens"])
