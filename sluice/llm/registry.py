@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import language_id, lm_score, quality
+from sluice.llm import decontaminate, language_id, lm_score, quality
 from sluice.llm.common import table
 from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
@@ -28,6 +28,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.evaluate(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
+    "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op7_lm_score": op7_lm_score,
     "op9_quality": op9_quality,
