@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, language_id, lm_score, quality
+from sluice.llm import decontaminate, language_id, lm_score, minhash, quality
 from sluice.llm.common import table
 from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
@@ -20,6 +20,10 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dups(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -50,6 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dups": op1_near_dups,
     "op2_token_counts": op2_token_counts,
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
