@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, language_id, lm_score, minhash, quality
+from sluice.llm import decontaminate, imatch, language_id, lm_score, minhash, quality
 from sluice.llm.common import table
 from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
@@ -45,6 +45,10 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.evaluate(table(spark, sf_dir, "documents"))
 
 
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.evaluate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
     "op7_lm_score": op7_lm_score,
+    "op8_imatch": op8_imatch,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
