@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, imatch, language_id, lm_score, minhash, quality
+from sluice.llm import (decontaminate, imatch, language_id, line_dedup, lm_score, minhash,
+                        quality)
 from sluice.llm.common import table
 from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
@@ -41,6 +42,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.evaluate(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op5_mixing": op5_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_imatch": op8_imatch,
     "op9_quality": op9_quality,
@@ -74,7 +80,54 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
+# Line classes, the classes with an earlier near line (a third of the shorter line must occur
+# unchanged in the other), and the dropped lines. A place is id * 10^6 + line number.
+LINES = """
+    split AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
+    every AS (SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS pos
+              FROM split),
+    line AS (SELECT doc_id, pos, doc_id * 1000000 + pos AS place,
+                    trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM every),
+    long AS (SELECT * FROM line WHERE length(line) >= 32),
+    class AS (SELECT line, min(place) AS first, length(line) AS n FROM long GROUP BY line),
+    side AS (SELECT *, unnest([-2, -1, 0, 1, 2]) AS d FROM class),
+    near AS (SELECT DISTINCT greatest(a.first, b.first) AS first
+             FROM side a JOIN class b ON a.n + a.d = b.n AND a.first <> b.first
+             WHERE (contains(b.line, a.line[1:a.n // 3])
+                    OR contains(b.line, a.line[a.n // 3 + 1:2 * (a.n // 3)])
+                    OR contains(b.line, a.line[2 * (a.n // 3) + 1:]))
+               AND levenshtein(a.line, b.line) <= 2),
+    gone AS (SELECT long.doc_id, long.pos FROM long JOIN class USING (line)
+             WHERE long.place <> class.first OR class.first IN (SELECT first FROM near))"""
+
 SQL: dict[str, str] = {
+    "op1_near_dups": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+        s AS (SELECT doc_id, list_sort(CASE WHEN len(ws) = 0 THEN []
+                  WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                  ELSE list_distinct(list_transform(range(1, len(ws) - 3),
+                      i -> array_to_string(ws[i:i + 4], ' '))) END) AS sh FROM w),
+        c AS (SELECT sh, min(doc_id) AS rep FROM s WHERE len(sh) > 0 GROUP BY sh),
+        x AS (SELECT rep, len(sh) AS n, unnest(sh) AS g FROM c),
+        p AS (SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, count(*) AS same
+              FROM x a JOIN x b ON a.g = b.g AND a.rep < b.rep GROUP BY ALL),
+        e AS (SELECT a, b FROM p WHERE 100 * same >= 75 * (na + nb - same)),
+        ends AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT rep AS node, rep AS root FROM c
+              UNION SELECT ends.b, r.root FROM r JOIN ends ON ends.a = r.node),
+        m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+        SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(m.root, s.doc_id) AS component_id,
+               coalesce(m.root, s.doc_id) = s.doc_id AS kept
+        FROM s LEFT JOIN c ON c.sh = s.sh LEFT JOIN m ON m.node = c.rep""",
+    "op6_line_dedup": f"""
+        WITH {LINES}
+        SELECT split.doc_id, coalesce(len(any_value(parts)), 0) AS n_lines,
+               coalesce(len(any_value(parts)), 0) - count(gone.pos) AS n_kept,
+               coalesce(string_agg(gone.pos, ',' ORDER BY gone.pos), '') AS dropped_lines
+        FROM split LEFT JOIN gone USING (doc_id) GROUP BY split.doc_id""",
     "op10_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha256(coalesce(html, '')) AS payload_digest FROM pages),
