@@ -8,9 +8,11 @@ shares that result mix the estimates of all depths: a bit's probability is
 ``s0 k0 + (1 - s0)(s1 k1 + (1 - s1)(...))`` along its context, a node never met counting 1/2.
 
 Training counts are ``DEPTH + 1``-grams of bytes, pre-aggregated in the workers and summed by
-shuffle; trees are weighted bottom-up per pair of nearest context bytes, above that by one
-aggregation. The model reaches the workers in shards of at most ``SHARD`` nodes, one pass per
-shard. Word counts reach them up to ``HEAD`` entries; counts of all rarer words are joined.
+shuffle (grams met only in held-out texts take part with count 0). All trees below a pair of
+nearest context bytes are weighted in one task; what lies above is a small table. Every gram
+thus gets its log probability where its trees are, and scoring a text is looking up its grams:
+the table reaches the workers in shards of at most ``SHARD`` grams, one pass per shard. Word
+counts reach them up to ``HEAD`` entries; counts of all rarer words are joined.
 """
 
 from __future__ import annotations
@@ -28,12 +30,12 @@ from pyspark.sql import functions as F
 from sluice.llm.common import cut, held_out, slices
 
 DEPTH = 5
-SHARD = 8 << 20
+SHARD = 6 << 20
 HEAD = 1 << 20
 END = b"\n"
 CHUNK = 4 << 20
 WORD, GRAM, DOC = 0, 1, 2
-MEMO_BITS = 21
+MEMO_BITS = 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -50,7 +52,7 @@ def gram_codes(seqs: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, n
     """``depth + 1`` bytes ending at each position of the padded sequences, which positions are
     no padding, and where each sequence begins."""
     pad = END * depth
-    data = np.frombuffer(b"".join([p for s in seqs for p in (pad, s)]), np.uint8).astype(np.int64)
+    data = np.frombuffer(b"".join([p for s in seqs for p in (pad, s)]), np.uint8)
     sizes = np.fromiter((len(s) + depth for s in seqs), np.int64, len(seqs))
     begins = np.cumsum(sizes) - sizes
     codes = np.zeros(len(data), np.int64)
@@ -63,8 +65,16 @@ def gram_codes(seqs: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, n
     return codes, real, begins
 
 
-def count_training(docs: DataFrame, text_col: str = "text", depth: int = DEPTH) -> DataFrame:
-    """``kind, key, n``: counts of words (by hash), of byte grams, and of texts (the ends)."""
+def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and their counts; sorts in place."""
+    codes.sort()
+    at = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[at], np.diff(np.r_[at, len(codes)])
+
+
+def count(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``kind, key, n`` of rows ``text, held_out``: counts of words (by hash), of byte grams,
+    and of texts (the ends). Held-out rows only add their grams, with count 0."""
 
     def batch(kind: int, keys, n) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -73,21 +83,27 @@ def count_training(docs: DataFrame, text_col: str = "text", depth: int = DEPTH)
 
     def run(batches):
         met: collections.Counter = collections.Counter()
-        for b in slices(batches, 0, 2 * CHUNK):
+        for b in slices(batches, 0, CHUNK):
+            out = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             split = [tokens(t) for t in b.column(0).to_pylist()]
-            for ws in split:
-                met.update(ws)
-            codes, real, _ = gram_codes([b" ".join(ws) + END for ws in split], depth)
-            yield batch(GRAM, *np.unique(codes[real], return_counts=True))
-            yield batch(DOC, [0], [b.num_rows])
-            if len(met) > 400_000:
+            for part in (False, True):
+                mine = [ws for ws, o in zip(split, out) if o == part]
+                if not mine:
+                    continue
+                codes, real, _ = gram_codes([b" ".join(ws) + END for ws in mine], depth)
+                codes, n = _counted(codes[real])
+                yield batch(GRAM, codes, n * (not part))
+                if not part:
+                    yield batch(DOC, [0], [len(mine)])
+                    for ws in mine:
+                        met.update(ws)
+            if len(met) > 200_000:
                 yield batch(WORD, list(map(word_key, met)), list(met.values()))
                 met.clear()
         if met:
             yield batch(WORD, list(map(word_key, met)), list(met.values()))
 
-    return docs.select(F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "kind byte, key long, n long") \
+    return docs.select("text", "held_out").mapInArrow(run, "kind byte, key long, n long") \
         .groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -148,98 +164,130 @@ def tree(codes: np.ndarray, n: np.ndarray, depth: int, top: int):
         below = key, logw
 
 
-def grow(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Nodes of depth 2 and more of all trees: ``pair, depth, node, guess, share, zeros, ones,
-    logw``. A task gets all grams of a pair of nearest context bytes."""
-    names = ["pair", "depth", "node", "guess", "share", "zeros", "ones", "logw"]
+def mixed(nodes: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Top-down: from ``(key, guess, share)`` per depth to ``(key, probability of a one)``, the
+    probability that holds where no deeper node was met."""
+    out, above = [], None
+    for d, (key, guess, share) in enumerate(nodes):
+        if above is None:
+            held, rest = np.zeros(len(key)), np.ones(len(key))
+        else:
+            at = np.searchsorted(above[0], shorten(key, d - 1))
+            held, rest = above[1][at], above[2][at]
+        held, rest = held + rest * share * guess, rest * (1 - share)
+        above = key, held, rest
+        out.append((key, held + rest / 2))
+    return out
+
+
+def gram_scores(levels: list[tuple[np.ndarray, np.ndarray]], codes: np.ndarray) -> np.ndarray:
+    """log10 probability of each gram's last byte, from the deepest node met per bit."""
+    out = np.zeros(len(codes))
+    symbol, context = codes & 255, codes & ~np.int64(255)
+    for i in range(8):
+        key = context | (1 << i) | (symbol >> (8 - i))
+        one = np.full(len(codes), 0.5)
+        left = np.arange(len(codes))
+        for d in range(len(levels) - 1, -1, -1):
+            keys, p = levels[d]
+            if not len(keys) or not len(left):
+                continue
+            want = shorten(key[left], d)
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            met = keys[at] == want
+            one[left[met]] = p[at[met]]
+            left = left[~met]
+        out += np.log10(np.where((symbol >> (7 - i)) & 1, one, 1 - one))
+    return out
+
+
+def _partition(batches) -> tuple[np.ndarray, np.ndarray] | None:
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    return tuple(np.concatenate(x) for x in zip(*parts)) if parts else None
+
+
+def by_pair(grams: DataFrame) -> DataFrame:
+    """Grams dealt by their pair of nearest context bytes: whole trees from depth 2 on."""
+    pair = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
+    return grams.select("key", "n").repartition(pair)
+
+
+def roots(grams: DataFrame, depth: int = DEPTH) -> list[tuple]:
+    """``(key, guess, share)`` of depths 0 and 1: 65,536 nodes at most."""
+    names = ["k", "zeros", "ones", "logw"]
 
     def run(batches):
-        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
-        if not parts:
+        if (got := _partition(batches)) is None:
             return
-        codes, n = (np.concatenate(x) for x in zip(*parts))
-        for d, key, *rest in tree(codes, n, depth, 2):
-            pair = ((key >> 8) & 0xFFFF).astype(np.int32)
-            for i in range(0, len(key), 100_000):
-                cols = [pair, np.full(len(key), d, np.int8), key, *rest]
-                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + 100_000]) for c in cols], names)
+        codes, n = got
+        *_, (_, key, _, _, zeros, ones, logw) = tree(codes, n, depth, 2)
+        k, at = np.unique(shorten(key, 1), return_inverse=True)
+        sums = [np.bincount(at, x, len(k)) for x in (zeros, ones, logw)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (k, *sums)], names)
+
+    low = by_pair(grams.filter("n > 0")).mapInArrow(
+        run, "k long, zeros double, ones double, logw double") \
+        .groupBy("k").agg(*[F.sum(c) for c in names[1:]])
+    k1, zeros, ones, below = _arrays(low)
+    order = np.argsort(k1)
+    k1, zeros, ones, below = (x[order] for x in (k1, zeros, ones, below))
+    g1, s1, w1 = weigh(zeros, ones, below)
+    k0, at = np.unique(shorten(k1, 0), return_inverse=True)
+    g0, s0, _ = weigh(*(np.bincount(at, x, len(k0)) for x in (zeros, ones, w1)))
+    return [(k0, g0, s0), (k1, g1, s1)]
 
-    pair = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF))
-    return grams.select("key", "n").repartition(pair).mapInArrow(
-        run, "pair int, depth byte, node long, guess double, share double, zeros double, "
-             "ones double, logw double")
 
+def score_grams(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``pair, key, score``: log10 probability of every gram's last byte."""
+    top = grams.sparkSession.sparkContext.broadcast(roots(grams, depth))
 
-class Mixture:
-    """Bit probabilities of the nodes of a shard, all depths mixed, and a memo of gram scores.
+    def run(batches):
+        if (got := _partition(batches)) is None:
+            return
+        codes, n = got
+        deep = [x[1:4] for x in tree(codes[n > 0], n[n > 0], depth, 2)] if n.any() else \
+            [tuple(np.zeros(0, t) for t in (np.int64, float, float))] * (depth - 1)
+        score = gram_scores(mixed([*top.value, *reversed(deep)]), codes)
+        pair = ((codes >> 8) & 0xFFFF).astype(np.int32)
+        for i in range(0, len(codes), 100_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[i:i + 100_000]) for c in (pair, codes, score)],
+                ["pair", "key", "score"])
 
-    ``levels``: per depth sorted node keys with the probability that holds where no deeper
-    node was met.
-    """
+    return by_pair(grams).mapInArrow(run, "pair int, key long, score double")
+
+
+class Scorer:
+    """Sums the scores of a text's grams, those of one shard (all if ``nth`` is -1)."""
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], shard: np.ndarray, nth: int):
-        self.levels, self.depth, self.shard, self.nth = levels, len(levels) - 1, shard, nth
+    def __init__(self, keys: np.ndarray, scores: np.ndarray, depth: int, shard: np.ndarray,
+                 nth: int):
+        self.keys, self.scores, self.depth, self.shard, self.nth = keys, scores, depth, shard, nth
         self.memo = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS)
 
-    @staticmethod
-    def mixed(nodes: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Top-down: from ``(key, guess, share)`` per depth to ``(key, probability)``."""
-        out, above = [], None
-        for d, (key, guess, share) in enumerate(nodes):
-            order = np.argsort(key)
-            key, guess, share = key[order], guess[order], share[order]
-            if above is None:
-                held, rest = np.zeros(len(key)), np.ones(len(key))
-            else:
-                at = np.searchsorted(above[0], shorten(key, d - 1))
-                held, rest = above[1][at], above[2][at]
-            held, rest = held + rest * share * guess, rest * (1 - share)
-            above = key, held, rest
-            out.append((key, (held + rest / 2).astype(np.float32)))
-        return out
-
-    def grams(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each gram's last byte."""
-        out = np.zeros(len(codes))
-        symbol, context = codes & 255, codes & ~np.int64(255)
-        for i in range(8):
-            key = context | (1 << i) | (symbol >> (8 - i))
-            one = np.full(len(codes), 0.5)
-            left = np.arange(len(codes))
-            for d in range(self.depth, -1, -1):
-                keys, p = self.levels[d]
-                if not len(keys) or not len(left):
-                    continue
-                want = shorten(key[left], d)
-                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-                met = keys[at] == want
-                one[left[met]] = p[at[met]]
-                left = left[~met]
-            out += np.log10(np.where((symbol >> (7 - i)) & 1, one, 1 - one))
-        return out
-
-    def score(self, seqs: list[bytes]) -> np.ndarray:
-        """log10 probability of each sequence (its part of it, if there are several shards)."""
+    def __call__(self, seqs: list[bytes]) -> np.ndarray:
         codes, real, begins = gram_codes(seqs, self.depth)
         if self.nth >= 0:
             real &= self.shard[(codes >> 8) & 0xFFFF] == self.nth
         keys, values = self.memo
         slot = ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 >> np.uint64(64 - MEMO_BITS)).view(np.int64)
-        lp = values[slot]
+        found = values[slot]
         new = np.flatnonzero((keys[slot] != codes) & real)
         if len(new):
             met, at = np.unique(codes[new], return_inverse=True)
-            found = self.grams(met)
-            lp[new] = found[at]
-            keys[slot[new]], values[slot[new]] = codes[new], lp[new]
-        lp[~real] = 0
-        return np.add.reduceat(lp, begins) if len(begins) else np.zeros(0)
+            place = np.searchsorted(self.keys, met)
+            if len(self.keys) <= place.max() or (self.keys[place] != met).any():
+                raise ValueError("a text was not there when grams were counted")
+            found[new] = self.scores[place][at]
+            keys[slot[new]], values[slot[new]] = codes[new], found[new]
+        found[~real] = 0
+        return np.add.reduceat(found, begins) if len(begins) else np.zeros(0)
 
 
 @functools.lru_cache(maxsize=1)
-def _mixture(held) -> Mixture:
-    return Mixture(*held.value)
+def _scorer(held) -> Scorer:
+    return Scorer(*held.value)
 
 
 class Base:
@@ -254,7 +302,7 @@ class Base:
         cache = self.cache
         new = [w for w in set(ws) if w not in cache]
         if new:
-            if len(cache) > 500_000:
+            if len(cache) > 200_000:
                 cache.clear()
                 new = list(set(ws))
             h = np.array(list(map(word_key, new)), np.int64)
@@ -291,30 +339,23 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     spark = docs.sparkSession
     out = held_out(F.col("key"), folds, fold)
     src = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    counts = cut(count_training(src.filter(~out), "text", depth), "lm-counts")
-
-    # model: depth 0 and 1 on the driver (65,536 nodes each way at most), the rest in shards
-    nodes = cut(grow(counts.filter(F.col("kind") == GRAM), depth), "lm-nodes")
-    one = nodes.filter("depth = 2").groupBy(F.col("node").bitwiseAND(F.lit(0xFFFF)).alias("k")) \
-        .agg(F.sum("zeros"), F.sum("ones"), F.sum("logw"))
-    k1, zeros, ones, inner = _arrays(one)
-    g1, s1, w1 = weigh(zeros, ones, inner)
-    k0, at = np.unique(shorten(k1, 0), return_inverse=True)
-    g0, s0, _ = weigh(*(np.bincount(at, x, len(k0)) for x in (zeros, ones, w1)))
-    shard, held, used, last = np.zeros(1 << 16, np.int64), 0, 0, 0
-    for row in sorted(tuple(r) for r in nodes.groupBy("pair").count().collect()):
-        if used and used + row[1] > shard_size:
+    counts = cut(count(src.select("text", out.alias("held_out")), depth), "lm-counts")
+
+    # model: gram scores, in shards by pair of nearest context bytes
+    grams = cut(score_grams(counts.filter(F.col("kind") == GRAM), depth), "lm-grams")
+    shard, held, used = np.zeros(1 << 16, np.int64), 0, 0
+    for pair, size in sorted(tuple(r) for r in grams.groupBy("pair").count().collect()):
+        if used and used + size > shard_size:
             held, used = held + 1, 0
-        shard[last:] = held
-        shard[row[0]:], last, used = held, row[0], used + row[1]
+            shard[pair:] = held
+        used += size
 
-    def mixture(nth: int) -> tuple:
+    def model(nth: int) -> tuple:
         pairs = np.flatnonzero(shard == nth)
-        mine = nodes.filter(F.col("pair").between(int(pairs[0]), int(pairs[-1])))
-        d, key, guess, share = _arrays(mine.select(
-            "depth", "node", F.col("guess").cast("float"), F.col("share").cast("float")))
-        deep = [(key[d == x], guess[d == x], share[d == x]) for x in range(2, depth + 1)]
-        return Mixture.mixed([(k0, g0, s0), (k1, g1, s1), *deep]), shard, nth if held else -1
+        mine = grams.filter(F.col("pair").between(int(pairs[0]), int(pairs[-1])))
+        keys, scores = _arrays(mine.select("key", "score"))
+        order = np.argsort(keys)
+        return keys[order], scores[order], depth, shard, nth if held else -1
 
     # base: totals, and the counts of the words frequent enough to travel
     total = counts.groupBy("kind", F.floor(F.log2("n")).alias("b")) \
@@ -334,13 +375,13 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     base = spark.sparkContext.broadcast((keys[order], n[order], z))
     end = math.log10((n_docs + 0.5) / z)
 
-    def scorer(model, own):
+    def scorer(part, own):
         def run(batches):
-            mix = _mixture(model)
-            for b in slices(batches, 1, CHUNK):
+            score_of = _scorer(part)
+            for b in slices(batches, 1, CHUNK // 2):
                 split = [tokens(t) for t in b.column(1).to_pylist()]
                 seqs = [b" ".join(ws) + END for ws in split]
-                score = pa.array(mix.score(seqs), pa.float64())
+                score = pa.array(score_of(seqs), pa.float64())
                 if not own:
                     yield pa.RecordBatch.from_arrays([b.column(0), score], ["key", "score"])
                     continue
@@ -357,7 +398,7 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
 
     # a print of the text ties the passes of several shards together
     kind = src.schema["key"].dataType.simpleString()
-    first = spark.sparkContext.broadcast(mixture(0))
+    first = spark.sparkContext.broadcast(model(0))
     mark = F.md5("text") if held else F.lit("")
     rows = src.select("key", "text", mark.alias("print")).mapInArrow(
         scorer(first, True), f"key {kind}, print string, score double, n_bytes long, "
@@ -366,7 +407,7 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     result = rows
     for nth in range(1, held + 1):
         more = src.select(F.md5("text").alias("key"), "text").dropDuplicates(["key"]).mapInArrow(
-            scorer(spark.sparkContext.broadcast(mixture(nth)), False), "key string, score double")
+            scorer(spark.sparkContext.broadcast(model(nth)), False), "key string, score double")
         more = more.select(F.col("key").alias("of"), F.col("score").alias("more"))
         result = result.join(more, F.col("print").eqNullSafe(F.col("of")), "left") \
             .withColumn("score", F.col("score") + F.col("more")).drop("of", "more")
