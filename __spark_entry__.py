@@ -19,16 +19,20 @@ from sluice.operators.align import align
 from sluice.operators.audit import audit_columns, file_columns
 from sluice.operators.clean import max_lengths, stringify, strip_zero_fraction
 from sluice.operators.delimited import expand_fields, record_type
-from sluice.operators.report import file_disposition, run_report
+from sluice.operators.report import (file_disposition, input_files, run_failures,
+                                     run_report)
 from sluice.operators.stamp import ROW_COL, stamp_rows
 from sluice.plans import headed as HP
 from sluice.plans.copy import copy_table
+from sluice.plans.headed import ingest
+from sluice.plans.jobs import run_report_job
+from sluice.plans.load import cycle_table_name, load_cycle_tables, load_main_and_audit
 from sluice.plans.text import ingest_text, parse_text
 from sluice.session import scratch_path
-from sluice.sinks.tables import backup_csv, replace_partitions, truncate_load
+from sluice.sinks.tables import append, backup_csv, replace_partitions, truncate_load
 from sluice.sources.files import split_existing
 from sluice.sources.text import read_lines
-from sluice.sources.workbook import read_workbooks
+from sluice.sources.workbook import read_workbooks, write_bytes
 from sluice.streaming.inbound import stream_inbound, text_audit_rows
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -285,7 +289,8 @@ def q_strip_zero_fraction(spark, sf_dir):
 
 def q_max_lengths(spark, sf_dir):
     """Longest value per column in one aggregation."""
-    return max_lengths(fx.table(spark, sf_dir, "customer").select("c_name", "c_mktsegment"))
+    c = fx.table(spark, sf_dir, "customer")
+    return max_lengths(c.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)")))
 
 
 def q_csv_backup(spark, sf_dir):
@@ -318,6 +323,29 @@ def q_truncate_load(spark, sf_dir):
     return spark.table(t)
 
 
+def q_append_typed(spark, sf_dir):
+    """Strings appended twice to a typed table, converted to its types."""
+    t = _scratch_table(spark, "customer_typed", "C_CUSTKEY bigint, C_NAME string, C_NATIONKEY int")
+    rows = stringify(fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"))
+    append(rows, t)
+    append(rows.withColumn("c_name", F.lower("c_name")), t)
+    return spark.table(t)
+
+
+def q_load_rejects(spark, sf_dir):
+    """Values that do not fit the target's types, counted per column."""
+    t = _scratch_table(spark, "orders_typed", "O_ORDERKEY bigint, O_CUSTKEY int, O_TOTALPRICE double")
+    o = fx.table(spark, sf_dir, "orders")
+    bad = F.when(F.col("o_orderkey") % 7 == 0, "1,200").otherwise(F.col("o_custkey").cast("string"))
+    rows = o.select("o_orderkey", bad.alias("o_custkey"),
+                    F.when(F.col("o_orderkey") % 11 == 0, "n/a").otherwise("1.5").alias("o_totalprice"))
+    n = truncate_load(rows, t, on_cast="null")
+    loaded = spark.table(t).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in n])
+    return loaded.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(k).cast("long").alias("rejects"),
+        F.col(c).alias("nulls_loaded")) for c, k in sorted(n.items())])))
+
+
 def q_table_copy(spark, sf_dir):
     """Align, sanitise, length audit and load a table copy."""
     t = _scratch_table(spark, "part_copy", T_PART)
@@ -352,7 +380,44 @@ def q_file_columns(spark, sf_dir):
 def q_multi_cycle_load(spark, sf_dir):
     """Every cycle file in one job, cycle per file."""
     a = _audit_rows(spark, sf_dir)
-    return a.select("billcycle", "filename", "rownumber", "column1", "column2")
+    return a.select("billcycle", "filename", "rownumber", *COLS7)
+
+
+def q_main_audit_load(spark, sf_dir):
+    """K6 / O1 / O3 / A5: one computation loads main (rows numbered over all files) and audit."""
+    ddl = ", ".join(f"COLUMN{i} string" for i in range(1, TEXT_COLUMNS + 1))
+    t = _scratch_table(spark, "orders_main", f"{ddl}, ROW_ID bigint")
+    path = scratch_path(spark, "orders-audit")
+    rows = parse_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS)
+    load_main_and_audit(rows, t, path, row_label="row_id")
+    main = spark.table(t).select(F.lit("main").alias("part"), F.lit(None).cast("string").alias("filename"),
+                                 F.col("ROW_ID").alias("number"), *COLS7)
+    audit = spark.read.parquet(path).select(F.lit("audit").alias("part"), "filename",
+                                            F.col("rownumber").alias("number"), *COLS7)
+    return main.union(audit)
+
+
+def q_cycle_tables(spark, sf_dir):
+    """Every cycle's files into the cycle's own table, in one job."""
+    codes = [f"{c:02d}" for c in range(1, 12)]
+    base = _scratch_table(spark, "cycle", "COLUMN1 string") + "_00"
+    ddl = ", ".join(f"COLUMN{i} string" for i in range(1, TEXT_COLUMNS + 1))
+    for c in codes:
+        name = cycle_table_name(base, c)
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet "
+                  f"LOCATION '{scratch_path(spark, 'cycle-table')}'")
+    rows = parse_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS)
+    out = None
+    for c, name in zip(codes, load_cycle_tables(rows, base, codes)):
+        part = spark.table(name).select(F.lit("BC" + c).alias("cycle_table"), *COLS7)
+        out = part if out is None else out.union(part)
+    return out
+
+
+def q_router(spark, sf_dir):
+    """The text kind goes to the text intake."""
+    return ingest(spark, _order_files(spark, sf_dir), kind="txt_numbered",
+                  expected_columns=TEXT_COLUMNS)[0]
 
 
 def q_cycle_replace(spark, sf_dir):
@@ -382,6 +447,13 @@ def q_xlsx_scan(spark, sf_dir):
     return g.select("sheet", F.col(ROW_COL).alias("rownumber"), *_cells6())
 
 
+def q_sheets_flat(spark, sf_dir):
+    """Workbooks routed to the flat mode, cells untouched."""
+    flat = ingest(spark, _report_books(spark, sf_dir), kind="xlsx")
+    return flat.select(_sheet(), F.col(ROW_COL).alias("rownumber"),
+                       *[f"column{i}" for i in range(1, fx.GRID_WIDTH + 1)])
+
+
 AUDIT_REPORT = ["Account No", "Customer Name", "Account Balance", "Market Segment",
                 "rownumber", "billcycle", "filename", "sequencialid", "dateprocessed"]
 
@@ -418,14 +490,29 @@ def _dispositions(spark, sf_dir):
     inputs = [folder + "/*.csv", folder + "/" + MISSING_REPORT]
     found, missing = split_existing(spark, inputs)
     res = HP.ingest_csv(spark, found, fx.TARGET_HEADERS, width=fx.GRID_WIDTH)
-    files = spark.read.text(found).inputFiles()
-    return file_disposition(spark, files, res.data, res.detected, missing,
+    return file_disposition(spark, input_files(spark, found), res.data, res.detected, missing,
                             fail_on_no_rows=False)
 
 
 def q_file_disposition(spark, sf_dir):
     """Per-file outcome incl. empty and missing inputs."""
-    return _dispositions(spark, sf_dir).select("filename", "status", "n_rows")
+    d = _dispositions(spark, sf_dir)
+    part = lambda k: F.get_json_object("payload", f"$.{k}")
+    return d.select("filename", "status", "reason", "n_rows", part("status").alias("payload_status"),
+                    part("reason").alias("payload_reason"),
+                    F.regexp_extract(part("failed_file_path"), r"([^/]*)$", 1).alias("payload_file"))
+
+
+def q_workbook_failures(spark, sf_dir):
+    """One corrupt workbook among the reports fails alone."""
+    root = scratch_path(spark, "reports-bad")
+    fx.write_report_xlsx(spark, sf_dir, root)
+    write_bytes(root + "/broken_99.xlsx", b"not a workbook")
+    t = _scratch_table(spark, "report_main", "`Account No` string, `Customer Name` string, "
+                       "`Account Balance` string, `Market Segment` string, ROW_ID bigint")
+    res = run_report_job(spark, [root + "/*.xlsx"], fx.TARGET_HEADERS, t, kind="xlsx",
+                         row_number_label="row_id")
+    return res.outcomes.select("filename", "status", "n_rows")
 
 
 def q_run_report(spark, sf_dir):
@@ -433,6 +520,11 @@ def q_run_report(spark, sf_dir):
     return run_report(_dispositions(spark, sf_dir))
 
 
+def q_run_failures(spark, sf_dir):
+    """The failed units of a run."""
+    return run_failures(_dispositions(spark, sf_dir))
+
+
 def q_inbound_stream(spark, sf_dir):
     """Inbound-folder stream, per micro-batch replace by cycle and file."""
     root = scratch_path(spark, "inbound-stream")
@@ -506,6 +598,14 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "max_lengths": q_max_lengths,
         "csv_backup": q_csv_backup,
         "truncate_load": q_truncate_load,
+        "append_typed": q_append_typed,
+        "load_rejects": q_load_rejects,
+        "main_audit_load": q_main_audit_load,
+        "cycle_tables": q_cycle_tables,
+        "router": q_router,
+        "sheets_flat": q_sheets_flat,
+        "workbook_failures": q_workbook_failures,
+        "run_failures": q_run_failures,
         "table_copy": q_table_copy,
         "audit_enrich": q_audit_enrich,
         "file_columns": q_file_columns,
@@ -531,7 +631,7 @@ l AS (
               ELSE concat_ws(chr(9), rt, CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
                              o_orderstatus, '  ' || o_orderpriority || ' ', '')
          END AS value,
-         'sap_' || o_orderstatus || CAST(o_orderkey // 1000000 AS VARCHAR) || '_'
+         'orders_' || o_orderstatus || CAST(o_orderkey // 1000000 AS VARCHAR) || '_'
            || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fname
   FROM (SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN 'H' ELSE 'D' END AS rt FROM orders)
 ),
@@ -670,6 +770,10 @@ _DISP = (f"WITH {_R_BLANKED}, {R_WIN}, "
          "UNION ALL SELECT 'report_99_9.csv', 'missing_file', CAST(0 AS BIGINT)")
 
 
+_REASON = ("CASE WHEN status = 'missing_file' THEN 'input object not found' WHEN status = 'empty_data' "
+           "THEN 'Fuzzy matcher failed or sheet is blank' END")
+
+
 def _sql_str(v) -> str:
     if v is None:
         return "CAST(NULL AS VARCHAR)"
@@ -714,7 +818,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "bill_cycle": """
             SELECT o_orderkey, fname AS filename,
                    'BC' || right(regexp_replace(fname, '^(.*[^.].*)\\.[^.]*$', '\\1'), 2) AS billcycle
-            FROM (SELECT o_orderkey, 'sap_' || o_orderstatus || CAST(o_orderkey // 1000000 AS VARCHAR)
+            FROM (SELECT o_orderkey, 'orders_' || o_orderstatus || CAST(o_orderkey // 1000000 AS VARCHAR)
                     || '_' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fname
                   FROM orders)""",
         "uuid7": "SELECT count(*) AS n_rows, count(*) AS n_valid, count(*) AS n_distinct FROM events",
@@ -754,9 +858,39 @@ def _own_oracle_sql() -> dict[str, str]:
             "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS p_retailprice",
             "regexp_replace(CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR), '\\.0*$', '') "
             "AS p_retailprice"),
-        "max_lengths": "SELECT 'c_name' AS \"column\", CAST(max(length(c_name)) AS BIGINT) AS max_len "
-                       "FROM customer UNION ALL SELECT 'c_mktsegment', "
-                       "CAST(max(length(c_mktsegment)) AS BIGINT) FROM customer",
+        "max_lengths": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", CAST(max(length(CAST({e} AS VARCHAR))) AS BIGINT) AS max_len "
+            "FROM customer" for c, e in (
+                ("c_custkey", "c_custkey"), ("c_name", "c_name"), ("c_nationkey", "c_nationkey"),
+                ("c_acctbal", "CAST(c_acctbal AS DECIMAL(18,2))"), ("c_mktsegment", "c_mktsegment"))),
+        "append_typed": " UNION ALL ".join(
+            f'SELECT c_custkey AS "C_CUSTKEY", {n} AS "C_NAME", c_nationkey AS "C_NATIONKEY" '
+            "FROM customer" for n in ("c_name", "lower(c_name)")),
+        "load_rejects": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", count(*) AS rejects, count(*) AS nulls_loaded "
+            f"FROM orders WHERE o_orderkey % {k} = 0" for c, k in
+            (("O_CUSTKEY", 7), ("O_TOTALPRICE", 11))),
+        "main_audit_load": f"WITH {_L}, a AS (SELECT {_NULLIF}, fname, row_number() OVER "
+                           "(PARTITION BY fname ORDER BY o_orderkey) AS rn FROM s), "
+                           "b AS (SELECT fname, coalesce(sum(n) OVER (ORDER BY fname ROWS BETWEEN "
+                           "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base FROM "
+                           "(SELECT fname, count(*) AS n FROM a GROUP BY fname)) "
+                           "SELECT 'main' AS part, CAST(NULL AS VARCHAR) AS filename, "
+                           f"CAST(base + rn AS BIGINT) AS number, {', '.join(COLS7)} "
+                           "FROM a JOIN b USING (fname) UNION ALL "
+                           f"SELECT 'audit', fname, rn, {', '.join(COLS7)} FROM a",
+        "cycle_tables": f"WITH {_L} SELECT {_CYCLE} AS cycle_table, {_NULLIF} FROM s",
+        "router": f"WITH {_L} SELECT {_NULLIF} FROM s",
+        "sheets_flat": f"WITH {R_GRID} SELECT sheet, row_number() OVER (PARTITION BY sheet "
+                       "ORDER BY sec, k, sub) AS rownumber, "
+                       + ", ".join(f"cells[{i}] AS column{i}" for i in range(1, 7)) + " FROM rg0",
+        "workbook_failures": f"WITH {R_GRID.replace(_NULLIF_CELLS, 'cells AS cells')}, {R_WIN}, "
+                             "a AS (SELECT rg.*, det.m FROM rg JOIN det USING (sheet) "
+                             "WHERE rg.rn > det.header_end + 1) "
+                             "SELECT sheet || '.xlsx' AS filename, 'processed' AS status, "
+                             f"count(*) AS n_rows FROM a WHERE NOT {_FOOT} AND NOT ({_BLANK}) "
+                             "GROUP BY sheet UNION ALL "
+                             "SELECT 'broken_99.xlsx', 'pipeline_failure', 0",
         "csv_backup": "SELECT s_suppkey, s_name, s_nationkey, "
                       "CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS s_acctbal FROM supplier",
         "truncate_load": 'SELECT n_nationkey AS "N_NATIONKEY", n_name AS "N_NAME", '
@@ -773,7 +907,7 @@ def _own_oracle_sql() -> dict[str, str]:
         "multi_cycle_load": f"WITH {_L}, a AS (SELECT {_NULLIF}, "
                             "row_number() OVER (PARTITION BY fname ORDER BY o_orderkey) AS rownumber, "
                             f"{_CYCLE} AS billcycle, fname AS filename FROM s) "
-                            "SELECT billcycle, filename, rownumber, column1, column2 FROM a",
+                            f"SELECT billcycle, filename, rownumber, {', '.join(COLS7)} FROM a",
         "xlsx_scan": f"WITH {R_GRID} SELECT sheet, row_number() OVER (PARTITION BY sheet "
                      f"ORDER BY sec, k, sub) AS rownumber, {_RCELLS} FROM rg0",
         "headed_pipeline": f"WITH {R_GRID.replace(_NULLIF_CELLS, 'cells AS cells')}, {R_WIN}, "
@@ -789,15 +923,16 @@ def _own_oracle_sql() -> dict[str, str]:
                         'SELECT "Market Segment" AS "market segment", "Account No" AS "account no", '
                         '"Customer Name" AS "customer name", filename, true AS dateread, '
                         '"Account Balance" AS "account balance" FROM p',
-        "file_disposition": _DISP,
+        "file_disposition": f"WITH d AS ({_DISP}), r AS (SELECT *, {_REASON} AS reason FROM d) "
+                            "SELECT filename, status, reason, n_rows, "
+                            "CASE WHEN reason IS NOT NULL THEN status END AS payload_status, "
+                            "reason AS payload_reason, "
+                            "CASE WHEN reason IS NOT NULL THEN filename END AS payload_file FROM r",
         "run_report": f"WITH d AS ({_DISP}) SELECT count(*) AS n_units, "
-                      "count(*) FILTER (WHERE status <> 'processed') AS n_failed, "
-                      "coalesce(string_agg(CASE WHEN status <> 'processed' THEN '[' || filename || ']: ' "
-                      "|| status || ' - ' || reason END, '; ' ORDER BY CASE WHEN status <> 'processed' "
-                      "THEN '[' || filename || ']: ' || status || ' - ' || reason END), '') AS summary "
-                      "FROM (SELECT *, CASE WHEN status = 'missing_file' THEN 'input object not found' "
-                      "ELSE 'Fuzzy matcher failed or sheet is blank' END AS reason FROM d)",
-        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'sap_inbound' || "
+                      "count(*) FILTER (WHERE status <> 'processed') AS n_failed FROM d",
+        "run_failures": f"WITH d AS ({_DISP}) SELECT filename AS unit, '[' || filename || ']: ' || "
+                        f"status || ' - ' || {_REASON} AS line FROM d WHERE status <> 'processed'",
+        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'orders_inbound' || "
                           "CAST(o_orderkey // 1000000 AS VARCHAR) || '_' || "
                           "lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fn FROM s) "
                           f"SELECT {_NULLIF}, row_number() OVER (PARTITION BY fn ORDER BY o_orderkey) "

@@ -14,6 +14,7 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,10 +25,10 @@ from sluice.functions.text import norm_text  # noqa: E402
 from sluice.functions.lineage import uuid7  # noqa: E402
 from sluice.operators.align import align  # noqa: E402
 from sluice.operators.audit import audit_columns, file_columns  # noqa: E402
-from sluice.operators.clean import balanced, stringify  # noqa: E402
+from sluice.operators.clean import stringify  # noqa: E402
 from sluice.operators.stamp import stamp_rows  # noqa: E402
 from sluice.plans import headed as HP  # noqa: E402
-from sluice.plans.copy import prepare_copy  # noqa: E402
+from sluice.plans.copy import copy_table  # noqa: E402
 from sluice.plans.text import parse_text  # noqa: E402
 from sluice.session import build_session, scratch_path  # noqa: E402
 from sluice.sinks.tables import replace_partitions  # noqa: E402
@@ -90,17 +91,16 @@ def main() -> None:
         run(audit_columns(res.data))
 
     def q_norm_text():
-        docs = balanced(fx.table(spark, sf_dir, "documents"))
+        docs = fx.table(spark, sf_dir, "documents")
         run(docs.select("doc_id", norm_text("text").alias("t")))
 
     def q_table_copy():
-        # as copy_table(lengths="observe") does it: the length audit rides on the load pass
-        from pyspark.sql import Observation
-        res = prepare_copy(lineitem, [c.upper() for c in lineitem.columns] + ["EXTRA"],
-                           rate_columns=["l_tax"])
-        obs = Observation("max_lengths")
-        run(res.data.observe(obs, *[F.max(F.length(F.col(c))).alias(c) for c in res.data.columns]))
-        assert len(obs.get) == len(res.data.columns)
+        name = f"bench_copy_{uuid.uuid4().hex[:10]}"
+        cols = ", ".join(f"{c.upper()} string" for c in lineitem.columns) + ", EXTRA string"
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+                  f"LOCATION '{scratch_path(spark, 'bench-copy')}'")
+        res = copy_table(lineitem, name, rate_columns=["l_tax"])
+        assert res.lengths.count() == len(lineitem.columns) + 1
 
     def q_align_stringify():
         run(align(stringify(lineitem), lineitem.schema, cast=True))
@@ -134,7 +134,7 @@ def main() -> None:
             fn()
             times[name] = round(time.time() - t, 3)
         except Exception as exc:  # noqa: BLE001 - keep the JSON line; report the failure
-            failed[name] = f"{type(exc).__name__}: {exc}"[:300]
+            failed[name] = f"{type(exc).__name__}: {exc}"
     out = {"metric": "total_query_time", "value": round(sum(times.values()), 3),
            "unit": "sec", "queries": times, "sf": float(sf), "cpus": cpus,
            "prepare_sec": round(prepare, 3), "timed_run": "second (after one warm-up run)"}

@@ -13,6 +13,7 @@ AUDIT_DELETE_ERROR = "audit_delete_error"
 AUDIT_WRITE_ERROR = "audit_write_error"
 PIPELINE_FAILURE = "pipeline_failure"
 CASCADING_FAILURE = "cascading_failure"
+ORCHESTRATION_CHILD_FAILURE = "orchestration_child_failure"
 PROCESSED = "processed"
 # ----------------------------------------------------------------------------------------
 

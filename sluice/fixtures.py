@@ -81,8 +81,8 @@ def order_lines(orders: DataFrame) -> DataFrame:
 
 
 def cycle_file_name(status: Column, key: Column) -> Column:
-    """``sap_{status}{chunk}_{cc}.txt`` with cycle ``cc`` = key % 11 + 1, two digits."""
-    return F.concat(F.lit("sap_"), status, (key / CHUNK).cast("long").cast("string"), F.lit("_"),
+    """``orders_{status}{chunk}_{cc}.txt`` with cycle ``cc`` = key % 11 + 1, two digits."""
+    return F.concat(F.lit("orders_"), status, (key / CHUNK).cast("long").cast("string"), F.lit("_"),
                     F.lpad((key % 11 + 1).cast("string"), 2, "0"), F.lit(".txt"))
 
 
@@ -93,10 +93,10 @@ def write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
 
 
 def write_cycle_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
-    """L as the inbound folder receives it: ``sap_inbound{chunk}_{cc}.txt`` per cycle and key
+    """L as the inbound folder receives it: ``orders_inbound{chunk}_{cc}.txt`` per cycle and key
     range."""
     lines = order_lines(table(spark, sf_dir, "orders"))
-    name = F.concat(F.lit("sap_inbound"),
+    name = F.concat(F.lit("orders_inbound"),
                     (F.col("o_orderkey") / CHUNK).cast("long").cast("string"), F.lit("_"),
                     F.lpad((F.col("o_orderkey") % 11 + 1).cast("string"), 2, "0"), F.lit(".txt"))
     return write_named_files(lines.withColumn("fname", name), "fname", ["o_orderkey"], folder)

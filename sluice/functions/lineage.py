@@ -50,7 +50,7 @@ def base_name(path) -> Column:
 
 
 def bill_cycle(name) -> Column:
-    """``'BC'`` + the last two characters of the file stem (``sap_x_01.txt`` → ``BC01``)."""
+    """``'BC'`` + the last two characters of the file stem (``inv_x_01.txt`` → ``BC01``)."""
     return F.concat(F.lit(CYCLE_PREFIX), F.right(file_stem(name), F.lit(2)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import base_name, bill_cycle, uuid7
@@ -51,7 +51,19 @@ def file_columns(df: DataFrame, file_name=None) -> DataFrame:
                      F.current_timestamp().alias(META_TIME))
 
 
-def main_columns(df: DataFrame) -> DataFrame:
-    """Rows for the main table: data columns only (no number, no helper columns)."""
-    return df.select(*[ident(c) for c in df.columns
-                       if c not in (FILE_COL, ROW_COL, "filename")])
+def main_columns(df: DataFrame, row_label: str | None = None) -> DataFrame:
+    """Rows for the main table: data columns, without helper columns.
+
+    ``row_label`` adds a number over all files: files in path order, rows in file order. A
+    file's numbers start after the last number of the file before it (one aggregated row per
+    file, no sort of the rows); rows that a filter took out leave gaps.
+    """
+    data = [ident(c) for c in df.columns if c not in (FILE_COL, ROW_COL, "filename")]
+    if not row_label:
+        return df.select(*data)
+    file = FILE_COL if FILE_COL in df.columns else "filename"
+    last = df.groupBy(F.col(file).alias("_of")).agg(F.max(ROW_COL).alias("_last"))
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    base = last.select("_of", F.coalesce(F.sum("_last").over(before), F.lit(0)).alias("_base"))
+    joined = df.join(base, F.col(file).eqNullSafe(F.col("_of")))
+    return joined.select(*data, (F.col("_base") + F.col(ROW_COL)).alias(row_label))

@@ -9,14 +9,6 @@ from ..functions.text import ident
 from ..functions.text import strip_zero_fraction as _strip
 
 
-def balanced(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Spread an under-partitioned input (e.g. a table read over one JDBC connection or a
-    one-row-group file) over the cluster's cores; a no-op when the input already has at
-    least that many partitions, so it never adds a shuffle to well-split large inputs."""
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def stringify(df: DataFrame) -> DataFrame:
     """Every column cast to string and trimmed, in one projection."""
     return df.select(*[F.trim(ident(c).cast("string")).alias(c) for c in df.columns])

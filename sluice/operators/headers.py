@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import canon_header, footer_pattern, norm_text, null_safe, FOOTER_PHRASES
-from .joins import join_side
 from .stamp import FILE_COL, ROW_COL
 
 # --- fixed values (must equal the reference's behaviour) -------------------------------
@@ -219,11 +218,11 @@ def skip_preamble(grid: DataFrame, detected: DataFrame, file_col: str = FILE_COL
                   row_col: str = ROW_COL) -> DataFrame:
     """Keep rows after each report's header block (F2); reports without a match drop out.
 
-    ``detected`` has one row per report: broadcast within a checked size, otherwise a
-    salted join so a report holding a third of all rows is not one task.
+    ``detected`` has one row per report. Spark broadcasts it where its size allows; otherwise
+    adaptive execution splits the partition of a report that holds a large share of all rows.
     """
     det = detected.filter(F.col("header_end") >= 0).select(file_col, "header_end", "tidx")
-    joined = join_side(grid, det, file_col, "inner", salt_cols=[file_col, row_col])
+    joined = grid.join(det, file_col)
     return joined.filter(F.col(row_col) > F.col("header_end") + 1)
 
 

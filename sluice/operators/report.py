@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import EMPTY_DATA, MISSING_FILE, PROCESSED
+from ..errors import (EMPTY_DATA, MISSING_FILE, ORCHESTRATION_CHILD_FAILURE, PIPELINE_FAILURE,
+                      PROCESSED, IntakeError)
 from ..functions.lineage import canonical_path, last_segment
 from .stamp import FILE_COL
 
@@ -22,18 +23,26 @@ def row_counts(df: DataFrame, file_col: str = FILE_COL) -> DataFrame:
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def file_disposition(spark: SparkSession, inputs: list[str], data: DataFrame,
+def input_files(spark: SparkSession, found) -> DataFrame:
+    """``path`` of every input file, listed by a scan that reads no content."""
+    return spark.read.format("binaryFile").load(found).select("path")
+
+
+def file_disposition(spark: SparkSession, inputs, data: DataFrame,
                      detected: DataFrame | None = None, missing=(),
-                     fail_on_no_rows: bool = True) -> DataFrame:
+                     fail_on_no_rows: bool = True, errors: DataFrame | None = None) -> DataFrame:
     """``(path, filename, status, reason, n_rows, payload)`` for every input file.
 
     A file is ``empty_data`` when no header matched (``detected.n = 0``) or, with
     ``fail_on_no_rows`` (spreadsheet rule), when no data row survived; missing inputs are
-    ``missing_file``; all others ``processed``. ``payload`` is the JSON error text.
+    ``missing_file``; all others ``processed``. ``inputs`` is a list of paths or a frame with
+    a ``path`` column. ``errors`` (``_file, reason``) names files that could not be read:
+    ``pipeline_failure``. ``payload`` is the JSON error text.
     """
     # Paths are normalised by Spark on both sides (no per-file driver call).
-    files = spark.createDataFrame([(p,) for p in inputs], "path string") \
-        .select(canonical_path("path").alias("path"))
+    if not isinstance(inputs, DataFrame):
+        inputs = spark.createDataFrame([(p,) for p in inputs], "path string")
+    files = inputs.select(canonical_path("path").alias("path"))
     counts = row_counts(data).select(canonical_path(FILE_COL).alias("path"), "n_rows")
     out = files.join(counts, "path", "left")
     if detected is not None:
@@ -45,29 +54,59 @@ def file_disposition(spark: SparkSession, inputs: list[str], data: DataFrame,
     empty = F.coalesce(F.col("n"), F.lit(0)) == 0
     if fail_on_no_rows:
         empty = empty | (n_rows == 0)
-    status = F.when(empty, F.lit(EMPTY_DATA)).otherwise(F.lit(PROCESSED))
-    reason = F.when(empty, F.lit(REASON_EMPTY))
+    if errors is not None:
+        out = out.join(errors.select(canonical_path(FILE_COL).alias("path"),
+                                     F.col("reason").alias("_broken")), "path", "left")
+    else:
+        out = out.withColumn("_broken", F.lit(None).cast("string"))
+    broken = F.col("_broken").isNotNull()
+    status = F.when(broken, F.lit(PIPELINE_FAILURE)).when(empty, F.lit(EMPTY_DATA)) \
+        .otherwise(F.lit(PROCESSED))
+    reason = F.when(broken, F.col("_broken")).when(empty, F.lit(REASON_EMPTY))
     out = out.select("path", status.alias("status"), reason.alias("reason"),
                      n_rows.alias("n_rows"))
     if missing:
         gone = spark.createDataFrame([(p, MISSING_FILE, REASON_MISSING, 0) for p in missing],
                                      DISPOSITION_SCHEMA)
         out = out.unionByName(gone)
-    payload = F.when(F.col("status") != PROCESSED, F.to_json(F.struct(
-        F.col("status"), F.col("path").alias("failed_file_path"), F.col("reason"))))
     return out.select("path", last_segment("path").alias("filename"), "status", "reason",
-                      "n_rows", payload.alias("payload"))
+                      "n_rows", _payload().alias("payload"))
+
+
+def _payload():
+    return F.when(F.col("status") != PROCESSED, F.to_json(F.struct(
+        F.col("status"), F.col("path").alias("failed_file_path"), F.col("reason"))))
 
 
-def run_report(dispositions: DataFrame, unit_col: str = "filename") -> DataFrame:
-    """One row: units, failed units and ``[unit]: status - reason; …`` in unit order."""
-    failed = F.col("status") != PROCESSED
+def with_status(dispositions: DataFrame, old: str, new: str) -> DataFrame:
+    """Outcomes with one status replaced by another, payloads too."""
+    status = F.when(F.col("status") == old, F.lit(new)).otherwise(F.col("status"))
+    return dispositions.withColumn("status", status).withColumn("payload", _payload())
+
+
+def run_report(dispositions: DataFrame) -> DataFrame:
+    """One row: units and failed units; the failures themselves are :func:`run_failures`."""
+    return dispositions.agg(F.count(F.lit(1)).alias("n_units"),
+                            F.count_if(F.col("status") != PROCESSED).alias("n_failed"))
+
+
+def run_failures(dispositions: DataFrame, unit_col: str = "filename") -> DataFrame:
+    """``(unit, line)`` of every failed unit; ``line`` is ``[unit]: status - reason``."""
     line = F.concat(F.lit("["), F.col(unit_col), F.lit("]: "), F.col("status"), F.lit(" - "),
                     F.coalesce(F.col("reason"), F.lit("")))
-    return dispositions.agg(
-        F.count(F.lit(1)).alias("n_units"),
-        F.count_if(failed).alias("n_failed"),
-        F.array_join(F.array_sort(F.collect_list(F.when(failed, line))), "; ").alias("summary"))
+    return dispositions.filter(F.col("status") != PROCESSED) \
+        .select(F.col(unit_col).alias("unit"), line.alias("line"))
+
+
+def run_gate(dispositions: DataFrame, shown: int = 100) -> None:
+    """Raises ``orchestration_child_failure`` if a unit failed (G3). The message holds the
+    counts and the first ``shown`` failures by unit; all are in :func:`run_failures`."""
+    n = run_report(dispositions).first()
+    if n["n_failed"]:
+        lines = run_failures(dispositions).orderBy("unit", "line").limit(shown).collect()
+        raise IntakeError(ORCHESTRATION_CHILD_FAILURE,
+                          f"{n['n_failed']} of {n['n_units']} units failed: "
+                          + "; ".join(r["line"] for r in lines))
 
 
 def move_by_outcome(spark: SparkSession, dispositions: DataFrame, processed: str,
@@ -91,7 +130,7 @@ def move_by_outcome(spark: SparkSession, dispositions: DataFrame, processed: str
             return path, status, move_to(spark, path, target), None
         except Exception as exc:  # noqa: BLE001 - reported as data
             failed = status if status == PROCESSED else CASCADING_FAILURE
-            return path, failed, None, f"{type(exc).__name__}: {exc}"[:200]
+            return path, failed, None, f"{type(exc).__name__}: {exc}"
 
     rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
     pairs = [(r["path"], r["status"]) for r in rows.toLocalIterator()]

@@ -9,7 +9,7 @@ of a row is therefore
 Only the per-split counts are aggregated (map-side partial aggregation, one row per split),
 turned into running offsets per file, checkpointed to the shared folder and joined back.
 The join is a broadcast only when the checkpointed offsets table's measured size (rows ×
-path length + three longs) is within a limit – about 2M splits of 128 MB, i.e. ~250 TB of
+path and name length + four longs) is within a limit – about 2M splits of 128 MB, i.e. ~250 TB of
 input, fit in 512 MB; beyond it a shuffle join on (file, split) is used, whose groups are at
 most one split each. Data rows are never moved to one partition, and a file holding a third
 of all rows is still numbered by as many tasks as it has splits.
@@ -31,7 +31,7 @@ ROW_COL = "_temp_row_num"
 
 #: Largest offsets table (one row per file split, measured in bytes) that is broadcast.
 BROADCAST_BYTES_LIMIT = 512 * 1024 * 1024
-_ROW_OVERHEAD = 48          # three longs plus row header, per split
+_ROW_OVERHEAD = 56          # four longs plus row header, per split
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -44,24 +44,15 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
-def _pin_split_planning(df: DataFrame) -> None:
-    # Split sizes depend on the default parallelism when minPartitionNum is unset; pin it so
-    # the offsets pass and the data pass plan identical splits even if executors come and go.
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum",
-                       str(spark.sparkContext.defaultParallelism))
-
-
 def split_offsets(positioned: DataFrame) -> DataFrame:
-    """Per (file, split): first id, rows in earlier splits of the file and the decoded file
+    """Per (file, split): first id, rows, rows in earlier splits of the file and the decoded file
     name (computed here once per split instead of once per row)."""
     blocks = positioned.groupBy(FILE_COL, BLOCK_COL).agg(
         F.count(F.lit(1)).alias("_n"), F.min(ID_COL).alias("_first"))
     earlier = (Window.partitionBy(FILE_COL).orderBy(BLOCK_COL)
                .rowsBetween(Window.unboundedPreceding, -1))
     return blocks.select(
-        FILE_COL, BLOCK_COL, "_first",
+        FILE_COL, BLOCK_COL, "_first", "_n",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"),
         base_name(FILE_COL).alias("_name"),
     )
@@ -72,19 +63,22 @@ def stamp_rows(positioned: DataFrame, row_col: str = ROW_COL,
                keep_position: bool = False) -> DataFrame:
     """Add ``filename`` (decoded) and ``row_col`` (1..N per file in file order).
 
-    ``positioned`` comes from :func:`with_position`.
+    ``positioned`` comes from :func:`with_position`. If the data pass packs files into tasks
+    otherwise than the offsets pass did (the caller changed a scan setting in between), some
+    row of the read falls outside its split's range of ids and the read fails. The guard is
+    marked as not deterministic, so no filter moves below it: every row that is read is checked.
     """
-    _pin_split_planning(positioned)
     ensure_checkpoint_dir(positioned.sparkSession)
     offsets = split_offsets(positioned).checkpoint(eager=True)
-    size = offsets.agg(F.coalesce(F.sum(F.length(FILE_COL) + _ROW_OVERHEAD), F.lit(0))
-                       .alias("b")).first()["b"]
+    size = offsets.agg(F.coalesce(F.sum(F.length(FILE_COL) + F.length("_name") + _ROW_OVERHEAD),
+                                  F.lit(0)).alias("b")).first()["b"]
     right = F.broadcast(offsets) if size <= broadcast_bytes else offsets
     joined = positioned.join(right, [FILE_COL, BLOCK_COL], "left")
+    at = F.col(ID_COL) - F.col("_first")
     number = F.when(
-        F.col("_base").isNull(),
+        F.col("_base").isNull() | (at < 0) | (at >= F.col("_n")) | (F.rand(0) < 0),
         F.raise_error(F.lit("file splits changed between numbering passes")),
-    ).otherwise(F.col("_base") + (F.col(ID_COL) - F.col("_first")) + F.lit(1))
+    ).otherwise(F.col("_base") + at + F.lit(1))
     out_cols = [c for c in positioned.columns if keep_position or c not in (BLOCK_COL, ID_COL)]
     return joined.select(*out_cols, F.col("_name").alias(NAME_COL), number.cast("long").alias(row_col))
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators.align import align, missing_columns
-from ..operators.clean import balanced, max_lengths, stringify, strip_zero_fraction
+from ..operators.clean import max_lengths, stringify, strip_zero_fraction
 from ..sinks.tables import backup_csv, persisted, truncate_load
 
 # --- fixed value: the reference cleans this column name only; here it is the default ------
@@ -23,15 +23,15 @@ class CopyResult:
 
 
 def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS,
-                 spread: bool = False) -> CopyResult:
+                 partitions: int | None = None) -> CopyResult:
     """Case-insensitive alignment, string cast + trim, zero-tail removal on rate columns.
 
-    With ``spread`` an under-partitioned source (e.g. a JDBC table read over one
-    connection) is first spread over the cores (:func:`sluice.operators.clean.balanced`);
-    worth it when later per-row work is heavy, not for casts alone.
+    ``partitions`` spreads an under-partitioned source (e.g. a JDBC table read over one
+    connection) over that many tasks first; worth it when later per-row work is heavy, not
+    for casts alone.
     """
     missing = missing_columns(source, target)
-    data = stringify(align(balanced(source) if spread else source, target))
+    data = stringify(align(source.repartition(partitions) if partitions else source, target))
     present = [c for c in data.columns if c.lower() in {r.lower() for r in rate_columns}]
     if present:
         data = strip_zero_fraction(data, present)
@@ -39,14 +39,13 @@ def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS,
 
 
 def copy_table(source: DataFrame, target_table: str, rate_columns=DEFAULT_RATE_COLUMNS,
-               backup_path: str | None = None, lengths: str = "preflight",
+               backup_path: str | None = None, lengths: str = "observe",
                persist: bool = False) -> CopyResult:
     """Copy ``source`` into a catalog table; an empty source ends without writing.
 
-    ``lengths='preflight'`` (the reference's order) measures the longest value of every
-    column in one aggregation before anything is written; ``lengths='observe'`` measures
-    them during the load itself with an :class:`~pyspark.sql.Observation`, so the copy reads
-    the source once. ``persist`` keeps the prepared rows (memory and disk) for the audit,
+    ``lengths='observe'`` measures the longest value of every column during the load itself
+    with an :class:`~pyspark.sql.Observation`; ``lengths='preflight'`` (the reference's order)
+    measures them in one aggregation before anything is written. ``persist`` keeps the prepared rows (memory and disk) for the audit,
     backup and load – worth it for a modest database source, not for a very large one, which
     is simply read again. A missing backup folder skips only the backup (trap T11).
     """

@@ -12,7 +12,7 @@ from ..functions.lineage import base_name
 from ..functions.text import ident
 from ..operators import headers as H
 from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources.csv import DEFAULT_SEP, read_csv_grid
 
 FLAT_LABEL = "column"
@@ -28,6 +28,7 @@ class HeadedResult:
     data: DataFrame       # target columns, filename, _file, _temp_row_num
     detected: DataFrame   # one row per report: header_end, n, mapping, tidx (checkpointed)
     targets: list[str]
+    errors: DataFrame | None = None   # workbooks that could not be parsed: _file, reason
 
 
 def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | None = None,
@@ -38,15 +39,10 @@ def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | No
 
 
 def detect(grid: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
-           strict: bool = False, sample_from: DataFrame | None = None) -> DataFrame:
-    """Header detection per report, materialised in the shared checkpoint folder.
-
-    The first 50 rows come from ``grid`` unless ``sample_from`` supplies them (e.g. the
-    file heads of :func:`sluice.sources.heads.csv_heads`).
-    """
+           strict: bool = False) -> DataFrame:
+    """Header detection per report, materialised in the shared checkpoint folder."""
     ensure_checkpoint_dir(grid.sparkSession)
-    source = grid if sample_from is None else sample_from
-    return H.detect_headers(H.sample_reports(source), targets, min_score=min_score,
+    return H.detect_headers(H.sample_reports(grid), targets, min_score=min_score,
                             strict=strict).checkpoint(eager=True)
 
 
@@ -57,8 +53,7 @@ def clean_rows(grid: DataFrame, detected: DataFrame, footer_phrases=H.FOOTER_PHR
 
 
 def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
-           min_score: float = H.SCORE_SHARED, strict: bool = False,
-           sample_from: DataFrame | None = None) -> HeadedResult:
+           min_score: float = H.SCORE_SHARED, strict: bool = False) -> HeadedResult:
     """Detect, clean and project every report of ``grid`` onto the target headers.
 
     Defaults keep the reference's rules; ``footer_phrases`` (trap T9), ``min_score`` (T10)
@@ -67,7 +62,7 @@ def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
     targets = H.parse_headers(target_headers or "")
     if not targets:
         raise IntakeError(MISSING_PARAMETERS, "target_headers is required")
-    detected = detect(grid, targets, min_score, strict, sample_from)
+    detected = detect(grid, targets, min_score, strict)
     data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets,
                             keep=(NAME_COL, FILE_COL, ROW_COL))
     data = data.select(*[ident(t) for t in targets], _name(data), FILE_COL, ROW_COL)
@@ -83,54 +78,44 @@ def flat(grid: DataFrame, label: str = FLAT_LABEL, width: int | None = None) ->
 
 
 def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SEP,
-               width: int | None = None, on_missing: str = "raise", sample: str = "scan",
-               **rules) -> HeadedResult:
-    """Headerless CSV reports → detected headers → clean rows with file columns.
-
-    ``sample='heads'`` takes the header sample from the head of each file only (a byte-range
-    read parsed by Spark's CSV parser) instead of a pass over every split — the same rows,
-    far less I/O for reports larger than a split. Default ``'scan'``.
-    """
-    from ..sources.csv import infer_width
-    from ..sources.files import split_existing
-
-    if sample == "heads":
-        found, _ = split_existing(spark, paths)
-        if width is None:
-            width = infer_width(spark, found, sep)
-        grid = csv_grid(spark, paths, sep, width, on_missing)
-        from ..sources.heads import csv_heads
-
-        heads = csv_heads(spark, spark.read.text(found).inputFiles(), width, sep)
-        return headed(grid, target_headers, sample_from=heads, **rules)
+               width: int | None = None, on_missing: str = "raise", **rules) -> HeadedResult:
+    """Headerless CSV reports → detected headers → clean rows with file columns."""
     return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers, **rules)
 
 
-def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise",
-                materialise: bool = True) -> DataFrame:
-    """``(cells, filename, _file, _temp_row_num)`` of one sheet per workbook (numbered while
-    parsed).
+def sheets_scan(spark: SparkSession, paths, sheet=0,
+                on_missing: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """The grid ``(cells, filename, _file, _temp_row_num)`` of one sheet per workbook and the
+    ``(_file, reason)`` of workbooks that cannot be parsed, whose rows are left out.
 
-    Parsing is Python work, so by default the parsed grid is checkpointed to the shared
-    folder once and both the header pass and the data pass read it.
+    Parsing is Python work, so all rows are staged once as Parquet in the shared folder and
+    the header pass, the data pass and the report read that.
     """
-    from ..sources.workbook import read_workbooks
+    from ..sources.workbook import ERROR_COL, scan_workbooks
+
+    path = scratch_path(spark, "sheets")
+    rows = scan_workbooks(spark, paths, sheet, on_missing)
+    rows.write.parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    errors = rows.filter(F.col(ERROR_COL).isNotNull()).select(FILE_COL, F.col(ERROR_COL).alias("reason"))
+    grid = rows.join(errors.select(FILE_COL), FILE_COL, "left_anti")
+    return grid.select("cells", NAME_COL, FILE_COL, ROW_COL), errors
+
 
-    grid = read_workbooks(spark, paths, sheet, on_missing).select(
-        "cells", NAME_COL, FILE_COL, ROW_COL)
-    if materialise:
-        ensure_checkpoint_dir(spark)
-        grid = grid.checkpoint(eager=True)
-    return grid
+def sheets_grid(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
+    """The grid of :func:`sheets_scan`."""
+    return sheets_scan(spark, paths, sheet, on_missing)[0]
 
 
 def ingest_sheets(spark: SparkSession, paths, target_headers=None, sheet=0,
                   on_missing: str = "raise", **rules):
     """C3 (headed, with ``target_headers``) or C4 (flat): returns a :class:`HeadedResult`
     or, in flat mode, the positional frame."""
-    grid = sheets_grid(spark, paths, sheet, on_missing)
+    grid, errors = sheets_scan(spark, paths, sheet, on_missing)
     if target_headers:
-        return headed(grid, target_headers, **rules)
+        res = headed(grid, target_headers, **rules)
+        res.errors = errors
+        return res
     return flat(grid)
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..errors import EMPTY_DATA, IntakeError
+from ..errors import AUDIT_WRITE_ERROR, EMPTY_DATA, IntakeError
 from ..sinks.tables import persisted, replace_partitions, truncate_load
 
 
@@ -35,11 +36,14 @@ def require_rows(df: DataFrame, path: str = "Unknown") -> None:
 
 
 def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | None = None,
-                        skip: str | None = None, audit_key="billcycle",
-                        audit_target=None, persist: bool = True) -> None:
+                        row_label: str | None = None, audit_key="billcycle",
+                        audit_target=None, persist: bool = True,
+                        match: str = "insensitive", on_cast: str = "raise") -> dict[str, int]:
     """K6: from one computation of the cleaned ``rows`` (data columns, ``filename``,
     ``_file``, ``_temp_row_num``), truncate-and-load the main table and replace the audit's
-    cycles in a partitioned folder.
+    cycles in a partitioned folder. ``row_label`` names the main table's row number (see
+    :func:`sluice.operators.audit.main_columns`); ``match`` and ``on_cast`` are those of
+    :func:`sluice.operators.align.align` and the sink. Returns rejected values per column.
 
     ``rows`` is persisted (memory and disk) for the two writes and always released (pass
     ``persist=False`` when the caller already holds it); the audit ids and time are
@@ -50,9 +54,35 @@ def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | No
     from ..operators.audit import audit_columns, main_columns
 
     with (persisted(rows) if persist else nullcontext(rows)) as shared:
-        truncate_load(main_columns(shared), target_table, skip=skip)
+        main = align(main_columns(shared, row_label),
+                     shared.sparkSession.table(target_table).schema, match=match)
+        rejects = truncate_load(main, target_table, on_cast=on_cast)
         if audit_path:
             audit = audit_columns(shared)
             if audit_target is not None:
                 audit = align(audit, audit_target)
-            replace_partitions(audit, audit_path, key=audit_key)
+            try:
+                replace_partitions(audit, audit_path, key=audit_key)
+            except Exception as exc:
+                raise IntakeError(AUDIT_WRITE_ERROR, str(exc), audit_path) from exc
+    return rejects
+
+
+def load_cycle_tables(rows: DataFrame, table_template: str, codes, row_label: str | None = None,
+                      on_cast: str = "raise") -> list[str]:
+    """From one computation of ``rows`` over the files of all cycles, load every
+    cycle's rows into its own table (``table_template`` with the cycle code as its last two
+    characters). Returns the tables."""
+    from ..functions.lineage import bill_cycle
+    from ..operators.align import align
+    from ..operators.audit import main_columns
+
+    tables = []
+    with persisted(rows) as shared:
+        for code in codes:
+            table = cycle_table_name(table_template, code)
+            mine = shared.filter(bill_cycle(F.col("filename")) == F.lit("BC" + code))
+            main = align(main_columns(mine, row_label), shared.sparkSession.table(table).schema)
+            truncate_load(main, table, on_cast=on_cast)
+            tables.append(table)
+    return tables

@@ -6,43 +6,85 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from ..errors import DATABASE_ERROR, IntakeError
-from ..operators.align import align, unknown_columns
+from ..operators.align import align, cast_failures, unknown_columns
+from ..session import shared_root
 
-#: Largest number of distinct replaced keys that is broadcast in :func:`replace_keys`.
-BROADCAST_KEYS_LIMIT = 1_000_000
 
-
-def _check_names(df: DataFrame, schema, target: str) -> None:
-    extra = unknown_columns(df, schema)
+def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
+    extra = [c for c in unknown_columns(df, schema) if not skip or c.lower() != skip.lower()]
     if extra:
         # Validate before writing: an overwrite would empty the table first (trap T6).
         raise IntakeError(DATABASE_ERROR, f"columns not in {target}: {extra}", target)
 
 
-def truncate_load(df: DataFrame, table: str, skip: str | None = None) -> None:
-    """Replace all rows of a catalog table, keeping its definition (K1)."""
+def load_rejects(df: DataFrame, schema, target: str, on_cast: str = "raise") -> dict[str, int]:
+    """Per target column, how many values cannot be converted to its type (A6): one pass.
+
+    Any reject raises ``database_error`` unless ``on_cast`` is ``"null"``; columns that need
+    no conversion are not looked at.
+    """
+    have = {f.name.lower(): f.dataType for f in df.schema.fields}
+    typed = [f for f in schema.fields if have.get(f.name.lower(), f.dataType) != f.dataType]
+    if not typed:
+        return {}
+    row = cast_failures(df, T.StructType(typed)).first()
+    rejects = {c: n for c, n in row.asDict().items() if n}
+    if rejects and on_cast != "null":
+        raise IntakeError(DATABASE_ERROR, f"values that do not fit {target}: {rejects}", target)
+    return rejects
+
+
+@contextmanager
+def _static_overwrite(spark):
+    """An overwrite replaces the whole table, whatever the session says; the setting is put
+    back afterwards."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
+def truncate_load(df: DataFrame, table: str, skip: str | None = None,
+                  on_cast: str = "raise", extra: str = "raise") -> dict[str, int]:
+    """Replace all rows of a catalog table, keeping its definition (K1).
+
+    Before anything is written, unknown columns (``extra="drop"`` leaves them out) and values
+    that do not fit the column types (``on_cast="null"`` loads NULL for them) raise
+    ``database_error``. Returns the rejected values per column. ``skip`` names a generated
+    column that is loaded as NULL unless ``df`` brings it.
+    """
     spark = df.sparkSession
     schema = spark.table(table).schema
-    aligned = align(df, schema, skip=skip, cast=True)
-    _check_names(aligned, schema, table)
-    if skip:
-        aligned = align(aligned, schema, cast=True)   # generated column back in place, NULL
-    aligned.write.insertInto(table, overwrite=True)
+    if extra != "drop":
+        _check_names(df, schema, table, skip)
+    rejects = load_rejects(df, schema, table, on_cast)
+    with _static_overwrite(spark):
+        align(df, schema, cast=True).write.insertInto(table, overwrite=True)
+    return rejects
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Append rows, coerced to the table's types (K2)."""
+def append(df: DataFrame, table: str, on_cast: str = "raise", extra: str = "raise") -> dict[str, int]:
+    """Append rows, converted to the table's types (K2); checks as :func:`truncate_load`."""
     schema = df.sparkSession.table(table).schema
+    if extra != "drop":
+        _check_names(df, schema, table, None)
+    rejects = load_rejects(df, schema, table, on_cast)
     align(df, schema, cast=True).write.insertInto(table, overwrite=False)
+    return rejects
 
 
 def replace_partitions(df: DataFrame, path: str, key="billcycle", fmt: str = "parquet") -> None:
     """Replace only the ``key`` values present in ``df`` in a partitioned folder (K3).
 
-    Dynamic partition overwrite: other cycles are kept, each cycle is replaced whole, and
-    the write commits atomically per job; no SQL text is built from data (trap T8).
+    Dynamic partition overwrite: other cycles are kept and each cycle is replaced whole; no SQL
+    text is built from data (trap T8). New files appear when the job commits; on a store
+    without atomic renames a reader may see a cycle between its old and new files.
     ``key`` may be a list (e.g. cycle and file: replace one file's rows of a cycle).
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -50,18 +92,15 @@ def replace_partitions(df: DataFrame, path: str, key="billcycle", fmt: str = "pa
        .partitionBy(*keys).format(fmt).save(path))
 
 
-def replace_keys(existing: DataFrame, incoming: DataFrame, key: str = "billcycle",
-                 broadcast_limit: int = BROADCAST_KEYS_LIMIT) -> DataFrame:
+def replace_keys(existing: DataFrame, incoming: DataFrame, key: str = "billcycle") -> DataFrame:
     """Frame form of K3: existing rows of untouched keys, plus all incoming rows.
 
-    The replaced key set is broadcast within a checked size, else joined salted
-    (:func:`sluice.operators.joins.join_side`), so a hot cycle is not one task.
+    The replaced keys (one small row each) are computed once, into the shared folder; the
+    anti-join is a broadcast where their size allows, else adaptive execution splits hot keys.
     """
-    from ..operators.joins import join_side
-
-    keys = incoming.select(key).distinct()
-    kept = join_side(existing, keys, key, "left_anti", broadcast_limit=broadcast_limit)
-    return kept.unionByName(incoming, allowMissingColumns=True)
+    shared_root(incoming.sparkSession)
+    keys = incoming.select(key).distinct().checkpoint(eager=True)
+    return existing.join(keys, key, "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 
 def backup_csv(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -71,13 +110,10 @@ def backup_csv(df: DataFrame, path: str, files: int | None = None) -> None:
 
 
 def quote_table(name: str) -> str:
-    """``schema.table`` → ``"schema"."table"`` split at the first dot, quotes doubled (K5)."""
-    def q(part: str) -> str:
-        return '"' + part.replace('"', '""') + '"'
-    if "." in name:
-        sch, tbl = name.split(".", 1)
-        return f"{q(sch)}.{q(tbl)}"
-    return q(name)
+    """Quoted SQL name (K5): a schema, if any, ends at the first dot; every non-empty part is
+    quoted by itself, with its own quotes doubled."""
+    head, _, tail = name.partition(".")
+    return ".".join('"%s"' % part.replace('"', '""') for part in (head, tail) if part)
 
 
 @contextmanager

@@ -35,9 +35,12 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename; a file of that name in the target folder is replaced (a re-sent input)."""
     fs, s = _fs_and_path(spark, src)
     _, d = _fs_and_path(spark, dst)
     fs.mkdirs(d.getParent())
+    if not s.equals(d) and fs.exists(s) and fs.exists(d):
+        fs.delete(d, False)
     if not fs.rename(s, d):
         raise OSError(f"rename failed: {src} -> {dst}")
 

@@ -21,6 +21,7 @@ from xml.etree.ElementTree import iterparse, parse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..errors import MISSING_FILE, IntakeError
 from ..operators.stamp import FILE_COL, ROW_COL
@@ -32,6 +33,7 @@ _PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 GRID_SCHEMA = (f"{FILE_COL} string, filename string, sheet string, {ROW_COL} long, "
                "cells array<string>")
 BATCH_ROWS = 4096
+ERROR_COL = "_error"
 _REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -170,31 +172,43 @@ def iter_sheet_rows(content: bytes, sheet=0):
 def _parse_batches(sheet):
     from urllib.parse import unquote
 
-    cols = [FILE_COL, "filename", "sheet", ROW_COL, "cells"]
+    cols = [FILE_COL, "filename", "sheet", ROW_COL, "cells", ERROR_COL]
 
     def run(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 fname = unquote(path.rsplit("/", 1)[-1])   # paths are URI-encoded
                 buf = []
-                for name, r, cells in iter_sheet_rows(bytes(content), sheet):
-                    buf.append((path, fname, name, r, cells))
-                    if len(buf) >= BATCH_ROWS:
-                        yield pd.DataFrame(buf, columns=cols)
-                        buf = []
+                try:
+                    for name, r, cells in iter_sheet_rows(bytes(content), sheet):
+                        buf.append((path, fname, name, r, cells, None))
+                        if len(buf) >= BATCH_ROWS:
+                            yield pd.DataFrame(buf, columns=cols)
+                            buf = []
+                except Exception as exc:  # noqa: BLE001 - reported per file
+                    buf.append((path, fname, None, None, None, f"{type(exc).__name__}: {exc}"))
                 if buf:
                     yield pd.DataFrame(buf, columns=cols)
     return run
 
 
-def read_workbooks(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
-    """``(_file, filename, sheet, _temp_row_num, cells)`` for one sheet (index or name) of
-    each workbook."""
+def scan_workbooks(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
+    """Rows of one sheet (index or name) of each workbook, and for a workbook that cannot be
+    parsed one row whose ``_error`` says why (rows parsed before the fault may come first)."""
     found, missing = split_existing(spark, paths)
     if missing and (on_missing == "raise" or not found):
         raise IntakeError(MISSING_FILE, "input object not found", ",".join(missing))
     bins = spark.read.format("binaryFile").load(found).select("path", "content")
-    return bins.mapInPandas(_parse_batches(sheet), GRID_SCHEMA)
+    return bins.mapInPandas(_parse_batches(sheet), f"{GRID_SCHEMA}, {ERROR_COL} string")
+
+
+def read_workbooks(spark: SparkSession, paths, sheet=0, on_missing: str = "raise") -> DataFrame:
+    """``(_file, filename, sheet, _temp_row_num, cells)`` of the workbooks that can be parsed;
+    :func:`scan_workbooks` also names the others."""
+    rows = scan_workbooks(spark, paths, sheet, on_missing)
+    broken = rows.filter(F.col(ERROR_COL).isNotNull()).select(FILE_COL)
+    return rows.join(broken, FILE_COL, "left_anti").select(
+        FILE_COL, "filename", "sheet", ROW_COL, "cells")
 
 
 # --- minimal workbook writer (fixtures and tests) -----------------------------------------

@@ -7,8 +7,9 @@ not read by the stream itself). Each micro-batch hands its file list – at most
 one cycle arriving in different micro-batches never remove each other's rows. With one
 file per cycle this equals the reference's delete-cycle-then-append; ``key="billcycle"``
 gives that rule literally. After the
-write the batch's files move to the processed folder; if the batch fails they move to the
-error folder and the error stops the stream (the reference's success / quarantine moves).
+write the batch's files move to the processed folder; a file that cannot be loaded moves to the
+error folder alone (the reference's success / quarantine moves), or, without an error folder,
+stops the stream.
 
 The file source's own ``cleanSource=archive`` is not used: it archives a file only when a
 later micro-batch runs, so the last batch would stay behind. A re-sent file with the same
@@ -22,6 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..errors import PIPELINE_FAILURE, IntakeError
 from ..sinks.tables import replace_partitions
 from ..sources.files import move_to, qualify, split_existing
 
@@ -40,6 +42,17 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
               .option("maxFilesPerTrigger", max_files_per_trigger))
     files = reader.load(inbound).select("path")
 
+    def load(paths: list[str]) -> dict[str, str]:
+        """Writes the rows of the paths; the reason of each path that could not be loaded. If
+        the batch fails as a whole, its files are tried one by one."""
+        try:
+            replace_partitions(to_rows(spark, paths), sink, key=key)
+            return {}
+        except Exception as exc:  # noqa: BLE001 - reported per file
+            if len(paths) == 1:
+                return {paths[0]: f"{type(exc).__name__}: {exc}"}
+            return {p: why for path in paths for p, why in load([path]).items()}
+
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         # ≤ max_files_per_trigger rows; the stream reports encoded URIs, the reads take paths
         listed = sorted(qualify(spark, r["path"]) for r in batch.collect())
@@ -48,16 +61,13 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
         paths, _gone = split_existing(spark, listed) if listed else ([], [])
         if not paths:
             return
-        try:
-            replace_partitions(to_rows(spark, paths), sink, key=key)
-        except Exception:
-            if error:
-                for p in paths:
-                    move_to(spark, p, error)
-            raise
-        if processed:
-            for p in paths:
-                move_to(spark, p, processed)
+        bad = load(paths)
+        if bad and not error:
+            raise IntakeError(PIPELINE_FAILURE, bad[min(bad)], min(bad))
+        for p in paths:
+            target = error if p in bad else processed
+            if target:
+                move_to(spark, p, target)
 
     writer = (files.writeStream.foreachBatch(run_batch)
               .option("checkpointLocation", checkpoint))
@@ -86,6 +96,9 @@ def report_audit_rows(target_headers, kind: str = "csv", **options) -> Callable[
     def to_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
         if kind == "xlsx":
             res = ingest_sheets(spark, paths, target_headers, **options)
+            broken = res.errors.first()
+            if broken:   # the stream then tries the files one by one
+                raise IntakeError(PIPELINE_FAILURE, broken["reason"], broken["_file"])
         else:
             res = ingest_csv(spark, paths, target_headers, **options)
         return audit_columns(res.data)

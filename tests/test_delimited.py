@@ -24,14 +24,14 @@ def test_record_type_filter(spark):
 
 def test_numbers_keep_gaps_after_filter(spark, scratch):
     folder = scratch("text-gaps")
-    write_text_files(folder, {"sap_x_03.txt": "H\t1\nD\t2\n\nD\t3\n"})
+    write_text_files(folder, {"inv_x_03.txt": "H\t1\nD\t2\n\nD\t3\n"})
     rows = parse_text(spark, folder, 2, filter_record_type="D").orderBy("_temp_row_num").collect()
     assert [(r.column2, r._temp_row_num) for r in rows] == [("2", 2), ("3", 4)]
 
 
 def test_ingest_text_exact_alignment_and_audit(spark, scratch):
     folder = scratch("text-ingest")
-    write_text_files(folder, {"sap_x_07.txt": "D\t1\t a \nD\t2\t\n"})
+    write_text_files(folder, {"inv_x_07.txt": "D\t1\t a \nD\t2\t\n"})
     main, audit = ingest_text(spark, folder, 3, target=["column1", "COLUMN2", "column3", "rid"],
                               row_number_label="RID",
                               audit_target=["rownumber", "billcycle", "column2", "extra"])

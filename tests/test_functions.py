@@ -53,7 +53,7 @@ def test_strip_zero_fraction(spark):
         ["12", "12", "12.50", "1.0", "7", "0"]
 
 
-NAMES = ["sap_glbilled_B_01.txt", "a.b.c_07.csv", ".env", "x..txt", "..txt", "noext12",
+NAMES = ["invoices_B_01.txt", "a.b.c_07.csv", ".env", "x..txt", "..txt", "noext12",
          "dir.v2/file_09.xlsx".split("/")[-1], "a.", "t.tar.gz"]
 
 

@@ -180,51 +180,3 @@ def test_target_names_with_dots_and_spaces(spark):
     assert (row["Acct. No"], row["Full Name"]) == ("7", "Ann")
     out = align(audit_columns(res.data), ["ACCT. NO", "rownumber"]).first()
     assert tuple(out) == ("7", 2)
-
-
-def test_head_sample_equals_scan_sample(spark, scratch):
-    from conftest import SF_SMOKE, write_text_files
-    from sluice import fixtures as fx
-    folder = scratch("heads")
-    fx.write_report_csv(spark, SF_SMOKE, folder)
-    lines = ["Title,", "", "   ", "Account No,Name"] + [f"{i},n{i}" for i in range(3000)]
-    write_text_files(folder, {"big.csv": "\r\n".join(lines) + "\r\n"})
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        a = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS + ", Name", width=6)
-        b = HP.ingest_csv(spark, folder, fx.TARGET_HEADERS + ", Name", width=6, sample="heads")
-        da = sorted((r["_file"], r["header_end"], r["n"]) for r in a.detected.collect())
-        db = sorted((r["_file"], r["header_end"], r["n"]) for r in b.detected.collect())
-        assert da == db and len(da) == 26
-        assert a.data.count() == b.data.count()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-
-
-def test_head_sample_with_byte_order_mark(spark, scratch):
-    import os
-    from conftest import local_path
-    from sluice.sources.heads import csv_heads
-    folder = scratch("heads-bom")
-    os.makedirs(local_path(folder))
-    with open(os.path.join(local_path(folder), "b.csv"), "w", encoding="utf-8-sig") as f:
-        f.write("Account No,Name\n1,a\n")
-    scan = HP.csv_grid(spark, folder, width=2).select("cells", "_temp_row_num")
-    heads = csv_heads(spark, spark.read.text(folder).inputFiles(), 2)
-    a = sorted((r._temp_row_num, tuple(r.cells)) for r in scan.collect())
-    b = sorted((r._temp_row_num, tuple(r.cells)) for r in heads.collect())
-    assert a == b
-
-
-def test_head_sample_file_names_match_scan(spark, scratch):
-    from conftest import write_text_files
-    from sluice.sources.heads import csv_heads
-    folder = scratch("heads-names")
-    write_text_files(folder, {n: "Account No,Name\n1,a\n"
-                              for n in ["a b_01.csv", "x+y%z_02.csv", "p%2520q.csv"]})
-    scan = HP.csv_grid(spark, folder, width=2)
-    heads = csv_heads(spark, spark.read.text(folder).inputFiles(), 2)
-    a = sorted((r._file, r._temp_row_num, tuple(r.cells)) for r in scan.collect())
-    b = sorted((r._file, r._temp_row_num, tuple(r.cells)) for r in heads.collect())
-    assert a == b and len(a) == 6

@@ -2,7 +2,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from sluice.operators.report import file_disposition, run_report
+import pytest
+from sluice.errors import IntakeError
+from sluice.operators.report import file_disposition, run_failures, run_gate, run_report
 from sluice.plans import headed as HP
 from sluice.plans.headed import ingest
 from sluice.sources.files import split_existing
@@ -28,7 +30,12 @@ def test_disposition_and_report(spark, scratch):
     assert json.loads(payload)["status"] == "missing_file"
     rep = run_report(d).first()
     assert (rep.n_units, rep.n_failed) == (4, 3)
-    assert rep.summary.startswith("[gone.csv]: missing_file")
+    lines = {r.unit: r.line for r in run_failures(d).collect()}
+    assert len(lines) == 3 and lines["gone.csv"].startswith("[gone.csv]: missing_file")
+    with pytest.raises(IntakeError, match="3 of 4 units failed") as e:
+        run_gate(d)
+    assert e.value.status == "orchestration_child_failure"
+    run_gate(d.filter("status = 'processed'"))
 
 
 def test_router(spark, scratch):
@@ -115,8 +122,8 @@ def test_run_report_job_end_to_end(spark, scratch):
     res = run_report_job(spark, [root + "/in/*.csv", root + "/in/gone.csv"], "Account No, Name",
                          "t_job", audit_path=root + "/audit", processed=root + "/ok",
                          error=root + "/err", row_number_label="row_id", width=2)
-    assert sorted(tuple(r) for r in spark.table("t_job").collect()) == [("1", "a", None),
-                                                                       ("2", "b", None)]
+    assert sorted(tuple(r) for r in spark.table("t_job").collect()) == [("1", "a", 3),
+                                                                       ("2", "b", 4)]
     rep = res.report.first()
     assert (rep.n_units, rep.n_failed) == (3, 2)
     assert os.listdir(local_path(root + "/ok")) == ["r_01.csv"]
@@ -158,9 +165,47 @@ def test_run_text_job_end_to_end(spark, scratch):
                        processed=root + "/ok", error=root + "/err", row_number_label="rn",
                        filter_record_type="D")
     assert sorted(tuple(r) for r in spark.table("t_textjob").collect()) == [
-        ("D", "1", None), ("D", "3", None)]
+        ("D", "1", 1), ("D", "3", 2)]
     assert (res.report.first().n_units, res.report.first().n_failed) == (2, 0)
     assert sorted(os.listdir(local_path(root + "/ok"))) == ["g_01.txt", "g_02.txt"]
     audit = sorted((r.billcycle, r.rownumber, r.column2)
                    for r in spark.read.parquet(root + "/audit").collect())
     assert audit == [("BC01", 1, "1"), ("BC02", 1, "3")]
+
+
+def test_failed_load_is_an_outcome_and_files_move(spark, scratch):
+    import os
+    from sluice.plans.jobs import run_text_job
+    root = scratch("job-fail")
+    write_text_files(root + "/in", {"a_01.txt": "x\t1\n", "b_02.txt": "y\tn/a\n"})
+    write_text_files(root + "/err", {"a_01.txt": "an older copy"})
+    spark.sql(f"CREATE TABLE t_jfail (COLUMN1 string, COLUMN2 int) USING parquet "
+              f"LOCATION '{scratch('jfail')}'")
+    res = run_text_job(spark, [root + "/in/*.txt"], 2, "t_jfail", processed=root + "/ok",
+                       error=root + "/err")
+    got = {r.filename: r.status for r in res.outcomes.collect()}
+    assert got == {"a_01.txt": "database_error", "b_02.txt": "database_error"}
+    assert json.loads(res.outcomes.first().payload)["status"] == "database_error"
+    assert spark.table("t_jfail").count() == 0
+    assert sorted(os.listdir(local_path(root + "/err"))) == ["a_01.txt", "b_02.txt"]
+    assert os.listdir(local_path(root + "/in")) == []
+
+
+def test_stream_quarantines_one_bad_file(spark, scratch):
+    import os
+    from sluice.sources.workbook import build_workbook
+    from sluice.streaming.inbound import report_audit_rows
+    root = scratch("stream-bad")
+    folder = local_path(root + "/inbound")
+    os.makedirs(folder)
+    for i in range(1, 5):
+        data = b"broken" if i == 3 else build_workbook([["Account No", "Name"], [str(i), "n"]])
+        with open(os.path.join(folder, f"r_{i:02d}.xlsx"), "wb") as f:
+            f.write(data)
+    q = stream_inbound(spark, root + "/inbound", root + "/sink", root + "/_ck",
+                       report_audit_rows("Account No, Name", kind="xlsx"), processed=root + "/ok",
+                       error=root + "/err", pattern="*.xlsx")
+    q.awaitTermination()
+    assert sorted(os.listdir(local_path(root + "/ok"))) == ["r_01.xlsx", "r_02.xlsx", "r_04.xlsx"]
+    assert os.listdir(local_path(root + "/err")) == ["r_03.xlsx"]
+    assert sorted(r["Account No"] for r in spark.read.parquet(root + "/sink").collect()) == ["1", "2", "4"]

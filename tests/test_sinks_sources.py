@@ -24,6 +24,12 @@ def test_truncate_load_replaces_rows_and_checks_names_first(spark, scratch):
     loc = scratch("tbl")
     spark.sql(f"CREATE TABLE t_load (ID int, NAME string, RN bigint) USING parquet LOCATION '{loc}'")
     truncate_load(spark.createDataFrame([(1, "a")], "id int, name string"), "t_load", skip="rn")
+    with pytest.raises(IntakeError, match="other"):   # an unknown column stops before the overwrite
+        truncate_load(spark.createDataFrame([(1, "a")], "id int, other string"), "t_load")
+    with pytest.raises(IntakeError) as e:             # so does a value that does not fit
+        truncate_load(spark.createDataFrame([("abc", "b")], "id string, name string"), "t_load")
+    assert e.value.status == "database_error" and "ID" in e.value.reason
+    assert spark.table("t_load").count() == 1
     truncate_load(spark.createDataFrame([("b", 2), ("c", 3)], "name string, id int"),
                   "t_load", skip="rn")
     assert sorted(tuple(r) for r in spark.table("t_load").collect()) == [(2, "b", None), (3, "c", None)]
@@ -116,8 +122,8 @@ def test_missing_workbook_path(spark, scratch):
 
 def test_cycle_names_and_inputs():
     from sluice.plans.load import cycle_file_name, cycle_inputs, cycle_table_name
-    assert cycle_file_name("sap_glbilled_B_01.xlsx", "27") == "sap_glbilled_B_27.xlsx"
-    assert cycle_table_name("stg.glbilled_01", "08") == "stg.glbilled_08"
+    assert cycle_file_name("invoices_B_01.xlsx", "27") == "invoices_B_27.xlsx"
+    assert cycle_table_name("stg.invoices_01", "08") == "stg.invoices_08"
     assert cycle_inputs("s3://b/in/", "f_01.csv", "t_01", ["02", "03"]) == [
         ("s3://b/in/f_02.csv", "t_02"), ("s3://b/in/f_03.csv", "t_03")]
 
@@ -133,33 +139,48 @@ def test_require_rows(spark):
 def test_load_main_and_audit(spark, scratch):
     from sluice.plans.load import load_main_and_audit
     loc, audit_path = scratch("main"), scratch("audit")
-    spark.sql(f"CREATE TABLE t_main (A string, B string) USING parquet LOCATION '{loc}'")
+    spark.sql(f"CREATE TABLE t_main (A string, RN bigint, B string) USING parquet LOCATION '{loc}'")
     rows = spark.createDataFrame([("x", "y", "f_01.txt", 1), ("z", "w", "f_01.txt", 2)],
                                  "a string, b string, filename string, _temp_row_num long")
-    load_main_and_audit(rows, "t_main", audit_path)
-    assert sorted(tuple(r) for r in spark.table("t_main").collect()) == [("x", "y"), ("z", "w")]
+    rows = rows.union(spark.createDataFrame([("p", "q", "a_02.txt", 7)], rows.schema))
+    load_main_and_audit(rows, "t_main", audit_path, row_label="rn")
+    assert sorted(tuple(r) for r in spark.table("t_main").collect()) == [
+        ("p", 7, "q"), ("x", 8, "y"), ("z", 9, "w")]
     audit = spark.read.parquet(audit_path)
-    assert sorted((r.rownumber, r.billcycle) for r in audit.collect()) == [(1, "BC01"), (2, "BC01")]
+    assert sorted((r.rownumber, r.billcycle) for r in audit.collect()) == [
+        (1, "BC01"), (2, "BC01"), (7, "BC02")]
 
 
-def test_join_side_salted_path_equals_broadcast(spark):
-    from sluice.operators.joins import join_side
-    big = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-    side = spark.createDataFrame([(0, "a"), (1, "b")], "k long, s string")
-    for how in ("inner", "left", "left_anti", "left_semi"):
-        b = sorted(tuple(r) for r in join_side(big, side, "k", how).collect())
-        s = sorted(tuple(r) for r in join_side(big, side, "k", how, broadcast_limit=0).collect())
-        assert b == s, how
-    plan = join_side(big, side, "k", "inner", broadcast_limit=0)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "_salt" in plan
+def test_truncate_load_replaces_all_partitions(spark, scratch):
+    loc = scratch("tbl-part")
+    spark.sql(f"CREATE TABLE t_part (V int, P string) USING parquet PARTITIONED BY (P) LOCATION '{loc}'")
+    truncate_load(spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string"), "t_part")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        truncate_load(spark.createDataFrame([(3, "a")], "v int, p string"), "t_part")
+        assert spark.conf.get(key) == "dynamic"
+    finally:
+        spark.conf.set(key, old)
+    assert [tuple(r) for r in spark.table("t_part").collect()] == [(3, "a")]
 
 
-def test_replace_keys_salted(spark):
-    old = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
-    new = spark.createDataFrame([("b", 5)], "k string, v int")
-    got = sorted(tuple(r) for r in replace_keys(old, new, "k", broadcast_limit=0).collect())
-    assert got == [("a", 1), ("b", 5)]
+def test_one_corrupt_workbook_fails_alone(spark, scratch):
+    from sluice.plans.jobs import run_report_job
+    root = scratch("xlsx-bad")
+    folder = local_path(root)
+    os.makedirs(folder)
+    with open(os.path.join(folder, "good_01.xlsx"), "wb") as f:
+        f.write(build_workbook([["Account No", "Name"], ["1", "a"]]))
+    with open(os.path.join(folder, "bad_02.xlsx"), "wb") as f:
+        f.write(b"no zip")
+    spark.sql(f"CREATE TABLE t_xbad (`Account No` string, Name string) USING parquet "
+              f"LOCATION '{scratch('xbad')}'")
+    res = run_report_job(spark, [root], "Account No, Name", "t_xbad", kind="xlsx")
+    got = {r.filename: (r.status, r.n_rows) for r in res.outcomes.collect()}
+    assert got == {"good_01.xlsx": ("processed", 1), "bad_02.xlsx": ("pipeline_failure", 0)}
+    assert [tuple(r) for r in spark.table("t_xbad").collect()] == [("1", "a")]
 
 
 def test_append_coerces_to_table_types(spark, scratch):
@@ -167,7 +188,10 @@ def test_append_coerces_to_table_types(spark, scratch):
     loc = scratch("tbl-app")
     spark.sql(f"CREATE TABLE t_app (ID int, AMT double) USING parquet LOCATION '{loc}'")
     append(spark.createDataFrame([("1", "2.5")], "id string, amt string"), "t_app")
-    append(spark.createDataFrame([("x", "3")], "amt string, id string").select("id", "amt"), "t_app")
+    bad = spark.createDataFrame([("x", "3")], "amt string, id string").select("id", "amt")
+    with pytest.raises(IntakeError):
+        append(bad, "t_app")
+    assert append(bad, "t_app", on_cast="null") == {"AMT": 1}
     got = sorted((tuple(r) for r in spark.table("t_app").collect()), key=repr)
     assert got == sorted([(1, 2.5), (3, None)], key=repr)
 

@@ -57,6 +57,28 @@ def test_changed_splits_fail_loudly(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("filtered", [False, True])
+def test_other_packing_fails_or_numbers_right(spark, scratch, filtered):
+    folder = scratch("stamp-packing")
+    write_text_files(folder, {f"s{k}.txt": "".join(f"{k}:{i}\n" for i in range(1, 2001))
+                              for k in range(8)})
+    stamped = stamp_rows(read_lines(spark, folder))
+    if filtered:
+        stamped = stamped.filter(F.col("value").endswith(":7"))
+    key = "spark.sql.files.minPartitionNum"
+    old = spark.conf.get(key, None)
+    for parts in ("1", "3", "40"):
+        spark.conf.set(key, parts)
+        try:
+            rows = stamped.select("value", ROW_COL).collect()
+        except Exception as exc:  # noqa: BLE001
+            assert "splits changed" in str(exc)
+        else:
+            assert all(int(r.value.split(":")[1]) == r[ROW_COL] for r in rows)
+        finally:
+            spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def test_missing_path(spark, scratch):
     with pytest.raises(IntakeError) as e:
         read_lines(spark, scratch("nothing-here") + "/x.txt")
