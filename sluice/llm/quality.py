@@ -74,7 +74,10 @@ def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     total = int(n.sum())
     fine = np.bincount(passage * N_FINE + FINE[data], minlength=total * N_FINE)
     pair = COARSE[data[:-1]] * N_COARSE + COARSE[data[1:]]
-    pairs = np.bincount(passage[:-1] * N_COARSE ** 2 + pair, minlength=total * N_COARSE ** 2)
+    inner = np.ones(len(pair), bool)
+    inner[ends[:-1] - 1] = False  # the pairs of one text's last byte and the next one's first
+    pairs = np.bincount((passage[:-1] * N_COARSE ** 2 + pair)[inner],
+                        minlength=total * N_COARSE ** 2)
     fine = fine.reshape(total, N_FINE).astype(np.float32)
     pairs = pairs.reshape(total, N_COARSE ** 2).astype(np.float32)
     size = np.maximum(fine.sum(axis=1, keepdims=True), 1)
