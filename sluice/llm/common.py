@@ -35,6 +35,28 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also inside higher-order functions."""
+    return F.transform(F.array(value), body)[0]
+
+
 def id_fold(key: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(key.cast("string").cast("binary")) % F.lit(folds)

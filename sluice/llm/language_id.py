@@ -23,6 +23,7 @@ from sluice.llm.common import held_out, slices
 
 PROFILE = 300
 UNKNOWN = "und"
+LEAST = 0.2
 MARK = ord("_")
 
 
@@ -129,6 +130,22 @@ def identify(docs: DataFrame, learned: dict[str, list[int]], id_col: str = "doc_
         .withColumnRenamed("key", id_col)
 
 
+def keep(docs: DataFrame, learned: dict[str, list[int]], text_col: str = "text",
+         least: float = LEAST, size: int = PROFILE) -> DataFrame:
+    """The rows of ``docs`` whose language is known: not ``und``, and with a score of ``least``
+    at least (a text in no learned language shares few n-grams with any profile). All columns
+    stay as they are."""
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        judge = Judge(learned, size)
+        for b in slices(batches, at):
+            got = [judge(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([g[0] != UNKNOWN and g[1] >= least for g in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def evaluate(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
     """Learns from all rows outside the held-out fold and labels every row."""
     out = held_out(F.col("doc_id"), folds, fold)

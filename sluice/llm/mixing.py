@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACE, cut
+from sluice.llm.common import SPACE, cut, fresh
 
 BUCKETS = 4096
 ROUNDS = 3
@@ -76,6 +76,25 @@ def _fill(rows: DataFrame, max_copies: int) -> DataFrame:
             .drop("room", "run", "of", "edge", "before"))
 
 
+def _with_gap(rows: DataFrame) -> DataFrame:
+    """``gap``: words that the source still lacks."""
+    held = F.sum(F.col("size") * (F.col("whole") + F.col("chosen").cast("int")))
+    gaps = rows.groupBy(F.col("source").alias("of")).agg((F.max("target") - held).alias("gap"))
+    return rows.join(gaps, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+
+
+def _closest(rows: DataFrame, max_copies: int) -> DataFrame:
+    """Takes one more document of a source where that ends nearer to the target."""
+    rows = _with_gap(rows)
+    off = F.abs(F.col("size") - F.col("gap"))
+    best = rows.filter(~F.col("chosen") & (F.col("whole") < max_copies) & (off < F.col("gap"))) \
+        .groupBy(F.col("source").alias("of")).agg(F.min(F.struct(off, "rank", "row"))["row"]
+                                                  .alias("best"))
+    rows = rows.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    return rows.withColumn("chosen", F.col("chosen") | F.coalesce(
+        F.col("row") == F.col("best"), F.lit(False)))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", weights=(1, 2, 3), max_copies: int = 3,
         weight_col: str | None = None, seed: int = 17, keep_tie: bool = False) -> DataFrame:
@@ -83,9 +102,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``size`` is the text's words (null: 0), ``taken`` = size x copies with copies from 0 to
     ``max_copies``. ``weight_col`` (positive; null counts as 1) makes inclusion unequal inside
-    a source too. Whole documents only: a source ends below its target by less than any
-    document that was left out and still had room, after ``ROUNDS`` rounds of refilling the
-    gap in rank order. Null sources form one source, a null id is an id like others, repeated
+    a source too. Only whole documents are taken: what a source still lacks is refilled in
+    ``ROUNDS`` rounds in rank order, then by the document that ends nearest to the target, if
+    any ends nearer. Null sources form one source, a null id is an id like others, repeated
     rows are sampled each (equal ones tie and are interchangeable), an empty table gives an
     empty result. Ranks come from a hash of id, text and ``seed``: reruns agree.
     """
@@ -119,16 +138,31 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("bucket", F.floor(F.col("rank") * BUCKETS))
             .withColumn("chosen", F.lit(False)).withColumn("new", F.lit(False))
             .select("key", "source", "size", "tie", "source_size", "target", "whole", "rank",
-                    "bucket", "chosen", "new"))
+                    "bucket", "chosen", "new")
+            .withColumn("row", F.monotonically_increasing_id()))
     rows = cut(rows, "mix-ranked")
     for n in range(ROUNDS):
-        held = rows.groupBy(F.col("source").alias("of")).agg(
-            (F.max("target") - F.sum(F.col("size") * (F.col("whole")
-                                                      + F.col("chosen").cast("int")))).alias("gap"))
-        rows = _fill(rows.join(held, F.col("source").eqNullSafe(F.col("of"))).drop("of"),
-                     max_copies).drop("gap")
+        rows = _fill(_with_gap(rows), max_copies).drop("gap")
         rows = cut(rows, f"mix-round{n}")
+    rows = _closest(rows, max_copies)
     copies = (F.col("whole") + F.col("chosen").cast("int")).cast("int")
     out = [F.col("key").alias(id_col), "size", "source_size", "target",
            (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies")]
     return rows.select(*out, *(["tie"] if keep_tie else []))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          source_col: str = "source", weights=(1, 2, 3), max_copies: int = 3,
+          seed: int = 17) -> DataFrame:
+    """The documents of the mix with all their columns and ``copies`` (1 or more). Rows of
+    ``docs`` that repeat an id and its text are one document here."""
+    tie, key, of = fresh(docs, "tie", "key", "of")
+    docs = docs.withColumn(tie, F.xxhash64(F.lit(seed), F.col(id_col),
+                                           F.col(text_col).cast("string")))
+    docs = docs.dropDuplicates([id_col, tie])
+    taken = mix(docs, id_col, text_col, source_col, weights, max_copies, seed=seed,
+                keep_tie=True).filter("copies > 0")
+    taken = taken.select(F.col(id_col).alias(key), F.col("tie").alias(of),
+                         F.col("copies").alias(fresh(docs, "copies")[0]))
+    return docs.join(taken, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(tie) == F.col(of))) \
+        .drop(key, of, tie)

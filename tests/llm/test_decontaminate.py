@@ -1,0 +1,60 @@
+import random
+
+from conftest import SF_SMALL
+from llm_fixtures import docs  # noqa: F401
+from sluice.llm import decontaminate as X
+
+
+def distance(pattern, text):
+    """Least edit distance of a pattern to any substring, by the plain table."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        new = [i]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
+
+
+def test_matches_equal_brute_force():
+    rng = random.Random(3)
+    draw = lambda a, b: "".join(rng.choice("abcd ") for _ in range(rng.randrange(a, b)))
+    for _ in range(800):
+        item, text = draw(1, 40).strip(), draw(0, 60)
+        if rng.random() < 0.6:
+            edited = [rng.choice(["", "x", c, c, c]) for c in item]
+            text = text[:20] + "".join(edited) + text[20:]
+        hits = X.Matcher([(1, item)], 0.15).hits(text)
+        p, t = X.normalise(item), X.normalise(text)
+        least = distance(p, t) if p and t else len(p) + 1
+        assert bool(hits) == (bool(p) and bool(t) and least <= int(len(p) * 0.15))
+        assert not hits or hits[0][1] == least
+
+
+def test_rows_nulls_blocks_and_clashes(spark, docs):
+    long = "the quick brown fox jumps over the lazy dog again and again"
+    df = docs([(1, "Xx " + long.upper() + " yy"), (2, None), (3, ""), (None, long), (1, "none"),
+               (4, "w " * 30_000 + long.replace("lazy", "lozy")), (4, long)])
+    df = df.selectExpr("*", "1 AS item_id", "2 AS distance")
+    items = spark.createDataFrame([(7, long), (8, ""), (9, None), (7, long)],
+                                  "item_id long, text string")
+    for size in (1, 1 << 20):
+        got = sorted((r.doc_id or 0, r.item_id, r.distance) for r in
+                     X.matches(df, items, block_chars=size).collect())
+        assert got == sorted([(1, 7, 0), (0, 7, 0), (4, 7, 0), (4, 7, 1)] * 2)
+        left = X.clean(df, items, block_chars=size)
+        assert left.columns == df.columns
+        assert sorted((r.doc_id, r.text) for r in left.collect()) == sorted(
+            [(1, "none"), (2, None), (3, "")], key=str)
+    assert X.matches(df.limit(0), items).count() == 0
+    assert X.matches(df, items.limit(0)).count() == 0
+    assert X.clean(df, items.limit(0)).count() == df.count()
+
+
+def test_finds_every_whole_passage(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    texts = [(r.doc_id, X.normalise(r.text)) for r in df.collect()]
+    want = {(d, r.item_id) for r in items.collect() for d, t in texts if X.normalise(r.text) in t}
+    got = {(r.doc_id, r.item_id) for r in X.matches(df, items).collect()}
+    assert want and want <= got
