@@ -4,17 +4,16 @@
    the set, ``BANDS`` band keys of ``ROWS`` MinHash samples and an odd sketch: a bitmap in
    which each sample flips one bit. Documents with equal sets form a class; all later steps
    work on one representative per class.
-2. Classes that share a band key are candidates. In each bucket every member meets two hubs
+2. Classes that share a band key are candidates. In each bucket every member meets one hub
    only. The population count of two sketches' XOR estimates the similarity of the samples;
    pairs clearly below the threshold are dropped, the others are confirmed on their full sets.
-3. Confirmed links give components. Only where a bucket still holds several components, its
-   members outside the largest one meet all members of other components. A bucket with many
-   such pairs is first split by a second shared band key (a pair at the threshold shares over
-   ten of 32 on average).
+3. Confirmed links give components. Where a bucket still holds several, small buckets pair
+   their members across components; in crowded ones only pairs that can reach the threshold
+   are made, from the members' exact overlap with the hub (``across``).
 
 Full sets are made again from the texts, only for documents that a bitmap of fixed size admits.
 A linked pair is missed if no band key agrees: (1 - 0.75^4)^32 = 5e-6 at the threshold, less
-above it, and 8e-5 where two keys are asked for.
+above it.
 """
 
 from __future__ import annotations
@@ -24,16 +23,16 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, slices
+from sluice.llm.common import cut, fresh, slices
 from sluice.llm.graph import components
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
-SKETCH = 512
-SPLIT = 20_000
+SKETCH = 1024
+SPLIT = 64
 FILTER_BITS = 26
 CACHE_SIZE = 300_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -112,13 +111,16 @@ class Sampler:
 
 
 def flips_allowed(threshold: float, samples: int = BANDS * ROWS, bits: int = SKETCH) -> int:
-    """XOR population count that a pair at the threshold exceeds less than once in a million:
-    its differing samples lie 5 deviations above the mean at most, each flips two bits, and the
-    odd bits among them lie another 5 deviations above theirs."""
+    """XOR population count that a pair at the threshold exceeds about once in a million: 5
+    deviations above the mean. Each of ``differ`` differing samples flips two bits at random, so
+    both their number and their chance meetings spread the count."""
     p = 1 - threshold
-    differ = samples * p + 5 * (samples * p * (1 - p)) ** 0.5
-    share = (1 - (1 - 2 / bits) ** (2 * differ)) / 2
-    return int(bits * share + 5 * (bits * share * (1 - share)) ** 0.5)
+    differ = samples * p
+    keep = (1 - 2 / bits) ** (2 * differ)
+    mean = bits * (1 - keep) / 2
+    of_samples = 2 * keep * (samples * p * (1 - p)) ** 0.5
+    of_meetings = (bits * (1 - keep ** 2) / 4 - 2 * differ * keep ** 2) ** 0.5
+    return int(mean + 5 * (of_samples ** 2 + of_meetings ** 2) ** 0.5)
 
 
 def estimate(flips: int, samples: int = BANDS * ROWS, bits: int = SKETCH) -> float:
@@ -128,10 +130,10 @@ def estimate(flips: int, samples: int = BANDS * ROWS, bits: int = SKETCH) -> flo
 
 
 def signatures(src: DataFrame, sampler: Sampler) -> DataFrame:
-    """``id, n_shingles, print, bands, sketch`` of rows ``id, text``."""
+    """``id, mark, n_shingles, print, bands, sketch`` of rows ``id, text, mark``."""
     def run(batches):
         for b in slices(batches, 1):
-            ids, rows = b.column(0), []
+            rows = []
             for text in b.column(1).to_pylist():
                 s = shingles(text)
                 if len(s):
@@ -142,13 +144,14 @@ def signatures(src: DataFrame, sampler: Sampler) -> DataFrame:
                     rows.append((0, None, None, None))
             n, mark, bands, sketch = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(mark, pa.binary()),
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(mark, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                ["id", "n_shingles", "print", "bands", "sketch"])
+                ["id", "mark", "n_shingles", "print", "bands", "sketch"])
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n_shingles long, print binary, bands array<long>, "
-                               "sketch binary")
+    return src.select("id", "text", "mark").mapInArrow(
+        run, f"id {kind}, mark long, n_shingles long, print binary, bands array<long>, "
+             "sketch binary")
 
 
 def _admitted(wanted: DataFrame) -> np.ndarray:
@@ -234,12 +237,14 @@ def link(src: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame, DataF
     classes = cut(classes.select("id", "print", "n_shingles", "bands", "sketch")
                   .withColumn("cid", F.monotonically_increasing_id()), "minhash-classes")
     member = classes.select("cid", F.explode("bands").alias("bucket"))
-    # two hubs per bucket: the smallest class, and the smallest by a hash of class and bucket
-    hubs = member.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.min("cid").alias("h1"),
-        F.min(F.struct(F.xxhash64("cid", "bucket"), "cid")).alias("h2")) \
-        .filter("n > 1").select("bucket", "h1", F.col("h2.cid").alias("h2"))
-    shared = cut(member.join(hubs, "bucket"), "minhash-buckets")
+    sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = cut(member.join(sizes, "bucket"), "minhash-buckets")
+    # the hub of a bucket: the class with the most company in all its buckets (the origin of a
+    # group of edited copies has more than any copy)
+    company = shared.groupBy("cid").agg(F.sum("n").alias("company"))
+    hubs = shared.join(company, "cid").groupBy("bucket").agg(
+        F.max(F.struct("company", "cid"))["cid"].alias("hub"))
+    shared = cut(shared.join(hubs, "bucket"), "minhash-hubs")
 
     def tested(pairs: DataFrame) -> DataFrame:
         pairs = pairs.filter("a != b").select(F.least("a", "b").alias("a"),
@@ -250,56 +255,133 @@ def link(src: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame, DataF
         sets = cut(full_sets(src, cut(wanted, "minhash-wanted")), "minhash-sets")
         return cut(confirm(pairs, sets, percent), "minhash-links")
 
-    links = tested(shared.select(F.explode(F.array("h1", "h2")).alias("a"),
-                                 F.col("cid").alias("b")))
+    links = tested(shared.select(F.col("hub").alias("a"), F.col("cid").alias("b")))
     # buckets that hold several components
     roots = cut(components(links), "minhash-roots").toDF("cid", "root")
-    placed = shared.select("bucket", "cid").join(roots, "cid", "left") \
+    placed = shared.select("bucket", "cid", "hub").join(roots, "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
-    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"),
-        F.max(F.struct("n", "root")).alias("most")) \
-        .filter("parts > 1").select("bucket", "all", F.col("most.root").alias("main"),
-                                    (F.col("all") - F.col("most.n")).alias("strays"))
+    mixed = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"),
+                               F.max("n").alias("most")) \
+        .filter("parts > 1") \
+        .select("bucket", (F.col("all") * (F.col("all") - F.col("most")) <= SPLIT).alias("few"))
     placed = cut(placed.join(mixed, "bucket"), "minhash-mixed")
-
-    def across(rows: DataFrame) -> DataFrame:
-        x = rows.filter("root != main").select("bucket", F.col("cid").alias("a"),
-                                               F.col("root").alias("ra"))
-        y = rows.select("bucket", F.col("cid").alias("b"), F.col("root").alias("rb"),
-                        (F.col("root") == F.col("main")).alias("inside"))
-        return x.join(y, "bucket").filter("ra != rb and (inside or a < b)").select("a", "b")
-
-    few = F.col("all") * F.col("strays") <= SPLIT
-    split = placed.filter(~few).join(classes.select("cid", F.explode("bands").alias("second")),
-                                     "cid").filter("bucket != second")
-    split = split.withColumn("bucket", F.xxhash64(F.least("bucket", "second"),
-                                                  F.greatest("bucket", "second")))
-    pairs = across(placed.filter(few)).union(across(split))
+    x = placed.filter("few").select("bucket", F.col("cid").alias("a"), F.col("root").alias("ra"))
+    pairs = x.join(x.toDF("bucket", "b", "rb"), "bucket").filter("a < b and ra != rb")
+    group = placed.filter("not few").select("hub", "cid", "root").distinct()
+    group = cut(group, "minhash-groups")
+    wanted = cut(group.select("cid").distinct().join(classes.select("cid", "id", "print"), "cid"),
+                 "minhash-wanted")
+    pairs = pairs.select("a", "b").union(
+        across(group, cut(full_sets(src, wanted), "minhash-sets"), percent))
     return sig, classes, links.union(tested(pairs))
 
 
-def near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-              percent: int = 75) -> DataFrame:
-    """``id_col, n_shingles, component_id, kept`` for every row.
+def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that can reach the threshold among the members
+    (``hub, cid, root``) of crowded buckets, without pairing all members.
 
-    Documents with 100 * intersection >= ``percent`` * union of their sets of 5-word shingles
-    are linked; ``component_id`` is the smallest id of those reachable. A text without words
-    (or null) has no shingles and is linked with nothing. Equal texts under one id are rows of
-    one document; null ids take part but never name a component that has another id. An empty
-    table gives an empty result; other columns are not read.
+    Of x and y, both compared to their hub h, a common shingle lies in h or in the rests of
+    both outside h. Either x and y share a shingle outside h: these pairs come from a join on
+    such shingles. Or their intersection is at most min(|x & h|, |y & h|): then each one's
+    overlap with h caps the other's size, and these pairs come from a join on sizes, from the
+    members outside the hub's component (inside it nothing has to be linked).
     """
+    share = percent / (100 + percent)  # intersection >= share * (sum of sizes)
+
+    def rest(batches):
+        for b in batches:
+            for part in slices([b], 3, 16 << 20):
+                sizes, common, tokens = [], [], []
+                for x, h in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
+                    x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
+                    inside = np.isin(x, h, assume_unique=True)
+                    sizes.append(len(x))
+                    common.append(int(inside.sum()))
+                    tokens.append(x[~inside].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(sizes, pa.int64()), pa.array(common, pa.int64()),
+                     pa.array(tokens, pa.list_(pa.int64()))],
+                    ["hub", "cid", "root", "n", "o", "rest"])
+
+    known = group.join(sets, "cid").join(sets.toDF("hub", "of_hub"), "hub") \
+        .select("hub", "cid", "root", "shingles", "of_hub").mapInArrow(
+            rest, "hub long, cid long, root long, n long, o long, rest array<long>")
+    # the largest size that a partner without shared rest can have
+    known = cut(known.withColumn("cap", F.floor(F.col("o") / F.lit(share) + 1e-6) - F.col("n")),
+                "minhash-rest")
+    token = known.select("hub", "cid", "root", "n", "o", F.size("rest").alias("r"),
+                         F.explode("rest").alias("token"))
+    several = token.groupBy("hub", "token").agg(F.min("root").alias("r1"),
+                                                F.max("root").alias("r2"),
+                                                F.count(F.lit(1)).alias("df")) \
+        .filter("r1 != r2").select("hub", "token", "df")
+    # with any partner, x has to share so many shingles outside the hub that one of its rarest
+    # (those of a single component first) is among them, and among the partner's rarest
+    need = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100 - F.col("o") - 1e-6))
+    own = Window.partitionBy("hub", "cid")
+    token = token.join(several, ["hub", "token"]) \
+        .withColumn("held", F.count(F.lit(1)).over(own)) \
+        .withColumn("nth", F.row_number().over(own.orderBy("df", "token"))) \
+        .filter(F.col("r") - F.col("held") + F.col("nth") <= F.col("r") - need + 1)
+    token = cut(token.select("hub", "token", "cid", "root", "n", "o"), "minhash-tokens")
+    x = token.toDF("hub", "token", "a", "ra", "na", "oa")
+    y = token.toDF("hub", "token", "b", "rb", "nb", "ob")
+    # what both can share inside and outside the hub has to reach the threshold
+    most = F.least("oa", "ob") + F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
+    outside = x.join(y, ["hub", "token"]).filter(
+        "a < b and ra != rb").filter(most + 1e-6 >= share * (F.col("na") + F.col("nb"))) \
+        .select("a", "b").distinct()
+    main = known.filter("hub = cid").select("hub", F.col("root").alias("main"))
+    least = F.ceil(F.col("n") * percent / 100).cast("long")
+    x = known.join(main, "hub").filter((F.col("root") != F.col("main")) & (F.col("cap") >= least))
+    x = x.select("hub", F.col("cid").alias("a"), F.col("root").alias("ra"),
+                 F.col("n").alias("na"), F.explode(F.sequence(least, F.col("cap"))).alias("n"))
+    y = known.select("hub", "n", F.col("cid").alias("b"), F.col("root").alias("rb"), "cap")
+    inside = x.join(y, ["hub", "n"]).filter("ra != rb and na <= cap").select("a", "b")
+    return outside.union(inside)
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """``id, mark, n_shingles, component`` of every row; ``mark`` is a hash of the text."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sig, classes, links = link(src, percent)
+    sig, classes, links = link(src.withColumn("mark", F.xxhash64("text")), percent)
     roots = cut(components(links), "minhash-roots").toDF("cid", "root")
     named = classes.select("cid", "id", "print").join(roots, "cid", "left") \
         .withColumn("root", F.coalesce("root", "cid"))
     named = cut(named.select("print", "root", "id"), "minhash-named")
     least = named.groupBy("root").agg(F.min("id").alias("component"))
     named = named.drop("id").join(least, "root").select(F.col("print").alias("of"), "component")
-    rows = sig.select("id", "n_shingles", "print") \
+    rows = sig.select("id", "mark", "n_shingles", "print") \
         .join(named, F.col("print") == F.col("of"), "left")
     part = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component"))
-    return rows.select(F.col("id").alias(id_col), "n_shingles", part.alias("component_id"),
-                       F.col("id").eqNullSafe(part).alias("kept"))
+    return rows.select("id", "mark", "n_shingles", part.alias("component"))
+
+
+def near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              percent: int = 75) -> DataFrame:
+    """``id_col, n_shingles, component_id, kept`` for every row.
+
+    Documents with 100 * intersection >= ``percent`` * union of their sets of 5-word shingles
+    are linked; ``component_id`` is the smallest id of those reachable. A text without words
+    (or null) has no shingles and is linked with nothing. Equal texts under one id are rows of
+    one document; null ids take part but never name a component that has another id. An empty
+    table gives an empty result; other columns are not read.
+    """
+    return _named(docs, id_col, text_col, percent).select(
+        F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id"),
+        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          percent: int = 75) -> DataFrame:
+    """The kept rows of ``docs``, all columns unchanged; of rows that repeat an id and its text
+    one stays."""
+    mark, key, of = fresh(docs, "mark", "key", "of")
+    kept = _named(docs, id_col, text_col, percent) \
+        .filter(F.col("id").eqNullSafe(F.col("component"))) \
+        .select(F.col("id").alias(key), F.col("mark").alias(of))
+    rows = docs.withColumn(mark, F.xxhash64(F.col(text_col).cast("string")))
+    rows = rows.join(kept, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(of)),
+                     "left_semi")
+    return rows.dropDuplicates([id_col, mark]).drop(mark)
