@@ -4,8 +4,8 @@ Equal lines (trimmed) form a class. A class is near another if their edit distan
 ``TAU``. A line of length L is split into TAU + 1 even segments; if two lines are near, one
 segment of the shorter occurs unchanged in the longer, and shifted by little: an index holds
 (L, segment number, segment) of every class, and a class probes the index of each length from
-its own down to TAU less with the few substrings that can match. Candidates are verified by a
-banded bit-parallel edit distance.
+its own down to TAU less with the few substrings that can match. Candidates that agree in all but TAU
+of some ``PIECES`` are verified by a banded bit-parallel edit distance.
 
 Lines are ordered by (document id, line number). Of each class all but the first line are
 dropped, and so is that one if a near line of another class comes before it. One earlier near
@@ -20,10 +20,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut
+from sluice.llm.common import cut, fresh, let, quoted
 
 TAU = 2
 MIN_CHARS = 32
+PIECES = (8, 64)
 FILTER_BITS = 20
 # The low bits of a line's place tell rows with one id and different texts apart.
 PRINT = 16
@@ -63,11 +64,6 @@ def segment_keys(line: Column, tau: int = TAU) -> list[Column]:
     return index + probes
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def within(a: Column, b: Column, tau: int = TAU) -> Column:
     """Whether two texts, their lengths at most ``tau`` apart, have an edit distance of at most
     ``tau``.
@@ -87,11 +83,11 @@ def within(a: Column, b: Column, tau: int = TAU) -> Column:
         def moved(eq: Column) -> Column:
             d0 = (((eq.bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"]))
                   .bitwiseOR(eq).bitwiseOR(s["vn"])).bitwiseAND(F.lit(full))
-            return _let(d0, settled)
+            return let(d0, settled)
 
         def settled(d0: Column) -> Column:
             hp = s["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(s["vp"]))).bitwiseAND(F.lit(full))
-            return _let(hp, lambda h: placed(d0, h))
+            return let(hp, lambda h: placed(d0, h))
 
         def placed(d0: Column, hp: Column) -> Column:
             hn, low = d0.bitwiseAND(s["vp"]), F.shiftright(d0, 1)
@@ -102,16 +98,35 @@ def within(a: Column, b: Column, tau: int = TAU) -> Column:
             vp = hn.bitwiseOR(F.bitwise_not(low.bitwiseOR(hp))).bitwiseAND(F.lit(full))
             return F.struct(vp.alias("vp"), low.bitwiseAND(hp).alias("vn"), score.alias("score"))
 
-        return _let(equal, moved)
+        return let(equal, moved)
 
     begin = F.struct(F.lit(full ^ ((1 << (top - tau)) - 1)).alias("vp"), F.lit(0).alias("vn"),
                      F.lit(tau).alias("score"))
     chars = lambda t: F.split(t, "")
-    return _let(chars(a), lambda x: _let(chars(b), lambda y: F.aggregate(
+    return let(chars(a), lambda x: let(chars(b), lambda y: F.aggregate(
         F.sequence(F.lit(1), F.length(b)), begin,
         lambda s, j: step(x, y, F.length(a), s, j), lambda s: s["score"] <= tau)))
 
 
+def may_be_within(a: Column, b: Column, tau: int = TAU) -> Column:
+    """False for most pairs that are not within ``tau`` edits, never for one that is: of the even
+    pieces of ``a`` each edit spoils one, the others occur in ``b`` shifted by ``tau`` at most.
+    A few long pieces are looked at first, then many short ones."""
+    n = F.length(a)
+
+    def met(i: Column, pieces: int) -> Column:
+        begin = F.floor(n * i / pieces).cast("int")
+        size = F.floor(n * (i + 1) / pieces).cast("int") - begin
+        first = F.greatest(begin - tau, F.lit(0))
+        return F.contains(F.substring(b, first + 1, begin + size + tau - first),
+                          F.substring(a, begin + 1, size))
+
+    few, many = PIECES
+    rough = reduce(Column.__add__, [met(F.lit(i), few).cast("int") for i in range(few)])
+    fine = F.filter(F.sequence(F.lit(0), F.lit(many - 1)), lambda i: met(i, many))
+    return (rough >= few - tau) & (F.size(fine) >= many - tau)
+
+
 def _bit(value: Column, at: Column) -> Column:
     return F.call_function("shiftright", value, at).bitwiseAND(F.lit(1))
 
@@ -153,39 +168,39 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, tau: int, min_char
     some = entries.filter(_may_hold(_bitmap(F.col("key"), shared), F.col("key")))
     members = cut(some.join(shared, "key"), "lines-members")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs (``a`` before ``b``) that are near."""
-        pairs = cut(pairs, "lines-pairs")
-        wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("who")).distinct(),
-                     "lines-wanted")
-        docs_in = _may_hold(_bitmap(F.xxhash64("who.id"), wanted), F.xxhash64("id"))
-        texts = every.filter(docs_in).select(F.struct("id", "at").alias("who"), "line")
-        # rows that repeat an id and its text repeat its lines
-        texts = wanted.join(texts, "who").dropDuplicates(["who"])
-        texts = cut(texts, "lines-texts")
-        both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-        return both.filter(within(F.col("x"), F.col("y"), tau)).select("a", "b")
+    # the lines of all members, from documents that a bitmap of fixed size admits
+    wanted = cut(members.select("who").distinct(), "lines-wanted")
+    docs_in = _may_hold(_bitmap(F.xxhash64("who.id"), wanted), F.xxhash64("id"))
+    texts = every.filter(docs_in).select(F.struct("id", "at").alias("who"), "line")
+    # rows that repeat an id and its text repeat its lines
+    texts = cut(wanted.join(texts, "who").dropDuplicates(["who"]), "lines-texts")
+    near = may_be_within(F.col("x"), F.col("y"), tau)
 
     # the earliest indexed class of an entry meets all its members, the earliest of all members
     # meets the indexed ones
-    hubs = members.groupBy("key").agg(F.min("who").alias("any"),
+    hubs = members.groupBy("key").agg(F.min("who").alias("any"), F.count(F.lit(1)).alias("n"),
                                       F.min(F.when(F.col("indexed"), F.col("who"))).alias("own"))
+    hubs = cut(hubs, "lines-hubs")
     met = members.join(hubs, "key")
     pairs = met.select(F.col("own").alias("a"), F.col("who").alias("b")).union(
         met.filter("indexed").select("any", "who"))
     pairs = pairs.filter(F.col("a") != F.col("b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    gone = cut(verified(pairs).select(F.col("b").alias("who")).distinct(), "lines-gone")
-    # what is left meets the other members before it
-    left = members.join(gone, "who", "left_anti").select(
-        F.col("who").alias("b"), F.col("indexed").alias("ib"), "key")
-    rest = left.join(hubs, "key").join(members.select(
-        F.col("who").alias("a"), F.col("indexed").alias("ia"), "key"), "key")
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").filter(near)
+    gone = cut(both.filter(within(F.col("x"), F.col("y"), tau)).select(F.col("b").alias("who"))
+               .distinct(), "lines-gone")
+    # what is left meets the other members before it; only pairs that may be near leave the join
+    crowd = members.join(hubs.filter("n > 2"), "key").join(texts, "who")
+    left = crowd.join(gone, "who", "left_anti").select(
+        F.col("who").alias("b"), F.col("indexed").alias("ib"), "key", F.col("line").alias("y"))
+    crowd = crowd.select(F.col("who").alias("a"), F.col("indexed").alias("ia"), "key",
+                         F.col("line").alias("x"), "own", "any")
     tested = (F.col("a") == F.col("own")) | ((F.col("a") == F.col("any")) & F.col("ib"))
-    rest = rest.filter((F.col("a") < F.col("b")) & (F.col("ia") | F.col("ib")) & ~tested) \
-        .select("a", "b").distinct()
-    more = verified(rest).select(F.col("b").alias("who")).distinct()
-    return classes.select("digest", "who", "n"), gone.union(more)
+    rest = crowd.join(left, "key").filter(
+        (F.col("a") < F.col("b")) & (F.col("ia") | F.col("ib")) & ~tested & near) \
+        .select("a", "b", "x", "y").dropDuplicates(["a", "b"])
+    more = rest.filter(within(F.col("x"), F.col("y"), tau)).select(F.col("b").alias("who")).distinct()
+    return classes.select("digest", "who", "n"), cut(gone.union(more), "lines-near")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -202,10 +217,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .agg(F.array_sort(F.collect_list(F.shiftright("at", PRINT).cast("int"))).alias("dropped"))
 
 
-def _joined(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    dropped = dropped.toDF("_id", "_print", "_dropped")
-    return rows.join(dropped, F.col("_key").eqNullSafe(F.col("_id"))
-                     & (F.col("_mark") == F.col("_print")), "left").drop("_id", "_print")
+def _joined(rows: DataFrame, key: str, mark: str, dropped: DataFrame, lost: str) -> DataFrame:
+    """``rows`` with the dropped line numbers of their document, if any, as ``lost``."""
+    of, at = fresh(rows, "of", "at")
+    dropped = dropped.toDF(of, at, lost)
+    return rows.join(dropped, F.col(key).eqNullSafe(F.col(of)) & (F.col(mark) == F.col(at)),
+                     "left").drop(of, at)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
@@ -218,28 +235,26 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau:
     document; an empty table gives an empty result.
     """
     text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).alias("_key"), _print(text).alias("_mark"),
+    rows = docs.select(F.col(id_col).alias("key"), _print(text).alias("print"),
                        F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias("n_lines"))
     rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    rows = _joined(rows, dropped_lines(docs, id_col, text_col, tau, min_chars))
-    lost = F.coalesce(F.size("_dropped"), F.lit(0))
-    lost = F.when(F.col("_dropped").isNull(), 0).otherwise(lost)
-    return rows.select(F.col("_key").alias(id_col), F.col("n_lines").cast("long"),
+    rows = _joined(rows, "key", "print",
+                   dropped_lines(docs, id_col, text_col, tau, min_chars), "dropped")
+    lost = F.when(F.col("dropped").isNull(), 0).otherwise(F.size("dropped"))
+    return rows.select(F.col("key").alias(id_col), F.col("n_lines").cast("long"),
                        (F.col("n_lines") - lost).cast("long").alias("n_kept"),
-                       F.coalesce(F.array_join("_dropped", ","), F.lit("")).alias("dropped_lines"))
+                       F.coalesce(F.array_join("dropped", ","), F.lit("")).alias("dropped_lines"))
 
 
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
           min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the dropped lines taken out of the texts, all other columns unchanged. A
     document that loses all its lines is left out."""
-    text = F.col(text_col).cast("string")
-    names = docs.columns
-    rows = docs.withColumn("_key", F.col(id_col)).withColumn("_mark", _print(text))
-    rows = _joined(rows, dropped_lines(docs, id_col, text_col, tau, min_chars))
+    mark, lost = fresh(docs, "mark", "lost")
+    rows = docs.withColumn(mark, _print(F.col(text_col).cast("string")))
+    rows = _joined(rows, id_col, mark, dropped_lines(docs, id_col, text_col, tau, min_chars), lost)
     parts = F.split(F.col(text_col), "\n")
-    rows = rows.filter(F.col("_dropped").isNull() | (F.size("_dropped") < F.size(parts)))
-    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains("_dropped", i)), "\n")
-    rows = rows.withColumn(text_col, F.when(F.col("_dropped").isNull(), F.col(text_col))
-                           .otherwise(kept))
-    return rows.select(*[F.col(f"`{n}`") for n in names])
+    rows = rows.filter(F.col(lost).isNull() | (F.size(lost) < F.size(parts)))
+    kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(lost, i)), "\n")
+    rows = rows.withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(kept))
+    return rows.select(*map(quoted, docs.columns))
