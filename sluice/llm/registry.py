@@ -105,11 +105,11 @@ SQL: dict[str, str] = {
         WITH RECURSIVE w AS (
             SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+                '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
         s AS (SELECT doc_id, list_sort(CASE WHEN len(ws) = 0 THEN []
                   WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
                   ELSE list_distinct(list_transform(range(1, len(ws) - 3),
-                      i -> array_to_string(ws[i:i + 4], ' '))) END) AS sh FROM w),
+                      lambda i: array_to_string(ws[i:i + 4], ' '))) END) AS sh FROM w),
         c AS (SELECT sh, min(doc_id) AS rep FROM s WHERE len(sh) > 0 GROUP BY sh),
         x AS (SELECT rep, len(sh) AS n, unnest(sh) AS g FROM c),
         p AS (SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, count(*) AS same
