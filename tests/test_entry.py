@@ -50,3 +50,14 @@ def test_queries_match_oracle_smoke(spark, duck, key):
         return sorted(repr(tuple(cell(v) for v in r))
                       for r in pdf[cols].astype(object).itertuples(index=False, name=None))
     assert rows(got) == rows(want)
+
+
+def test_entry_works_without_the_training_data_subpackage():
+    """Other queries stay where the subpackage and its pipeline module are not installed."""
+    import subprocess
+    import sys
+    root = importlib.import_module("os").path.dirname(E.__file__)
+    for gone in ("corpus_pipeline", "sluice.llm"):
+        code = (f"import sys; sys.modules['{gone}'] = None; import __spark_entry__ as E; "
+                "assert set(E.queries()) == set(E._own_queries()) == set(E.oracle_sql())")
+        subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
