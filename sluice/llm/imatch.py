@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import cut, words
+from sluice.llm.common import cut, let, words
 
 LOW, HIGH = 0.01, 0.2
 # cells per rate, how many of them are subsets, draws
@@ -45,32 +45,32 @@ def lexicon(docs: DataFrame, text_col: str = "text", low: float = LOW,
 def signatures(text: Column, lex: list[int]) -> Column:
     """32-bit hashes of the sorted distinct lexicon terms, one per subset, 0 for a subset that
     holds none of the text's terms. A text without lexicon terms keeps all its terms."""
-    # lambdas bind each step, so that it is evaluated once per row
-    return F.transform(F.array(terms(text)), lambda every: F.transform(
-        F.array(_kept(every, lex)), lambda kept: F.flatten(F.array(
-            *[_subsets(kept, cells, n, draw) for cells, n, draws in RATES for draw in range(draws)]
-        )))[0])[0]
+    return let(terms(text), lambda every: let(_kept(every, lex), lambda kept: F.flatten(F.array(
+        *[_subsets(kept, cells, n, draw) for cells, n, draws in RATES for draw in range(draws)]))))
 
 
 def _kept(every: Column, lex: list[int]) -> Column:
     if not lex:
         return F.array_sort(F.array_distinct(every))
-    inside = F.array_distinct(F.filter(every, lambda t: t.isin(lex)))
-    return F.array_sort(F.when(F.size(inside) > 0, inside).otherwise(F.array_distinct(every)))
+    return let(F.array_distinct(F.filter(every, lambda t: t.isin(lex))), lambda inside: F.array_sort(
+        F.when(F.size(inside) > 0, inside).otherwise(F.array_distinct(every))))
 
 
 def _subsets(kept: Column, cells: int, n: int, draw: int) -> Column:
     """Hashes of the first ``n`` of ``cells`` random subsets of sorted terms."""
     def hashed(part: Column) -> Column:
-        return F.when(F.size(part) > 0, F.xxhash64(part).bitwiseAND(F.lit(0xFFFFFFFF))) \
-            .otherwise(F.lit(0).cast("long"))
+        return let(part, lambda p: F.when(F.size(p) > 0, F.xxhash64(p).bitwiseAND(
+            F.lit(0xFFFFFFFF))).otherwise(F.lit(0).cast("long")))
 
     if cells == 1:
         return F.array(hashed(kept))
-    cell = lambda t: F.pmod(F.xxhash64(t, F.lit(cells + draw)), F.lit(cells))
-    some = F.filter(kept, lambda t: cell(t) < n) if n < cells else kept
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda j: hashed(F.filter(some, lambda t: cell(t) == j)))
+    in_cell = F.transform(kept, lambda t: F.struct(
+        t.alias("t"), F.pmod(F.xxhash64(t, F.lit(cells + draw)), F.lit(cells)).alias("c")))
+    if n < cells:
+        in_cell = F.filter(in_cell, lambda x: x["c"] < n)
+    return let(in_cell, lambda some: F.transform(
+        F.sequence(F.lit(0), F.lit(n - 1)),
+        lambda j: hashed(F.filter(some, lambda x: x["c"] == j))))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -79,10 +79,12 @@ def likeness(a: Column, b: Column) -> Column:
     out, at = F.lit(1.0), 1
     for _, cells, draws in RATES:
         n = cells * draws
-        pairs = F.filter(F.arrays_zip(F.slice(a, at, n).alias("x"), F.slice(b, at, n).alias("y")),
-                         lambda p: (p["x"] != 0) | (p["y"] != 0))
-        same = F.size(F.filter(pairs, lambda p: p["x"] == p["y"]))
-        out = F.when(F.size(pairs) >= min(n, ENOUGH), same / F.size(pairs)).otherwise(out)
+        both = F.filter(F.arrays_zip(F.slice(a, at, n).alias("x"), F.slice(b, at, n).alias("y")),
+                        lambda p: (p["x"] != 0) | (p["y"] != 0))
+        share = let(both, lambda ps: F.when(
+            F.size(ps) >= min(n, ENOUGH),
+            F.size(F.filter(ps, lambda p: p["x"] == p["y"])) / F.size(ps)))
+        out = F.coalesce(share, out)
         at += n
     return out
 
