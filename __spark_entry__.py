@@ -32,7 +32,7 @@ from sluice.session import scratch_path
 from sluice.sinks.tables import append, backup_csv, replace_partitions, truncate_load
 from sluice.sources.files import split_existing
 from sluice.sources.text import read_lines
-from sluice.sources.workbook import read_workbooks, write_bytes
+from sluice.sources.workbook import read_workbooks
 from sluice.streaming.inbound import stream_inbound, text_audit_rows
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -507,7 +507,7 @@ def q_workbook_failures(spark, sf_dir):
     """One corrupt workbook among the reports fails alone."""
     root = scratch_path(spark, "reports-bad")
     fx.write_report_xlsx(spark, sf_dir, root)
-    write_bytes(root + "/broken_99.xlsx", b"not a workbook")
+    fx.write_bytes(root + "/broken_99.xlsx", b"not a workbook")
     t = _scratch_table(spark, "report_main", "`Account No` string, `Customer Name` string, "
                        "`Account Balance` string, `Market Segment` string, ROW_ID bigint")
     res = run_report_job(spark, [root + "/*.xlsx"], fx.TARGET_HEADERS, t, kind="xlsx",

@@ -9,6 +9,10 @@ writing task, grows with the table.
 
 from __future__ import annotations
 
+import io
+import posixpath
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ from .sources.files import list_files, rename, delete, _fs_and_path
 
 # --- fixture parameters ------------------------------------------------------------------
 CHUNK = 1_000_000          # key range per file: bounds every file and writer task
+DOC_CHUNK = 10_000         # the same for documents, whose rows are long
 GRID_WIDTH = 6             # cells per report row
 TARGET_HEADERS = "Account No, Customer Name, Account Balance, Market Segment"
 PREAMBLE = ("Monthly Statement", "Branch {n}", "")      # first n % 4 of these
@@ -131,7 +136,7 @@ def write_event_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
 def write_document_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
     docs = table(spark, sf_dir, "documents")
     fname = F.concat(F.lit("docs_"), F.col("lang"), F.lit("_"),
-                     (F.col("doc_id") / CHUNK).cast("long").cast("string"), F.lit(".txt"))
+                     (F.col("doc_id") / DOC_CHUNK).cast("long").cast("string"), F.lit(".txt"))
     return write_named_files(docs.select(F.col("text").alias("value"), fname.alias("fname"),
                                          "doc_id"), "fname", ["doc_id"], folder)
 
@@ -208,12 +213,11 @@ def write_report_csv(spark: SparkSession, sf_dir: str, folder: str,
 
 
 def write_report_xlsx(spark: SparkSession, sf_dir: str, folder: str,
-                      blank_sheet: Column | None = None) -> list[str]:
-    """One single-sheet workbook per report, built and written by the task owning the group."""
+                      blank_sheet: Column | None = None) -> int:
+    """One single-sheet workbook per report, built and written by the task owning the group;
+    returns how many."""
     import pandas as pd
 
-    from .sources.workbook import build_workbook, write_bytes
-
     grid = report_grid(table(spark, sf_dir, "customer"), blank_sheet)
     root = folder.rstrip("/")
 
@@ -225,4 +229,80 @@ def write_report_xlsx(spark: SparkSession, sf_dir: str, folder: str,
         return pd.DataFrame({"path": [path], "rows": [len(pdf)]})
 
     out = grid.groupBy("sheet").applyInPandas(build, "path string, rows long")
-    return sorted(r["path"] for r in out.collect())
+    return out.count()
+
+
+# --- minimal workbook writer (fixtures and tests) -----------------------------------------
+def _xml_escape(s: str) -> str:
+    return (s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+            .replace('"', "&quot;"))
+
+
+def _col_letters(i: int) -> str:
+    s = ""
+    i += 1
+    while i:
+        i, rem = divmod(i - 1, 26)
+        s = chr(65 + rem) + s
+    return s
+
+
+def build_workbook(rows, sheet_name: str = "Sheet1", dimension: bool = False) -> bytes:
+    """A one-sheet xlsx with inline strings; empty strings are left out as cells. With
+    ``dimension`` the used range is declared, as spreadsheet programs write it."""
+    rows = [list(r) for r in rows]
+    body = []
+    for r, cells in enumerate(rows, start=1):
+        cs = "".join(
+            f'<c r="{_col_letters(i)}{r}" t="inlineStr"><is><t xml:space="preserve">'
+            f"{_xml_escape(v)}</t></is></c>"
+            for i, v in enumerate(cells) if v not in (None, ""))
+        body.append(f'<row r="{r}">{cs}</row>')
+    width = max((len(r) for r in rows), default=1) or 1
+    dim = f'<dimension ref="A1:{_col_letters(width - 1)}{max(len(rows), 1)}"/>' if dimension else ""
+    sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+             '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+             f"{dim}<sheetData>{''.join(body)}</sheetData></worksheet>")
+    parts = {
+        "[Content_Types].xml":
+            '<?xml version="1.0" encoding="UTF-8"?>'
+            '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+            '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+            '<Default Extension="xml" ContentType="application/xml"/>'
+            '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+            '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+            "</Types>",
+        "_rels/.rels":
+            '<?xml version="1.0" encoding="UTF-8"?>'
+            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
+            "</Relationships>",
+        "xl/workbook.xml":
+            '<?xml version="1.0" encoding="UTF-8"?>'
+            '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+            'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+            f'<sheets><sheet name="{_xml_escape(sheet_name)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels":
+            '<?xml version="1.0" encoding="UTF-8"?>'
+            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+            "</Relationships>",
+        "xl/worksheets/sheet1.xml": sheet,
+    }
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for name, text in parts.items():
+            zf.writestr(name, text)
+    return buf.getvalue()
+
+
+def write_bytes(uri: str, data: bytes) -> None:
+    """Write one file from an executor through pyarrow's file systems (local, HDFS, S3...)."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:") and "://" not in uri:
+        uri = uri[len("file:"):]
+    filesystem, path = pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri)
+    filesystem.create_dir(posixpath.dirname(path), recursive=True)
+    with filesystem.open_output_stream(path) as out:
+        out.write(data)

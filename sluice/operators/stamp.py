@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import base_name
-from ..session import ensure_checkpoint_dir
+from ..session import shared_root
 
 FILE_COL = "_file"
 NAME_COL = "filename"
@@ -68,7 +68,7 @@ def stamp_rows(positioned: DataFrame, row_col: str = ROW_COL,
     row of the read falls outside its split's range of ids and the read fails. The guard is
     marked as not deterministic, so no filter moves below it: every row that is read is checked.
     """
-    ensure_checkpoint_dir(positioned.sparkSession)
+    shared_root(positioned.sparkSession)
     offsets = split_offsets(positioned).checkpoint(eager=True)
     size = offsets.agg(F.coalesce(F.sum(F.length(FILE_COL) + F.length("_name") + _ROW_OVERHEAD),
                                   F.lit(0)).alias("b")).first()["b"]

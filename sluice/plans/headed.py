@@ -12,7 +12,7 @@ from ..functions.lineage import base_name
 from ..functions.text import ident
 from ..operators import headers as H
 from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import scratch_path, shared_root
 from ..sources.csv import DEFAULT_SEP, read_csv_grid
 
 FLAT_LABEL = "column"
@@ -41,7 +41,7 @@ def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | No
 def detect(grid: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
            strict: bool = False) -> DataFrame:
     """Header detection per report, materialised in the shared checkpoint folder."""
-    ensure_checkpoint_dir(grid.sparkSession)
+    shared_root(grid.sparkSession)
     return H.detect_headers(H.sample_reports(grid), targets, min_score=min_score,
                             strict=strict).checkpoint(eager=True)
 

@@ -69,11 +69,6 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable; returns the shared root."""
-    return shared_root(spark)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root (never a machine-local temp dir)."""
     return f"{shared_root(spark)}/sluice-scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -193,7 +193,7 @@ def test_failed_load_is_an_outcome_and_files_move(spark, scratch):
 
 def test_stream_quarantines_one_bad_file(spark, scratch):
     import os
-    from sluice.sources.workbook import build_workbook
+    from sluice.fixtures import build_workbook
     from sluice.streaming.inbound import report_audit_rows
     root = scratch("stream-bad")
     folder = local_path(root + "/inbound")

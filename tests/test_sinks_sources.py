@@ -11,7 +11,8 @@ from sluice.plans import headed as HP
 from sluice.sinks.tables import (backup_csv, quote_table, replace_keys, replace_partitions,
                                  truncate_load)
 from sluice.sources.csv import read_csv_grid
-from sluice.sources.workbook import build_workbook, iter_sheet_rows, read_workbooks
+from sluice.fixtures import build_workbook
+from sluice.sources.workbook import iter_sheet_rows, read_workbooks
 from conftest import local_path, write_text_files
 
 
