@@ -104,27 +104,27 @@ def within(a: Column, b: Column, tau: int = TAU) -> Column:
                      F.lit(tau).alias("score"))
     chars = lambda t: F.split(t, "")
     return let(chars(a), lambda x: let(chars(b), lambda y: F.aggregate(
-        F.sequence(F.lit(1), F.length(b)), begin,
-        lambda s, j: step(x, y, F.length(a), s, j), lambda s: s["score"] <= tau)))
+        F.sequence(F.lit(1), F.size(y)), begin,
+        lambda s, j: step(x, y, F.size(x), s, j), lambda s: s["score"] <= tau)))
 
 
 def may_be_within(a: Column, b: Column, tau: int = TAU) -> Column:
     """False for most pairs that are not within ``tau`` edits, never for one that is: of the even
     pieces of ``a`` each edit spoils one, the others occur in ``b`` shifted by ``tau`` at most.
     A few long pieces are looked at first, then many short ones."""
-    n = F.length(a)
-
-    def met(i: Column, pieces: int) -> Column:
+    def met(n: Column, i: Column, pieces: int) -> Column:
         begin = F.floor(n * i / pieces).cast("int")
         size = F.floor(n * (i + 1) / pieces).cast("int") - begin
         first = F.greatest(begin - tau, F.lit(0))
         return F.contains(F.substring(b, first + 1, begin + size + tau - first),
                           F.substring(a, begin + 1, size))
 
+    def agree(n: Column, pieces: int) -> Column:
+        return F.size(F.filter(F.sequence(F.lit(0), F.lit(pieces - 1)),
+                               lambda i: met(n, i, pieces))) >= pieces - tau
+
     few, many = PIECES
-    rough = reduce(Column.__add__, [met(F.lit(i), few).cast("int") for i in range(few)])
-    fine = F.filter(F.sequence(F.lit(0), F.lit(many - 1)), lambda i: met(i, many))
-    return (rough >= few - tau) & (F.size(fine) >= many - tau)
+    return let(F.length(a), lambda n: agree(n, few) & agree(n, many))
 
 
 def _bit(value: Column, at: Column) -> Column:
