@@ -67,7 +67,7 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(id_fold(key, folds) == fold, F.lit(False))
 
 
-def slices(batches, column: int, limit: int = 8 << 20):
+def slices(batches, column: int, limit: int = 4 << 20):
     """Arrow batches cut so that ``column`` holds about ``limit`` bytes in each (one row at
     least): bounds a Python worker's memory whatever the text lengths."""
     for batch in batches:

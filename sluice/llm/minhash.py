@@ -34,7 +34,7 @@ BANDS, ROWS = 32, 4
 SKETCH = 1024
 SPLIT = 64
 FILTER_BITS = 26
-CACHE_SIZE = 300_000
+CACHE_SIZE = 150_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -197,7 +197,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` with 100 * intersection >= percent * union of their full sets."""
     def run(batches):
         for b in batches:
-            for part in slices([b], 2, 16 << 20):
+            for part in slices([b], 2, 4 << 20):
                 ok = []
                 for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
                     x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -291,7 +291,7 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def rest(batches):
         for b in batches:
-            for part in slices([b], 3, 16 << 20):
+            for part in slices([b], 3, 4 << 20):
                 sizes, common, tokens = [], [], []
                 for x, h in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
                     x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
