@@ -33,7 +33,7 @@ DEPTH = 5
 SHARD = 6 << 20
 HEAD = 1 << 20
 END = b"\n"
-CHUNK = 4 << 20
+CHUNK = 3 << 20
 WORD, GRAM, DOC = 0, 1, 2
 MEMO_BITS = 20
 
