@@ -25,7 +25,7 @@ from sluice.llm.common import cut, fresh, let, quoted
 TAU = 2
 MIN_CHARS = 32
 PIECES = (8, 64)
-FILTER_BITS = 20
+FILTER_BITS = 18
 # The low bits of a line's place tell rows with one id and different texts apart.
 PRINT = 16
 BLANK = " \t\x0b\x0c\r"
@@ -132,21 +132,21 @@ def _bit(value: Column, at: Column) -> Column:
 
 
 def _bitmap(keys: Column, rows: DataFrame) -> Column:
-    """Array literal of ``2^FILTER_BITS`` bits, one set for each key (a long)."""
+    """Array literal of ``2^FILTER_BITS`` bits in words of 32, one set for each key (a long)."""
     slot = keys.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     bits = rows.select(slot.alias("slot")).selectExpr(
-        "CAST(shiftright(slot, 6) AS int) AS word",
-        "shiftleft(1L, CAST(slot & 63 AS int)) AS bit")
+        "CAST(shiftright(slot, 5) AS int) AS word",
+        "shiftleft(1L, CAST(slot & 31 AS int)) AS bit")
     got = {r["word"]: r["bit"] for r in bits.groupBy("word")
            .agg(F.bit_or("bit").alias("bit")).collect()}
     return F.expr("array(" + ", ".join(
-        f"CAST('{got.get(w, 0)}' AS long)" for w in range(1 << FILTER_BITS - 6)) + ")")
+        f"{got.get(w, 0)}L" for w in range(1 << FILTER_BITS - 5)) + ")")
 
 
 def _may_hold(bitmap: Column, key: Column) -> Column:
     slot = key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    word = F.element_at(bitmap, F.shiftright(slot, 6).cast("int") + 1)
-    return _bit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1
+    word = F.element_at(bitmap, F.shiftright(slot, 5).cast("int") + 1)
+    return _bit(word, slot.bitwiseAND(F.lit(31)).cast("int")) == 1
 
 
 def near_classes(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int):
