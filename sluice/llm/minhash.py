@@ -324,11 +324,14 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("held", F.count(F.lit(1)).over(own)) \
         .withColumn("nth", F.row_number().over(own.orderBy("df", "token"))) \
         .filter(F.col("r") - F.col("held") + F.col("nth") <= F.col("r") - need + 1)
-    token = cut(token.select("hub", "token", "cid", "root", "n", "o"), "minhash-tokens")
-    x = token.toDF("hub", "token", "a", "ra", "na", "oa")
-    y = token.toDF("hub", "token", "b", "rb", "nb", "ob")
-    # what both can share inside and outside the hub has to reach the threshold
-    most = F.least("oa", "ob") + F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
+    # shingles outside the hub from this one on, in that order
+    token = token.withColumn("left", F.col("held") - F.col("nth") + 1)
+    token = cut(token.select("hub", "token", "cid", "root", "n", "o", "left"), "minhash-tokens")
+    x = token.toDF("hub", "token", "a", "ra", "na", "oa", "la")
+    y = token.toDF("hub", "token", "b", "rb", "nb", "ob", "lb")
+    # what both can share inside the hub, and outside from their first common shingle on, has
+    # to reach the threshold
+    most = F.least("oa", "ob") + F.least("la", "lb")
     outside = x.join(y, ["hub", "token"]).filter(
         "a < b and ra != rb").filter(most + 1e-6 >= share * (F.col("na") + F.col("nb"))) \
         .select("a", "b").distinct()
