@@ -7,14 +7,15 @@ their weighted mean. Only document labels are used: gradients reach the passages
 attention weights.
 
 Training runs on the driver over a bounded sample (``SAMPLE_DOCS`` documents and
-``SAMPLE_BYTES`` bytes of text at most, in hash order of the id); scoring is one pass.
+``SAMPLE_BYTES`` bytes of text at most, in hash order of the id, texts over a ``SHARE``-th of
+those bytes last); scoring is one pass.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import held_out, slices
@@ -22,6 +23,7 @@ from sluice.llm.common import held_out, slices
 WORDS = 64
 SAMPLE_DOCS = 4000
 SAMPLE_BYTES = 48 << 20
+SHARE = 64
 THRESHOLD = 0.7
 HIDDEN, GATE, EPOCHS, BATCH, RATE = 32, 16, 30, 64, 0.01
 _BLANKS = b"\t\n\x0b\x0c\r "
@@ -154,6 +156,18 @@ class Model:
         return self.forward(x, n)["score"]
 
 
+def fitting(sizes: list[tuple], limit: int) -> list:
+    """The keys of ``(key, bytes)`` rows that fit into ``limit`` bytes together, taken in order,
+    those over a ``SHARE``-th of the limit after all others. One that does not fit is passed
+    over and the next ones are tried."""
+    picked, used = [], 0
+    for key, size in sorted(sizes, key=lambda r: r[1] > limit // SHARE):
+        if used + size <= limit:
+            picked.append(key)
+            used += size
+    return picked
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", sample_docs: int = SAMPLE_DOCS,
           sample_bytes: int = SAMPLE_BYTES) -> Model:
@@ -161,7 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     id with several labels counts as their maximum).
 
     The sample holds whole texts of at most ``sample_docs`` labelled documents and
-    ``sample_bytes`` bytes. Without a labelled row the model scores everything 0.5, with labels of one kind
+    ``sample_bytes`` bytes; a text that does not fit is left out alone (see ``fitting``).
+    Without a labelled row that fits the model scores everything 0.5, with labels of one kind
     it scores everything near that label.
     """
     wanted = (labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("y"))
@@ -170,11 +185,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     src = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     rows = src.join(F.broadcast(wanted), "key")  # at most sample_docs small rows
     size = F.octet_length(F.coalesce("text", F.lit(""))).alias("size")
-    picked = (rows.groupBy("key").agg(F.max(size).alias("size"))
-              .withColumn("upto", F.sum("size").over(
-                  Window.orderBy(F.xxhash64("key"), "key")
-                  .rowsBetween(Window.unboundedPreceding, 0)))
-              .filter(F.col("upto") <= sample_bytes).select("key"))
+    sizes = rows.groupBy("key").agg(F.max(size).alias("size")) \
+        .orderBy(F.xxhash64("key"), "key")
+    picked = docs.sparkSession.createDataFrame(  # at most sample_docs small rows
+        [(k,) for k in fitting([tuple(r) for r in sizes.collect()], sample_bytes)],
+        sizes.select("key").schema)
     rows = rows.join(F.broadcast(picked), "key")
 
     def run(batches):

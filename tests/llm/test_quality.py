@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from conftest import SF_SMALL
 from llm_fixtures import docs  # noqa: F401
+from pyspark.sql import functions as F
 from sluice.llm import quality as M
 
 
@@ -61,3 +62,18 @@ def test_edges(spark, docs):
     none = M.train(df, labels.limit(0))
     assert {r.score for r in M.score(df, none).collect()} == {0.5}
     assert M.score(df.limit(0), model).count() == 0
+
+
+def test_a_long_text_leaves_the_others_in_the_sample(spark, docs):
+    keys = [r.doc_id for r in spark.range(40).withColumnRenamed("id", "doc_id")
+            .orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    assert M.fitting([(1, 99), (2, 1), (3, 100), (4, 1)], 100) == [2, 4]
+    assert M.fitting([(1, 60), (2, 1), (3, 40), (4, 39)], 100) == [2, 1, 4]
+    rows = [(k, ("good words in a row. " if k % 2 else "%% || ## 77 ") * 3) for k in keys]
+    labels = spark.createDataFrame([(k, k % 2) for k in keys], "doc_id long, quality int")
+    long = [(keys[0], "x " * 10_000), *rows[1:]]  # the first in hash order does not fit
+    model = M.train(docs(long), labels, sample_bytes=10_000)
+    got = {r.doc_id: r.score for r in M.score(docs(rows), model).collect()}
+    assert all((got[k] > 0.5) == (k % 2 == 1) for k in keys)
+    whole = M.train(docs(rows[1:]), labels)
+    assert all((model.p[k] == whole.p[k]).all() for k in model.p)
