@@ -87,13 +87,18 @@ def _page_of(uri: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
+def target(url: str) -> str:
+    """An address as records hold it."""
+    return quote(url, safe="!#$%&'()*+,/:;=?@[]~")
+
+
 def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     """One WARC record; a revisit holds the response's header only."""
     block = HTTP.format(len(payload)).encode()
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
             f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {DATE}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~"))
+        head.append("WARC-Target-URI: " + target(url))
     if refers_to is not None:
         head += [f"WARC-Refers-To: {_record_id(refers_to)}", f"WARC-Profile: {PROFILE}"]
     else:
@@ -303,9 +308,15 @@ def fetch(rows: DataFrame, payload: bool = False) -> DataFrame:
 def lookup(spark: SparkSession, index: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
     """``url, page_id, file, offset, length`` of all captures of the given addresses.
 
-    The bounds of the shards (as many as index files) go to every task; a task reads the
-    directory of the shards its keys fall in, one block per hit, and searches both.
+    The bounds of the shards (as many as index files) go to every task; a task searches the
+    directory of the shards its keys fall in. The blocks found are then dealt out, so each is
+    read once, by its byte range, and searched for all keys that hit it.
     """
+    return _captures_of(_blocks_of(spark, index, urls, url_col))
+
+
+def _blocks_of(spark: SparkSession, index: str, urls: DataFrame, url_col: str) -> DataFrame:
+    """``url, surt, file, offset, length``: the blocks whose keys enclose an address's key."""
     shards = sorted((r["a"], r["b"], r["shard"]) for r in spark.read.schema(
         "shard string, first_key string, last_key string").parquet(f"{index}/directory")
         .groupBy("shard").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b"))
@@ -316,7 +327,7 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame, url_col: str = "url
         for b in batches:
             rows = []
             for url in b.column(0).to_pylist():
-                key = surt(url)
+                key = surt(url and target(url))  # as in the index
                 for a, _, shard in shards[bisect.bisect_left(top, key):]:
                     if a > key:
                         break
@@ -325,8 +336,8 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame, url_col: str = "url
                 yield _emit(rows, ["url", "surt", "shard"], [pa.string()] * 3)
 
     def search(batches):
-        names = ["url", "page_id", "file", "offset", "length"]
-        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        names = ["url", "surt", "file", "offset", "length"]
+        types = [pa.string()] * 3 + [pa.int64()] * 2
         held: tuple[str, list] = ("", [])
         for b in batches:
             rows = []
@@ -339,30 +350,55 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame, url_col: str = "url
                 blocks = held[1]
                 at = bisect.bisect_left(blocks, key, key=lambda r: r["last_key"])
                 while at < len(blocks) and blocks[at]["first_key"] <= key:
-                    x = blocks[at]
-                    lines = [json.loads(v) for v in read_range(x["file"], x["offset"], x["length"])
-                             .decode().split("\n")]
-                    i = bisect.bisect_left(lines, key, key=lambda v: v[0])
-                    while i < len(lines) and lines[i][0] == key:
-                        rows.append(dict(zip(names, [url, *lines[i][1:]])))
-                        i += 1
+                    rows.append({**blocks[at], "url": url, "surt": key})
                     at += 1
+                if len(rows) >= 4096:
+                    yield _emit(rows, names, types)
+                    rows = []
             if rows:
                 yield _emit(rows, names, types)
-        _opened.cache_clear()
 
     keys = urls.select(F.col(url_col).cast("string").alias("url")).distinct() \
         .mapInArrow(place, "url string, surt string, shard string")
     return keys.repartition(F.col("shard"), F.pmod(F.xxhash64("surt"), F.lit(8))) \
         .sortWithinPartitions("shard", "surt") \
-        .mapInArrow(search, f"url string, page_id long, {PLACE}")
+        .mapInArrow(search, f"url string, surt string, {PLACE}")
+
+
+def _captures_of(blocks: DataFrame) -> DataFrame:
+    """The lines of each key in its blocks."""
+    names = ["url", "page_id", "file", "offset", "length"]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+
+    def run(batches):
+        held: tuple[tuple, list] = ((), [])
+        for b in batches:
+            rows = []
+            for url, key, *place in zip(*(c.to_pylist() for c in b.columns)):
+                if held[0] != tuple(place):
+                    held = tuple(place), [json.loads(v) for v in
+                                          read_range(*place).decode().split("\n")]
+                lines = held[1]
+                i = bisect.bisect_left(lines, key, key=lambda v: v[0])
+                while i < len(lines) and lines[i][0] == key:
+                    rows.append(dict(zip(names, [url, *lines[i][1:]])))
+                    i += 1
+                if len(rows) >= 4096:
+                    yield _emit(rows, names, types)
+                    rows = []
+            if rows:
+                yield _emit(rows, names, types)
+        _opened.cache_clear()
+
+    return blocks.repartition("file", "offset").sortWithinPartitions("file", "offset", "surt") \
+        .mapInArrow(run, f"url string, page_id long, {PLACE}")
 
 
 def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
             url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes archives and index below ``path`` (default: a fresh shared folder) and returns
-    ``page_id, record_type, refers_to, payload_bytes, payload_digest``, read back through the
-    index. Archive files are plain concatenated gzip records (named ``part-*`` by Spark).
+    ``page_id, record_type, refers_to, payload_bytes, payload_digest``: the addresses of all
+    pages are looked up in the index, and the records found are read by byte range. Archive files are plain concatenated gzip records (named ``part-*`` by Spark).
 
     One record per row. Of equal payloads of at least ``MIN_REVISIT`` bytes the one with the
     smallest id is the response, the others revisit it (rows that share the smallest id are
@@ -374,4 +410,7 @@ def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     path = path or scratch_path(spark, "warc")
     write_archives(roles(pages, id_col, url_col, html_col), f"{path}/archives")
     build_index(spark, f"{path}/archives", f"{path}/index")
-    return fetch(captures(spark, f"{path}/index")).withColumnRenamed("page_id", id_col)
+    # addresses of one key find the same captures
+    found = lookup(spark, f"{path}/index", pages, url_col) \
+        .select("file", "offset", "length").distinct()
+    return fetch(found).withColumnRenamed("page_id", id_col)

@@ -78,3 +78,16 @@ def test_lookup_over_many_blocks(spark, scratch):
     assert want <= hits
     key = {r.page_id: W.surt(r.url) for r in df.collect()}
     assert all(key[p] == W.surt(u) for p, u in hits)
+
+
+def test_archive_reads_through_the_directory(spark, scratch, monkeypatch):
+    rows = [(1, "http://h/é", "a"), (2, "http://h:80/é", "b"), (3, "http://h/%C3%A9", "c"),
+            (4, None, "d"), (5, "", "e"), (6, "http://H/a b", "f"), (7, "http://h/\r\nX: y", "g")]
+    df = spark.createDataFrame(rows * 40, SCHEMA)
+    monkeypatch.setattr(W.build_index, "__defaults__", (7,))  # keys that span blocks
+    monkeypatch.setattr(W, "captures", None)
+    path = scratch("warc")
+    got = W.archive(df, path)
+    assert sorted(r.page_id for r in got.collect()) == sorted(r[0] for r in rows * 40)
+    hits = W.lookup(spark, f"{path}/index", spark.createDataFrame([("http://h/é",)], "url string"))
+    assert {r.page_id for r in hits.collect()} == {1, 2, 3} and hits.count() == 120
