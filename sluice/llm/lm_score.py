@@ -11,7 +11,8 @@ Training counts are ``DEPTH + 1``-grams of bytes, pre-aggregated in the workers
 shuffle (grams met only in held-out texts take part with count 0). All trees below a pair of
 nearest context bytes are weighted in one task; what lies above is a small table. Every gram
 thus gets its log probability where its trees are, and scoring a text is looking up its grams:
-the table reaches the workers in shards of at most ``SHARD`` grams, one pass per shard. Word
+the table lies in the shared folder in shards of at most ``SHARD`` grams (more only if grams with
+the same three nearest context bytes are more), which workers read there, one pass per shard. Word
 counts reach them up to ``HEAD`` entries; counts of all rarer words are joined.
 """
 
@@ -20,14 +21,18 @@ from __future__ import annotations
 import collections
 import functools
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import cut, held_out, slices
+from sluice.session import scratch_path
 
 DEPTH = 5
 SHARD = 6 << 20
@@ -237,8 +242,35 @@ def roots(grams: DataFrame, depth: int = DEPTH) -> list[tuple]:
     return [(k0, g0, s0), (k1, g1, s1)]
 
 
-def score_grams(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``pair, key, score``: log10 probability of every gram's last byte."""
+def near_context(codes):
+    """The pair of nearest context bytes and the one before it as an integer below 2^24; of
+    numbers or a column."""
+    if isinstance(codes, np.ndarray):
+        return (codes >> 8 & 0xFFFF) << 8 | codes >> 24 & 0xFF
+    pair = F.shiftright(codes, 8).bitwiseAND(F.lit(0xFFFF))
+    return F.shiftleft(pair, 8).bitwiseOR(F.shiftright(codes, 24).bitwiseAND(F.lit(0xFF)))
+
+
+def shard_bounds(grams: DataFrame, limit: int) -> list[int]:
+    """Where shards of ``limit`` grams begin (``near_context``), the first one's 0 left out. A
+    pair of nearest bytes with more grams than that is split by the byte before it."""
+    sizes = grams.select(near_context(F.col("key")).alias("at"))
+    pair = F.shiftright("at", 8)
+    by = sizes.groupBy(pair.alias("pair")).count().collect()  # 65,536 at most
+    parts = [(r["pair"] << 8, r["count"]) for r in by if r["count"] <= limit]
+    if hot := [r["pair"] for r in by if r["count"] > limit]:
+        parts += [tuple(r) for r in sizes.filter(pair.isin(hot)).groupBy("at").count().collect()]
+    bounds, used = [], 0
+    for at, size in sorted(parts):
+        if used and used + size > limit:
+            bounds.append(at)
+            used = 0
+        used += size
+    return bounds
+
+
+def score_grams(grams: DataFrame, depth: int = DEPTH, bounds: list[int] = ()) -> DataFrame:
+    """``shard, key, score``: log10 probability of every gram's last byte."""
     top = grams.sparkSession.sparkContext.broadcast(roots(grams, depth))
 
     def run(batches):
@@ -248,27 +280,47 @@ def score_grams(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
         deep = [x[1:4] for x in tree(codes[n > 0], n[n > 0], depth, 2)] if n.any() else \
             [tuple(np.zeros(0, t) for t in (np.int64, float, float))] * (depth - 1)
         score = gram_scores(mixed([*top.value, *reversed(deep)]), codes)
-        pair = ((codes >> 8) & 0xFFFF).astype(np.int32)
+        shard = np.searchsorted(np.array(bounds, np.int64), near_context(codes), side="right") \
+            .astype(np.int32)
         for i in range(0, len(codes), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[i:i + 100_000]) for c in (pair, codes, score)],
-                ["pair", "key", "score"])
+                [pa.array(c[i:i + 100_000]) for c in (shard, codes, score)],
+                ["shard", "key", "score"])
+
+    return by_pair(grams).mapInArrow(run, "shard int, key long, score double")
 
-    return by_pair(grams).mapInArrow(run, "pair int, key long, score double")
+
+def shard_arrays(folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, in order, and scores of a shard; none if nothing was written."""
+    fs, path = pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+    found = fs.get_file_info(pyarrow.fs.FileSelector(path, allow_not_found=True))
+    files = [pq.ParquetFile(fs.open_input_file(f.path)) for f in found
+             if f.path.endswith(".parquet")]
+    n, at = sum(f.metadata.num_rows for f in files), 0
+    keys, scores = np.empty(n, np.int64), np.empty(n)
+    for f in files:
+        got = f.read(["key", "score"])
+        keys[at:at + len(got)], scores[at:at + len(got)] = (c.to_numpy() for c in got.columns)
+        at += len(got)
+        f.close(force=True)
+    order = np.argsort(keys, kind="stable")  # files are sorted: this merges them
+    return keys[order], scores[order]
 
 
 class Scorer:
-    """Sums the scores of a text's grams, those of one shard (all if ``nth`` is -1)."""
+    """Sums the scores of a text's grams, those of one shard."""
 
-    def __init__(self, keys: np.ndarray, scores: np.ndarray, depth: int, shard: np.ndarray,
-                 nth: int):
-        self.keys, self.scores, self.depth, self.shard, self.nth = keys, scores, depth, shard, nth
+    def __init__(self, folder: str, nth: int, bounds: tuple[int, ...], depth: int):
+        self.keys, self.scores = shard_arrays(f"{folder}/shard={nth}")
+        self.depth, self.split = depth, bool(bounds)
+        self.first, self.end = [0, *bounds][nth], [*bounds, 1 << 24][nth]
         self.memo = np.full(1 << MEMO_BITS, -1, np.int64), np.zeros(1 << MEMO_BITS)
 
     def __call__(self, seqs: list[bytes]) -> np.ndarray:
         codes, real, begins = gram_codes(seqs, self.depth)
-        if self.nth >= 0:
-            real &= self.shard[(codes >> 8) & 0xFFFF] == self.nth
+        if self.split:
+            at = near_context(codes)
+            real &= (at >= self.first) & (at < self.end)
         keys, values = self.memo
         slot = ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 >> np.uint64(64 - MEMO_BITS)).view(np.int64)
@@ -286,8 +338,8 @@ class Scorer:
 
 
 @functools.lru_cache(maxsize=1)
-def _scorer(held) -> Scorer:
-    return Scorer(*held.value)
+def _scorer(*shard) -> Scorer:
+    return Scorer(*shard)
 
 
 class Base:
@@ -341,21 +393,12 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     src = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     counts = cut(count(src.select("text", out.alias("held_out")), depth), "lm-counts")
 
-    # model: gram scores, in shards by pair of nearest context bytes
-    grams = cut(score_grams(counts.filter(F.col("kind") == GRAM), depth), "lm-grams")
-    shard, held, used = np.zeros(1 << 16, np.int64), 0, 0
-    for pair, size in sorted(tuple(r) for r in grams.groupBy("pair").count().collect()):
-        if used and used + size > shard_size:
-            held, used = held + 1, 0
-            shard[pair:] = held
-        used += size
-
-    def model(nth: int) -> tuple:
-        pairs = np.flatnonzero(shard == nth)
-        mine = grams.filter(F.col("pair").between(int(pairs[0]), int(pairs[-1])))
-        keys, scores = _arrays(mine.select("key", "score"))
-        order = np.argsort(keys)
-        return keys[order], scores[order], depth, shard, nth if held else -1
+    # model: gram scores, in shards by nearest context bytes
+    grams = counts.filter(F.col("kind") == GRAM)
+    bounds = tuple(shard_bounds(grams, shard_size))
+    model = scratch_path(spark, "lm-grams")
+    score_grams(grams, depth, bounds).sortWithinPartitions("shard", "key") \
+        .write.partitionBy("shard").parquet(model)
 
     # base: totals, and the counts of the words frequent enough to travel
     total = counts.groupBy("kind", F.floor(F.log2("n")).alias("b")) \
@@ -375,9 +418,9 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
     base = spark.sparkContext.broadcast((keys[order], n[order], z))
     end = math.log10((n_docs + 0.5) / z)
 
-    def scorer(part, own):
+    def scorer(nth, own):
         def run(batches):
-            score_of = _scorer(part)
+            score_of = _scorer(model, nth, bounds, depth)
             for b in slices(batches, 1, CHUNK // 2):
                 split = [tokens(t) for t in b.column(1).to_pylist()]
                 seqs = [b" ".join(ws) + END for ws in split]
@@ -398,16 +441,15 @@ def evaluate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fo
 
     # a print of the text ties the passes of several shards together
     kind = src.schema["key"].dataType.simpleString()
-    first = spark.sparkContext.broadcast(model(0))
-    mark = F.md5("text") if held else F.lit("")
+    mark = F.md5("text") if bounds else F.lit("")
     rows = src.select("key", "text", mark.alias("print")).mapInArrow(
-        scorer(first, True), f"key {kind}, print string, score double, n_bytes long, "
+        scorer(0, True), f"key {kind}, print string, score double, n_bytes long, "
         "n_tokens long, n_known long, base double, rare array<long>")
     rows = cut(rows.withColumn("rid", F.monotonically_increasing_id()), "lm-rows")
     result = rows
-    for nth in range(1, held + 1):
+    for nth in range(1, len(bounds) + 1):
         more = src.select(F.md5("text").alias("key"), "text").dropDuplicates(["key"]).mapInArrow(
-            scorer(spark.sparkContext.broadcast(model(nth)), False), "key string, score double")
+            scorer(nth, False), "key string, score double")
         more = more.select(F.col("key").alias("of"), F.col("score").alias("more"))
         result = result.join(more, F.col("print").eqNullSafe(F.col("of")), "left") \
             .withColumn("score", F.col("score") + F.col("more")).drop("of", "more")

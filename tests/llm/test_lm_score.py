@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from conftest import SF_SMALL, SF_SMOKE
 from llm_fixtures import docs  # noqa: F401
+from pyspark.sql import functions as F
 from sluice.llm import lm_score as M
 
 
@@ -123,3 +124,21 @@ def test_held_out_text_is_compressed(spark):
     df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = [r for r in M.evaluate(df).collect() if r.held_out]
     assert np.mean([r.bits_per_byte for r in rows]) < 2.6
+
+
+def test_grams_stay_off_the_driver_in_bounded_shards(spark, docs, monkeypatch):
+    rng = np.random.default_rng(3)  # one pair of bytes before most grams
+    rows = [(k, " ".join(chr(97 + a) + "qq" + chr(97 + b) for a, b in rng.integers(0, 26, (40, 2))))
+            for k in range(20)]
+    want = {r.doc_id: r.score for r in M.evaluate(docs(rows), depth=3).collect()}
+    met, arrays = [], M._arrays
+    monkeypatch.setattr(M, "_arrays", lambda df: met.append(df.columns) or arrays(df))
+    grams = M.cut(M.count(docs(rows).selectExpr("text", "false AS held_out"), 3), "test-grams") \
+        .filter(f"kind = {M.GRAM}")
+    bounds = M.shard_bounds(grams, 60)
+    sizes = [r["count"] for r in M.score_grams(grams, 3, bounds).groupBy("shard").count().collect()]
+    assert len(sizes) == len(bounds) + 1 and max(sizes) <= 60 < sum(sizes)
+    assert max(r["count"] for r in grams.groupBy(F.expr("key >> 8 & 65535")).count().collect()) > 60
+    got = {r.doc_id: r.score for r in M.evaluate(docs(rows), depth=3, shard_size=60).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+    assert ["key", "score"] not in met
