@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..errors import PIPELINE_FAILURE, IntakeError
+from ..session import scratch_path
 from ..sinks.tables import replace_partitions
 from ..sources.files import move_to, qualify, split_existing
 
@@ -42,16 +43,30 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
               .option("maxFilesPerTrigger", max_files_per_trigger))
     files = reader.load(inbound).select("path")
 
-    def load(paths: list[str]) -> dict[str, str]:
-        """Writes the rows of the paths; the reason of each path that could not be loaded. If
-        the batch fails as a whole, its files are tried one by one."""
+    per_file = "filename" in ([key] if isinstance(key, str) else key)
+
+    def attempt(paths: list[str], folder: str) -> str | None:
+        """Writes the rows of the paths; the reason if they could not be written."""
         try:
-            replace_partitions(to_rows(spark, paths), sink, key=key)
-            return {}
+            replace_partitions(to_rows(spark, paths), folder, key=key)
+            return None
         except Exception as exc:  # noqa: BLE001 - reported per file
-            if len(paths) == 1:
-                return {paths[0]: f"{type(exc).__name__}: {exc}"}
-            return {p: why for path in paths for p, why in load([path]).items()}
+            return f"{type(exc).__name__}: {exc}"
+
+    def load(paths: list[str]) -> dict[str, str]:
+        """Writes the rows of the paths; the reason of each path that could not be loaded. If
+        the batch fails as a whole, its files are tried one by one. Where a file would replace
+        another one's rows the trials go to a scratch folder, then all good files are loaded
+        together."""
+        why = attempt(paths, sink)
+        if why is None or len(paths) == 1:
+            return {p: why for p in paths if why}
+        tried = {p: attempt([p], sink if per_file else scratch_path(spark, "inbound-trial"))
+                 for p in paths}
+        good = [p for p in paths if not tried[p]]
+        if good and not per_file and (why := attempt(good, sink)):
+            tried.update(dict.fromkeys(good, why))
+        return {p: reason for p, reason in tried.items() if reason}
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         # ≤ max_files_per_trigger rows; the stream reports encoded URIs, the reads take paths

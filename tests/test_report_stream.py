@@ -209,3 +209,23 @@ def test_stream_quarantines_one_bad_file(spark, scratch):
     assert sorted(os.listdir(local_path(root + "/ok"))) == ["r_01.xlsx", "r_02.xlsx", "r_04.xlsx"]
     assert os.listdir(local_path(root + "/err")) == ["r_03.xlsx"]
     assert sorted(r["Account No"] for r in spark.read.parquet(root + "/sink").collect()) == ["1", "2", "4"]
+
+
+def test_good_files_of_a_cycle_stay_together_beside_a_bad_one(spark, scratch):
+    import os
+    root, rows = scratch("stream-cycle"), text_audit_rows(2)
+    write_text_files(root + "/in", {"a_01.txt": "D\t1\n", "b_01.txt": "D\t2\n",
+                                    "bad_01.txt": "D\t3\n", "c_02.txt": "D\t4\n"})
+
+    def to_rows(session, paths):
+        if any("bad_" in p for p in paths):
+            raise ValueError("bad file")
+        return rows(session, paths)
+
+    q = stream_inbound(spark, root + "/in", root + "/sink", root + "/_ck", to_rows,
+                       processed=root + "/done", error=root + "/err", key="billcycle")
+    q.awaitTermination()
+    got = sorted(r.column2 for r in spark.read.parquet(root + "/sink").collect())
+    assert got == ["1", "2", "4"]
+    assert sorted(os.listdir(local_path(root + "/done"))) == ["a_01.txt", "b_01.txt", "c_02.txt"]
+    assert os.listdir(local_path(root + "/err")) == ["bad_01.txt"]
