@@ -526,14 +526,21 @@ def q_run_failures(spark, sf_dir):
 
 
 def q_inbound_stream(spark, sf_dir):
-    """Inbound-folder stream, per micro-batch replace by cycle and file."""
+    """Inbound-folder stream, per micro-batch replace by cycle and file; files of two cycles
+    are sent again, changed, under the same names, and a third run finds nothing."""
     root = scratch_path(spark, "inbound-stream")
-    fx.write_cycle_files(spark, sf_dir, root + "/inbound")
-    q = stream_inbound(spark, root + "/inbound", root + "/audit", root + "/_checkpoint",
+
+    def intake():
+        stream_inbound(spark, root + "/inbound", root + "/audit", root + "/_checkpoint",
                        text_audit_rows(TEXT_COLUMNS), processed=root + "/processed",
-                       error=root + "/error",
-                       pattern="*.txt", max_files_per_trigger=4)
-    q.awaitTermination()
+                       error=root + "/error", pattern="*.txt",
+                       max_files_per_trigger=4).awaitTermination()
+
+    fx.write_cycle_files(spark, sf_dir, root + "/inbound")
+    intake()
+    fx.write_resent_files(spark, sf_dir, root + "/inbound")
+    intake()
+    intake()
     out = spark.read.parquet(root + "/audit")
     return out.select(*COLS7, "rownumber", "billcycle", "filename")
 
@@ -932,9 +939,12 @@ def _own_oracle_sql() -> dict[str, str]:
                       "count(*) FILTER (WHERE status <> 'processed') AS n_failed FROM d",
         "run_failures": f"WITH d AS ({_DISP}) SELECT filename AS unit, '[' || filename || ']: ' || "
                         f"status || ' - ' || {_REASON} AS line FROM d WHERE status <> 'processed'",
-        "inbound_stream": f"WITH {_L}, s2 AS (SELECT *, 'orders_inbound' || "
-                          "CAST(o_orderkey // 1000000 AS VARCHAR) || '_' || "
-                          "lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fn FROM s) "
+        "inbound_stream": f"WITH {_L}, s2 AS (SELECT * REPLACE (CASE WHEN o_orderkey % 11 < 2 "
+                          "THEN string_split_regex(lower(value), '\\t') ELSE f END AS f), "
+                          "'orders_inbound' || CAST(o_orderkey // 1000000 AS VARCHAR) || '_' || "
+                          "lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') || '.txt' AS fn "
+                          "FROM s JOIN orders USING (o_orderkey) "
+                          "WHERE o_orderkey % 11 >= 2 OR o_custkey % 2 = 0) "
                           f"SELECT {_NULLIF}, row_number() OVER (PARTITION BY fn ORDER BY o_orderkey) "
                           f"AS rownumber, 'BC' || lpad(CAST(o_orderkey % 11 + 1 AS VARCHAR), 2, '0') "
                           "AS billcycle, fn AS filename FROM s2",

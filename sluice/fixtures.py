@@ -100,7 +100,17 @@ def write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str
 def write_cycle_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
     """L as the inbound folder receives it: ``orders_inbound{chunk}_{cc}.txt`` per cycle and key
     range."""
-    lines = order_lines(table(spark, sf_dir, "orders"))
+    return _write_cycles(order_lines(table(spark, sf_dir, "orders")), folder)
+
+
+def write_resent_files(spark: SparkSession, sf_dir: str, folder: str) -> list[str]:
+    """The files of the first two cycles as they are sent again: the same names, without the
+    orders of odd customers and in lower case."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 11 < 2 AND o_custkey % 2 = 0")
+    return _write_cycles(order_lines(orders).withColumn("value", F.lower("value")), folder)
+
+
+def _write_cycles(lines: DataFrame, folder: str) -> list[str]:
     name = F.concat(F.lit("orders_inbound"),
                     (F.col("o_orderkey") / CHUNK).cast("long").cast("string"), F.lit("_"),
                     F.lpad((F.col("o_orderkey") % 11 + 1).cast("string"), 2, "0"), F.lit(".txt"))

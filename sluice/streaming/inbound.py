@@ -1,34 +1,85 @@
 """Incremental folder intake (S8): inbound files → the batch pipeline → replace by cycle.
 
-A ``binaryFile`` stream discovers new files (only ``path`` is selected, so file contents are
-not read by the stream itself). Each micro-batch hands its file list – at most
-``max_files_per_trigger`` paths – to the same batch functions, whose rows replace their
-(cycle, file) partitions of the sink, so a retried micro-batch is idempotent and files of
-one cycle arriving in different micro-batches never remove each other's rows. With one
-file per cycle this equals the reference's delete-cycle-then-append; ``key="billcycle"``
-gives that rule literally. After the
+The folder is listed (path, length, modification time; no contents) and the listing written
+below the checkpoint, where a stream picks it up. Keyed streaming state holds the version
+(length and modification time) of every path that was handed on, so a file is loaded when it
+is new *or has changed*: a re-sent file of the same name replaces the rows of the old one, as
+in the reference, and a listing that is read again changes nothing.
+
+A listing file holds at most ``max_files_per_trigger`` paths and is one micro-batch, which hands
+its file list to the batch functions; their rows replace the (cycle, file) partitions of the
+sink, so a retried micro-batch is idempotent and files of one cycle arriving in different
+micro-batches never remove each other's rows. With one file per cycle this equals the
+reference's delete-cycle-then-append; ``key="billcycle"`` gives that rule literally. After the
 write the batch's files move to the processed folder; a file that cannot be loaded moves to the
 error folder alone (the reference's success / quarantine moves), or, without an error folder,
-stops the stream.
+stops the stream, whose state then still has the old version.
 
-The file source's own ``cleanSource=archive`` is not used: it archives a file only when a
-later micro-batch runs, so the last batch would stay behind. A re-sent file with the same
-name is skipped by the stream checkpoint; re-submissions go through the batch entry.
+The state is committed with the micro-batch. A file that is there again unchanged although it
+was loaded (its move was lost, or the same file was sent again with its time) is only moved.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ..errors import PIPELINE_FAILURE, IntakeError
 from ..session import scratch_path
 from ..sinks.tables import replace_partitions
 from ..sources.files import move_to, qualify, split_existing
 
-BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+LISTING_SCHEMA = "path string, length long, modified long"     # milliseconds
+VERSION_SCHEMA = "length long, modified long"
+CHANGE_SCHEMA = "path string, changed boolean"
+_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FileVersions(StatefulProcessor):
+    """State: the version of a path that was handed on last. A listed path is given out with
+    whether its version is another one."""
+
+    def init(self, handle) -> None:
+        self.version = handle.getValueState("version", VERSION_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # a micro-batch may hold several listings of a path: the last version counts
+        modified, length = max((r["modified"], r["length"]) for r in rows)
+        known = self.version.get() if self.version.exists() else None
+        changed = known is None or tuple(known) != (length, modified)
+        if changed:
+            self.version.update((length, modified))
+        yield Row(path=key[0], changed=changed)
+
+    def close(self) -> None:
+        pass
+
+
+def list_inbound(spark: SparkSession, inbound: str, listings: str, pattern: str = "*",
+                 max_files: int = 100) -> int:
+    """Writes the folder's present files as rows of ``listings``, at most ``max_files`` paths to
+    a file; returns their number. Spark lists the folder and reads no content."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(inbound)
+             .select("path", "length", F.unix_millis("modificationTime").alias("modified")))
+    n = files.count()
+    if n:
+        (files.repartitionByRange(-(-n // max_files), "path").write.mode("append")
+         .option("maxRecordsPerFile", max_files).parquet(listings))
+    return n
+
+
+def file_changes(spark: SparkSession, listings: str) -> DataFrame:
+    """Stream of ``(path, changed)`` for the files of each listing, one listing file a
+    micro-batch."""
+    listed = (spark.readStream.schema(LISTING_SCHEMA).option("maxFilesPerTrigger", 1)
+              .parquet(listings))
+    return listed.groupBy("path").transformWithState(
+        FileVersions(), CHANGE_SCHEMA, outputMode="Update", timeMode="None")
 
 
 def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str,
@@ -36,13 +87,14 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
                    processed: str | None = None, error: str | None = None,
                    key=("billcycle", "filename"),
                    pattern: str = "*", max_files_per_trigger: int = 100,
-                   available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``to_rows(spark, paths)`` turns one batch of files into sink rows."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", pattern)
-              .option("maxFilesPerTrigger", max_files_per_trigger))
-    files = reader.load(inbound).select("path")
-
+                   available_now: bool = True, every_seconds: float = 60) -> StreamingQuery:
+    """Start the stream; ``to_rows(spark, paths)`` turns one batch of files into sink rows.
+
+    With ``available_now`` the folder is listed once and the stream ends when that listing is
+    worked off; otherwise it is listed again every ``every_seconds`` until the query is stopped.
+    Listings stay in ``{checkpoint}-listing``; those of finished micro-batches may be removed.
+    """
+    listings = checkpoint.rstrip("/") + "-listing"
     per_file = "filename" in ([key] if isinstance(key, str) else key)
 
     def attempt(paths: list[str], folder: str) -> str | None:
@@ -69,26 +121,43 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
         return {p: reason for p, reason in tried.items() if reason}
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        # ≤ max_files_per_trigger rows; the stream reports encoded URIs, the reads take paths
-        listed = sorted(qualify(spark, r["path"]) for r in batch.collect())
+        # ≤ max_files_per_trigger rows; listings hold encoded URIs, the reads take paths
+        rows = {qualify(spark, r["path"]): r["changed"] for r in batch.collect()}
         # A replayed micro-batch (driver lost after the moves, before the commit) finds
         # some files already moved: their rows were written before the move, so skip them.
-        paths, _gone = split_existing(spark, listed) if listed else ([], [])
-        if not paths:
-            return
-        bad = load(paths)
+        present = split_existing(spark, sorted(rows))[0] if rows else []
+        paths = [p for p in present if rows[p]]
+        bad = load(paths) if paths else {}
         if bad and not error:
             raise IntakeError(PIPELINE_FAILURE, bad[min(bad)], min(bad))
-        for p in paths:
+        for p in present:
             target = error if p in bad else processed
             if target:
                 move_to(spark, p, target)
 
-    writer = (files.writeStream.foreachBatch(run_batch)
-              .option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
-        processingTime="1 minute")
-    return writer.start()
+    def listed() -> int:
+        return list_inbound(spark, inbound, listings, pattern, max_files_per_trigger)
+
+    if not listed():
+        # the stream needs its folder, also before the first file
+        spark.createDataFrame([], LISTING_SCHEMA).write.mode("append").parquet(listings)
+    before = spark.conf.get(_STORE_KEY, None)
+    spark.conf.set(_STORE_KEY, _STORE)     # keyed state of this kind needs it; read at the start
+    try:
+        writer = (file_changes(spark, listings).writeStream.outputMode("update")
+                  .foreachBatch(run_batch).option("checkpointLocation", checkpoint))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+            processingTime=f"{every_seconds} seconds")
+        query = writer.start()
+    finally:
+        spark.conf.set(_STORE_KEY, before) if before else spark.conf.unset(_STORE_KEY)
+    if not available_now:
+        def keep_listing():
+            while not query.awaitTermination(every_seconds):
+                listed()
+
+        threading.Thread(target=keep_listing, name="inbound-listing", daemon=True).start()
+    return query
 
 
 def text_audit_rows(expected_columns: int, **options) -> Callable[[SparkSession, list[str]], DataFrame]:
