@@ -138,19 +138,18 @@ class _Parts:
         return out
 
 
-def _joined(batches):
+def _joined(batches, part_chars: int):
     """Consecutive rows of a conversation become parts of whole turns, a new one once a part
-    has ``PART_CHARS`` code points: nothing but the open part is held."""
-    parts = None
+    has ``part_chars`` code points: nothing but the open part is held."""
+    parts, open_ = None, False
     now, number, pieces, spans, size = None, 0, [], [], 0
-    open_ = False
     for batch in slices(batches, 3):
         parts = parts or _Parts(batch.column(0).type)
         for conv, role, body in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
             if open_ and conv != now:
                 parts.add(now, number, number == 0, pieces, spans)
                 number, pieces, spans, size = 0, [], [], 0
-            elif open_ and size >= PART_CHARS:
+            elif open_ and size >= part_chars:
                 parts.add(now, number, False, pieces, spans)
                 number, pieces, spans, size = number + 1, [], [], 0
             now, open_ = conv, True
@@ -169,15 +168,16 @@ def _joined(batches):
 
 
 def format_chats(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
-                 role_col: str = "role", text_col: str = "text") -> DataFrame:
+                 role_col: str = "role", text_col: str = "text",
+                 part_chars: int = PART_CHARS) -> DataFrame:
     """``conv, part, single, formatted, spans``: every conversation rendered, with the spans of
     code points under the loss mask (the assistant's texts as rendered).
 
-    A conversation is one row with ``single``; one of over 1 Mi code points is several, each of
-    whole turns, in the order of ``part``. Rows go by turn, equal turns by role and text, null
-    turns first; null texts and roles are empty; repeated rows are turns each; rows without a
-    conversation id are one conversation of null id; other columns are not read; without rows
-    the result is empty.
+    A conversation is one row with ``single``; one of over ``part_chars`` code points is
+    several, each of whole turns, in the order of ``part``. Rows go by turn, equal turns by role
+    and text, null turns first; null texts and roles are empty; repeated rows are turns each;
+    rows without a conversation id are one conversation of null id; other columns are not read;
+    without rows the result is empty.
     """
     src = chats.select(
         quoted(conv_col).alias("conv"), quoted(turn_col).alias("turn"),
@@ -187,7 +187,8 @@ def format_chats(chats: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     bodies = src.mapInArrow(
         _settled, f"conv {kinds['conv']}, turn {kinds['turn']}, role string, body string")
     return bodies.repartition("conv").sortWithinPartitions(
-        "conv", "turn", "role", "body").mapInArrow(_joined, PARTS.format(key=kinds["conv"]))
+        "conv", "turn", "role", "body").mapInArrow(
+            lambda batches: _joined(batches, part_chars), PARTS.format(key=kinds["conv"]))
 
 
 def _read_back(batches):
@@ -250,9 +251,9 @@ def read_back(parts: DataFrame) -> DataFrame:
     return whole.mapInArrow(_read_back, schema).unionByName(long.mapInArrow(_read_back, schema))
 
 
-def check_chats(chats: DataFrame, conv_col: str = "conv_id", **cols: str) -> DataFrame:
+def check_chats(chats: DataFrame, conv_col: str = "conv_id", **options) -> DataFrame:
     """Formats the conversations into the shared folder and reads them back; the columns of
     :func:`read_back` with the id under its own name. Same rules for nulls, ties and repeated
     rows as :func:`format_chats`."""
-    parts = cut(format_chats(chats, conv_col, **cols), "chat-format")
+    parts = cut(format_chats(chats, conv_col, **options), "chat-format")
     return read_back(parts).withColumnRenamed("conv", conv_col)
