@@ -35,7 +35,7 @@ from sluice.llm.token_counts import PATTERN, byte_symbols
 # Pairs that are sent to every task: 16 bytes each and what a hash table needs.
 HEAD = 1 << 18
 CHUNK = 1 << 20
-KEPT = 1 << 26
+KEPT = 1 << 22
 # Links of a group beyond which its distinct ids are paired instead of its tokens.
 WIDE = 1 << 12
 _GAP = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
@@ -310,7 +310,7 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
 
 def _aligned(batches, path_a: str, path_b: str):
     aligner = _aligner(path_a, path_b)
-    for batch in slices(batches, 1, 2 << 20):
+    for batch in slices(batches, 1, 1 << 20):
         texts = batch.column(1).to_pylist()
         counts, digests, (doc, pair, times) = aligner.align(texts)
         offsets = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
