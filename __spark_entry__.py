@@ -29,7 +29,8 @@ from sluice.plans.jobs import run_report_job
 from sluice.plans.load import cycle_table_name, load_cycle_tables, load_main_and_audit
 from sluice.plans.text import ingest_text, parse_text
 from sluice.session import scratch_path
-from sluice.sinks.tables import append, backup_csv, replace_partitions, truncate_load
+from sluice.sinks.cycles import commit_cycles, read_cycles, stage_cycles
+from sluice.sinks.tables import append, backup_csv, truncate_load
 from sluice.sources.files import split_existing
 from sluice.sources.text import read_lines
 from sluice.sources.workbook import read_workbooks
@@ -392,7 +393,7 @@ def q_main_audit_load(spark, sf_dir):
     load_main_and_audit(rows, t, path, row_label="row_id")
     main = spark.table(t).select(F.lit("main").alias("part"), F.lit(None).cast("string").alias("filename"),
                                  F.col("ROW_ID").alias("number"), *COLS7)
-    audit = spark.read.parquet(path).select(F.lit("audit").alias("part"), "filename",
+    audit = read_cycles(spark, path).select(F.lit("audit").alias("part"), "filename",
                                             F.col("rownumber").alias("number"), *COLS7)
     return main.union(audit)
 
@@ -421,15 +422,16 @@ def q_router(spark, sf_dir):
 
 
 def q_cycle_replace(spark, sf_dir):
-    """K3: replace two cycles, keep the others."""
+    """K3: replace two cycles by a second committed load, keep the others; a third load that is
+    written and never committed changes nothing."""
     a = _audit_rows(spark, sf_dir).drop("sequencialid", "dateprocessed")
     path = scratch_path(spark, "audit-by-cycle")
-    replace_partitions(a, path)
-    changed = (spark.read.parquet(path).filter(F.col("billcycle").isin("BC01", "BC02"))
+    commit_cycles(a, path)
+    changed = (read_cycles(spark, path).filter(F.col("billcycle").isin("BC01", "BC02"))
                .withColumn("column5", F.lower("column5")))
-    changed = changed.checkpoint(eager=True)  # the rewrite reads the folder it replaces
-    replace_partitions(changed, path)
-    return spark.read.parquet(path).select(*COLS7, "rownumber", "billcycle", "filename")
+    commit_cycles(changed, path)
+    stage_cycles(changed.withColumn("billcycle", F.lit("BC03")), path)
+    return read_cycles(spark, path).select(*COLS7, "rownumber", "billcycle", "filename")
 
 
 # ---------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,15 +79,21 @@ def unknown_columns(df: DataFrame, target) -> list[str]:
     return [c for c in df.columns if c.lower() not in have]
 
 
-def cast_failures(df: DataFrame, target) -> DataFrame:
-    """One row: per target column, values present in ``df`` that ``try_cast`` turned NULL."""
+def failure_counts(df: DataFrame, target) -> list[tuple[str, Column]]:
+    """Per target column that ``df`` has, the aggregate that counts the values present which
+    ``try_cast`` turns NULL."""
     types = _types(target)
     by_lower = {c.lower(): c for c in df.columns}
-    aggs = []
+    out = []
     for t, dt in types.items():
         src = by_lower.get(t.lower())
-        if src is None:
-            continue
-        c = ident(src)
-        aggs.append(F.count_if(c.isNotNull() & c.try_cast(dt).isNull()).alias(t))
+        if src is not None:
+            c = ident(src)
+            out.append((t, F.count_if(c.isNotNull() & c.try_cast(dt).isNull())))
+    return out
+
+
+def cast_failures(df: DataFrame, target) -> DataFrame:
+    """One row: per target column, values present in ``df`` that ``try_cast`` turned NULL."""
+    aggs = [n.alias(t) for t, n in failure_counts(df, target)]
     return df.agg(*aggs) if aggs else df.sparkSession.range(1).select()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.align import align, missing_columns
 from ..operators.clean import max_lengths, stringify, strip_zero_fraction
-from ..sinks.tables import backup_csv, persisted, truncate_load
+from ..sinks.tables import backup_csv, staged, truncate_load
 
 # --- fixed value: the reference cleans this column name only; here it is the default ------
 DEFAULT_RATE_COLUMNS = ("vatrate",)
@@ -40,14 +40,15 @@ def prepare_copy(source: DataFrame, target, rate_columns=DEFAULT_RATE_COLUMNS,
 
 def copy_table(source: DataFrame, target_table: str, rate_columns=DEFAULT_RATE_COLUMNS,
                backup_path: str | None = None, lengths: str = "observe",
-               persist: bool = False) -> CopyResult:
-    """Copy ``source`` into a catalog table; an empty source ends without writing.
+               stage: bool = False) -> CopyResult:
+    """Copy ``source`` into a catalog table; an empty source leaves the table as it is.
 
     ``lengths='observe'`` measures the longest value of every column during the load itself
-    with an :class:`~pyspark.sql.Observation`; ``lengths='preflight'`` (the reference's order)
-    measures them in one aggregation before anything is written. ``persist`` keeps the prepared rows (memory and disk) for the audit,
-    backup and load – worth it for a modest database source, not for a very large one, which
-    is simply read again. A missing backup folder skips only the backup (trap T11).
+    with an :class:`~pyspark.sql.Observation`, so the source is read once (once more for a
+    backup); ``lengths='preflight'`` (the reference's order) measures them in one aggregation
+    before anything is written. ``stage`` writes the prepared rows to the shared folder first, for
+    the audit, backup and load – worth it for a modest database source, not for a very large
+    one, which is simply read again. A missing backup folder skips only the backup (trap T11).
     """
     from contextlib import nullcontext
 
@@ -56,22 +57,24 @@ def copy_table(source: DataFrame, target_table: str, rate_columns=DEFAULT_RATE_C
 
     spark = source.sparkSession
     res = prepare_copy(source, spark.table(target_table).schema, rate_columns)
-    with (persisted(res.data) if persist else nullcontext(res.data)) as data:
-        if data.isEmpty():
-            return res
+    with (staged(res.data) if stage else nullcontext(res.data)) as data:
         if lengths == "observe":
             obs = Observation("max_lengths")
-            load = data.observe(obs, *[
-                F.max(F.length(F.col(f"`{c}`"))).cast("long").alias(c) for c in data.columns])
-            if backup_path:
-                backup_csv(data, backup_path)
-            truncate_load(load, target_table)
+            load = data.observe(obs, F.count(F.lit(1)).alias("rows"), *[
+                F.max(F.length(F.col(f"`{c}`"))).cast("long").alias(f"_{i}")
+                for i, c in enumerate(data.columns)])
+            truncate_load(load, target_table, if_empty="keep")
             got = obs.get
-            rows = [(c, got.get(c)) for c in data.columns]
+            n, rows = got.get("rows") or 0, [(c, got.get(f"_{i}"))
+                                             for i, c in enumerate(data.columns)]
         else:
+            n = data.count()
             rows = [(r["column"], r["max_len"]) for r in max_lengths(data).collect()]
-            if backup_path:
-                backup_csv(data, backup_path)
+        if n == 0:
+            return res
+        if backup_path:
+            backup_csv(data, backup_path)
+        if lengths != "observe":
             truncate_load(data, target_table)
     res.lengths = spark.createDataFrame(rows, "column string, max_len long")
     return res

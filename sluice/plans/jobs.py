@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..errors import PIPELINE_FAILURE, IntakeError
 from ..operators.report import (file_disposition, input_files, move_by_outcome, run_report,
                                 with_status)
-from ..sinks.tables import persisted
+from ..sinks.tables import staged
 from ..sources.files import split_existing
 from .headed import ingest_csv, ingest_sheets
 from .load import load_main_and_audit
@@ -65,9 +65,9 @@ def run_text_job(spark: SparkSession, inputs, expected_columns, target_table: st
         return _finish(spark, [], _none(spark), None, missing, False, processed, error)
     try:
         rows = parse_text(spark, found, expected_columns, **text_options)
-        with persisted(rows) as shared:     # one computation for main, audit and outcomes
+        with staged(rows) as shared:     # one computation for main, audit and outcomes
             load_main_and_audit(shared, target_table, audit_path, row_label=row_number_label,
-                                persist=False, match=match, on_cast=on_cast)
+                                stage=False, match=match, on_cast=on_cast)
             return _finish(spark, input_files(spark, found), shared, None, missing, False,
                            processed, error)
     except Exception as exc:  # noqa: BLE001 - recorded per file
@@ -91,9 +91,9 @@ def run_report_job(spark: SparkSession, inputs, target_headers, target_table: st
         else:
             res = ingest_csv(spark, found, target_headers, **options)
             fail_on_no_rows = False         # a CSV report fails only when no header matched
-        with persisted(res.data) as shared:   # one computation for main, audit and outcomes
+        with staged(res.data) as shared:   # one computation for main, audit and outcomes
             load_main_and_audit(shared, target_table, audit_path, row_label=row_number_label,
-                                persist=False, on_cast=on_cast)
+                                stage=False, on_cast=on_cast)
             return _finish(spark, input_files(spark, found), shared, res.detected, missing,
                            fail_on_no_rows, processed, error, res.errors)
     except Exception as exc:  # noqa: BLE001 - recorded per file

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import AUDIT_WRITE_ERROR, EMPTY_DATA, IntakeError
-from ..sinks.tables import persisted, replace_partitions, truncate_load
+from ..sinks.cycles import commit, stage_cycles
+from ..sinks.tables import staged, truncate_load
 
 
 def cycle_file_name(file_name: str, code: str) -> str:
@@ -37,37 +38,47 @@ def require_rows(df: DataFrame, path: str = "Unknown") -> None:
 
 def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | None = None,
                         row_label: str | None = None, audit_key="billcycle",
-                        audit_target=None, persist: bool = True,
+                        audit_target=None, stage: bool = True,
                         match: str = "insensitive", on_cast: str = "raise") -> dict[str, int]:
     """K6: from one computation of the cleaned ``rows`` (data columns, ``filename``,
     ``_file``, ``_temp_row_num``), truncate-and-load the main table and replace the audit's
-    cycles in a partitioned folder. ``row_label`` names the main table's row number (see
+    cycles in a versioned folder (:mod:`sluice.sinks.cycles`; read it with ``read_cycles``).
+    ``row_label`` names the main table's row number (see
     :func:`sluice.operators.audit.main_columns`); ``match`` and ``on_cast`` are those of
     :func:`sluice.operators.align.align` and the sink. Returns rejected values per column.
 
-    ``rows`` is persisted (memory and disk) for the two writes and always released (pass
-    ``persist=False`` when the caller already holds it); the audit ids and time are
-    generated once, in the audit write.
+    ``rows`` is written once to the shared folder for both loads (pass ``stage=False`` when the
+    caller already holds it). The audit rows are written, then the main table is loaded, then
+    the audit is committed: whatever fails before that leaves the audit as it was, and a main
+    load that is rejected leaves both.
     """
     from contextlib import nullcontext
     from ..operators.align import align
     from ..operators.audit import audit_columns, main_columns
 
-    with (persisted(rows) if persist else nullcontext(rows)) as shared:
-        main = align(main_columns(shared, row_label),
-                     shared.sparkSession.table(target_table).schema, match=match)
-        rejects = truncate_load(main, target_table, on_cast=on_cast)
+    spark = rows.sparkSession
+    with (staged(rows) if stage else nullcontext(rows)) as shared:
+        main = align(main_columns(shared, row_label), spark.table(target_table).schema,
+                     match=match)
+        load = None
         if audit_path:
             audit = audit_columns(shared)
             if audit_target is not None:
                 audit = align(audit, audit_target)
-            try:
-                replace_partitions(audit, audit_path, key=audit_key)
-            except Exception as exc:
-                raise IntakeError(AUDIT_WRITE_ERROR, str(exc), audit_path) from exc
+            load = _audit(lambda: stage_cycles(audit, audit_path, audit_key), audit_path)
+        rejects = truncate_load(main, target_table, on_cast=on_cast)
+        if load:
+            _audit(lambda: commit(spark, load), audit_path)
     return rejects
 
 
+def _audit(step, path: str):
+    try:
+        return step()
+    except Exception as exc:
+        raise IntakeError(AUDIT_WRITE_ERROR, str(exc), path) from exc
+
+
 def load_cycle_tables(rows: DataFrame, table_template: str, codes, row_label: str | None = None,
                       on_cast: str = "raise") -> list[str]:
     """From one computation of ``rows`` over the files of all cycles, load every
@@ -78,7 +89,7 @@ def load_cycle_tables(rows: DataFrame, table_template: str, codes, row_label: st
     from ..operators.audit import main_columns
 
     tables = []
-    with persisted(rows) as shared:
+    with staged(rows) as shared:
         for code in codes:
             table = cycle_table_name(table_template, code)
             mine = shared.filter(bill_cycle(F.col("filename")) == F.lit("BC" + code))

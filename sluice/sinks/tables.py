@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import DATABASE_ERROR, IntakeError
-from ..operators.align import align, cast_failures, unknown_columns
-from ..session import shared_root
+from ..operators.align import align, cast_failures, failure_counts, unknown_columns
+from ..session import scratch_path, shared_root
+from ..sources.files import delete, list_files, list_folders, qualify
 
 
 def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
@@ -20,18 +24,27 @@ def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
         raise IntakeError(DATABASE_ERROR, f"columns not in {target}: {extra}", target)
 
 
+def _converted(df: DataFrame, schema) -> T.StructType:
+    """The target columns whose type differs from that of the column in ``df``."""
+    have = {f.name.lower(): f.dataType for f in df.schema.fields}
+    return T.StructType([f for f in schema.fields
+                         if have.get(f.name.lower(), f.dataType) != f.dataType])
+
+
 def load_rejects(df: DataFrame, schema, target: str, on_cast: str = "raise") -> dict[str, int]:
     """Per target column, how many values cannot be converted to its type (A6): one pass.
 
     Any reject raises ``database_error`` unless ``on_cast`` is ``"null"``; columns that need
-    no conversion are not looked at.
+    no conversion are not looked at. The loads of this module count while they write instead.
     """
-    have = {f.name.lower(): f.dataType for f in df.schema.fields}
-    typed = [f for f in schema.fields if have.get(f.name.lower(), f.dataType) != f.dataType]
-    if not typed:
+    typed = _converted(df, schema)
+    if not typed.fields:
         return {}
-    row = cast_failures(df, T.StructType(typed)).first()
-    rejects = {c: n for c, n in row.asDict().items() if n}
+    return _checked(cast_failures(df, typed).first().asDict(), target, on_cast)
+
+
+def _checked(counts: dict[str, int], target: str, on_cast: str) -> dict[str, int]:
+    rejects = {c: n for c, n in counts.items() if n}
     if rejects and on_cast != "null":
         raise IntakeError(DATABASE_ERROR, f"values that do not fit {target}: {rejects}", target)
     return rejects
@@ -50,32 +63,114 @@ def _static_overwrite(spark):
         spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
 
 
+@dataclass(frozen=True)
+class TableInfo:
+    """What a publish has to know of a catalog table."""
+    provider: str
+    location: str
+    external: bool
+    partitioned: bool
+
+
+def table_info(spark: SparkSession, table: str) -> TableInfo:
+    about = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    return TableInfo(about.get("provider", "").lower(), about.get("location", ""),
+                     about.get("type", "").upper() == "EXTERNAL",
+                     bool(about.get("partition_columns")))
+
+
+#: Folder of the versions of an external table below its own location.
+LOADS = "_loads"
+
+
+def _staged(df: DataFrame, schema, target: str, path: str, fmt: str,
+            on_cast: str) -> tuple[dict[str, int], int]:
+    """Writes ``df``, converted to ``schema``, to ``path`` in one computation that also counts
+    its rows and the values that cannot be converted; rejects raise once it is written. Returns
+    the rejects and the number of rows."""
+    seen, failures = Observation(), failure_counts(df, _converted(df, schema))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                         *[n.alias(f"_{i}") for i, (_, n) in enumerate(failures)])
+    align(counted, schema, cast=True).write.format(fmt).save(path)
+    got = seen.get
+    counts = {c: got.get(f"_{i}") or 0 for i, (c, _) in enumerate(failures)}
+    return _checked(counts, target, on_cast), got.get("rows") or 0
+
+
 def truncate_load(df: DataFrame, table: str, skip: str | None = None,
-                  on_cast: str = "raise", extra: str = "raise") -> dict[str, int]:
+                  on_cast: str = "raise", extra: str = "raise",
+                  if_empty: str = "load") -> dict[str, int]:
     """Replace all rows of a catalog table, keeping its definition (K1).
 
-    Before anything is written, unknown columns (``extra="drop"`` leaves them out) and values
-    that do not fit the column types (``on_cast="null"`` loads NULL for them) raise
-    ``database_error``. Returns the rejected values per column. ``skip`` names a generated
-    column that is loaded as NULL unless ``df`` brings it.
+    ``df`` is computed once: its converted rows are written beside the table while the values
+    that do not fit its columns are counted, and only then is the table given the new rows.
+    Unknown columns (``extra="drop"`` leaves them out) and values that do not fit
+    (``on_cast="null"`` loads NULL for them) raise ``database_error`` and leave the table as it
+    was. Returns the rejected values per column. ``skip`` names a generated column that is
+    loaded as NULL unless ``df`` brings it. ``if_empty="keep"`` leaves the table as it is when
+    ``df`` has no row.
+
+    An external table without partitions is switched to the written folder (the folder of the
+    load before stays for its readers, older ones go). Any other table is overwritten from the
+    written rows by Spark's own commit.
     """
     spark = df.sparkSession
     schema = spark.table(table).schema
     if extra != "drop":
         _check_names(df, schema, table, skip)
-    rejects = load_rejects(df, schema, table, on_cast)
-    with _static_overwrite(spark):
-        align(df, schema, cast=True).write.insertInto(table, overwrite=True)
+    info = table_info(spark, table)
+    switch = info.external and not info.partitioned and info.provider in ("parquet", "orc")
+    root = info.location.split(f"/{LOADS}/")[0].rstrip("/")
+    path = f"{root}/{LOADS}/{uuid.uuid4().hex}" if switch else scratch_path(spark, "table-load")
+    done = False
+    try:
+        rejects, n = _staged(df, schema, table, path, info.provider if switch else "parquet",
+                             on_cast)
+        if n == 0 and if_empty == "keep":
+            return rejects
+        if switch:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            done = True
+            _sweep(spark, root, {path, info.location.rstrip("/")})
+        else:
+            with _static_overwrite(spark):
+                spark.read.schema(schema).parquet(path).write.insertInto(table, overwrite=True)
+    finally:
+        if not done:
+            delete(spark, path)
     return rejects
 
 
+def _sweep(spark: SparkSession, root: str, keep: set[str]) -> None:
+    """Removes the rows of older loads below a table's own folder."""
+    if root not in keep:
+        for path in list_files(spark, root):
+            delete(spark, path)
+    for path in list_folders(spark, f"{root}/{LOADS}"):
+        if path not in {qualify(spark, k) for k in keep}:
+            delete(spark, path)
+
+
 def append(df: DataFrame, table: str, on_cast: str = "raise", extra: str = "raise") -> dict[str, int]:
-    """Append rows, converted to the table's types (K2); checks as :func:`truncate_load`."""
-    schema = df.sparkSession.table(table).schema
+    """Append rows, converted to the table's types (K2); checks as :func:`truncate_load`.
+
+    Where a column has to be converted, the rows are written to the shared folder and counted
+    in one computation, then appended from there; otherwise they are appended directly.
+    """
+    spark = df.sparkSession
+    schema = spark.table(table).schema
     if extra != "drop":
         _check_names(df, schema, table, None)
-    rejects = load_rejects(df, schema, table, on_cast)
-    align(df, schema, cast=True).write.insertInto(table, overwrite=False)
+    if not _converted(df, schema).fields:
+        align(df, schema, cast=True).write.insertInto(table, overwrite=False)
+        return {}
+    path = scratch_path(spark, "table-append")
+    try:
+        rejects, _ = _staged(df, schema, table, path, "parquet", on_cast)
+        spark.read.schema(schema).parquet(path).write.insertInto(table, overwrite=False)
+    finally:
+        delete(spark, path)
     return rejects
 
 
@@ -117,10 +212,12 @@ def quote_table(name: str) -> str:
 
 
 @contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Keep ``df`` for several writes (K6 / O3); always released."""
-    df.persist(level)
+def staged(df: DataFrame, name: str = "staged"):
+    """``df`` written once as Parquet to the shared folder, for several readers (K6 / O3): a
+    lost executor costs none of it. Removed at the end."""
+    path = scratch_path(df.sparkSession, name)
     try:
-        yield df
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
-        df.unpersist()
+        delete(df.sparkSession, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -34,6 +36,14 @@ def list_files(spark: SparkSession, folder: str, suffix: str = "") -> list[str]:
     return sorted(out)
 
 
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Folders directly in ``folder``, as fully qualified URIs."""
+    fs, hp = _fs_and_path(spark, folder)
+    if not fs.exists(hp):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(hp) if st.isDirectory())
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Rename; a file of that name in the target folder is replaced (a re-sent input)."""
     fs, s = _fs_and_path(spark, src)
@@ -69,3 +79,28 @@ def qualify(spark: SparkSession, path: str) -> str:
         hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.makeQualified(hp).toString()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a small file unless one of that name is there; whether it did. The file appears
+    with its whole content (a rename that never replaces)."""
+    fs, target = _fs_and_path(spark, path)
+    fs.mkdirs(target.getParent())
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    _, draft = _fs_and_path(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(text.encode())
+    out.close()
+    kind = jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+    options = gateway.new_array(getattr(jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+    options[0] = kind.getField("NONE").get(None)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, target, options)
+        return True
+    except Exception as exc:  # noqa: BLE001 - told apart below
+        fs.delete(draft, False)
+        if "FileAlreadyExists" in str(exc):
+            return False
+        raise

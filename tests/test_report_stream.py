@@ -7,6 +7,7 @@ from sluice.errors import IntakeError
 from sluice.operators.report import file_disposition, run_failures, run_gate, run_report
 from sluice.plans import headed as HP
 from sluice.plans.headed import ingest
+from sluice.sinks.cycles import read_cycles
 from sluice.sources.files import split_existing
 from sluice.streaming.inbound import stream_inbound, text_audit_rows
 from conftest import local_path, write_text_files
@@ -128,7 +129,7 @@ def test_run_report_job_end_to_end(spark, scratch):
     assert (rep.n_units, rep.n_failed) == (3, 2)
     assert os.listdir(local_path(root + "/ok")) == ["r_01.csv"]
     assert os.listdir(local_path(root + "/err")) == ["r_02.csv"]
-    audit = spark.read.parquet(root + "/audit").collect()
+    audit = read_cycles(spark, root + "/audit").collect()
     assert sorted((r.billcycle, r.rownumber) for r in audit) == [("BC01", 3), ("BC01", 4)]
 
 
@@ -169,7 +170,7 @@ def test_run_text_job_end_to_end(spark, scratch):
     assert (res.report.first().n_units, res.report.first().n_failed) == (2, 0)
     assert sorted(os.listdir(local_path(root + "/ok"))) == ["g_01.txt", "g_02.txt"]
     audit = sorted((r.billcycle, r.rownumber, r.column2)
-                   for r in spark.read.parquet(root + "/audit").collect())
+                   for r in read_cycles(spark, root + "/audit").collect())
     assert audit == [("BC01", 1, "1"), ("BC02", 1, "3")]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.errors import IntakeError
 from sluice.operators.stamp import ROW_COL
 from sluice.plans import headed as HP
+from sluice.sinks.cycles import read_cycles
 from sluice.sinks.tables import (backup_csv, quote_table, replace_keys, replace_partitions,
                                  truncate_load)
 from sluice.sources.csv import read_csv_grid
@@ -147,7 +148,7 @@ def test_load_main_and_audit(spark, scratch):
     load_main_and_audit(rows, "t_main", audit_path, row_label="rn")
     assert sorted(tuple(r) for r in spark.table("t_main").collect()) == [
         ("p", 7, "q"), ("x", 8, "y"), ("z", 9, "w")]
-    audit = spark.read.parquet(audit_path)
+    audit = read_cycles(spark, audit_path)
     assert sorted((r.rownumber, r.billcycle) for r in audit.collect()) == [
         (1, "BC01"), (2, "BC01"), (7, "BC02")]
 
@@ -272,3 +273,79 @@ def test_copy_table_length_audit_modes(spark, scratch, mode):
 def test_workbook_missing_sheet_name_is_a_clear_error():
     with pytest.raises(ValueError, match="not found"):
         list(iter_sheet_rows(build_workbook([["a"]]), sheet="Nope"))
+
+
+def _traced(spark, df, folder):
+    """``df``, leaving a file in ``folder`` for every partition that is computed."""
+    os.makedirs(folder)
+
+    def run(batches):
+        import uuid
+        open(os.path.join(folder, uuid.uuid4().hex), "w").close()
+        yield from batches
+
+    return df.mapInArrow(run, df.schema)
+
+
+def test_a_load_computes_its_input_once(spark, scratch):
+    from sluice.sinks.tables import append
+    loc = scratch("tbl-once")
+    spark.sql(f"CREATE TABLE t_once (ID int, AMT double) USING parquet LOCATION '{loc}'")
+    df = spark.range(100).repartition(3).selectExpr("CAST(id AS string) AS id", "'1.5' AS amt")
+    for i, load in enumerate((truncate_load, append)):
+        folder = local_path(scratch(f"traces{i}"))
+        assert load(_traced(spark, df, folder), "t_once") == {}
+        assert len(os.listdir(folder)) == 3
+    assert spark.table("t_once").count() == 200
+
+
+@pytest.mark.parametrize("kind", ["external", "partitioned", "managed"])
+def test_a_reject_leaves_the_old_table_whole(spark, scratch, kind):
+    loc, name = scratch("tbl-whole"), f"t_whole_{kind}"
+    where = {"external": f"LOCATION '{loc}'", "managed": "",
+             "partitioned": f"PARTITIONED BY (P) LOCATION '{loc}'"}[kind]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (V int, P string) USING parquet {where}")
+    good = spark.createDataFrame([("1", "a"), ("2", "b")], "v string, p string")
+    truncate_load(good, name)
+    truncate_load(good.limit(1), name)
+    with pytest.raises(IntakeError) as e:
+        truncate_load(spark.createDataFrame([("7", "a"), ("x", "b")], "v string, p string"), name)
+    assert e.value.status == "database_error" and "'V': 1" in e.value.reason
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+    bad = spark.range(9).selectExpr("raise_error('lost') AS v", "'a' AS p")
+    with pytest.raises(Exception, match="lost"):
+        truncate_load(bad, name)
+    assert [tuple(r) for r in spark.table(name).collect()] == [(1, "a")]
+    if kind == "external":     # the shown load and the one before it
+        assert len(os.listdir(os.path.join(local_path(loc), "_loads"))) == 2
+        for v in "3456":
+            truncate_load(spark.createDataFrame([(v, "a")], "v string, p string"), name)
+        assert len(os.listdir(os.path.join(local_path(loc), "_loads"))) == 2
+    truncate_load(good.limit(0), name, if_empty="keep")
+    assert spark.table(name).count() == 1
+    truncate_load(good.limit(0), name)
+    truncate_load(spark.createDataFrame([], "v string, p string"), name)
+    assert spark.table(name).count() == 0
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_rejected_main_load_leaves_the_audit_too(spark, scratch):
+    from sluice.plans.load import load_main_and_audit
+    spark.sql(f"CREATE TABLE t_both (A int) USING parquet LOCATION '{scratch('both')}'")
+    path, schema = scratch("both-audit"), "a string, filename string, _temp_row_num long"
+    load_main_and_audit(spark.createDataFrame([("1", "f_01.txt", 1)], schema), "t_both", path)
+    with pytest.raises(IntakeError) as e:
+        load_main_and_audit(spark.createDataFrame([("x", "f_01.txt", 1)], schema), "t_both", path)
+    assert e.value.status == "database_error"
+    assert [r.a for r in read_cycles(spark, path).collect()] == ["1"]
+    assert [r.A for r in spark.table("t_both").collect()] == [1]
+
+
+def test_an_empty_copy_leaves_the_table(spark, scratch):
+    from sluice.plans.copy import copy_table
+    spark.sql(f"CREATE TABLE t_cempty (ID int, NAME string) USING parquet "
+              f"LOCATION '{scratch('cempty')}'")
+    copy_table(spark.createDataFrame([(1, "abc")], "id int, name string"), "t_cempty")
+    copy_table(spark.createDataFrame([], "id int, name string"), "t_cempty")
+    assert [tuple(r) for r in spark.table("t_cempty").collect()] == [(1, "abc")]
