@@ -13,7 +13,7 @@ from ..functions.text import ident
 from ..operators import headers as H
 from ..operators.stamp import FILE_COL, NAME_COL, ROW_COL, stamp_rows
 from ..session import scratch_path, shared_root
-from ..sources.csv import DEFAULT_SEP, read_csv_grid
+from ..sources.csv import DEFAULT_SEP, CsvPrePass, pre_pass, read_csv_grid
 
 FLAT_LABEL = "column"
 
@@ -32,17 +32,23 @@ class HeadedResult:
 
 
 def csv_grid(spark: SparkSession, paths, sep: str = DEFAULT_SEP, width: int | None = None,
-             on_missing: str = "raise") -> DataFrame:
+             on_missing: str = "raise", known: CsvPrePass | None = None) -> DataFrame:
     """``(cells, _file, filename, _temp_row_num)`` for every non-empty CSV line, numbered
-    per file."""
-    return stamp_rows(read_csv_grid(spark, paths, sep=sep, width=width, on_missing=on_missing))
+    per file. ``known`` is a pre-pass over the same files; without it and without a width one
+    is made here."""
+    if known is None and width is None:
+        known = pre_pass(spark, paths, sep, on_missing=on_missing)
+    rows = read_csv_grid(spark, paths, sep=sep, width=known.width if known else width,
+                         on_missing=on_missing)
+    return stamp_rows(rows, offsets=known.offsets if known else None)
 
 
-def detect(grid: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
+def detect(rows: DataFrame, targets: list[str], min_score: float = H.SCORE_SHARED,
            strict: bool = False) -> DataFrame:
-    """Header detection per report, materialised in the shared checkpoint folder."""
-    shared_root(grid.sparkSession)
-    return H.detect_headers(H.sample_reports(grid), targets, min_score=min_score,
+    """Header detection per report from its first rows (or all of them), materialised in the
+    shared checkpoint folder."""
+    shared_root(rows.sparkSession)
+    return H.detect_headers(H.sample_reports(rows), targets, min_score=min_score,
                             strict=strict).checkpoint(eager=True)
 
 
@@ -53,16 +59,18 @@ def clean_rows(grid: DataFrame, detected: DataFrame, footer_phrases=H.FOOTER_PHR
 
 
 def headed(grid: DataFrame, target_headers, footer_phrases=H.FOOTER_PHRASES,
-           min_score: float = H.SCORE_SHARED, strict: bool = False) -> HeadedResult:
+           min_score: float = H.SCORE_SHARED, strict: bool = False,
+           first_rows: DataFrame | None = None) -> HeadedResult:
     """Detect, clean and project every report of ``grid`` onto the target headers.
 
-    Defaults keep the reference's rules; ``footer_phrases`` (trap T9), ``min_score`` (T10)
+    ``first_rows`` are the rows to look for headers in where they are known without a scan of
+    the grid. Defaults keep the reference's rules; ``footer_phrases`` (trap T9), ``min_score`` (T10)
     and ``strict`` (T5, T18) tighten them.
     """
     targets = H.parse_headers(target_headers or "")
     if not targets:
         raise IntakeError(MISSING_PARAMETERS, "target_headers is required")
-    detected = detect(grid, targets, min_score, strict)
+    detected = detect(grid if first_rows is None else first_rows, targets, min_score, strict)
     data = H.project_mapped(clean_rows(grid, detected, footer_phrases), targets,
                             keep=(NAME_COL, FILE_COL, ROW_COL))
     data = data.select(*[ident(t) for t in targets], _name(data), FILE_COL, ROW_COL)
@@ -79,8 +87,14 @@ def flat(grid: DataFrame, label: str = FLAT_LABEL, width: int | None = None) ->
 
 def ingest_csv(spark: SparkSession, paths, target_headers, sep: str = DEFAULT_SEP,
                width: int | None = None, on_missing: str = "raise", **rules) -> HeadedResult:
-    """Headerless CSV reports → detected headers → clean rows with file columns."""
-    return headed(csv_grid(spark, paths, sep, width, on_missing), target_headers, **rules)
+    """Headerless CSV reports → detected headers → clean rows with file columns.
+
+    The files are read twice in all: a joint pre-pass (row counts of splits, first rows, widest
+    line) and the data pass.
+    """
+    known = pre_pass(spark, paths, sep, width, H.SAMPLE_ROWS, on_missing)
+    return headed(csv_grid(spark, paths, sep, width, on_missing, known), target_headers,
+                  first_rows=known.first_rows(H.SAMPLE_ROWS), **rules)
 
 
 def sheets_scan(spark: SparkSession, paths, sheet=0,

@@ -11,8 +11,8 @@ from .files import split_existing
 
 def read_lines(spark: SparkSession, paths, positioned: bool = True,
                on_missing: str = "raise") -> DataFrame:
-    """``value STRING`` per line of every file; with ``positioned`` the scan also carries
-    ``_file``, ``_block`` and a scan-order id for :func:`sluice.operators.stamp.stamp_rows`.
+    """``value STRING`` per line of every file; with ``positioned`` the scan also carries path
+    and split for :func:`sluice.operators.stamp.stamp_rows`.
 
     Missing inputs raise :class:`IntakeError` (``missing_file``) or, with
     ``on_missing='skip'``, are left out (report them with ``split_existing``).

@@ -180,3 +180,76 @@ def test_target_names_with_dots_and_spaces(spark):
     assert (row["Acct. No"], row["Full Name"]) == ("7", "Ann")
     out = align(audit_columns(res.data), ["ACCT. NO", "rownumber"]).first()
     assert tuple(out) == ("7", 2)
+
+
+# --- the joint pre-pass of CSV reports ----------------------------------------------------
+CSV_TEXT = {
+    "plain.csv": "Title\n\nAccount No,Name\n1,a\n2,b\n",
+    "wide.csv": "﻿Account No,Name,Balance,More\n" + "".join(
+        f'{i},"n, {i}",{i}.50,"q""{i}"\n{"" if i % 3 else "   "}\n' for i in range(300)),
+    "late.csv": "\n \x01\n\t\n" + "x\n" * 10 + "Account No;No,Name\n" + ",,\n" * 40 + "7,z\n",
+    "blank.csv": "\n\n  \n",
+    "empty.csv": "",
+    "odd.csv": '"Account No",Name\n"open,1\n\'q\',2,3,"",\n,,,\n \n',
+}
+
+
+def _csv_folder(scratch, name):
+    from conftest import write_text_files
+    folder = scratch(name)
+    write_text_files(folder, CSV_TEXT)
+    return folder
+
+
+def test_pre_pass_gives_the_rows_of_the_csv_reader(spark, scratch):
+    from sluice.sources.csv import infer_width, pre_pass, read_csv_grid
+    folder = _csv_folder(scratch, "pre-pass")
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    for size in (old, "512"):
+        spark.conf.set(key, size)
+        try:
+            known = pre_pass(spark, folder, sample=50)
+            grid = HP.csv_grid(spark, folder, known=known)
+            want = {(r[FILE_COL], r[ROW_COL]): r.cells for r in grid.collect()}
+            got = {(r[FILE_COL], r[ROW_COL]): r.cells for r in known.first_rows(50).collect()}
+            plain = HP.csv_grid(spark, folder, width=infer_width(spark, folder))
+            assert {(r[FILE_COL], r[ROW_COL]): r.cells for r in plain.collect()} == want
+            assert known.splits.count() > len(CSV_TEXT) or size == old
+        finally:
+            spark.conf.set(key, old)
+        assert known.width == infer_width(spark, folder) == 5
+        assert got == {k: c for k, c in want.items() if k[1] <= 50}
+        by_file = {}
+        for f, n in want:
+            by_file.setdefault(f.rsplit("/", 1)[-1], []).append(n)
+        assert {f: len(n) for f, n in by_file.items()} == {
+            "plain.csv": 4, "wide.csv": 301, "late.csv": 52, "odd.csv": 5}
+        assert all(sorted(n) == list(range(1, len(n) + 1)) for n in by_file.values())
+    assert read_csv_grid(spark, folder, width=5).count() == len(want)
+
+
+def test_csv_reports_are_read_twice_in_all(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrameReader
+    folder, made = _csv_folder(scratch, "two-scans"), []
+    for kind in ("text", "csv"):
+        real = getattr(DataFrameReader, kind)
+        monkeypatch.setattr(DataFrameReader, kind, lambda self, *a, _r=real, _k=kind, **k: (
+            made.append(_k), _r(self, *a, **k))[1])
+    res = HP.ingest_csv(spark, folder, "Account No, Name")       # of unknown width
+    plan = res.data._jdf.queryExecution().executedPlan().toString()
+    assert made == ["text", "csv"]
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan
+    got = {}
+    for r in res.data.collect():
+        got.setdefault(r.filename, []).append((r["Account No"], r["Name"]))
+    assert got["plain.csv"] == [("1", "a"), ("2", "b")] and len(got["wide.csv"]) == 300
+    assert got["late.csv"] == [("7", "z")]
+
+
+def test_no_csv_rows_at_all(spark, scratch):
+    from conftest import write_text_files
+    folder = scratch("no-rows")
+    write_text_files(folder, {"a.csv": "", "b.csv": "\n \n"})
+    res = HP.ingest_csv(spark, folder, "Account No")
+    assert res.data.count() == 0 and res.detected.count() == 0

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.stamp import FILE_COL, ROW_COL, stamp_rows
+from sluice.operators.stamp import (FILE_COL, ROW_COL, SIZE_COL, positions, split_counts,
+                                    stamp_rows, uncut_size)
 from sluice.sources.text import read_lines
 from sluice.errors import IntakeError
 from conftest import write_text_files
@@ -35,15 +36,42 @@ def test_numbers_are_dense_in_file_order_across_many_splits(spark, scratch):
         assert got == list(zip(range(1, len(lines) + 1), lines)), name
 
 
-def test_no_single_partition_exchange(spark, scratch):
+def test_files_of_one_split_are_numbered_in_one_scan(spark, scratch):
     folder = scratch("stamp-plan")
     write_text_files(folder, {"a.txt": "x\ny\n", "b.txt": "z\n"})
     plan = _plan(stamp_rows(read_lines(spark, folder)))
-    assert "SinglePartition" not in plan
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert "SinglePartition" not in plan and "Join" not in plan
+    assert plan.count("FileScan text") == 1
+    # the counting pass reads no file
+    assert split_counts(read_lines(spark, folder)).rdd.getNumPartitions() == 0 or \
+        split_counts(read_lines(spark, folder)).count() == 0
+    large = read_lines(spark, folder).filter(F.col(SIZE_COL) > uncut_size(spark))
+    assert large.rdd.getNumPartitions() == 0
+
+
+def test_large_files_are_counted_per_split(spark, scratch):
+    folder = scratch("stamp-plan-large")
+    write_text_files(folder, {"a.txt": "x\n" * 9000, "b.txt": "z\n"})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        counts = {(r._file[-5:], r._block): r._n for r in
+                  split_counts(read_lines(spark, folder)).collect()}
+        plan = _plan(stamp_rows(read_lines(spark, folder)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sum(counts.values()) == 9000 and {f for f, _ in counts} == {"a.txt"}
+    assert "BroadcastHashJoin" in plan and "SinglePartition" not in plan
+
 
+def test_positions_restart_with_every_split_and_run_across_batches():
+    import pyarrow as pa
+    batches = [pa.array(x, pa.int64()) for x in ([7, 7, 8], [8, 8], [], [8, 9, 7], [7])]
+    got = [a.to_pylist() for a in positions(iter(batches))]
+    assert got == [[1, 2, 1], [2, 3], [], [4, 1, 1], [2]]
 
-def test_changed_splits_fail_loudly(spark, scratch):
+
+def test_splits_that_were_not_counted_fail_loudly(spark, scratch):
     folder = scratch("stamp-drift")
     write_text_files(folder, {"a.txt": "".join(f"{i}\n" for i in range(5000))})
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -58,25 +86,32 @@ def test_changed_splits_fail_loudly(spark, scratch):
 
 
 @pytest.mark.parametrize("filtered", [False, True])
-def test_other_packing_fails_or_numbers_right(spark, scratch, filtered):
+def test_numbers_hold_however_splits_are_packed(spark, scratch, filtered):
     folder = scratch("stamp-packing")
     write_text_files(folder, {f"s{k}.txt": "".join(f"{k}:{i}\n" for i in range(1, 2001))
                               for k in range(8)})
-    stamped = stamp_rows(read_lines(spark, folder))
-    if filtered:
-        stamped = stamped.filter(F.col("value").endswith(":7"))
-    key = "spark.sql.files.minPartitionNum"
-    old = spark.conf.get(key, None)
-    for parts in ("1", "3", "40"):
-        spark.conf.set(key, parts)
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(k, None) for k in keys]
+    # large: every file has splits of 4 KB, dealt to more or fewer tasks by their open cost
+    for large, packings in ((False, [("1", None), ("3", None), ("40", None)]),
+                            (True, [("1", "1"), ("1", "2000"), ("1", "9000")])):
+        size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        if large:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
         try:
-            rows = stamped.select("value", ROW_COL).collect()
-        except Exception as exc:  # noqa: BLE001
-            assert "splits changed" in str(exc)
-        else:
-            assert all(int(r.value.split(":")[1]) == r[ROW_COL] for r in rows)
+            stamped = stamp_rows(read_lines(spark, folder))
+            if filtered:
+                stamped = stamped.filter(F.col("value").endswith(":7"))
+            for values in packings:
+                for k, v in zip(keys, values):
+                    spark.conf.set(k, v) if v else spark.conf.unset(k)
+                rows = stamped.select("value", ROW_COL).collect()
+                assert len(rows) == (8 if filtered else 16000)
+                assert all(int(r.value.split(":")[1]) == r[ROW_COL] for r in rows)
         finally:
-            spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for k, v in zip(keys, old):
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_missing_path(spark, scratch):
