@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lineage import base_name, bill_cycle, uuid7
 from ..functions.text import ident
+from ..session import scratch_path
 from .stamp import FILE_COL, ROW_COL
 
 # --- fixed values: audit / metadata column names of the reference --------------------------
@@ -51,19 +52,59 @@ def file_columns(df: DataFrame, file_name=None) -> DataFrame:
                      F.current_timestamp().alias(META_TIME))
 
 
-def main_columns(df: DataFrame, row_label: str | None = None) -> DataFrame:
+def main_columns(df: DataFrame, row_label: str | None = None,
+                 within: str | None = None) -> DataFrame:
     """Rows for the main table: data columns, without helper columns.
 
-    ``row_label`` adds a number over all files: files in path order, rows in file order. A
-    file's numbers start after the last number of the file before it (one aggregated row per
-    file, no sort of the rows); rows that a filter took out leave gaps.
+    ``row_label`` adds a number over all files: files in path order, rows in file order (see
+    :func:`file_bases`); rows that a filter took out leave gaps. ``within`` names a column of
+    ``df`` that is kept and whose values number their files each from 1.
     """
-    data = [ident(c) for c in df.columns if c not in (FILE_COL, ROW_COL, "filename")]
+    helpers = (FILE_COL, ROW_COL, "filename", within)
+    data = [ident(c) for c in df.columns if c not in helpers]
+    if within:
+        data.append(ident(within))
     if not row_label:
         return df.select(*data)
     file = FILE_COL if FILE_COL in df.columns else "filename"
-    last = df.groupBy(F.col(file).alias("_of")).agg(F.max(ROW_COL).alias("_last"))
-    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    base = last.select("_of", F.coalesce(F.sum("_last").over(before), F.lit(0)).alias("_base"))
-    joined = df.join(base, F.col(file).eqNullSafe(F.col("_of")))
+    base = file_bases(df, file, within)
+    joined = df.join(base, F.col(file).eqNullSafe(F.col("_of")) & (
+        F.col(within).eqNullSafe(F.col("_in")) if within else F.lit(True)))
     return joined.select(*data, (F.col("_base") + F.col(ROW_COL)).alias(row_label))
+
+
+def file_bases(df: DataFrame, file: str = FILE_COL, within: str | None = None,
+               ranges: int | None = None) -> DataFrame:
+    """Per file (``_of``; per value of ``within``, ``_in``) the last numbers of all files before
+    it (``_base``): a prefix sum on two levels, so no task sees all files.
+
+    Files are dealt to ``ranges`` ranges of names (shuffle partitions by default) and written
+    to the shared folder. The sums of the ranges – that many longs – pass through the driver and
+    become the ranges' starts; inside a range a window adds up its own files.
+    """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = F.col(within) if within else F.lit(0)
+    last = df.groupBy(group.alias("_in"), F.col(file).alias("_of")).agg(
+        F.max(ROW_COL).alias("_last"))
+    path = scratch_path(spark, "file-ranges")
+    ranged = last.repartitionByRange(ranges, "_in", "_of").withColumn(
+        "_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    starts, total = {}, 0
+    for r in sorted(ranged.groupBy("_range").agg(F.sum("_last").alias("n")).collect()):
+        starts[r["_range"]] = total
+        total += r["n"] or 0
+    own = Window.partitionBy("_range").orderBy("_in", "_of")
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.lit([starts.get(i, 0) for i in range(max(starts, default=0) + 1)])
+    base = ranged.select("_in", "_of", (
+        F.get(start, F.col("_range")) + F.coalesce(F.sum("_last").over(before), F.lit(0))
+    ).alias("_base"))
+    if not within:
+        return base.select("_of", "_base")
+    # all numbers before a value of ``within`` are those before its first file
+    first = base.groupBy(F.col("_in").alias("_first_in")).agg(F.min("_base").alias("_first"))
+    base = base.join(first, F.col("_in").eqNullSafe(F.col("_first_in")))
+    return base.select("_in", "_of", (F.col("_base") - F.col("_first")).alias("_base"))

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..errors import AUDIT_WRITE_ERROR, EMPTY_DATA, IntakeError
 from ..sinks.cycles import commit, stage_cycles
-from ..sinks.tables import staged, truncate_load
+from ..functions.lineage import CYCLE_PREFIX, base_name
+from ..operators.stamp import FILE_COL
+from ..sinks.tables import load_partitions, staged, truncate_load
 
 
 def cycle_file_name(file_name: str, code: str) -> str:
@@ -80,20 +82,31 @@ def _audit(step, path: str):
 
 
 def load_cycle_tables(rows: DataFrame, table_template: str, codes, row_label: str | None = None,
-                      on_cast: str = "raise") -> list[str]:
+                      on_cast: str = "raise", location: str | None = None) -> list[str]:
     """From one computation of ``rows`` over the files of all cycles, load every
     cycle's rows into its own table (``table_template`` with the cycle code as its last two
-    characters). Returns the tables."""
+    characters). Returns the tables.
+
+    One partitioned write holds the rows of all cycles, whatever their number; then each table
+    (external, unpartitioned, all of one definition) is pointed at the folder of its cycle: a
+    catalog operation and no job. Rejected values and unknown columns raise before any table
+    is touched. The write goes below ``location`` (next to the first table by default); the load before
+    stays there for its readers, older ones go. A cycle without rows leaves its table empty.
+    """
     from ..functions.lineage import bill_cycle
-    from ..operators.align import align
     from ..operators.audit import main_columns
 
-    tables = []
-    with staged(rows) as shared:
-        for code in codes:
-            table = cycle_table_name(table_template, code)
-            mine = shared.filter(bill_cycle(F.col("filename")) == F.lit("BC" + code))
-            main = align(main_columns(mine, row_label), shared.sparkSession.table(table).schema)
-            truncate_load(main, table, on_cast=on_cast)
-            tables.append(table)
-    return tables
+    spark = rows.sparkSession
+    tables = {cycle_table_name(table_template, code): CYCLE_PREFIX + code for code in codes}
+    if not tables:
+        return []
+    cycle = "_cycle"
+    name = F.col("filename") if "filename" in rows.columns else base_name(FILE_COL)
+    mine = rows.withColumn(cycle, bill_cycle(name)).filter(F.col(cycle).isin(*tables.values()))
+    if row_label:   # numbered by a pass over the files' last rows and one over the rows
+        with staged(mine) as shared:
+            load_partitions(main_columns(shared, row_label, within=cycle), cycle, tables,
+                            on_cast, location)
+    else:
+        load_partitions(main_columns(mine, within=cycle), cycle, tables, on_cast, location)
+    return list(tables)

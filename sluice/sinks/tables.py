@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..errors import DATABASE_ERROR, IntakeError
 from ..operators.align import align, cast_failures, failure_counts, unknown_columns
 from ..session import scratch_path, shared_root
-from ..sources.files import delete, list_files, list_folders, qualify
+from ..sources.files import delete, list_files, list_folders, make_folder, qualify
 
 
 def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
@@ -81,17 +81,19 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
 
 #: Folder of the versions of an external table below its own location.
 LOADS = "_loads"
+#: Folder of the loads that several tables share.
+SHARED = "_shared_loads"
 
 
-def _staged(df: DataFrame, schema, target: str, path: str, fmt: str,
-            on_cast: str) -> tuple[dict[str, int], int]:
+def _staged(df: DataFrame, schema, target: str, path: str, fmt: str, on_cast: str,
+            by: list[str] | None = None) -> tuple[dict[str, int], int]:
     """Writes ``df``, converted to ``schema``, to ``path`` in one computation that also counts
     its rows and the values that cannot be converted; rejects raise once it is written. Returns
     the rejects and the number of rows."""
     seen, failures = Observation(), failure_counts(df, _converted(df, schema))
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"),
                          *[n.alias(f"_{i}") for i, (_, n) in enumerate(failures)])
-    align(counted, schema, cast=True).write.format(fmt).save(path)
+    align(counted, schema, cast=True).write.format(fmt).partitionBy(*by or []).save(path)
     got = seen.get
     counts = {c: got.get(f"_{i}") or 0 for i, (c, _) in enumerate(failures)}
     return _checked(counts, target, on_cast), got.get("rows") or 0
@@ -142,6 +144,52 @@ def truncate_load(df: DataFrame, table: str, skip: str | None = None,
     return rejects
 
 
+def load_partitions(df: DataFrame, column: str, tables: dict[str, str],
+                    on_cast: str = "raise", location: str | None = None) -> dict[str, int]:
+    """Truncate-and-load many tables from one write (S7): ``tables`` maps each table to the value
+    of ``column`` whose rows it gets.
+
+    The tables must be external, unpartitioned, Parquet and of one definition. The rows are
+    converted, counted and written once, partitioned by ``column``; rejects raise before any
+    table is touched; then each table is switched to its partition's folder.
+    """
+    spark = df.sparkSession
+    infos = {t: table_info(spark, t) for t in tables}
+    schemas = {t: spark.table(t).schema for t in tables}
+    one = next(iter(schemas.values()))
+    for t, info in infos.items():
+        if schemas[t] != one or info.provider != "parquet" or info.partitioned \
+                or not info.external:
+            raise IntakeError(DATABASE_ERROR, "tables of one write must be external Parquet "
+                              "tables without partitions and of one definition", t)
+    first = next(iter(infos.values())).location.rstrip("/")
+    root = location or f"{first.split(f'/{SHARED}/')[0].rsplit('/', 1)[0]}/{SHARED}/" \
+        f"{next(iter(tables))}"
+    if location is None and f"/{SHARED}/" in first:      # loaded so before
+        root = first[:first.index(f"/{SHARED}/")] + f"/{SHARED}/{next(iter(tables))}"
+    _check_names(df, one, root, column)
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    wide = T.StructType([*one.fields, T.StructField(column, T.StringType())])
+    done = False
+    try:
+        rejects, _ = _staged(df, wide, root, path, "parquet", on_cast, [column])
+        for t, value in tables.items():
+            folder = f"{path}/{column}={value}"
+            make_folder(spark, folder)
+            spark.sql(f"ALTER TABLE {t} SET LOCATION '{folder}'")
+            done = True
+            spark.catalog.refreshTable(t)
+    finally:
+        if not done:
+            delete(spark, path)
+    shown = [qualify(spark, x) + "/" for x in (
+        path, *(i.location for i in infos.values()))]
+    for old in list_folders(spark, root):
+        if not any(x.startswith(old + "/") for x in shown):
+            delete(spark, old)
+    return rejects
+
+
 def _sweep(spark: SparkSession, root: str, keep: set[str]) -> None:
     """Removes the rows of older loads below a table's own folder."""
     if root not in keep:

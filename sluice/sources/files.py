@@ -44,6 +44,11 @@ def list_folders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(hp) if st.isDirectory())
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, hp = _fs_and_path(spark, folder)
+    fs.mkdirs(hp)
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Rename; a file of that name in the target folder is replaced (a re-sent input)."""
     fs, s = _fs_and_path(spark, src)

@@ -349,3 +349,72 @@ def test_an_empty_copy_leaves_the_table(spark, scratch):
     copy_table(spark.createDataFrame([(1, "abc")], "id int, name string"), "t_cempty")
     copy_table(spark.createDataFrame([], "id int, name string"), "t_cempty")
     assert [tuple(r) for r in spark.table("t_cempty").collect()] == [(1, "abc")]
+
+
+def _numbers(rows, within=None):
+    """Plain statement of the row label: files in name order, rows by number."""
+    out, base = {}, {}
+    last = {}
+    for file, n, cycle in rows:
+        key = (cycle if within else None, file)
+        last[key] = max(last.get(key, 0), n)
+    for key in sorted(last):
+        total = base.get(key[0], 0)
+        for file, n, cycle in rows:
+            if (cycle if within else None, file) == key:
+                out[file, n, cycle] = total + n
+        base[key[0]] = total + last[key]
+    return out
+
+
+@pytest.mark.parametrize("within", [None, "c"])
+def test_row_label_is_a_two_level_prefix_sum(spark, scratch, within):
+    from sluice.operators.audit import main_columns
+    import random
+    rng = random.Random(4)
+    rows = [(f"file:/in/f{f:03d}.txt", n, f"BC{f % 3}") for f in rng.sample(range(400), 90)
+            for n in rng.sample(range(1, 40), rng.randrange(1, 9))]
+    df = spark.createDataFrame([(*r, str(r)) for r in rows],
+                               "_file string, _temp_row_num long, c string, v string")
+    out = main_columns(df, "label", within)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    want = {str(k): v for k, v in _numbers(rows, within).items()}
+    assert {r.v: r.label for r in out.collect()} == want
+
+
+def test_cycle_tables_come_from_one_write(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from sluice.plans.load import load_cycle_tables
+    base = scratch("cycle-tables")
+    codes = ["01", "02", "03"]
+    for c in codes:
+        spark.sql(f"CREATE TABLE ct_{c} (A int, RN bigint) USING parquet LOCATION '{base}/t{c}'")
+    schema = "a string, filename string, _file string, _temp_row_num long"
+
+    def load(*rows, **options):
+        frame = spark.createDataFrame([(a, f, "file:/in/" + f, n) for a, f, n in rows], schema)
+        return load_cycle_tables(frame, "ct_00", codes, **options)
+
+    def tables():
+        return [sorted(map(tuple, spark.table(f"ct_{c}").collect())) for c in codes]
+
+    writes, real = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: (
+        writes.append(a), real(self, *a, **k))[1])
+    assert load(("1", "x_01.txt", 1), ("2", "x_02.txt", 1), ("3", "y_01.txt", 4),
+                ("9", "x_11.txt", 1)) == ["ct_01", "ct_02", "ct_03"]
+    assert len(writes) == 1
+    assert tables() == [[(1, None), (3, None)], [(2, None)], []]
+    load(("5", "x_01.txt", 2), ("6", "y_01.txt", 3), ("7", "z_03.txt", 1), row_label="rn")
+    assert tables() == [[(5, 2), (6, 5)], [], [(7, 1)]]
+    with pytest.raises(IntakeError) as e:
+        load(("x", "x_01.txt", 1), ("8", "x_02.txt", 1))
+    assert e.value.status == "database_error"
+    assert tables() == [[(5, 2), (6, 5)], [], [(7, 1)]]
+    for n in range(3):
+        load((str(n), "x_02.txt", 1))
+    assert tables() == [[], [(2, None)], []]
+    assert len(os.listdir(local_path(base) + "/_shared_loads/ct_01")) == 2
+    truncate_load(spark.createDataFrame([(4,)], "a int"), "ct_02")
+    load(("1", "x_01.txt", 1))
+    assert tables() == [[(1, None)], [], []]
