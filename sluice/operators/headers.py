@@ -111,13 +111,18 @@ def _candidates(cols: Column, targets: Column, min_score: float = SCORE_SHARED,
                 strict: bool = False) -> Column:
     """Sorted candidates ``(c, t, th, score)`` scoring at least ``min_score`` (default 0.7).
 
-    Each column's comparison form and character set is computed once, not once per target.
     ``strict`` drops columns whose comparison form is empty (a cell of dashes, trap T5).
     """
     named = F.filter(F.transform(cols, lambda s, i: F.struct(i.alias("c"), s.alias("s"))),
                      lambda x: x["s"] != "")
     keyed = F.transform(named, lambda x: F.struct(
         x["c"].alias("c"), canon_header(x["s"]).alias("k")))
+    return _pairs(keyed, targets, min_score, strict)
+
+
+def _pairs(keyed: Column, targets: Column, min_score: float, strict: bool) -> Column:
+    """Candidates of columns ``(c, k)``, ``k`` being the comparison form. Each column's
+    character set is computed once, not once per target."""
     if strict:
         keyed = F.filter(keyed, lambda x: x["k"] != "")
     keyed = F.transform(keyed, lambda x: F.struct(x["c"].alias("c"), x["k"].alias("k"),
@@ -165,17 +170,62 @@ def _is_target(i: int):
     return lambda x: x["t"] == F.lit(i)
 
 
-def _best(windows: Column, strict: bool = False) -> Column:
-    """First block with the most assignments; ``strict`` breaks count ties by total score
-    (trap T18: a first header row that alone covers every target)."""
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _best(targets: Column, n_targets: int, min_score: float, strict: bool) -> Column:
+    """The first block with the most assignments, over ``rows`` (``cells`` and their comparison
+    forms ``keys``) and ``filled`` (numbers of each row's non-empty columns).
+
+    A fold over the blocks in order, with a bound: a block assigns at most as many columns as
+    it has non-empty ones, and at most all targets. A block that cannot beat the best so far is
+    not scored, and nothing is once every target is assigned. ``strict`` breaks count ties by
+    total score (trap T18: a first header row that alone covers every target), so it goes on
+    until the total cannot grow either.
+    """
+    rows = F.col("rows")
     init = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("total"), F.lit(-1).alias("start"),
                     F.lit(0).alias("height"), F.array().cast(_MAPPING_TYPE).alias("mapping"))
-    if strict:
-        better = lambda w, acc: (w["n"] > acc["n"]) | (
-            (w["n"] == acc["n"]) & (w["n"] > 0) & (w["total"] > acc["total"] + 1e-9))
-    else:
-        better = lambda w, acc: w["n"] > acc["n"]
-    return F.aggregate(windows, init, lambda acc, w: F.when(better(w, acc), w).otherwise(acc))
+
+    def columns(b: Column) -> Column:
+        return F.array_sort(F.array_distinct(
+            F.flatten(F.slice("filled", b["start"] + 1, b["height"]))))
+
+    def scored(b: Column, cols: Column) -> Column:
+        # the comparison form of joined cells is that of the cells, joined
+        def key(block: Column) -> Column:
+            return F.transform(cols, lambda c: F.struct(c.alias("c"), F.array_join(
+                F.transform(block, lambda r: F.coalesce(F.get(r["keys"], c), F.lit(""))),
+                "").alias("k")))
+        keyed = _let(F.slice(rows, b["start"] + 1, b["height"]), key)
+        return _let(_assign(_pairs(keyed, targets, min_score, strict)), lambda m: F.struct(
+            F.size(m).alias("n"),
+            F.aggregate(m, F.lit(0.0), lambda a, x: a + x["score"]).alias("total"),
+            b["start"].alias("start"), b["height"].alias("height"), m.alias("mapping")))
+
+    def better(w: Column, acc: Column) -> Column:
+        if not strict:
+            return w["n"] > acc["n"]
+        return (w["n"] > acc["n"]) | ((w["n"] == acc["n"]) & (w["n"] > 0)
+                                      & (w["total"] > acc["total"] + 1e-9))
+
+    def step(acc: Column, b: Column) -> Column:
+        done = acc["total"] >= n_targets - 1e-9 if strict else acc["n"] >= n_targets
+        hopeless = (lambda cols: F.size(cols) < acc["n"]) if strict else (
+            lambda cols: F.size(cols) <= acc["n"])
+        return F.when(done, acc).otherwise(_let(columns(b), lambda cols: F.when(
+            hopeless(cols), acc).otherwise(_let(scored(b, cols), lambda w: F.when(
+                better(w, acc), w).otherwise(acc)))))
+
+    n = F.size(rows)
+    blocks = F.flatten(F.transform(
+        F.sequence(F.lit(0), F.least(F.lit(MAX_START - 1), n - 1)),
+        lambda s: F.transform(
+            F.filter(F.sequence(F.lit(1), F.lit(MAX_HEIGHT)), lambda h: s + h <= n),
+            lambda h: F.struct(s.alias("start"), h.alias("height")))))
+    return F.aggregate(blocks, init, step)
 
 
 def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_COL,
@@ -183,19 +233,19 @@ def detect_headers(samples: DataFrame, targets: list[str], file_col: str = FILE_
     """Best header block per report: ``(file, header_end, n, mapping, tidx)`` (H1–H4).
 
     ``header_end`` is the 0-based index of the last header row (-1 when nothing matched),
-    ``tidx[k]`` the column mapped to target ``k`` (NULL when unmapped). The steps are
-    separate projections so each costly array is computed once per report.
+    ``tidx[k]`` the column mapped to target ``k`` (NULL when unmapped). Comparison forms are
+    made once per cell; the steps are separate projections so each costly array is computed
+    once per report.
     """
-    tl = _targets_literal(targets)
-    wins = samples.select(file_col, _windows(F.col("rows")).alias("w"))
-    mapped = wins.select(file_col, F.transform("w", lambda w: F.struct(
-        w["start"].alias("start"), w["height"].alias("height"),
-        _assign(_candidates(w["cols"], tl, min_score, strict)).alias("mapping"))).alias("w"))
-    best = mapped.select(file_col, _best(F.transform("w", lambda w: F.struct(
-        F.size(w["mapping"]).alias("n"),
-        F.aggregate(w["mapping"], F.lit(0.0), lambda a, m: a + m["score"]).alias("total"),
-        w["start"].alias("start"), w["height"].alias("height"),
-        w["mapping"].alias("mapping"))), strict).alias("b"))
+    keyed = samples.select(
+        file_col, F.transform("rows", lambda r: F.struct(
+            r["cells"].alias("cells"), F.transform(r["cells"], canon_header).alias("keys")))
+        .alias("rows"),
+        F.transform("rows", lambda r: F.filter(
+            F.transform(r["cells"], lambda x, i: F.when(x != "", i)), lambda i: i.isNotNull()))
+        .alias("filled"))
+    best = keyed.select(file_col, _best(_targets_literal(targets), len(targets), min_score,
+                                        strict).alias("b"))
     b = F.col("b")
     tidx = F.array(*[
         F.try_element_at(F.filter(b["mapping"], _is_target(i)), F.lit(1))["c"]
