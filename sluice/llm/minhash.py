@@ -33,6 +33,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 SKETCH = 1024
 SPLIT = 64
+# Shingles in one array that the members of a hub's largest component are held against.
+CHUNK = 1 << 12
 FILTER_BITS = 26
 CACHE_SIZE = 150_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -310,8 +312,7 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # the largest size that a partner without shared rest can have
     known = cut(known.withColumn("cap", F.floor(F.col("o") / F.lit(share) + 1e-6) - F.col("n")),
                 "minhash-rest")
-    token = known.select("hub", "cid", "root", "n", "o", F.size("rest").alias("r"),
-                         F.explode("rest").alias("token"))
+    token = _foreign_tokens(known)
     several = token.groupBy("hub", "token").agg(F.min("root").alias("r1"),
                                                 F.max("root").alias("r2"),
                                                 F.count(F.lit(1)).alias("df")) \
@@ -345,6 +346,29 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return outside.union(inside)
 
 
+def _foreign_tokens(known: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Shingles outside the hub that a pair of different components can share, one row per
+    member: all of those outside the hub's largest component, and of that one's members only
+    the shingles that some other component has, so a large group of copies does not become rows.
+
+    The others' shingles meet the largest component as arrays of about ``chunk``.
+    """
+    cols = ["hub", "cid", "root", "n", "o", F.size("rest").alias("r")]
+    largest = known.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("members")) \
+        .groupBy("hub").agg(F.max(F.struct("members", "root"))["root"].alias("largest"))
+    placed = known.join(largest, "hub")
+    other = placed.filter("root != largest").select(*cols, F.explode("rest").alias("token"))
+    other = cut(other, "minhash-foreign")
+    tokens = other.select("hub", "token").distinct()
+    parts = tokens.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("parts"))
+    tokens = tokens.join(parts, "hub").groupBy(
+        "hub", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part")).agg(
+            F.collect_list("token").alias("tokens"))
+    met = placed.filter("root = largest").join(tokens, "hub") \
+        .withColumn("met", F.array_intersect("rest", "tokens")).filter(F.size("met") > 0)
+    return other.unionByName(met.select(*cols, F.explode("met").alias("token")))
+
+
 def _named(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """``id, mark, n_shingles, component`` of every row; ``mark`` is a hash of the text."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -135,3 +135,26 @@ def test_crowded_bucket_pairs_lose_no_link(spark, percent):
             same = len(np.intersect1d(a, b))
             if j and 100 * same >= percent * (len(a) + len(b) - same):
                 assert (j, i) in got
+
+
+@pytest.mark.parametrize("chunk", [2, 1 << 12])
+def test_shingles_of_several_components_are_kept(spark, chunk):
+    rng = np.random.default_rng(8)
+    rows = [(h, 100 * h + i, 100 * h + (i if i % 4 == 0 else 1), 50, 9,
+             rng.permutation(60)[:rng.integers(0, 9)].tolist())
+            for h in range(3) for i in range(40)] + [(7, 700, 700, 5, 5, [1]), (7, 701, 700, 5, 5, [1])]
+    known = spark.createDataFrame(
+        rows, "hub long, cid long, root long, n long, o long, rest array<long>")
+    holders = {}
+    for hub, cid, root, _, _, rest in rows:
+        for t in rest:
+            holders.setdefault((hub, t), set()).add((cid, root))
+    want = {(hub, t, cid) for (hub, t), own in holders.items() if len({r for _, r in own}) > 1
+            for cid, _ in own}
+    got = M._foreign_tokens(known, chunk).collect()
+    assert want <= {(r.hub, r.token, r.cid) for r in got}
+    assert len(got) == len({(r.hub, r.token, r.cid) for r in got})
+    assert not [r for r in got if r.hub == 7]
+    # nothing of the largest component beyond what others have
+    assert all((r.hub, r.token, r.cid) in want for r in got if r.root % 100 == 1)
+    assert all(r.r == len(rows[40 * r.hub + r.cid % 100][5]) for r in got)
