@@ -19,8 +19,8 @@ from sluice.operators.align import align
 from sluice.operators.audit import audit_columns, file_columns
 from sluice.operators.clean import max_lengths, stringify, strip_zero_fraction
 from sluice.operators.delimited import expand_fields, record_type
-from sluice.operators.report import (file_disposition, input_files, run_failures,
-                                     run_report)
+from sluice.operators.report import (file_disposition, input_files, move_by_outcome,
+                                     run_failures, run_report)
 from sluice.operators.stamp import ROW_COL, stamp_rows
 from sluice.plans import headed as HP
 from sluice.plans.copy import copy_table
@@ -347,6 +347,20 @@ def q_load_rejects(spark, sf_dir):
         F.col(c).alias("nulls_loaded")) for c, k in sorted(n.items())])))
 
 
+def q_load_without_schema(spark, sf_dir):
+    """The main table's schema cannot be read, so its rows are loaded as they are; the
+    audit is committed as ever."""
+    where = scratch_path(spark, "unread")
+    name = "unread_" + where.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{where}'")
+    t = f"{name}.orders"         # not there: created by the load
+    path = scratch_path(spark, "unread-audit")
+    rows = parse_text(spark, _order_files(spark, sf_dir), TEXT_COLUMNS)
+    load_main_and_audit(rows, t, path, on_schema="warn")
+    main = spark.table(t).select(F.lit("main").alias("part"), *COLS7)
+    return main.union(read_cycles(spark, path).select(F.lit("audit"), *COLS7))
+
+
 def q_table_copy(spark, sf_dir):
     """Align, sanitise, length audit and load a table copy."""
     t = _scratch_table(spark, "part_copy", T_PART)
@@ -497,12 +511,18 @@ def _dispositions(spark, sf_dir):
 
 
 def q_file_disposition(spark, sf_dir):
-    """Per-file outcome incl. empty and missing inputs."""
-    d = _dispositions(spark, sf_dir)
+    """Per-file outcome incl. empty and missing inputs; the files move to the
+    processed or error folder by it."""
+    d = _dispositions(spark, sf_dir).checkpoint(eager=True)    # before the files move
+    root = scratch_path(spark, "reports-moved")
+    moves = move_by_outcome(spark, d, root + "/processed", root + "/error")
+    d = d.join(moves.select("path", F.regexp_extract("moved_to", r"([^/]*/[^/]*)$", 1)
+                            .alias("moved_to")), "path", "left")
     part = lambda k: F.get_json_object("payload", f"$.{k}")
     return d.select("filename", "status", "reason", "n_rows", part("status").alias("payload_status"),
                     part("reason").alias("payload_reason"),
-                    F.regexp_extract(part("failed_file_path"), r"([^/]*)$", 1).alias("payload_file"))
+                    F.regexp_extract(part("failed_file_path"), r"([^/]*)$", 1).alias("payload_file"),
+                    "moved_to")
 
 
 def q_workbook_failures(spark, sf_dir):
@@ -609,6 +629,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "truncate_load": q_truncate_load,
         "append_typed": q_append_typed,
         "load_rejects": q_load_rejects,
+        "load_without_schema": q_load_without_schema,
         "main_audit_load": q_main_audit_load,
         "cycle_tables": q_cycle_tables,
         "router": q_router,
@@ -879,6 +900,8 @@ def _own_oracle_sql() -> dict[str, str]:
             f"SELECT '{c}' AS \"column\", count(*) AS rejects, count(*) AS nulls_loaded "
             f"FROM orders WHERE o_orderkey % {k} = 0" for c, k in
             (("O_CUSTKEY", 7), ("O_TOTALPRICE", 11))),
+        "load_without_schema": f"WITH {_L}, a AS (SELECT {_NULLIF} FROM s) "
+                               "SELECT 'main' AS part, * FROM a UNION ALL SELECT 'audit', * FROM a",
         "main_audit_load": f"WITH {_L}, a AS (SELECT {_NULLIF}, fname, row_number() OVER "
                            "(PARTITION BY fname ORDER BY o_orderkey) AS rn FROM s), "
                            "b AS (SELECT fname, coalesce(sum(n) OVER (ORDER BY fname ROWS BETWEEN "
@@ -936,7 +959,10 @@ def _own_oracle_sql() -> dict[str, str]:
                             "SELECT filename, status, reason, n_rows, "
                             "CASE WHEN reason IS NOT NULL THEN status END AS payload_status, "
                             "reason AS payload_reason, "
-                            "CASE WHEN reason IS NOT NULL THEN filename END AS payload_file FROM r",
+                            "CASE WHEN reason IS NOT NULL THEN filename END AS payload_file, "
+                            "CASE status WHEN 'processed' THEN 'processed/' || filename "
+                            "WHEN 'missing_file' THEN NULL ELSE 'error/' || filename END "
+                            "AS moved_to FROM r",
         "run_report": f"WITH d AS ({_DISP}) SELECT count(*) AS n_units, "
                       "count(*) FILTER (WHERE status <> 'processed') AS n_failed FROM d",
         "run_failures": f"WITH d AS ({_DISP}) SELECT filename AS unit, '[' || filename || ']: ' || "

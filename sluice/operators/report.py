@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..errors import (EMPTY_DATA, MISSING_FILE, ORCHESTRATION_CHILD_FAILURE, PIPELINE_FAILURE,
-                      PROCESSED, IntakeError)
+from ..errors import (CASCADING_FAILURE, EMPTY_DATA, MISSING_FILE, ORCHESTRATION_CHILD_FAILURE,
+                      PIPELINE_FAILURE, PROCESSED, IntakeError)
 from ..functions.lineage import canonical_path, last_segment
+from ..session import scratch_path
+from ..sources.files import TASK_SCHEMES, move_to, scheme_of, task_move, task_version
 from .stamp import FILE_COL
 
 # --- fixed values: reasons of the reference's outcomes -------------------------------------
@@ -109,32 +114,98 @@ def run_gate(dispositions: DataFrame, shown: int = 100) -> None:
                           + "; ".join(r["line"] for r in lines))
 
 
+MOVE_SCHEMA = "path string, status string, moved_to string, move_error string"
+INTENT_SCHEMA = "path string, status string, target string, length long, modified long"
+
+
+def _intents(processed: str, error: str):
+    """Where each file of the outcomes goes, and the version that is to go there."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for path, status in zip(*(b.column(i).to_pylist() for i in range(2))):
+                folder = processed if status == PROCESSED else error
+                length, modified = task_version(path) or (None, None)
+                rows.append((path, status, f"{folder.rstrip('/')}/{path.rsplit('/', 1)[-1]}",
+                             length, modified))
+            yield _batch(rows, INTENT_SCHEMA)
+    return run
+
+
+def _moves(batches):
+    for b in batches:
+        rows = []
+        for path, status, target, length, modified in zip(*(c.to_pylist() for c in b.columns)):
+            try:
+                now = task_version(path)
+                if length is None:
+                    raise FileNotFoundError(path)
+                if now == (length, modified):
+                    if path != target:
+                        task_move(path, target)
+                elif (task_version(target) or (None,))[0] != length:
+                    # not there, and not moved by an earlier attempt either
+                    raise FileNotFoundError(path if now is None else f"{path} has changed")
+                rows.append((path, status, target, None))
+            except Exception as exc:  # noqa: BLE001 - reported as data
+                rows.append((path, status if status == PROCESSED else CASCADING_FAILURE, None,
+                             f"{type(exc).__name__}: {exc}"))
+        yield _batch(rows, MOVE_SCHEMA)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], kinds[k]) for i, (_, k) in enumerate(fields)],
+        [name for name, _ in fields])
+
+
 def move_by_outcome(spark: SparkSession, dispositions: DataFrame, processed: str,
-                    error: str, threads: int = 16) -> DataFrame:
+                    error: str, partitions: int | None = None) -> DataFrame:
     """Move every present input to ``processed`` or ``error`` by its status.
 
-    Renames are metadata operations issued from the driver (which already holds the file
-    list) through a bounded thread pool. Returns ``(path, status, moved_to, move_error)``;
-    a failed move of a failed file has the status ``cascading_failure``, as when quarantine
-    fails after a pipeline error.
+    Tasks rename the files. First the intent of every move – where the file goes and its length
+    and modification time – is written to the shared folder; then the moves are made from
+    there and their results written, so nothing is moved by reading the result. A task that is
+    run again finds a file that it moved before by its target and moves nothing twice; a file
+    of another version that was sent meanwhile is not touched. Returns ``(path, status,
+    moved_to, move_error)``; a failed move of a failed file has the status
+    ``cascading_failure``, as when quarantine fails after a pipeline error.
+
+    Paths in a store that tasks cannot reach (``files.TASK_SCHEMES``) are renamed by the driver.
     """
-    from concurrent.futures import ThreadPoolExecutor
+    rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
+    folders = {scheme_of(f) for f in (processed, error)}
+    scheme = F.lower(F.regexp_extract("path", "^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    reach = scheme.isin("", *TASK_SCHEMES) if folders <= set(TASK_SCHEMES) else F.lit(False)
+    n = partitions or spark.sparkContext.defaultParallelism
+    plan = _written(rows.filter(reach).repartition(n, "path").mapInArrow(
+        _intents(processed, error), INTENT_SCHEMA), "move-intents")
+    done = _written(plan.mapInArrow(_moves, MOVE_SCHEMA), "moves")
+    rest = _moved_by_driver(spark, rows.filter(~reach), processed, error)
+    return done if rest is None else done.unionByName(rest)
+
 
-    from ..errors import CASCADING_FAILURE
-    from ..sources.files import move_to
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def _moved_by_driver(spark: SparkSession, rows: DataFrame, processed: str,
+                     error: str) -> DataFrame | None:
     def move(row):
         path, status = row
-        target = processed if status == PROCESSED else error
         try:
-            return path, status, move_to(spark, path, target), None
+            return path, status, move_to(spark, path,
+                                         processed if status == PROCESSED else error), None
         except Exception as exc:  # noqa: BLE001 - reported as data
             failed = status if status == PROCESSED else CASCADING_FAILURE
             return path, failed, None, f"{type(exc).__name__}: {exc}"
 
-    rows = dispositions.filter(F.col("status") != MISSING_FILE).select("path", "status")
     pairs = [(r["path"], r["status"]) for r in rows.toLocalIterator()]
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        out = list(pool.map(move, pairs))
-    return spark.createDataFrame(out, "path string, status string, moved_to string, "
-                                      "move_error string")
+    if not pairs:
+        return None
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return spark.createDataFrame(list(pool.map(move, pairs)), MOVE_SCHEMA)

@@ -56,7 +56,8 @@ def _failed(spark, found, missing, exc, processed, error):
 def run_text_job(spark: SparkSession, inputs, expected_columns, target_table: str,
                  audit_path: str | None = None, processed: str | None = None,
                  error: str | None = None, row_number_label: str | None = None,
-                 match: str = "insensitive", on_cast: str = "raise", **text_options) -> JobResult:
+                 match: str = "insensitive", on_cast: str = "raise", on_schema: str = "raise",
+                 **text_options) -> JobResult:
     """C1/C2 for a whole inbound set: parse, truncate-load the main table, replace the
     audit's cycles, then record and act on each file's outcome. A failed load is an outcome
     of every file (``run_gate`` turns outcomes into an error)."""
@@ -67,7 +68,8 @@ def run_text_job(spark: SparkSession, inputs, expected_columns, target_table: st
         rows = parse_text(spark, found, expected_columns, **text_options)
         with staged(rows) as shared:     # one computation for main, audit and outcomes
             load_main_and_audit(shared, target_table, audit_path, row_label=row_number_label,
-                                stage=False, match=match, on_cast=on_cast)
+                                stage=False, match=match, on_cast=on_cast,
+                                on_schema=on_schema)
             return _finish(spark, input_files(spark, found), shared, None, missing, False,
                            processed, error)
     except Exception as exc:  # noqa: BLE001 - recorded per file
@@ -78,7 +80,7 @@ def run_report_job(spark: SparkSession, inputs, target_headers, target_table: st
                    audit_path: str | None = None, processed: str | None = None,
                    error: str | None = None, kind: str = "csv",
                    row_number_label: str | None = None, on_cast: str = "raise",
-                   **options) -> JobResult:
+                   on_schema: str = "raise", **options) -> JobResult:
     """C3/C5 for a whole inbound set of reports (``kind`` ``csv`` or ``xlsx``). A workbook that
     cannot be parsed fails alone; a failed load is an outcome of every file."""
     found, missing = split_existing(spark, inputs)
@@ -93,7 +95,7 @@ def run_report_job(spark: SparkSession, inputs, target_headers, target_table: st
             fail_on_no_rows = False         # a CSV report fails only when no header matched
         with staged(res.data) as shared:   # one computation for main, audit and outcomes
             load_main_and_audit(shared, target_table, audit_path, row_label=row_number_label,
-                                stage=False, on_cast=on_cast)
+                                stage=False, on_cast=on_cast, on_schema=on_schema)
             return _finish(spark, input_files(spark, found), shared, res.detected, missing,
                            fail_on_no_rows, processed, error, res.errors)
     except Exception as exc:  # noqa: BLE001 - recorded per file

@@ -11,7 +11,7 @@ from ..errors import AUDIT_WRITE_ERROR, EMPTY_DATA, IntakeError
 from ..sinks.cycles import commit, stage_cycles
 from ..functions.lineage import CYCLE_PREFIX, base_name
 from ..operators.stamp import FILE_COL
-from ..sinks.tables import load_partitions, staged, truncate_load
+from ..sinks.tables import load_partitions, staged, target_schema, truncate_load
 
 
 def cycle_file_name(file_name: str, code: str) -> str:
@@ -41,13 +41,16 @@ def require_rows(df: DataFrame, path: str = "Unknown") -> None:
 def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | None = None,
                         row_label: str | None = None, audit_key="billcycle",
                         audit_target=None, stage: bool = True,
-                        match: str = "insensitive", on_cast: str = "raise") -> dict[str, int]:
+                        match: str = "insensitive", on_cast: str = "raise",
+                        on_schema: str = "raise") -> dict[str, int]:
     """K6: from one computation of the cleaned ``rows`` (data columns, ``filename``,
     ``_file``, ``_temp_row_num``), truncate-and-load the main table and replace the audit's
     cycles in a versioned folder (:mod:`sluice.sinks.cycles`; read it with ``read_cycles``).
     ``row_label`` names the main table's row number (see
     :func:`sluice.operators.audit.main_columns`); ``match`` and ``on_cast`` are those of
-    :func:`sluice.operators.align.align` and the sink. Returns rejected values per column.
+    :func:`sluice.operators.align.align` and the sink. ``on_schema="warn"`` loads without
+    alignment where the main table's schema cannot be read (A7). Returns rejected values per
+    column.
 
     ``rows`` is written once to the shared folder for both loads (pass ``stage=False`` when the
     caller already holds it). The audit rows are written, then the main table is loaded, then
@@ -60,15 +63,17 @@ def load_main_and_audit(rows: DataFrame, target_table: str, audit_path: str | No
 
     spark = rows.sparkSession
     with (staged(rows) if stage else nullcontext(rows)) as shared:
-        main = align(main_columns(shared, row_label), spark.table(target_table).schema,
-                     match=match)
+        main = main_columns(shared, row_label)
+        schema = target_schema(spark, target_table, on_schema)
+        if schema is not None:
+            main = align(main, schema, match=match)
         load = None
         if audit_path:
             audit = audit_columns(shared)
             if audit_target is not None:
                 audit = align(audit, audit_target)
             load = _audit(lambda: stage_cycles(audit, audit_path, audit_key), audit_path)
-        rejects = truncate_load(main, target_table, on_cast=on_cast)
+        rejects = truncate_load(main, target_table, on_cast=on_cast, on_schema=on_schema)
         if load:
             _audit(lambda: commit(spark, load), audit_path)
     return rejects

@@ -31,11 +31,11 @@ def parse_text(spark: SparkSession, paths, expected_columns, delimiter_regex: st
 def ingest_text(spark: SparkSession, paths, expected_columns, target=None,
                 delimiter_regex: str = DEFAULT_DELIMITER, filter_record_type: str = ALL_RECORDS,
                 col_label: str = DEFAULT_LABEL, row_number_label: str | None = None,
-                audit_target=None, file_cols: bool = False, match: str = "exact"):
+                audit_target=None, file_cols: bool = False, match: str = "insensitive"):
     """Returns ``(main, audit)`` frames ready for the sinks.
 
-    ``main`` is aligned to ``target`` (names of the target table; exact-case matching like
-    the text loader unless ``match='insensitive'``), the generated ``row_number_label``
+    ``main`` is aligned to ``target`` (names of the target table; ``match="exact"`` matches
+    their case like the reference's text loader), the generated ``row_number_label``
     column skipped; with ``file_cols`` it carries ``filename`` and ``dateread`` (C2).
     ``audit`` (only with ``audit_target``) adds number, cycle, file, UUIDv7 and time,
     aligned case-insensitively to the audit table.

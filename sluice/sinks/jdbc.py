@@ -9,12 +9,16 @@ between them leaves the table empty or the cycle missing; prefer :mod:`sluice.si
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..errors import AUDIT_DELETE_ERROR, DATABASE_ERROR, IntakeError
 from ..operators.align import align, unknown_columns
-from .tables import quote_table
+from .tables import load_rejects, quote_table
+
+log = logging.getLogger(__name__)
 
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict,
@@ -49,20 +53,32 @@ def target_schema(spark: SparkSession, url: str, table: str, properties: dict) -
 
 
 def truncate_load(df: DataFrame, url: str, table: str, properties: dict,
-                  skip: str | None = None, num_partitions: int | None = None) -> None:
-    """Keep the table definition, replace all rows (K1). Names are checked first (T6) and
-    values converted to the table's types with ``try_cast`` (A6), so typed targets do not
-    depend on database-side string coercion."""
-    spark = df.sparkSession
-    schema = target_schema(spark, url, table, properties)
-    aligned = align(df, schema, skip=skip, cast=True)
-    extra = unknown_columns(aligned, schema)
-    if extra:
-        raise IntakeError(DATABASE_ERROR, f"columns not in {table}: {extra}", table)
+                  skip: str | None = None, num_partitions: int | None = None,
+                  on_cast: str = "raise", on_schema: str = "raise") -> dict[str, int]:
+    """Keep the table definition, replace all rows (K1). Before that, names are checked (T6) and
+    values that ``try_cast`` cannot convert to the table's types (A6) are counted, so typed targets
+    do not depend on database-side string coercion; rejects raise unless ``on_cast="null"``.
+    ``on_schema="warn"`` loads the columns as they are where the schema cannot be read (A7).
+    Returns the rejected values per column."""
+    spark, rejects = df.sparkSession, {}
+    try:
+        schema = target_schema(spark, url, table, properties)
+    except Exception as exc:  # noqa: BLE001 - policy switch
+        if on_schema != "warn":
+            raise
+        log.warning("alignment skipped, schema of %s not read: %s", table, exc)
+        aligned = df
+    else:
+        extra = [c for c in unknown_columns(df, schema) if not skip or c.lower() != skip.lower()]
+        if extra:
+            raise IntakeError(DATABASE_ERROR, f"columns not in {table}: {extra}", table)
+        rejects = load_rejects(df, schema, table, on_cast)
+        aligned = align(df, schema, skip=skip, cast=True)
     w = aligned.write.option("truncate", "true").mode("overwrite")
     if num_partitions:
         w = w.option("numPartitions", num_partitions)
     w.jdbc(url, quote_table(table), properties=properties)
+    return rejects
 
 
 def append(df: DataFrame, url: str, table: str, properties: dict, coerce: bool = True) -> None:

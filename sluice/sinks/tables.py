@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -16,6 +17,8 @@ from ..operators.align import align, cast_failures, failure_counts, unknown_colu
 from ..session import scratch_path, shared_root
 from ..sources.files import delete, list_files, list_folders, make_folder, qualify
 
+log = logging.getLogger(__name__)
+
 
 def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
     extra = [c for c in unknown_columns(df, schema) if not skip or c.lower() != skip.lower()]
@@ -24,6 +27,18 @@ def _check_names(df: DataFrame, schema, target: str, skip: str | None) -> None:
         raise IntakeError(DATABASE_ERROR, f"columns not in {target}: {extra}", target)
 
 
+def target_schema(spark: SparkSession, table: str, on_error: str = "raise") -> T.StructType | None:
+    """Columns of a catalog table. With ``on_error="warn"`` a table that cannot be read is
+    logged and None: the load then goes on without alignment (A7)."""
+    try:
+        return spark.table(table).schema
+    except Exception as exc:  # noqa: BLE001 - policy switch
+        if on_error != "warn":
+            raise
+        log.warning("alignment skipped, schema of %s not read: %s", table, exc)
+        return None
+
+
 def _converted(df: DataFrame, schema) -> T.StructType:
     """The target columns whose type differs from that of the column in ``df``."""
     have = {f.name.lower(): f.dataType for f in df.schema.fields}
@@ -100,8 +115,8 @@ def _staged(df: DataFrame, schema, target: str, path: str, fmt: str, on_cast: st
 
 
 def truncate_load(df: DataFrame, table: str, skip: str | None = None,
-                  on_cast: str = "raise", extra: str = "raise",
-                  if_empty: str = "load") -> dict[str, int]:
+                  on_cast: str = "raise", extra: str = "raise", if_empty: str = "load",
+                  on_schema: str = "raise") -> dict[str, int]:
     """Replace all rows of a catalog table, keeping its definition (K1).
 
     ``df`` is computed once: its converted rows are written beside the table while the values
@@ -114,10 +129,15 @@ def truncate_load(df: DataFrame, table: str, skip: str | None = None,
 
     An external table without partitions is switched to the written folder (the folder of the
     load before stays for its readers, older ones go). Any other table is overwritten from the
-    written rows by Spark's own commit.
+    written rows by Spark's own commit. ``on_schema="warn"`` goes on where the table's schema
+    cannot be read, as a database overwrite does: the table is created with the columns of
+    ``df``, or the load fails as ``database_error``.
     """
     spark = df.sparkSession
-    schema = spark.table(table).schema
+    schema = target_schema(spark, table, on_schema)
+    if schema is None:
+        _create(df, table)
+        return {}
     if extra != "drop":
         _check_names(df, schema, table, skip)
     info = table_info(spark, table)
@@ -190,6 +210,13 @@ def load_partitions(df: DataFrame, column: str, tables: dict[str, str],
     return rejects
 
 
+def _create(df: DataFrame, table: str) -> None:
+    try:
+        df.write.mode("overwrite").saveAsTable(table)
+    except Exception as exc:
+        raise IntakeError(DATABASE_ERROR, f"{type(exc).__name__}: {exc}", table) from exc
+
+
 def _sweep(spark: SparkSession, root: str, keep: set[str]) -> None:
     """Removes the rows of older loads below a table's own folder."""
     if root not in keep:

@@ -109,3 +109,54 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
         if "FileAlreadyExists" in str(exc):
             return False
         raise
+
+
+# --- the same on executors, where there is no JVM to ask ----------------------------------
+#: Schemes whose files tasks can rename through pyarrow.
+TASK_SCHEMES = ("file", "hdfs", "s3", "s3a", "s3n", "gs", "abfs", "abfss")
+
+
+def scheme_of(path: str) -> str:
+    return path.split(":", 1)[0].lower() if ":" in path.split("/", 1)[0] else "file"
+
+
+def task_fs(path: str):
+    """``(file system, path in it)`` of a plain (decoded) path, for use inside a task."""
+    from pyarrow import fs
+
+    scheme = scheme_of(path)
+    if scheme == "file":
+        plain = path[5:] if path.lower().startswith("file:") else path
+        return fs.LocalFileSystem(), "/" + plain.lstrip("/")
+    if scheme in ("s3a", "s3n"):
+        path = "s3" + path[path.index(":"):]
+    host, _, rest = path.split("://", 1)[1].partition("/")
+    if scheme == "hdfs":
+        return fs.FileSystem.from_uri(f"hdfs://{host}/")[0], "/" + rest
+    found, root = fs.FileSystem.from_uri(path.split("://", 1)[0] + f"://{host}")
+    return found, f"{root.rstrip('/')}/{rest}"
+
+
+def task_version(path: str) -> tuple[int, int] | None:
+    """Length and modification time (ns) of a file; None where there is none."""
+    files, at = task_fs(path)
+    info = files.get_file_info(at)
+    return (info.size, info.mtime_ns or 0) if info.is_file else None
+
+
+def task_move(src: str, dst: str) -> None:
+    """Rename inside a task; a file of that name is replaced."""
+    files, at = task_fs(src)
+    _, to = task_fs(dst)
+    folder, _, name = at.rpartition("/")
+    files.create_dir(to.rpartition("/")[0], recursive=True)
+    if scheme_of(src) == "file":
+        # Hadoop's checksum of a local file goes along, or would be held against the next file
+        crc, to_crc = (f"{f}/.{name}.crc" for f in (folder, to.rpartition("/")[0]))
+        if files.get_file_info(crc).is_file:
+            files.move(crc, to_crc)
+        elif files.get_file_info(to_crc).is_file:
+            files.delete_file(to_crc)
+    elif files.get_file_info(to).is_file:
+        files.delete_file(to)
+    files.move(at, to)

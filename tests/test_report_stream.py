@@ -307,3 +307,71 @@ def test_a_running_stream_lists_its_folder_again(spark, scratch):
         wait_for(["22", "3"])
     finally:
         q.stop()
+
+
+def _moving(spark, folder):
+    write_text_files(folder + "/in", {"ok.csv": "1\n", "a b%.csv": "22\n", "bad.csv": "333\n"})
+    uri = "file:" + local_path(folder) + "/in/"
+    return spark.createDataFrame(
+        [(uri + "ok.csv", "processed"), (uri + "a b%.csv", "processed"),
+         (uri + "bad.csv", "empty_data"), (uri + "gone.csv", "processed"),
+         (uri + "never.csv", "missing_file")], "path string, status string")
+
+
+def _tree(folder):
+    import os
+    return sorted(os.path.relpath(os.path.join(d, n), local_path(folder))
+                  for d, _, names in os.walk(local_path(folder)) for n in names)
+
+
+def test_moves_are_made_by_tasks_once(spark, scratch):
+    from sluice.operators import report as R
+    from sluice.sources.files import task_version
+    folder = scratch("task-moves")
+    out = _moving(spark, folder)
+    moved = R.move_by_outcome(spark, out, folder + "/done", folder + "/err")
+    got = {r.path.rsplit("/", 1)[-1]: (r.status, r.moved_to, r.move_error) for r in moved.collect()}
+    assert set(got) == {"ok.csv", "a b%.csv", "bad.csv", "gone.csv"}
+    assert got["a b%.csv"][1] == folder + "/done/a b%.csv"
+    assert got["gone.csv"][1] is None and "FileNotFound" in got["gone.csv"][2]
+    assert _tree(folder) == ["done/a b%.csv", "done/ok.csv", "err/bad.csv"]
+    assert moved.count() == 4                              # reading the result moves nothing
+
+    # a task that is run again: moved files are found by their targets
+    write_text_files(folder + "/in", {"ok.csv": "a re-sent one\n"})
+    ok = out.first().path
+    target = folder + "/done/ok.csv"
+    length, modified = task_version(target)
+    intents = spark.createDataFrame(
+        [(ok, "processed", target, length, modified)], R.INTENT_SCHEMA).toArrow().to_batches()
+    again = [r for b in R._moves(intents) for r in b.to_pylist()]
+    assert [r["moved_to"] for r in again] == [target] and again[0]["move_error"] is None
+    assert open(local_path(folder) + "/in/ok.csv").read() == "a re-sent one\n"
+    assert open(local_path(target)).read() == "1\n"
+    # the next run takes the re-sent file and replaces the one of that name
+    R.move_by_outcome(spark, out.limit(1), folder + "/done", folder + "/err").collect()
+    assert open(local_path(target)).read() == "a re-sent one\n"
+
+
+def test_a_failed_move_of_a_failed_file_is_a_cascading_failure(spark, scratch):
+    from sluice.operators import report as R
+    folder = scratch("task-moves-fail")
+    out = _moving(spark, folder)
+    write_text_files(folder, {"blocked": "a file, not a folder"})
+    moved = {r.path.rsplit("/", 1)[-1]: r for r in R.move_by_outcome(
+        spark, out, folder + "/done", folder + "/blocked").collect()}
+    assert moved["bad.csv"].status == "cascading_failure" and moved["bad.csv"].move_error
+    assert moved["ok.csv"].status == "processed" and moved["ok.csv"].moved_to
+    assert "in/bad.csv" in _tree(folder)
+
+
+def test_stores_that_tasks_cannot_reach_are_moved_by_the_driver(spark, scratch, monkeypatch):
+    from sluice.operators import report as R
+    folder = scratch("driver-moves")
+    out = _moving(spark, folder)
+    monkeypatch.setattr(R, "TASK_SCHEMES", ("nothing",))
+    moved = R.move_by_outcome(spark, out.filter("path NOT LIKE '%gone%'"), folder + "/done",
+                              folder + "/err").collect()
+    assert len(moved) == 3 and all(r.moved_to for r in moved)
+    assert [n for n in _tree(folder) if not n.endswith(".crc")] == [
+        "done/a b%.csv", "done/ok.csv", "err/bad.csv"]

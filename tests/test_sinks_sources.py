@@ -418,3 +418,19 @@ def test_cycle_tables_come_from_one_write(spark, scratch, monkeypatch):
     truncate_load(spark.createDataFrame([(4,)], "a int"), "ct_02")
     load(("1", "x_01.txt", 1))
     assert tables() == [[(1, None)], [], []]
+
+
+def test_a_schema_that_cannot_be_read_is_a_warning_if_asked(spark, scratch, caplog):
+    from sluice.plans.load import load_main_and_audit
+    db = "db_" + scratch("x").rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch('db')}'")
+    rows = spark.createDataFrame([("1", "f_01.txt", 1)], "a string, filename string, _temp_row_num long")
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        load_main_and_audit(rows, f"{db}.main")
+    with caplog.at_level("WARNING"):
+        assert load_main_and_audit(rows, f"{db}.main", on_schema="warn") == {}
+    assert "alignment skipped" in caplog.text
+    assert [tuple(r) for r in spark.table(f"{db}.main").collect()] == [("1",)]
+    with pytest.raises(IntakeError) as e:     # nor can it be created
+        truncate_load(rows, "no_such_db.main", on_schema="warn")
+    assert e.value.status == "database_error"
