@@ -25,7 +25,8 @@ from sluice.llm.common import cut, fresh, let, quoted
 TAU = 2
 MIN_CHARS = 32
 PIECES = (8, 64)
-FILTER_BITS = 18
+# Keys, or words of 64 bits, that are sent to every task.
+SENT = 1 << 19
 # The low bits of a line's place tell rows with one id and different texts apart.
 PRINT = 16
 BLANK = " \t\x0b\x0c\r"
@@ -131,27 +132,25 @@ def _bit(value: Column, at: Column) -> Column:
     return F.call_function("shiftright", value, at).bitwiseAND(F.lit(1))
 
 
-def _bitmap(keys: Column, rows: DataFrame) -> Column:
-    """Array literal of ``2^FILTER_BITS`` bits in words of 32, one set for each key (a long)."""
-    slot = keys.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    bits = rows.select(slot.alias("slot")).selectExpr(
-        "CAST(shiftright(slot, 5) AS int) AS word",
-        "shiftleft(1L, CAST(slot & 31 AS int)) AS bit")
-    got = {r["word"]: r["bit"] for r in bits.groupBy("word")
-           .agg(F.bit_or("bit").alias("bit")).collect()}
-    return F.expr("array(" + ", ".join(
-        f"{got.get(w, 0)}L" for w in range(1 << FILTER_BITS - 5)) + ")")
+def _admitted(rows: DataFrame, key: Column, wanted: DataFrame, most: int = SENT) -> DataFrame:
+    """The rows whose ``key`` (a long) is in the column ``key`` of ``wanted``, and where that has
+    more than ``most`` rows, some others: then ``most`` words of 64 bits are sent to all tasks
+    instead of the keys."""
+    if wanted.count() <= most:
+        return rows.join(F.broadcast(wanted.select(F.col("key").alias("sent"))),
+                         key == F.col("sent"), "left_semi")
+    word = lambda k: F.shiftright(k, 6).bitwiseAND(F.lit(most - 1))
+    bit = lambda k: k.bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.groupBy(word(F.col("key")).alias("sent")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("long"), bit(F.col("key")))).alias("bits"))
+    met = rows.join(F.broadcast(words), word(key) == F.col("sent"))
+    return met.filter(_bit(F.col("bits"), bit(key)) == 1).select(*rows.columns)
 
 
-def _may_hold(bitmap: Column, key: Column) -> Column:
-    slot = key.bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    word = F.element_at(bitmap, F.shiftright(slot, 5).cast("int") + 1)
-    return _bit(word, slot.bitwiseAND(F.lit(31)).cast("int")) == 1
-
-
-def near_classes(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int):
+def near_classes(docs: DataFrame, id_col: str, text_col: str, tau: int, min_chars: int,
+                 most: int = SENT):
     """Classes (``digest, who, n``) and the classes to drop (``who``): ``who`` is the place
-    (``id, at``) of a class's first line."""
+    (``id, at``) of a class's first line. ``most`` (a power of two) bounds what is broadcast."""
     every = lines(docs, id_col, text_col, min_chars)
     first = F.min(F.struct("id", "at", "keys"))
     classes = cut(every.select("id", "at", F.unhex(F.md5("line")).alias("digest"),
@@ -165,13 +164,15 @@ def near_classes(docs: DataFrame, id_col: str, text_col: str, tau: int, min_char
                                         F.count_if("indexed").alias("held")) \
         .filter("n > 1 and held > 0").select("key")
     shared = cut(shared, "lines-shared")
-    some = entries.filter(_may_hold(_bitmap(F.col("key"), shared), F.col("key")))
+    some = _admitted(entries, F.col("key"), shared, most)
     members = cut(some.join(shared, "key"), "lines-members")
 
-    # the lines of all members, from documents that a bitmap of fixed size admits
+    # the lines of all members
     wanted = cut(members.select("who").distinct(), "lines-wanted")
-    docs_in = _may_hold(_bitmap(F.xxhash64("who.id"), wanted), F.xxhash64("id"))
-    texts = every.filter(docs_in).select(F.struct("id", "at").alias("who"), "line")
+    ids = cut(wanted.select(F.xxhash64("who.id").alias("key")).distinct(), "lines-ids")
+    from_docs = _admitted(docs, F.xxhash64(quoted(id_col)), ids, most)
+    texts = lines(from_docs, id_col, text_col, min_chars).select(
+        F.struct("id", "at").alias("who"), "line")
     # rows that repeat an id and its text repeat its lines
     texts = cut(wanted.join(texts, "who").dropDuplicates(["who"]), "lines-texts")
     near = may_be_within(F.col("x"), F.col("y"), tau)

@@ -112,3 +112,21 @@ def test_smoke_table_matches_brute_force(spark):
     want = brute_force([(r.doc_id, r.text) for r in df.collect()])
     got = {r.doc_id: r.dropped_lines for r in M.report(df).collect()}
     assert got == {k: ",".join(map(str, v)) for k, v in want.items()}
+
+
+def test_admitted_rows_hold_all_wanted_ones(spark):
+    rows = spark.range(-5000, 5000).select(F.xxhash64("id").alias("k"), "id")
+    wanted = rows.filter("id % 7 = 0").select(F.col("k").alias("key"))
+    exact = M._admitted(rows, F.col("k"), wanted)
+    assert exact.columns == ["k", "id"] and exact.count() == wanted.count()
+    some = M._admitted(rows, F.col("k"), wanted, 256)
+    assert some.columns == ["k", "id"] and some.count() < 4000
+    assert exact.exceptAll(some).count() == 0
+    assert M._admitted(rows, F.col("k"), wanted.limit(0), 256).count() == 0
+
+
+def test_little_that_is_broadcast_changes_nothing(spark):
+    docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
+    args = (docs, "doc_id", "text", M.TAU, M.MIN_CHARS)
+    wide, narrow = M.near_classes(*args), M.near_classes(*args, most=4)
+    assert sorted(map(str, wide[1].collect())) == sorted(map(str, narrow[1].collect()))
