@@ -4,6 +4,9 @@ Texts are cut into pre-tokens; a worker holds all pre-tokens it hasn't met yet a
 integer array (flat symbols plus sequence starts). In each round every sequence finds the
 lowest merge rank among its adjacent pairs and all sequences apply their own lowest pair at
 once; a sequence without a mergeable pair leaves, and its surviving symbols are its count.
+A sequence of over ``LONG`` symbols (an unbroken run of letters, say) has as many rounds as
+ranks that occur in it: its positions are kept by rank, so a round touches only the positions of
+the lowest one and their neighbours.
 Counts of pre-tokens are kept in a bounded dictionary, so a frequent one is merged once.
 
 A pair can only be merged by a rank higher than those that made its parts, so applying all
@@ -13,6 +16,7 @@ occurrences of the lowest pair together gives what one-at-a-time merging gives.
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import re
 
@@ -30,6 +34,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 ASCII_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+"
                  r"|\s+(?!\S)|\s+")
 CACHE_SIZE = 400_000
+LONG = 1 << 10
 NONE = np.int64(1 << 40)
 # These four are no white space to the vocabulary's library, but are to Python.
 _CONTROL = re.compile("[\x1c-\x1f]")
@@ -63,8 +68,66 @@ class RankMerger:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NONE)
 
+    def long_count(self, piece: bytes) -> int:
+        """Surviving symbols of one long piece: the same rounds over an index of its positions
+        by rank."""
+        sym = self.first[np.frombuffer(piece, np.uint8)]
+        n = len(sym)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, NONE)   # of the pair that begins here; none where no symbol is left
+        rank[:-1] = self.ranks_of(sym[:-1], sym[1:])
+        index: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def place(at: np.ndarray) -> None:
+            at = at[rank[at] != NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            values, starts = np.unique(rank[at], return_index=True)
+            for value, some in zip(values.tolist(), np.split(at, starts[1:])):
+                if value in index:
+                    index[value].append(some)
+                else:
+                    index[value] = [some]
+                    heapq.heappush(heap, value)
+
+        place(np.arange(n))
+        left = n
+        while heap:
+            low = heapq.heappop(heap)
+            at = np.unique(np.concatenate(index.pop(low)))
+            at = at[rank[at] == low]
+            if not len(at):
+                continue
+            # a pair such as "aaa" overlaps itself: take every second hit of a run
+            head = np.flatnonzero(np.r_[True, after[at[:-1]] != at[1:]])
+            offset = np.arange(len(at)) - np.repeat(head, np.diff(np.r_[head, len(at)]))
+            hit = at[offset % 2 == 0]
+            gone = after[hit]
+            sym[hit] = self.made[low]
+            rank[gone] = NONE
+            after[hit] = after[gone]
+            inner = after[hit] < n
+            before[after[hit[inner]]] = hit[inner]
+            left -= len(hit)
+            rank[hit[~inner]] = NONE
+            near = np.unique(np.r_[hit[inner], before[hit][before[hit] >= 0]])
+            rank[near] = self.ranks_of(sym[near], sym[after[near]])
+            place(near)
+        return left
+
     def counts(self, pieces: list[bytes]) -> np.ndarray:
         """Surviving symbols of every piece (none is empty)."""
+        out = np.zeros(len(pieces), np.int64)
+        short = []
+        for i, piece in enumerate(pieces):
+            if len(piece) > LONG:
+                out[i] = self.long_count(piece)
+            else:
+                short.append(i)
+        out[short] = self._counts([pieces[i] for i in short])
+        return out
+
+    def _counts(self, pieces: list[bytes]) -> np.ndarray:
         out = np.zeros(len(pieces), np.int64)
         if not pieces:
             return out

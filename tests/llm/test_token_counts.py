@@ -28,6 +28,30 @@ def test_random_texts_match_the_library(library):
     assert Counter(vocabulary()).counts(texts) == want(library, texts)
 
 
+def test_long_unbroken_runs_match_the_library(library):
+    import time
+
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet, n in (
+        (letters, 5_000), ("ab", 4_000), ("acgt", 30_000), (letters.upper() + letters, 20_000),
+        ("é日a", 6_000), (letters, 1_000_000))]
+    texts += ["a" * 1025, "a" * 100_001, " " * 5000 + "x", "ab" * 50_000, "=" * 4097]
+    counter = Counter(vocabulary())
+    started = time.process_time()
+    got = counter.counts(texts)
+    assert time.process_time() - started < 40
+    assert got == want(library, texts)
+
+
+def test_the_index_of_positions_gives_the_counts_of_the_rounds():
+    rng = random.Random(9)
+    merger = Counter(vocabulary()).merger
+    pieces = ["".join(rng.choice("etaoin shr"[:rng.randrange(1, 10)]) for _ in range(
+        rng.randrange(1, 60))).encode() for _ in range(300)]
+    assert [merger.long_count(p) for p in pieces] == merger.counts(pieces).tolist()
+
+
 def test_every_byte_has_its_own_symbol():
     assert len(set(byte_symbols())) == 256
 
