@@ -7,7 +7,9 @@ probability p. Documents are ranked by the Pareto order ``(u / (1 - u)) / (p / (
 u a hash of the row, and taken from the front until the source's target in words is filled.
 
 No source is sorted in one task: ranks are cut into ``BUCKETS`` buckets per source, their word
-sums (small) place the boundary, and running sums are formed only inside a bucket.
+sums (small) place the boundary, and running sums are formed only inside a bucket. Ranks bunch
+at one end where inclusion is rare or nearly certain, so buckets are even cuts of the u that
+would give the rank at the source's own inclusion probability.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from sluice.llm.common import SPACE, cut, fresh
 
 BUCKETS = 4096
 ROUNDS = 3
+# Sources whose plan is sent to every task; with more of them rows are joined by source.
+SENT = 1 << 16
 
 
 def word_count(text):
@@ -53,7 +57,22 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), max_copies: int = 3) ->
         F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def _fill(rows: DataFrame, max_copies: int) -> DataFrame:
+def _ranked(u, p):
+    """Pareto order u(1-p) / ((1-u)p), squeezed into (0, 1); p = 0 comes after all others."""
+    front = u * (1 - p)
+    return F.when(p > 0, front / (front + (1 - u) * p)).otherwise(1 + u)
+
+
+def _bucket(u, p, typical):
+    """Bucket of a rank: it never falls as the rank rises, and where ``p`` is the typical
+    inclusion probability of the source the buckets are filled evenly."""
+    typical = F.least(F.greatest(typical, F.lit(1e-9)), F.lit(1 - 1e-9))
+    odds = u * (1 - p) / ((1 - u) * p) * (typical / (1 - typical))
+    even = F.when(p >= 1, F.lit(0.0)).when(p > 0, odds / (1 + odds)).otherwise(1 + u)
+    return F.floor(even * BUCKETS)
+
+
+def _fill(rows: DataFrame, max_copies: int, small) -> DataFrame:
     """One filling round: marks documents in rank order while they fit the source's gap."""
     fit = (~F.col("chosen") & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
            & (F.col("whole") < max_copies))
@@ -65,6 +84,7 @@ def _fill(rows: DataFrame, max_copies: int) -> DataFrame:
             .filter(F.col("before") < F.col("top"))
             .groupBy(F.col("source").alias("of"))
             .agg(F.max("bucket").alias("edge"), F.max("before").alias("before")))
+    edge = small(edge)
     run = (Window.partitionBy("source", "bucket").orderBy("rank", "tie", "size")
            .rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("run", F.sum("room").over(run))
@@ -76,21 +96,21 @@ def _fill(rows: DataFrame, max_copies: int) -> DataFrame:
             .drop("room", "run", "of", "edge", "before"))
 
 
-def _with_gap(rows: DataFrame) -> DataFrame:
+def _with_gap(rows: DataFrame, small) -> DataFrame:
     """``gap``: words that the source still lacks."""
     held = F.sum(F.col("size") * (F.col("whole") + F.col("chosen").cast("int")))
     gaps = rows.groupBy(F.col("source").alias("of")).agg((F.max("target") - held).alias("gap"))
-    return rows.join(gaps, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    return rows.join(small(gaps), F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
 
-def _closest(rows: DataFrame, max_copies: int) -> DataFrame:
+def _closest(rows: DataFrame, max_copies: int, small) -> DataFrame:
     """Takes one more document of a source where that ends nearer to the target."""
-    rows = _with_gap(rows)
+    rows = _with_gap(rows, small)
     off = F.abs(F.col("size") - F.col("gap"))
     best = rows.filter(~F.col("chosen") & (F.col("whole") < max_copies) & (off < F.col("gap"))) \
         .groupBy(F.col("source").alias("of")).agg(F.min(F.struct(off, "rank", "row"))["row"]
                                                   .alias("best"))
-    rows = rows.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    rows = rows.join(small(best), F.col("source").eqNullSafe(F.col("of")), "left")
     return rows.withColumn("chosen", F.col("chosen") | F.coalesce(
         F.col("row") == F.col("best"), F.lit(False)))
 
@@ -123,28 +143,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 F.col("target") / F.when(F.col("mass") > 0, F.col("mass")),
                 F.lit(0.0)).alias("rate")))
     plan = cut(plan, "mix-plan")
+    # tables of one row per source
+    small = F.broadcast if plan.count() <= SENT else (lambda df: df)
     u = (F.shiftrightunsigned(F.xxhash64("tie", F.lit(seed)), 11) + 0.5) / F.lit(float(1 << 53))
-    rows = (rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = (rows.join(small(plan), F.col("source").eqNullSafe(F.col("of"))).drop("of")
             .withColumn("expected", F.least(F.col("rate") * F.col("own"),
                                             F.lit(float(max_copies))))
             .withColumn("whole", F.floor(F.col("expected") + 1e-9))
             .withColumn("p", F.greatest(F.col("expected") - F.col("whole"), F.lit(0.0)))
             .withColumn("u", u))
-    # Pareto order q = u(1-p) / ((1-u)p), squeezed into (0, 1); p = 0 comes after all others
-    front = F.col("u") * (1 - F.col("p"))
-    rank = F.when(F.col("p") > 0, front / (front + (1 - F.col("u")) * F.col("p"))) \
-        .otherwise(1 + F.col("u"))
-    rows = (rows.withColumn("rank", rank)
-            .withColumn("bucket", F.floor(F.col("rank") * BUCKETS))
+    typical = F.try_divide(F.col("target"), F.col("source_size"))
+    rows = (rows.withColumn("rank", _ranked(F.col("u"), F.col("p")))
+            .withColumn("bucket", _bucket(F.col("u"), F.col("p"), typical - F.floor(typical)))
             .withColumn("chosen", F.lit(False)).withColumn("new", F.lit(False))
             .select("key", "source", "size", "tie", "source_size", "target", "whole", "rank",
                     "bucket", "chosen", "new")
             .withColumn("row", F.monotonically_increasing_id()))
     rows = cut(rows, "mix-ranked")
     for n in range(ROUNDS):
-        rows = _fill(_with_gap(rows), max_copies).drop("gap")
+        rows = _fill(_with_gap(rows, small), max_copies, small).drop("gap")
         rows = cut(rows, f"mix-round{n}")
-    rows = _closest(rows, max_copies)
+    rows = _closest(rows, max_copies, small)
     copies = (F.col("whole") + F.col("chosen").cast("int")).cast("int")
     out = [F.col("key").alias(id_col), "size", "source_size", "target",
            (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies")]

@@ -84,3 +84,68 @@ def test_edges(spark, docs):
     assert out.columns[:len(df.columns)] == df.columns and out.columns[-1] == "_copies"
     only_empty = docs([(1, "", "en", "a"), (2, None, "en", "b")])
     assert [(r.taken, r.target) for r in M.mix(only_empty).collect()] == [(0, 0.0)] * 2
+
+
+def plain_mix(rows, weights=(1, 2, 3), cap=3):
+    """Copies by key from rows ``key, source, size, tie, u``: certain whole copies, then the rest
+    in Pareto order while it fits, then the nearest document."""
+    by, out = {}, {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    want = targets({s: sum(r["size"] for r in v) for s, v in by.items()}, weights, cap)
+    for s, own in by.items():
+        total = sum(r["size"] for r in own)
+        expected = min(want[s] / total if total else 0.0, float(cap))
+        whole = int(expected + 1e-9)
+        p = max(expected - whole, 0.0)
+
+        def rank(r, p=p):
+            u = r["u"]
+            return u * (1 - p) / (u * (1 - p) + (1 - u) * p) if p > 0 else 1 + u
+
+        order = sorted(own, key=lambda r: (rank(r), r["tie"], r["size"]))
+        chosen = set()
+
+        def gap():
+            return want[s] - sum(r["size"] * (whole + (r["key"] in chosen)) for r in own)
+
+        for _ in range(M.ROUNDS):
+            left, run = gap(), 0
+            for r in [r for r in order if r["key"] not in chosen and 0 < r["size"] <= left
+                      and whole < cap]:
+                run += r["size"]
+                if run <= left:
+                    chosen.add(r["key"])
+        left = gap()
+        near = [(abs(r["size"] - left), rank(r), r["key"]) for r in own
+                if r["key"] not in chosen and whole < cap and abs(r["size"] - left) < left]
+        if near:
+            chosen.add(min(near)[2])
+        out |= {r["key"]: whole + (r["key"] in chosen) for r in own}
+    return out
+
+
+@pytest.mark.parametrize("weights", [(1, 2, 3), (1, 40, 1)])
+def test_ranks_and_filling_against_a_plain_version(spark, weights):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    df = df.withColumn("source", F.when(F.col("doc_id") % 40 == 0, None)
+                       .when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    seed = 17
+    tie = F.xxhash64(F.lit(seed), "doc_id", "text")
+    u = (F.shiftrightunsigned(F.xxhash64(tie, F.lit(seed)), 11) + 0.5) / F.lit(float(1 << 53))
+    rows = [r.asDict() for r in df.select(
+        F.col("doc_id").alias("key"), "source", M.word_count(F.col("text")).alias("size"),
+        tie.alias("tie"), u.alias("u")).collect()]
+    got = {r.doc_id: r.copies for r in M.mix(df, weights=weights).collect()}
+    assert got == plain_mix(rows, weights)
+
+
+@pytest.mark.parametrize("p", [1e-4, 0.01, 0.5, 0.99, 1 - 1e-4])
+def test_buckets_are_even_and_follow_the_ranks(spark, p):
+    u = (F.col("id") + 0.5) / 200_000
+    rows = spark.range(200_000).select(
+        M._ranked(u, F.lit(p)).alias("rank"), M._bucket(u, F.lit(p), F.lit(p)).alias("bucket"),
+        M._bucket(u, F.lit(p), F.lit(0.3)).alias("other"))
+    assert rows.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 0.001 * 200_000
+    got = [(r["bucket"], r["other"]) for r in rows.orderBy("rank").collect()]
+    assert got == sorted(got) and [g[1] for g in got] == sorted(g[1] for g in got)
