@@ -315,8 +315,10 @@ def lookup(spark: SparkSession, index: str, urls: DataFrame, url_col: str = "url
     return _captures_of(_blocks_of(spark, index, urls, url_col))
 
 
-def _blocks_of(spark: SparkSession, index: str, urls: DataFrame, url_col: str) -> DataFrame:
-    """``url, surt, file, offset, length``: the blocks whose keys enclose an address's key."""
+def _blocks_of(spark: SparkSession, index: str, urls: DataFrame, url_col: str,
+               by_key: bool = False) -> DataFrame:
+    """``url, surt, file, offset, length``: the blocks whose keys enclose an address's key. With
+    ``by_key`` the addresses of one key are looked up once, ``url`` being the key."""
     shards = sorted((r["a"], r["b"], r["shard"]) for r in spark.read.schema(
         "shard string, first_key string, last_key string").parquet(f"{index}/directory")
         .groupBy("shard").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b"))
@@ -360,6 +362,8 @@ def _blocks_of(spark: SparkSession, index: str, urls: DataFrame, url_col: str) -
 
     keys = urls.select(F.col(url_col).cast("string").alias("url")).distinct() \
         .mapInArrow(place, "url string, surt string, shard string")
+    if by_key:
+        keys = keys.select(F.col("surt").alias("url"), "surt", "shard").distinct()
     return keys.repartition(F.col("shard"), F.pmod(F.xxhash64("surt"), F.lit(8))) \
         .sortWithinPartitions("shard", "surt") \
         .mapInArrow(search, f"url string, surt string, {PLACE}")
@@ -410,7 +414,7 @@ def archive(pages: DataFrame, path: str | None = None, id_col: str = "page_id",
     path = path or scratch_path(spark, "warc")
     write_archives(roles(pages, id_col, url_col, html_col), f"{path}/archives")
     build_index(spark, f"{path}/archives", f"{path}/index")
-    # addresses of one key find the same captures
-    found = lookup(spark, f"{path}/index", pages, url_col) \
-        .select("file", "offset", "length").distinct()
+    # addresses of one key find the same captures: each key is looked up once
+    found = _captures_of(_blocks_of(spark, f"{path}/index", pages, url_col, by_key=True)) \
+        .select("file", "offset", "length")
     return fetch(found).withColumnRenamed("page_id", id_col)

@@ -91,3 +91,16 @@ def test_archive_reads_through_the_directory(spark, scratch, monkeypatch):
     assert sorted(r.page_id for r in got.collect()) == sorted(r[0] for r in rows * 40)
     hits = W.lookup(spark, f"{path}/index", spark.createDataFrame([("http://h/é",)], "url string"))
     assert {r.page_id for r in hits.collect()} == {1, 2, 3} and hits.count() == 120
+
+
+def test_addresses_of_one_key_are_looked_up_once(spark, scratch):
+    path = scratch("warc-keys")
+    df = spark.createDataFrame([(i, f"http{'s' * (i % 2)}://H.example.com/x#{i}", f"p{i}")
+                                for i in range(60)] + [(99, "http://other/", "q")], SCHEMA)
+    W.write_archives(W.roles(df, "page_id", "url", "html"), f"{path}/archives")
+    W.build_index(spark, f"{path}/archives", f"{path}/index")
+    blocks = W._blocks_of(spark, f"{path}/index", df, "url", by_key=True)
+    found = W._captures_of(blocks).collect()
+    assert sorted(r.page_id for r in found) == [*range(60), 99]
+    got = {r.page_id: r.payload_digest for r in W.archive(df).collect()}
+    assert got[99] == hashlib.sha256(b"q").hexdigest() and len(got) == 61
