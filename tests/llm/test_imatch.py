@@ -60,3 +60,71 @@ def test_likeness_separates_edited_from_other_texts(spark):
         by.setdefault(text[r.doc_id], set()).add(r.fingerprint)
     assert all(len(v) == 1 for v in by.values())
     assert len({next(iter(v)) for v in by.values()}) > 0.97 * len(by)
+
+
+def _hash(*values):
+    """Spark's xxhash64 of a string, longs or ints in turn, as a signed long."""
+    import struct
+
+    import xxhash
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else struct.pack("<i" if v[0] == "int" else "<q", v[1])
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_signature(text, lex):
+    """Hashes of the sorted distinct lexicon terms of each subset, subset by subset."""
+    every = sorted({_hash(w) for w in text.lower().split()})
+    kept = [t for t in every if t in lex] or every
+    out = []
+    for cells, n, draws in M.RATES:
+        for draw in range(draws):
+            cell = {t: _hash(("long", t), ("int", cells + draw)) % cells if cells > 1 else 0
+                    for t in kept}
+            for j in range(n):
+                part = [t for t in kept if cell[t] == j]
+                # below the full lexicon a term is hashed with its cell
+                own = [("long", v) for t in part for v in ((t, j) if cells > 1 else (t,))]
+                out.append(_hash(*own) & 0xFFFFFFFF if part else 0)
+    return out
+
+
+def plain_likeness(a, b):
+    at, best = 0, 1.0
+    for _, cells, draws in M.RATES:
+        n = cells * draws
+        pairs = [(x, y) for x, y in zip(a[at:at + n], b[at:at + n]) if x or y]
+        if len(pairs) >= min(n, M.ENOUGH):
+            best = sum(x == y for x, y in pairs) / len(pairs)
+        at += n
+    return best
+
+
+def test_signatures_and_likeness_against_a_plain_version(spark, docs):
+    import random
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(120)] + ["Ünder", "É", "x" * 50]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 3, 20, 90]))) for _ in range(60)]
+    texts += [texts[5], " \t\n ", "only rare words here", "ÜNDER  ünder É"]
+    rows = list(enumerate(texts))
+    df = docs(rows)
+    lex = M.lexicon(df)
+    df_of = {}
+    for t in texts:
+        for w in {_hash(w) for w in t.lower().split()}:
+            df_of[w] = df_of.get(w, 0) + 1
+    assert lex == sorted(w for w, n in df_of.items()
+                         if n > 1 and M.LOW * len(texts) <= n <= M.HIGH * len(texts))
+    got = {r.doc_id: r for r in M.fingerprints(df).collect()}
+    own = [plain_signature(t, set(lex)) for t in texts]
+    for i, text in rows:
+        after = texts[(i + 1) % len(texts)]
+        q = len(text) // 4
+        other = plain_signature(text[:len(text) - q] + after[:q], set(lex))
+        r = got[i]
+        assert r.fingerprint == "".join(f"{h:08x}" for h in own[i])
+        assert r.edited_fingerprint == "".join(f"{h:08x}" for h in other)
+        assert (r.near_edited, r.near_next) == (
+            plain_likeness(own[i], other), plain_likeness(own[i], own[(i + 1) % len(texts)]))
