@@ -209,7 +209,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
           item_text: str = "text", rate: float = RATE,
           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` in which no item occurs, all columns unchanged."""
+    """The rows of ``docs`` in which no item occurs, all columns unchanged, whatever their names.
+
+    A null or empty text holds no item and stays; null and empty items occur nowhere; repeated
+    rows are judged each; without items all rows stay, an empty table gives an empty result."""
     at = docs.columns.index(text_col)
 
     def keeper(held):

@@ -250,7 +250,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau:
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tau: int = TAU,
           min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with the dropped lines taken out of the texts, all other columns unchanged. A
-    document that loses all its lines is left out."""
+    document that loses all its lines is left out.
+
+    A null text has no line and stays; an empty one too (its one line is under ``min_chars``).
+    Rows that repeat an id and its text lose the same lines; null ids come first in the order
+    of lines; an empty table gives an empty result."""
     mark, lost = fresh(docs, "mark", "lost")
     rows = docs.withColumn(mark, _print(F.col(text_col).cast("string")))
     rows = _joined(rows, id_col, mark, dropped_lines(docs, id_col, text_col, tau, min_chars), lost)

@@ -402,8 +402,11 @@ def near_dups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           percent: int = 75) -> DataFrame:
-    """The kept rows of ``docs``, all columns unchanged; of rows that repeat an id and its text
-    one stays."""
+    """The kept rows of ``docs``, all columns unchanged, whatever their names; of rows that
+    repeat an id and its text one stays.
+
+    Texts without words (null ones too) stay, each id once per text. A row of null id stays
+    only where its whole group has null ids. An empty table gives an empty result."""
     mark, key, of = fresh(docs, "mark", "key", "of")
     kept = _named(docs, id_col, text_col, percent) \
         .filter(F.col("id").eqNullSafe(F.col("component"))) \

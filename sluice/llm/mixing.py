@@ -173,8 +173,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           source_col: str = "source", weights=(1, 2, 3), max_copies: int = 3,
           seed: int = 17) -> DataFrame:
-    """The documents of the mix with all their columns and ``copies`` (1 or more). Rows of
-    ``docs`` that repeat an id and its text are one document here."""
+    """The documents of the mix with all their columns and ``copies`` (1 or more; named
+    ``_copies`` where ``docs`` has such a column). Rows of ``docs`` that repeat an id and its text
+    are one document here. Null and empty texts have no words and are never taken for a
+    gap; null ids and sources are values like others; an empty table gives an empty result."""
     tie, key, of = fresh(docs, "tie", "key", "of")
     docs = docs.withColumn(tie, F.xxhash64(F.lit(seed), F.col(id_col),
                                            F.col(text_col).cast("string")))

@@ -231,7 +231,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def evaluate(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
-    """Learns from labelled rows outside the held-out fold and scores every row."""
+    """Learns from labelled rows outside the held-out fold and scores every row: ``doc_id,
+    held_out, score, predicted``. Null texts are scored as empty ones, a null id is never held
+    out and has no label, repeated rows are scored each, an empty table gives an empty
+    result."""
     out = held_out(F.col("doc_id"), folds, fold)
     model = train(docs, labels.filter(~out))
     found = score(docs, model)
