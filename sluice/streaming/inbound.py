@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from ..errors import PIPELINE_FAILURE, IntakeError
 from ..session import scratch_path
+from ..sinks.cycles import commit_cycles
 from ..sinks.tables import replace_partitions
 from ..sources.files import move_to, qualify, split_existing
 
@@ -87,11 +88,14 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
                    processed: str | None = None, error: str | None = None,
                    key=("billcycle", "filename"),
                    pattern: str = "*", max_files_per_trigger: int = 100,
-                   available_now: bool = True, every_seconds: float = 60) -> StreamingQuery:
+                   available_now: bool = True, every_seconds: float = 60,
+                   versioned: bool = False) -> StreamingQuery:
     """Start the stream; ``to_rows(spark, paths)`` turns one batch of files into sink rows.
 
     With ``available_now`` the folder is listed once and the stream ends when that listing is
     worked off; otherwise it is listed again every ``every_seconds`` until the query is stopped.
+    ``versioned`` commits each micro-batch to a versioned sink (:mod:`sluice.sinks.cycles`): a
+    reader sees a cycle before or after it, never between; read it with ``read_cycles``.
     Listings stay in ``{checkpoint}-listing``; those of finished micro-batches may be removed.
     """
     listings = checkpoint.rstrip("/") + "-listing"
@@ -100,7 +104,8 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
     def attempt(paths: list[str], folder: str) -> str | None:
         """Writes the rows of the paths; the reason if they could not be written."""
         try:
-            replace_partitions(to_rows(spark, paths), folder, key=key)
+            (commit_cycles if versioned else replace_partitions)(
+                to_rows(spark, paths), folder, key=key)
             return None
         except Exception as exc:  # noqa: BLE001 - reported per file
             return f"{type(exc).__name__}: {exc}"

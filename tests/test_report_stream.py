@@ -375,3 +375,26 @@ def test_stores_that_tasks_cannot_reach_are_moved_by_the_driver(spark, scratch,
     assert len(moved) == 3 and all(r.moved_to for r in moved)
     assert [n for n in _tree(folder) if not n.endswith(".crc")] == [
         "done/a b%.csv", "done/ok.csv", "err/bad.csv"]
+
+
+@pytest.mark.parametrize("key", ["billcycle", ("billcycle", "filename")])
+def test_a_versioned_sink_takes_each_micro_batch_as_one_commit(spark, scratch, key):
+    from sluice.sinks.cycles import last_version
+    root, rows = scratch("stream-versioned"), text_audit_rows(2)
+    write_text_files(root + "/in", {"a_01.txt": "D\t1\n", "b_01.txt": "D\t2\n", "bad_02.txt": "x\n"})
+
+    def to_rows(session, paths):
+        if any("bad_" in p for p in paths):
+            raise ValueError("bad file")
+        return rows(session, paths)
+
+    def intake():
+        stream_inbound(spark, root + "/in", root + "/sink", root + "/_ck", to_rows, key=key,
+                       processed=root + "/ok", error=root + "/err",
+                       versioned=True).awaitTermination()
+        return sorted(r.column2 for r in read_cycles(spark, root + "/sink").collect())
+
+    assert intake() == ["1", "2"]
+    write_text_files(root + "/in", {"a_01.txt": "D\t7\n"})
+    assert intake() == (["7"] if key == "billcycle" else ["2", "7"])
+    assert last_version(spark, root + "/sink") == (2 if key == "billcycle" else 3)
