@@ -33,7 +33,7 @@ def main():
     rows = parse_text(spark, root + "/orders", 7, filter_record_type="D")
     grid = HP.csv_grid(spark, root + "/csv", width=fx.GRID_WIDTH)
     targets = H.parse_headers(fx.TARGET_HEADERS)
-    csv = HP.headed(grid, fx.TARGET_HEADERS)
+    csv = HP.ingest_csv(spark, root + "/csv", fx.TARGET_HEADERS)
     sheets = HP.ingest_sheets(spark, root + "/xlsx", fx.TARGET_HEADERS)
     li = fx.table(spark, sf, "lineitem")
     cases = {
