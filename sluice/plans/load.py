@@ -95,7 +95,7 @@ def load_cycle_tables(rows: DataFrame, table_template: str, codes, row_label: st
     One partitioned write holds the rows of all cycles, whatever their number; then each table
     (external, unpartitioned, all of one definition) is pointed at the folder of its cycle: a
     catalog operation and no job. Rejected values and unknown columns raise before any table
-    is touched. The write goes below ``location`` (next to the first table by default); the load before
+    is touched. Other tables are each loaded from their folder. The write goes below ``location`` (next to the first table by default); the load before
     stays there for its readers, older ones go. A cycle without rows leaves its table empty.
     """
     from ..functions.lineage import bill_cycle

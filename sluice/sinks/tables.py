@@ -169,30 +169,28 @@ def load_partitions(df: DataFrame, column: str, tables: dict[str, str],
     """Truncate-and-load many tables from one write (S7): ``tables`` maps each table to the value
     of ``column`` whose rows it gets.
 
-    The tables must be external, unpartitioned, Parquet and of one definition. The rows are
-    converted, counted and written once, partitioned by ``column``; rejects raise before any
-    table is touched; then each table is switched to its partition's folder.
+    The rows are converted, counted and written once, partitioned by ``column``; rejects and
+    unknown columns raise before any table is touched; then each table is switched to its
+    partition's folder, a catalog operation. That takes external Parquet tables without
+    partitions and of one definition; where one is not, the rows are written once as they are
+    and every table is loaded from its own folder.
     """
     spark = df.sparkSession
     infos = {t: table_info(spark, t) for t in tables}
     schemas = {t: spark.table(t).schema for t in tables}
-    one = next(iter(schemas.values()))
-    for t, info in infos.items():
-        if schemas[t] != one or info.provider != "parquet" or info.partitioned \
-                or not info.external:
-            raise IntakeError(DATABASE_ERROR, "tables of one write must be external Parquet "
-                              "tables without partitions and of one definition", t)
-    first = next(iter(infos.values())).location.rstrip("/")
-    root = location or f"{first.split(f'/{SHARED}/')[0].rsplit('/', 1)[0]}/{SHARED}/" \
-        f"{next(iter(tables))}"
-    if location is None and f"/{SHARED}/" in first:      # loaded so before
-        root = first[:first.index(f"/{SHARED}/")] + f"/{SHARED}/{next(iter(tables))}"
-    _check_names(df, one, root, column)
-    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    name, one = next(iter(schemas.items()))
+    if any(schemas[t] != one or info.provider != "parquet" or info.partitioned
+           or not info.external for t, info in infos.items()):
+        return _load_each(df, column, tables, on_cast)
+    _check_names(df, one, name, column)
+    first = infos[name].location.rstrip("/")
+    base = first.split(f"/{SHARED}/")[0] if f"/{SHARED}/" in first else first.rsplit("/", 1)[0]
+    root = (location or f"{base}/{SHARED}/{name}").rstrip("/")
+    path = f"{root}/{uuid.uuid4().hex}"
     wide = T.StructType([*one.fields, T.StructField(column, T.StringType())])
     done = False
     try:
-        rejects, _ = _staged(df, wide, root, path, "parquet", on_cast, [column])
+        rejects, _ = _staged(df, wide, name, path, "parquet", on_cast, [column])
         for t, value in tables.items():
             folder = f"{path}/{column}={value}"
             make_folder(spark, folder)
@@ -210,6 +208,24 @@ def load_partitions(df: DataFrame, column: str, tables: dict[str, str],
     return rejects
 
 
+def _load_each(df: DataFrame, column: str, tables: dict[str, str], on_cast: str) -> dict[str, int]:
+    """The tables one by one, each from its folder of one write."""
+    spark, total = df.sparkSession, {}
+    path = scratch_path(spark, "load-each")
+    data = T.StructType([f for f in df.schema.fields if f.name != column])
+    try:
+        df.write.partitionBy(column).parquet(path)
+        for t, value in tables.items():
+            folder = f"{path}/{column}={value}"
+            make_folder(spark, folder)
+            for c, n in truncate_load(spark.read.schema(data).parquet(folder), t,
+                                      on_cast=on_cast).items():
+                total[c] = total.get(c, 0) + n
+    finally:
+        delete(spark, path)
+    return total
+
+
 def _create(df: DataFrame, table: str) -> None:
     try:
         df.write.mode("overwrite").saveAsTable(table)

@@ -434,3 +434,15 @@ def test_a_schema_that_cannot_be_read_is_a_warning_if_asked(spark, scratch, capl
     with pytest.raises(IntakeError) as e:     # nor can it be created
         truncate_load(rows, "no_such_db.main", on_schema="warn")
     assert e.value.status == "database_error"
+
+
+def test_cycle_tables_of_several_kinds_are_loaded_from_one_write(spark, scratch):
+    from sluice.plans.load import load_cycle_tables
+    spark.sql(f"CREATE TABLE ck_01 (A int) USING parquet LOCATION '{scratch('ck1')}'")
+    spark.sql(f"CREATE TABLE ck_02 (A string) USING orc LOCATION '{scratch('ck2')}'")
+    schema = "a string, filename string, _file string, _temp_row_num long"
+    for value in "57":
+        rows = [(value, "x_01.txt", "file:/in/x_01.txt", 1), ("b", "y_02.txt", "file:/in/y_02.txt", 1)]
+        load_cycle_tables(spark.createDataFrame(rows, schema), "ck_00", ["01", "02"])
+        assert [r.A for r in spark.table("ck_01").collect()] == [int(value)]
+        assert [r.A for r in spark.table("ck_02").collect()] == ["b"]
