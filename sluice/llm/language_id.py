@@ -25,6 +25,7 @@ PROFILE = 300
 UNKNOWN = "und"
 LEAST = 0.2
 MARK = ord("_")
+STRETCH = 1 << 20
 
 
 @functools.lru_cache(maxsize=1)
@@ -46,9 +47,35 @@ def grams(text: str) -> np.ndarray:
                            three[letter[1:-1]]])
 
 
+def stretches(text: str, length: int = STRETCH):
+    """The text cut before spaces and line breaks into stretches of about ``length`` characters
+    (longer where there is neither); no n-gram crosses such a place."""
+    start = 0
+    while len(text) - start > length:
+        ends = [i for i in (text.find(c, start + length) for c in " \n") if i >= 0]
+        if not ends:
+            break
+        yield text[start:min(ends)]
+        start = min(ends)
+    yield text[start:]
+
+
+def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a text, ascending, and their counts; a long text is counted stretch
+    by stretch, so memory follows its distinct n-grams."""
+    codes = n = np.zeros(0, np.int64)
+    for part in stretches(text):
+        own, times = np.unique(grams(part), return_counts=True)
+        if len(codes):
+            own, at = np.unique(np.concatenate([codes, own]), return_inverse=True)
+            times = np.bincount(at, np.concatenate([n, times])).astype(np.int64)
+        codes, n = own, times
+    return codes, n
+
+
 def ranking(text: str, size: int = PROFILE) -> np.ndarray:
     """The text's most frequent n-grams, most frequent first, ties by n-gram."""
-    codes, n = np.unique(grams(text), return_counts=True)
+    codes, n = counted(text)
     return codes[np.argsort(-n, kind="stable")[:size]]
 
 
@@ -63,7 +90,13 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         for b in slices(batches, 1, 2 << 20):
             by: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                by.setdefault(lang, []).append(grams(text))
+                if len(text) > STRETCH:
+                    codes, n = counted(text)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(codes), pa.string()), pa.array(codes),
+                         pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+                else:
+                    by.setdefault(lang, []).append(grams(text))
             for lang, parts in by.items():
                 codes, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(

@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
 from llm_fixtures import docs  # noqa: F401
@@ -61,3 +62,18 @@ def test_held_out_accuracy_and_rejections(spark):
     kept = L.keep(df.union(strange), L.profiles(df))
     assert kept.columns == df.columns and kept.count() == df.count()
     assert kept.filter("doc_id = -1").count() == 0
+
+
+def test_long_texts_are_counted_in_stretches(monkeypatch):
+    import random
+    rng = random.Random(3)
+    abc = "abcdeABÉéΣσßİ日 \n\t.,'1_"
+    for _ in range(300):
+        text = "".join(rng.choice(abc) for _ in range(rng.randrange(0, 400)))
+        want = np.unique(L.grams(text), return_counts=True)
+        for length in (1, 7, 100):
+            parts = list(L.stretches(text, length))
+            assert "".join(parts) == text
+            monkeypatch.setattr(L.stretches, "__defaults__", (length,))
+            got = L.counted(text)
+            assert all(np.array_equal(a, b) for a, b in zip(got, want)), text
