@@ -22,6 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 SKETCH = 1024
 SPLIT = 64
-# Shingles in one array that the members of a hub's largest component are held against.
-CHUNK = 1 << 12
 FILTER_BITS = 26
 CACHE_SIZE = 150_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -270,15 +269,30 @@ def link(src: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame, DataF
     placed = cut(placed.join(mixed, "bucket"), "minhash-mixed")
     x = placed.filter("few").select("bucket", F.col("cid").alias("a"), F.col("root").alias("ra"))
     pairs = x.join(x.toDF("bucket", "b", "rb"), "bucket").filter("a < b and ra != rb")
-    group = placed.filter("not few").select("hub", "cid", "root").distinct()
-    group = cut(group, "minhash-groups")
-    wanted = cut(group.select("cid").distinct().join(classes.select("cid", "id", "print"), "cid"),
-                 "minhash-wanted")
+    group = cut(headed(placed.filter("not few").select("hub", "cid", "root").distinct(), links,
+                       company, roots), "minhash-groups")
+    wanted = cut(group.select(F.explode(F.array("cid", "hub")).alias("cid")).distinct()
+                 .join(classes.select("cid", "id", "print"), "cid"), "minhash-wanted")
     pairs = pairs.select("a", "b").union(
         across(group, cut(full_sets(src, wanted), "minhash-sets"), percent))
     return sig, classes, links.union(tested(pairs))
 
 
+def headed(group: DataFrame, links: DataFrame, company: DataFrame, roots: DataFrame) -> DataFrame:
+    """The crowds (``hub, cid, root``), each at its hub's head: the linked hub with the most
+    company, where that is more than the hub's own. A head is a member of its crowd."""
+    hubs = group.select("hub").distinct().join(company.toDF("hub", "company"), "hub")
+    ends = links.union(links.select("b", "a")).toDF("hub", "head")
+    best = ends.join(hubs, "hub").join(hubs.toDF("head", "more"), "head") \
+        .filter(F.struct("more", "head") > F.struct("company", "hub")) \
+        .groupBy("hub").agg(F.max(F.struct("more", "head"))["head"].alias("head"))
+    moved = group.join(best, "hub", "left").select(
+        F.coalesce("head", "hub").alias("hub"), "cid", "root")
+    own = moved.select("hub").distinct().join(roots.toDF("hub", "root"), "hub", "left") \
+        .select("hub", F.col("hub").alias("cid"), F.coalesce("root", "hub").alias("root"))
+    return moved.union(own).distinct()
+
+
 def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of different components that can reach the threshold among the members
     (``hub, cid, root``) of crowded buckets, without pairing all members.
@@ -346,12 +360,19 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return outside.union(inside)
 
 
-def _foreign_tokens(known: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def _slots(hub: np.ndarray, token: np.ndarray, words: int) -> np.ndarray:
+    """A slot below ``64 * words`` (a power of two) for each hub and shingle."""
+    x = _mix(_mix(hub.view(np.uint64)) * _MUL + token.view(np.uint64))
+    return (x & np.uint64(64 * words - 1)).astype(np.int64)
+
+
+def _foreign_tokens(known: DataFrame, words: int = 1 << FILTER_BITS - 6) -> DataFrame:
     """Shingles outside the hub that a pair of different components can share, one row per
     member: all of those outside the hub's largest component, and of that one's members only
     the shingles that some other component has, so a large group of copies does not become rows.
 
-    The others' shingles meet the largest component as arrays of about ``chunk``.
+    The others' shingles meet the largest component as a bitmap of ``words`` (a power of two)
+    words of 64 bits, then exactly: no member meets the shingles of a whole crowd.
     """
     cols = ["hub", "cid", "root", "n", "o", F.size("rest").alias("r")]
     largest = known.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("members")) \
@@ -359,14 +380,39 @@ def _foreign_tokens(known: DataFrame, chunk: int = CHUNK) -> DataFrame:
     placed = known.join(largest, "hub")
     other = placed.filter("root != largest").select(*cols, F.explode("rest").alias("token"))
     other = cut(other, "minhash-foreign")
-    tokens = other.select("hub", "token").distinct()
-    parts = tokens.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("parts"))
-    tokens = tokens.join(parts, "hub").groupBy(
-        "hub", F.pmod(F.xxhash64("token"), F.col("parts")).alias("part")).agg(
-            F.collect_list("token").alias("tokens"))
-    met = placed.filter("root = largest").join(tokens, "hub") \
-        .withColumn("met", F.array_intersect("rest", "tokens")).filter(F.size("met") > 0)
-    return other.unionByName(met.select(*cols, F.explode("met").alias("token")))
+
+    def slot(batches):
+        for b in batches:
+            at = _slots(b.column(0).to_numpy(), b.column(1).to_numpy(), words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], ["w", "b"])
+
+    bits = other.select("hub", "token").mapInArrow(slot, "w long, b long") \
+        .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # fixed size, whatever the input
+    table = np.zeros(words, np.int64)
+    table[bits.column("w").to_numpy()] = bits.column("b").to_numpy()
+    table = known.sparkSession.sparkContext.broadcast(table)
+
+    def meet(batches):
+        for b in batches:
+            rest = b.column(6)
+            ends = np.r_[0, np.cumsum(pc.list_value_length(rest).to_numpy())]
+            token = rest.flatten().to_numpy()
+            at = _slots(np.repeat(b.column(0).to_numpy(), np.diff(ends)), token, words)
+            ok = (table.value[at >> 6] >> (at & 63)) & 1 == 1
+            met = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(ok)][ends], pa.int32()), pa.array(token[ok]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], met], names)
+
+    names = ["hub", "cid", "root", "n", "o", "r", "met"]
+    met = placed.filter("root = largest").select(
+        *(F.col(c).cast("long").alias(c) for c in names[:5]), F.size("rest").cast("long").alias("r"),
+        "rest").mapInArrow(meet, "hub long, cid long, root long, n long, o long, r long, "
+                                 "met array<long>") \
+        .select("hub", "cid", "root", "n", "o", F.col("r").cast("int").alias("r"),
+                F.explode("met").alias("token"))
+    met = met.join(other.select("hub", "token").distinct(), ["hub", "token"], "left_semi")
+    return other.unionByName(met)
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:

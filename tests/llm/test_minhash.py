@@ -158,3 +158,33 @@ def test_shingles_of_several_components_are_kept(spark, chunk):
     # nothing of the largest component beyond what others have
     assert all((r.hub, r.token, r.cid) in want for r in got if r.root % 100 == 1)
     assert all(r.r == len(rows[40 * r.hub + r.cid % 100][5]) for r in got)
+
+
+def test_crowd_meets_the_head_of_its_hub(spark):
+    """A class of many crowds with linked hubs meets one of them, not each."""
+    hubs, members = range(10), range(100, 160)
+    group = spark.createDataFrame([(h, m, m) for h in hubs for m in members] + [(70, 5, 5)],
+                                  "hub long, cid long, root long")
+    links = spark.createDataFrame([(0, h) for h in hubs if h], "a long, b long")
+    company = spark.createDataFrame([(h, 90 - h) for h in hubs] + [(70, 3)],
+                                    "cid long, company long")
+    roots = spark.createDataFrame([(h, 0) for h in hubs], "cid long, root long")
+    got = M.headed(group, links, company, roots).collect()
+    assert len(got) == len(set(got))
+    assert {tuple(r) for r in got} == {(0, m, m) for m in members} | {
+        (0, 0, 0), (70, 5, 5), (70, 70, 70)}
+
+
+def test_largest_component_meets_no_chunks_of_a_crowd(spark):
+    """Its members with no shingle of another component make no row, however many there are of
+    either."""
+    rows = [(1, i, 0, 50, 9, [i, 7]) for i in range(400)] + [
+        (1, 1000 + i, 1000 + i, 50, 9, [5000 + 100 * i + k for k in range(50)]) for i in range(300)]
+    rows.append((1, 2000, 2000, 50, 9, [3]))
+    known = spark.createDataFrame(
+        rows, "hub long, cid long, root long, n long, o long, rest array<long>")
+    got = M._foreign_tokens(known)
+    assert "array_intersect" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = got.collect()
+    assert {(r.cid, r.token) for r in rows if r.root == 0} == {(3, 3)}
+    assert len(rows) == 300 * 50 + 2
