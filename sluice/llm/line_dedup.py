@@ -37,13 +37,21 @@ def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``id, at, line`` of all trimmed lines of ``min_chars`` characters at least; ``at`` orders
     a document's lines."""
     text = F.col(text_col).cast("string")
+    # the print is taken before the split: beside it, it would be taken again for each line
     rows = docs.select(F.col(id_col).alias("id"), _print(text).alias("print"),
-                       F.posexplode(F.split(text, "\n")))
+                       F.split(text, "\n").alias("parts"))
+    rows = rows.select("id", "print", F.posexplode("parts")).filter(F.length("col") >= min_chars)
     at = F.shiftleft(F.col("pos").cast("long"), PRINT).bitwiseOR(F.col("print"))
-    rows = rows.select("id", at.alias("at"), F.btrim("col", F.lit(BLANK)).alias("line"))
+    rows = rows.select("id", at.alias("at"), _trimmed(F.col("col")).alias("line"))
     return rows.filter(F.length("line") >= min_chars)
 
 
+def _trimmed(line: Column) -> Column:
+    """The line without blanks at its ends; most have none, which two looks tell."""
+    ends = reduce(Column.__or__, [line.startswith(c) | line.endswith(c) for c in BLANK])
+    return F.when(ends, F.btrim(line, F.lit(BLANK))).otherwise(line)
+
+
 def _print(text: Column) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit((1 << PRINT) - 1))
 
@@ -212,7 +220,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = classes.join(gone, "who", "left").withColumn("near", F.col("near").isNotNull())
     bad = cut(classes.filter("n > 1 or near").select("digest", "who", "near"), "lines-bad")
     places = lines(docs, id_col, text_col, min_chars) \
-        .select("id", "at", F.unhex(F.md5("line")).alias("digest")).join(bad, "digest")
+        .select("id", "at", F.unhex(F.md5("line")).alias("digest"))
+    key = F.xxhash64("digest")
+    places = _admitted(places, key, bad.select(key.alias("key"))).join(bad, "digest")
     places = places.filter(F.col("near") | (F.struct("id", "at") != F.col("who"))).distinct()
     return places.groupBy("id", F.col("at").bitwiseAND(F.lit((1 << PRINT) - 1)).alias("print")) \
         .agg(F.array_sort(F.collect_list(F.shiftright("at", PRINT).cast("int"))).alias("dropped"))

@@ -130,3 +130,23 @@ def test_little_that_is_broadcast_changes_nothing(spark):
     args = (docs, "doc_id", "text", M.TAU, M.MIN_CHARS)
     wide, narrow = M.near_classes(*args), M.near_classes(*args, most=4)
     assert sorted(map(str, wide[1].collect())) == sorted(map(str, narrow[1].collect()))
+
+
+def test_text_is_hashed_once_and_good_lines_are_not_shuffled(spark, docs, monkeypatch):
+    """A document's hash is taken below the split, and before the last join only lines of classes
+    that lose a line are left."""
+    lines = [chr(97 + i) * 40 + " of its own" for i in range(20)]
+    rows = [(1, "\n".join(lines)), (2, "  " + lines[3] + "\t\n" + lines[4][:-1] + "\n\n" + " " * 40)]
+    plan = M.lines(docs(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("xxhash64")
+    seen, real = [], M._admitted
+
+    def spy(table, *rest):
+        seen.append(real(table, *rest))
+        return seen[-1]
+
+    monkeypatch.setattr(M, "_admitted", spy)
+    got = {r.doc_id: r.dropped_lines for r in M.report(docs(rows)).collect()}
+    assert got == {i: ",".join(map(str, n)) for i, n in brute_force(rows).items()}
+    bad = [d for d in seen if "digest" in d.columns]
+    assert len(bad) == 1 and bad[0].count() == 3
