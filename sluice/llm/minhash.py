@@ -35,6 +35,7 @@ BANDS, ROWS = 32, 4
 SKETCH = 1024
 SPLIT = 64
 FILTER_BITS = 26
+BLOCK_BITS = 18
 CACHE_SIZE = 150_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -326,7 +327,7 @@ def across(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # the largest size that a partner without shared rest can have
     known = cut(known.withColumn("cap", F.floor(F.col("o") / F.lit(share) + 1e-6) - F.col("n")),
                 "minhash-rest")
-    token = _foreign_tokens(known)
+    token = _foreign_tokens(cut(_shared(known), "minhash-shared"))
     several = token.groupBy("hub", "token").agg(F.min("root").alias("r1"),
                                                 F.max("root").alias("r2"),
                                                 F.count(F.lit(1)).alias("df")) \
@@ -366,6 +367,84 @@ def _slots(hub: np.ndarray, token: np.ndarray, words: int) -> np.ndarray:
     return (x & np.uint64(64 * words - 1)).astype(np.int64)
 
 
+def _slotted(hub: pa.Array, rest: pa.Array, words: int) -> tuple[np.ndarray, ...]:
+    """Slot and shingle of every element of the lists ``rest``, and the lists' bounds in them."""
+    ends = np.r_[0, np.cumsum(pc.list_value_length(rest).to_numpy())]
+    token = rest.flatten().to_numpy()
+    return _slots(np.repeat(hub.to_numpy(), np.diff(ends)), token, words), token, ends
+
+
+def _thinned(token: np.ndarray, ends: np.ndarray, ok: np.ndarray) -> pa.Array:
+    """The lists with only the elements that are ``ok``."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(ok)][ends], pa.int32()),
+                                    pa.array(token[ok]))
+
+
+def _extent(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each slot once, in order, with its least ``lo`` and greatest ``hi``."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    return at[first], np.minimum.reduceat(lo[order], first), np.maximum.reduceat(hi[order], first)
+
+
+def _shared(known: DataFrame, words: int = 1 << FILTER_BITS - 6) -> DataFrame:
+    """``hub, cid, root, n, o, rest`` of all members, without the shingles that only one
+    component of the hub's crowd has (a few of them stay): edits of a single copy are neither
+    rows nor counted.
+
+    Hub and shingle have a slot in a bitmap of ``words`` (a power of two) words of 64 bits, set
+    where members of two components meet. Blocks of slots are dealt to tasks as arrays.
+    """
+    size = min(1 << BLOCK_BITS, 64 * words)
+
+    def parts(batches):
+        for b in batches:
+            step = max(1, b.num_rows * (4 << 20) // max(1, b.column(5).nbytes))
+            for i in range(0, b.num_rows, step):
+                yield b.slice(i, step)
+
+    def seen(batches):
+        for b in parts(batches):
+            at, _, ends = _slotted(b.column(0), b.column(5), words)
+            if not len(at):
+                continue
+            root = np.repeat(b.column(2).to_numpy(), np.diff(ends))
+            at, lo, hi = _extent(at, root, root)
+            block = at // size
+            first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+            ends = pa.array(np.r_[first, len(at)], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[first]), *(pa.ListArray.from_arrays(ends, pa.array(x))
+                                           for x in (at, lo, hi))], ["block", "at", "lo", "hi"])
+
+    def meet(group):
+        at, lo, hi = _extent(*(pc.list_flatten(group.column(c)).to_numpy()
+                               for c in ("at", "lo", "hi")))
+        bits = np.zeros(size, np.uint8)
+        bits[at[lo != hi] % size] = 1
+        return pa.table({"block": group.column("block").slice(0, 1), "bits": pa.array(
+            [np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    cols = ["hub", "cid", "root", "n", "o", "rest"]
+    met = known.select(cols).mapInArrow(
+        seen, "block long, at array<long>, lo array<long>, hi array<long>") \
+        .groupBy("block").applyInArrow(meet, "block long, bits binary").toArrow()  # fixed size
+    table = np.zeros(8 * words, np.uint8)
+    for block, bits in zip(met.column("block").to_pylist(), met.column("bits").to_pylist()):
+        table[block * size // 8:(block + 1) * size // 8] = np.frombuffer(bits, np.uint8)
+    table = known.sparkSession.sparkContext.broadcast(table)
+
+    def thin(batches):
+        for b in parts(batches):
+            at, token, ends = _slotted(b.column(0), b.column(5), words)
+            ok = table.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], _thinned(token, ends, ok)], cols)
+
+    return known.select(cols).mapInArrow(
+        thin, "hub long, cid long, root long, n long, o long, rest array<long>")
+
+
 def _foreign_tokens(known: DataFrame, words: int = 1 << FILTER_BITS - 6) -> DataFrame:
     """Shingles outside the hub that a pair of different components can share, one row per
     member: all of those outside the hub's largest component, and of that one's members only
@@ -395,14 +474,9 @@ def _foreign_tokens(known: DataFrame, words: int = 1 << FILTER_BITS - 6) -> Data
 
     def meet(batches):
         for b in batches:
-            rest = b.column(6)
-            ends = np.r_[0, np.cumsum(pc.list_value_length(rest).to_numpy())]
-            token = rest.flatten().to_numpy()
-            at = _slots(np.repeat(b.column(0).to_numpy(), np.diff(ends)), token, words)
+            at, token, ends = _slotted(b.column(0), b.column(6), words)
             ok = (table.value[at >> 6] >> (at & 63)) & 1 == 1
-            met = pa.ListArray.from_arrays(
-                pa.array(np.r_[0, np.cumsum(ok)][ends], pa.int32()), pa.array(token[ok]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:6], met], names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], _thinned(token, ends, ok)], names)
 
     names = ["hub", "cid", "root", "n", "o", "r", "met"]
     met = placed.filter("root = largest").select(

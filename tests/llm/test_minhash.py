@@ -188,3 +188,27 @@ def test_largest_component_meets_no_chunks_of_a_crowd(spark):
     rows = got.collect()
     assert {(r.cid, r.token) for r in rows if r.root == 0} == {(3, 3)}
     assert len(rows) == 300 * 50 + 2
+
+
+@pytest.mark.parametrize("words", [2, 1 << 20])
+def test_edits_of_one_component_are_no_rows(spark, words):
+    """Shingles that no other component of the crowd has are dropped before they become rows."""
+    rows = [(1, i, i, 50, 9, [100 * i + 100 + k for k in range(40)] + [7]) for i in range(300)] + [
+        (1, 1000 + i, 1000, 50, 9, [-i, 5, 9]) for i in range(50)] + [
+        (2, i, i, 50, 9, [100 * i, -2]) for i in range(9)] + [(2, 70, 70, 50, 9, []), (3, 1, 1, 5, 4, [7])]
+    known = spark.createDataFrame(
+        rows, "hub long, cid long, root long, n long, o long, rest array<long>")
+    holders = {}
+    for hub, _, root, _, _, rest in rows:
+        for t in rest:
+            holders.setdefault((hub, t), set()).add(root)
+    got = M._shared(known.repartition(5), words).collect()
+    assert sorted(r[:5] for r in got) == sorted(r[:5] for r in rows)
+    want = {(r[0], r[1]): [t for t in r[5] if len(holders[r[0], t]) > 1] for r in rows}
+    assert all(set(want[r.hub, r.cid]) <= set(r.rest) for r in got)
+    assert all(list(r.rest) == [t for t in full[5] if t in r.rest]
+               for r in got for full in rows if full[:2] == (r.hub, r.cid))
+    if words > 2:      # a few of 12,000 shingles may meet in a slot by chance
+        needed = sum(map(len, want.values()))
+        assert sum(len(r.rest) for r in got) <= needed + 20
+        assert needed <= M._foreign_tokens(M._shared(known, words)).count() <= needed + 20
