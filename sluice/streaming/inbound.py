@@ -15,14 +15,18 @@ write the batch's files move to the processed folder; a file that cannot be load
 error folder alone (the reference's success / quarantine moves), or, without an error folder,
 stops the stream, whose state then still has the old version.
 
-The state is committed with the micro-batch. A file that is there again unchanged although it
-was loaded (its move was lost, or the same file was sent again with its time) is only moved.
+The state is committed with the micro-batch and has at most as many partitions as a micro-batch
+has paths: each partition costs a Python worker and a store commit in every micro-batch, with or
+without a path. A stream keeps the number that it began with. A file that is there again
+unchanged although it was loaded (its move was lost, or the same file was sent again with its
+time) is only moved.
 """
 
 from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +42,7 @@ LISTING_SCHEMA = "path string, length long, modified long"     # milliseconds
 VERSION_SCHEMA = "length long, modified long"
 CHANGE_SCHEMA = "path string, changed boolean"
 _STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+_STATE_PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -83,6 +88,23 @@ def file_changes(spark: SparkSession, listings: str) -> DataFrame:
         FileVersions(), CHANGE_SCHEMA, outputMode="Update", timeMode="None")
 
 
+@contextmanager
+def _stream_settings(spark: SparkSession, max_files: int) -> Iterator[None]:
+    """Settings that a stream reads at its start: the store that this kind of keyed state needs
+    and its number of partitions, not more than ``max_files``. They are put back afterwards;
+    the stream keeps its own copy, the batch functions use the session's."""
+    parts = min(int(spark.conf.get(_STATE_PARTITIONS_KEY)), max(1, max_files))
+    settings = {_STORE_KEY: _STORE, _STATE_PARTITIONS_KEY: str(parts)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str,
                    to_rows: Callable[[SparkSession, list[str]], DataFrame],
                    processed: str | None = None, error: str | None = None,
@@ -146,16 +168,12 @@ def stream_inbound(spark: SparkSession, inbound: str, sink: str, checkpoint: str
     if not listed():
         # the stream needs its folder, also before the first file
         spark.createDataFrame([], LISTING_SCHEMA).write.mode("append").parquet(listings)
-    before = spark.conf.get(_STORE_KEY, None)
-    spark.conf.set(_STORE_KEY, _STORE)     # keyed state of this kind needs it; read at the start
-    try:
+    with _stream_settings(spark, max_files_per_trigger):
         writer = (file_changes(spark, listings).writeStream.outputMode("update")
                   .foreachBatch(run_batch).option("checkpointLocation", checkpoint))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
             processingTime=f"{every_seconds} seconds")
         query = writer.start()
-    finally:
-        spark.conf.set(_STORE_KEY, before) if before else spark.conf.unset(_STORE_KEY)
     if not available_now:
         def keep_listing():
             while not query.awaitTermination(every_seconds):

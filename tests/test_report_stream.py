@@ -283,6 +283,30 @@ def test_a_stopped_stream_forgets_the_version_it_could_not_load(spark, scratch):
     assert _intake(spark, root, calls) == [("a_01.txt", "333")]
 
 
+def test_state_has_no_more_partitions_than_a_batch_has_files(spark, scratch):
+    root, key = scratch("stream-state"), "spark.sql.shuffle.partitions"
+    write_text_files(root + "/in", {f"f{i}_01.txt": f"D\t{i}\n" for i in range(5)})
+    session, rows = spark.conf.get(key), text_audit_rows(2)
+    seen = []
+
+    def to_rows(session, paths):
+        seen.append((session.conf.get(key), len(paths)))
+        return rows(session, paths)
+
+    def intake(n):
+        q = stream_inbound(spark, root + "/in", root + "/sink", root + "/_ck", to_rows,
+                           max_files_per_trigger=n)
+        q.awaitTermination()
+        assert spark.conf.get(key) == session
+        return [p.stateOperators[0].numShufflePartitions for p in q.recentProgress
+                if p.stateOperators]
+
+    assert set(intake(2)) == {2} and int(session) > 2
+    assert sum(n for _, n in seen) == 5 and {s for s, _ in seen} == {session}
+    assert set(intake(100)) == {2} and sum(n for _, n in seen) == 5      # known to its state
+    assert sorted(r.column2 for r in spark.read.parquet(root + "/sink").collect()) == list("01234")
+
+
 def test_a_running_stream_lists_its_folder_again(spark, scratch):
     import time
     root = scratch("stream-running")
